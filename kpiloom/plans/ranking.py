@@ -1,0 +1,190 @@
+"""Global ranking without moving every row to one partition.
+
+``Window.orderBy(...)`` without ``partitionBy`` plans as a single-partition
+exchange: one task sorts the whole input.  That is fine for a few thousand
+aggregated rows and fatal for a billion customers.  The ``range`` method here:
+
+1. range-partitions on the full sort key (partition keys first).  Spark's
+   range partitioner samples the composite key, so a value held by a third of
+   the rows is split across many tasks by the tie-breaker columns;
+2. sorts within each partition and numbers rows locally with
+   ``monotonically_increasing_id`` (partition index in the high bits);
+3. checkpoints to the shared checkpoint folder, which fixes that numbering
+   (the range bounds come from sampling, so re-evaluation could differ) and
+   cuts the lineage so a lost executor does not re-run the sort;
+4. counts rows per (partition, group): at most partitions + groups rows,
+   turns them into offsets, and adds each row's offset.
+
+``auto`` checkpoints the input, counts it, and uses a plain window when the
+count is at most ``spark.kpiloom.rank.maxSinglePartitionRows`` (default one
+million): a proven bound on what the single task holds.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from kpiloom.session import reliable_checkpoint
+
+MAX_SINGLE_PARTITION_ROWS_CONF = "spark.kpiloom.rank.maxSinglePartitionRows"
+DEFAULT_MAX_SINGLE_PARTITION_ROWS = 1_000_000
+_LOCAL_MASK = (1 << 33) - 1
+
+Order = Sequence[tuple[str, bool]]  # (column, ascending)
+
+
+def _sort_exprs(order: Order) -> list[Column]:
+    # PostgreSQL order: NULLs last ascending, first descending.
+    return [F.col(c).asc_nulls_last() if asc else F.col(c).desc_nulls_first() for c, asc in order]
+
+
+def _norm(order) -> list[tuple[str, bool]]:
+    return [(o, True) if isinstance(o, str) else (o[0], bool(o[1])) for o in order]
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how="inner") -> DataFrame:
+    if not keys:
+        raise ValueError("join keys required")
+    r = right
+    renamed = {}
+    for k in keys:
+        renamed[k] = f"__r_{k}"
+        r = r.withColumnRenamed(k, renamed[k])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[renamed[k]])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, how).drop(*renamed.values())
+
+
+def resolve_method(df: DataFrame, method: str) -> tuple[DataFrame, str]:
+    """Pick ``window`` or ``range``; ``auto`` checkpoints and counts the input."""
+    if method in ("window", "range"):
+        return df, method
+    if method != "auto":
+        raise ValueError(f"unknown ranking method {method!r}")
+    base = reliable_checkpoint(df)
+    limit = int(df.sparkSession.conf.get(MAX_SINGLE_PARTITION_ROWS_CONF,
+                                         str(DEFAULT_MAX_SINGLE_PARTITION_ROWS)))
+    return base, ("window" if base.count() <= limit else "range")
+
+
+def _range_numbering(df: DataFrame, order: Order, partition_by: Sequence[str],
+                     out: str, total: str | None) -> DataFrame:
+    spark = df.sparkSession
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c).asc_nulls_last() for c in partition_by] + _sort_exprs(order)
+    cols = df.columns
+    ranged = (df.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys)
+              .withColumn("_kl_mid", F.monotonically_increasing_id()))
+    ranged = reliable_checkpoint(ranged)
+    ranged = (ranged.withColumn("_kl_pid", F.shiftright("_kl_mid", 33))
+              .withColumn("_kl_local", F.col("_kl_mid").bitwiseAND(F.lit(_LOCAL_MASK))))
+    stats = ranged.groupBy("_kl_pid", *partition_by).agg(
+        F.count(F.lit(1)).alias("_kl_cnt"), F.min("_kl_local").alias("_kl_first"))
+    w = Window.partitionBy(*partition_by).orderBy("_kl_pid")
+    stats = stats.withColumn(
+        "_kl_before",
+        F.coalesce(F.sum("_kl_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    if total:
+        stats = stats.withColumn(total, F.sum("_kl_cnt").over(Window.partitionBy(*partition_by)))
+    if not partition_by:
+        # at most spark.sql.shuffle.partitions rows: a proven broadcast bound
+        stats = F.broadcast(stats)
+    joined = _null_safe_join(ranged, stats, ["_kl_pid", *partition_by])
+    rn = F.col("_kl_before") + F.col("_kl_local") - F.col("_kl_first") + 1
+    keep = cols + ([total] if total else [])
+    return joined.withColumn(out, rn.cast("bigint")).select(*keep, out)
+
+
+def row_number(df: DataFrame, order, partition_by: Sequence[str] = (), out: str = "rn",
+               method: str = "auto", total: str | None = None) -> DataFrame:
+    """1-based row number in ``order`` (which should be a total order: include
+    a unique tie-breaker), optionally per group; ``total`` adds the group size."""
+    order = _norm(order)
+    df, m = resolve_method(df, method)
+    if m == "range":
+        return _range_numbering(df, order, list(partition_by), out, total)
+    w = Window.partitionBy(*partition_by).orderBy(*_sort_exprs(order))
+    res = df.withColumn(out, F.row_number().over(w).cast("bigint"))
+    if total:
+        res = res.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(*partition_by)))
+    return res
+
+
+def ntile(df: DataFrame, tiles: int, order, partition_by: Sequence[str] = (), out: str = "ntile",
+          method: str = "auto") -> DataFrame:
+    """SQL ntile(tiles): the first N % tiles buckets get one extra row."""
+    order = _norm(order)
+    df, m = resolve_method(df, method)
+    if m == "window":
+        w = Window.partitionBy(*partition_by).orderBy(*_sort_exprs(order))
+        return df.withColumn(out, F.ntile(tiles).over(w).cast("bigint"))
+    numbered = _range_numbering(df, order, list(partition_by), "_kl_rn", "_kl_n")
+    n, r = F.col("_kl_n"), F.col("_kl_rn")
+    q = F.floor(n / tiles).cast("bigint")   # rows per small bucket
+    rem = n - q * tiles                       # buckets with one extra row
+    big = rem * (q + 1)
+    tile = F.when(r <= big, F.floor((r - 1) / (q + 1)) + 1).otherwise(
+        rem + F.floor((r - big - 1) / F.greatest(q, F.lit(1))) + 1)
+    return numbered.withColumn(out, tile.cast("bigint")).drop("_kl_rn", "_kl_n")
+
+
+def dense_rank(df: DataFrame, order, partition_by: Sequence[str] = (), out: str = "dense_rank",
+               method: str = "auto") -> DataFrame:
+    """SQL dense_rank.  Range form: number the distinct values (one row per
+    value, so no hot key), then join the numbers back on the value."""
+    order = _norm(order)
+    df, m = resolve_method(df, method)
+    if m == "window":
+        w = Window.partitionBy(*partition_by).orderBy(*_sort_exprs(order))
+        return df.withColumn(out, F.dense_rank().over(w).cast("bigint"))
+    value_cols = [c for c, _ in order]
+    vals = df.select(*partition_by, *value_cols).distinct()
+    numbered = _range_numbering(vals, order, list(partition_by), out, None)
+    return _null_safe_join(df, numbered, [*partition_by, *value_cols])
+
+
+def exact_percentiles(df: DataFrame, value: str, probs: dict[str, float],
+                      partition_by: Sequence[str] = (), method: str = "auto",
+                      exact_decimal: bool = True, extra_aggs: Sequence[Column] = ()) -> DataFrame:
+    """percentile_cont for several fractions, exactly, per group.
+
+    Spark's ``percentile`` keeps every distinct value of a group in one
+    reducer's memory.  Here the order statistics come from ``row_number``
+    (range form at scale), and only the two rows around each position are
+    joined back.  Decimal inputs interpolate in decimal; others in double as
+    lo + (hi - lo) * frac.  NULL values are ignored.  ``extra_aggs`` (aliased
+    aggregates over the same non-NULL values, e.g. min/max) are computed in
+    the same pass and returned alongside.
+    """
+    src = df.select(*partition_by, value).where(F.col(value).isNotNull())
+    numbered = row_number(src, [(value, True)], partition_by, out="_kl_pos",
+                          method=method, total="_kl_n")
+    groups = numbered.groupBy(*partition_by).agg(F.max("_kl_n").alias("_kl_n"), *extra_aggs)
+    extra = [c for c in groups.columns if c not in (*partition_by, "_kl_n")]
+    specs = []
+    for name, p in probs.items():
+        h = (F.col("_kl_n") - 1) * F.lit(Decimal(str(p)))
+        lo = F.floor(h)
+        specs.append(F.struct(F.lit(name).alias("name"), (lo + 1).cast("bigint").alias("lo"),
+                              (F.ceil(h) + 1).cast("bigint").alias("hi"), (h - lo).alias("frac")))
+    targets = groups.select(*partition_by, *extra, F.explode(F.array(*specs)).alias("t")).select(
+        *partition_by, *extra, "t.name", "t.lo", "t.hi", "t.frac")
+    positions = (targets.select(*partition_by, F.col("lo").alias("_kl_pos"))
+                 .union(targets.select(*partition_by, F.col("hi").alias("_kl_pos"))).distinct())
+    picked = _null_safe_join(numbered.select(*partition_by, "_kl_pos", value), positions,
+                             [*partition_by, "_kl_pos"])
+    lo_v = picked.withColumnRenamed("_kl_pos", "lo").withColumnRenamed(value, "_kl_vlo")
+    hi_v = picked.withColumnRenamed("_kl_pos", "hi").withColumnRenamed(value, "_kl_vhi")
+    t = _null_safe_join(_null_safe_join(targets, lo_v, [*partition_by, "lo"]), hi_v, [*partition_by, "hi"])
+    vlo, vhi = F.col("_kl_vlo"), F.col("_kl_vhi")
+    frac = F.col("frac") if exact_decimal else F.col("frac").cast("double")
+    t = t.withColumn("_kl_val", vlo + (vhi - vlo) * frac)
+    return t.groupBy(*partition_by).agg(
+        *[F.max(F.when(F.col("name") == name, F.col("_kl_val"))).alias(name) for name in probs],
+        *[F.first(c).alias(c) for c in extra])
