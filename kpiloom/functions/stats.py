@@ -52,25 +52,42 @@ def _betacf(a: float, b: float, x: float) -> float:
     return h
 
 
-def betainc_reg(a: float, b: float, x: float) -> float:
-    """Regularized incomplete beta I_x(a, b)."""
+def _lgamma_ratio(a: float, b: float) -> float:
+    """ln(Gamma(a + b) / Gamma(a)).  For large a the two lgamma values are
+    huge and nearly equal, so use the asymptotic series in 1/a instead."""
+    if a < 1e5:
+        return math.lgamma(a + b) - math.lgamma(a)
+    return (b * math.log(a) + b * (b - 1) / (2 * a)
+            + b * (b - 1) * (b - 2) * (3 * b - 1) / (24 * a * a))
+
+
+def betainc_reg(a: float, b: float, x: float, y: float | None = None) -> float:
+    """Regularized incomplete beta I_x(a, b); ``y`` = 1 - x when known more
+    precisely than by subtraction (x close to 1)."""
+    y = 1.0 - x if y is None else y
     if x <= 0.0:
         return 0.0
-    if x >= 1.0:
+    if y <= 0.0:
         return 1.0
-    ln_front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
+    if a >= b:
+        ln_beta_inv = _lgamma_ratio(a, b) - math.lgamma(b)
+    else:
+        ln_beta_inv = _lgamma_ratio(b, a) - math.lgamma(a)
+    ln_front = ln_beta_inv + a * math.log(x) + b * math.log(y)
     if x < (a + 1.0) / (a + b + 2.0):
         return math.exp(ln_front) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(ln_front) * _betacf(b, a, 1.0 - x) / b
+    return 1.0 - math.exp(ln_front) * _betacf(b, a, y) / b
 
 
-def t_cdf(t: float, df: float) -> float:
-    tail = 0.5 * betainc_reg(df / 2.0, 0.5, df / (df + t * t))
-    return 1.0 - tail if t > 0 else tail
+def t_two_sided_p(t: float, df: float) -> float:
+    """P(|T| >= |t|) = I_{df/(df+t^2)}(df/2, 1/2)."""
+    t2 = t * t
+    return betainc_reg(df / 2.0, 0.5, df / (df + t2), t2 / (df + t2))
 
 
-def t_two_sided_p(t: float, df: float) -> float:
-    return betainc_reg(df / 2.0, 0.5, df / (df + t * t))
+def t_cdf(t: float, df: float) -> float:
+    tail = 0.5 * t_two_sided_p(t, df)
+    return 1.0 - tail if t > 0 else tail
 
 
 def t_quantile(p: float, df: float) -> float:
