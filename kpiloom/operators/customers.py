@@ -60,15 +60,20 @@ def active_customer_growth(sales: DataFrame, start=None) -> DataFrame:
 
 def retention(sales: DataFrame, start=None) -> DataFrame:
     """Share of a month's customers active again the next month, to 2 places,
-    labelled by the earlier month (the last month is 0).  The self join is an
-    equi join on (customer, month) with the later side's month shifted back."""
+    labelled by the earlier month (the last month is 0; NULL customers never
+    count as returning).
+
+    The reference LEFT JOINs the (month, customer) pairs to themselves shifted
+    by a month.  Here the pairs are built once (one scan, partial aggregation)
+    and ``lead`` over each customer's months finds the next active month: a
+    window partitioned by customer holds at most one row per month, and no
+    join or second scan of the fact table is needed.
+    """
     act = since(sales, start).select(month_start("InvoiceDate").alias("delivr_month"),
                                      F.col("CustomerID").alias("user_id")).distinct()
-    nxt = act.select(F.add_months("delivr_month", -1).alias("_prev_month"), F.col("user_id").alias("_next_user"))
-    j = act.join(nxt, (act.user_id == nxt._next_user) & (act.delivr_month == nxt._prev_month), "left")
-    # (month, user) pairs are distinct and match at most one later pair, so
-    # plain counts equal the distinct counts; NULL users never match.
-    return (j.groupBy("delivr_month")
-            .agg(exact_round_div(F.count("_next_user"), F.greatest(F.count("user_id"), F.lit(1)), 2)
+    nxt = F.lead("delivr_month").over(Window.partitionBy("user_id").orderBy("delivr_month"))
+    back = F.col("user_id").isNotNull() & (nxt == F.add_months("delivr_month", 1))
+    return (act.withColumn("_back", back).groupBy("delivr_month")
+            .agg(exact_round_div(F.count(F.when(F.col("_back"), 1)), F.greatest(F.count("user_id"), F.lit(1)), 2)
                  .alias("retention_rate"))
             .orderBy("delivr_month"))

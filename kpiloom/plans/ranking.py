@@ -155,36 +155,28 @@ def exact_percentiles(df: DataFrame, value: str, probs: dict[str, float],
     """percentile_cont for several fractions, exactly, per group.
 
     Spark's ``percentile`` keeps every distinct value of a group in one
-    reducer's memory.  Here the order statistics come from ``row_number``
-    (range form at scale), and only the two rows around each position are
-    joined back.  Decimal inputs interpolate in decimal; others in double as
-    lo + (hi - lo) * frac.  NULL values are ignored.  ``extra_aggs`` (aliased
-    aggregates over the same non-NULL values, e.g. min/max) are computed in
-    the same pass and returned alongside.
+    reducer's memory.  Here each row gets its position and its group's size
+    from ``row_number`` (range form at scale); the positions each fraction
+    needs, floor/ceil((n - 1) p) + 1, are then plain expressions of the group
+    size, so one aggregation (partial on the map side, one row per group
+    and task) picks the two values around each position.  Decimal inputs
+    interpolate in decimal; others in double as lo + (hi - lo) * frac.
+    NULL values are ignored.  ``extra_aggs`` (aliased aggregates over the
+    same non-NULL values, e.g. min/max) are computed in the same pass.
     """
     src = df.select(*partition_by, value).where(F.col(value).isNotNull())
     numbered = row_number(src, [(value, True)], partition_by, out="_kl_pos",
                           method=method, total="_kl_n")
-    groups = numbered.groupBy(*partition_by).agg(F.max("_kl_n").alias("_kl_n"), *extra_aggs)
-    extra = [c for c in groups.columns if c not in (*partition_by, "_kl_n")]
-    specs = []
-    for name, p in probs.items():
+    pos, v = F.col("_kl_pos"), F.col(value)
+    aggs, finals = [], []
+    for i, (name, p) in enumerate(probs.items()):
         h = (F.col("_kl_n") - 1) * F.lit(Decimal(str(p)))
-        lo = F.floor(h)
-        specs.append(F.struct(F.lit(name).alias("name"), (lo + 1).cast("bigint").alias("lo"),
-                              (F.ceil(h) + 1).cast("bigint").alias("hi"), (h - lo).alias("frac")))
-    targets = groups.select(*partition_by, *extra, F.explode(F.array(*specs)).alias("t")).select(
-        *partition_by, *extra, "t.name", "t.lo", "t.hi", "t.frac")
-    positions = (targets.select(*partition_by, F.col("lo").alias("_kl_pos"))
-                 .union(targets.select(*partition_by, F.col("hi").alias("_kl_pos"))).distinct())
-    picked = _null_safe_join(numbered.select(*partition_by, "_kl_pos", value), positions,
-                             [*partition_by, "_kl_pos"])
-    lo_v = picked.withColumnRenamed("_kl_pos", "lo").withColumnRenamed(value, "_kl_vlo")
-    hi_v = picked.withColumnRenamed("_kl_pos", "hi").withColumnRenamed(value, "_kl_vhi")
-    t = _null_safe_join(_null_safe_join(targets, lo_v, [*partition_by, "lo"]), hi_v, [*partition_by, "hi"])
-    vlo, vhi = F.col("_kl_vlo"), F.col("_kl_vhi")
-    frac = F.col("frac") if exact_decimal else F.col("frac").cast("double")
-    t = t.withColumn("_kl_val", vlo + (vhi - vlo) * frac)
-    return t.groupBy(*partition_by).agg(
-        *[F.max(F.when(F.col("name") == name, F.col("_kl_val"))).alias(name) for name in probs],
-        *[F.first(c).alias(c) for c in extra])
+        lo, hi = F.floor(h) + 1, F.ceil(h) + 1
+        aggs += [F.max(F.when(pos == lo, v)).alias(f"_kl_lo{i}"), F.max(F.when(pos == hi, v)).alias(f"_kl_hi{i}"),
+                 F.max(h - F.floor(h)).alias(f"_kl_f{i}")]
+        vlo, vhi, frac = F.col(f"_kl_lo{i}"), F.col(f"_kl_hi{i}"), F.col(f"_kl_f{i}")
+        frac = frac if exact_decimal else frac.cast("double")
+        finals.append((vlo + (vhi - vlo) * frac).alias(name))
+    g = numbered.groupBy(*partition_by).agg(*aggs, *extra_aggs)
+    extra_names = [c for c in g.columns if c not in partition_by and not c.startswith("_kl_")]
+    return g.select(*partition_by, *finals, *extra_names)
