@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,14 +24,25 @@ def sample_rows(df: DataFrame, n: int = 10) -> DataFrame:
     return df.limit(n)
 
 
+def normalised(col) -> Column:
+    """C1 on one value: ``trim(initcap(x))`` with PostgreSQL word rules."""
+    return F.trim(pg_initcap(col))
+
+
+def filled(col, value: str = NOT_AVAILABLE) -> Column:
+    """C2 on one value: '' becomes ``value``; NULL stays NULL."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.when(c == "", F.lit(value)).otherwise(c)
+
+
 def normalise_text(df: DataFrame, cols: Sequence[str] = ("Description", "Country")) -> DataFrame:
     """``trim(initcap(c))`` with PostgreSQL word rules (alphanumeric runs)."""
-    return df.select(*[F.trim(pg_initcap(c)).alias(c) if c in cols else F.col(c) for c in df.columns])
+    return df.select(*[normalised(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def fill_empty(df: DataFrame, col: str = "Description", value: str = NOT_AVAILABLE) -> DataFrame:
     """Replace '' by ``value``; NULL stays NULL."""
-    return df.withColumn(col, F.when(F.col(col) == "", F.lit(value)).otherwise(F.col(col)))
+    return df.withColumn(col, filled(col, value))
 
 
 def parse_date(df: DataFrame, col: str = "InvoiceDate", fmt: str | None = None) -> DataFrame:
@@ -53,9 +64,11 @@ def parse_date(df: DataFrame, col: str = "InvoiceDate", fmt: str | None = None)
     return df.withColumn(col, parsed)
 
 
-def clean_sales(df: DataFrame, date_format: str | None = None) -> DataFrame:
+def clean_sales(df: DataFrame, date_format: str | None = None, text_done: bool = False) -> DataFrame:
     """C1 + C2 + C3 in the reference's order (so a blank-only Description is
-    filled too), plus ``rev``: the decimal line revenue every analysis sums."""
-    out = fill_empty(normalise_text(df))
+    filled too), plus ``rev``: the decimal line revenue every analysis sums.
+    ``text_done`` skips C1/C2 when the input already carries cleaned text
+    (see ``sales_from_tables(clean_text=True)``)."""
+    out = df if text_done else fill_empty(normalise_text(df))
     out = parse_date(out, "InvoiceDate", date_format)
     return out.withColumn("rev", line_revenue())

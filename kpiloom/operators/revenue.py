@@ -22,15 +22,20 @@ from kpiloom.plans.topk import top_k_distinct_per_group
 UNSPECIFIED = "Unspecified"  # fixed value: the country label excluded by V4 and K3/K4
 
 
-def item_country_revenue(sales: DataFrame, start=None, method: str = "auto") -> DataFrame:
+def item_country_revenue(sales: DataFrame, start=None, method: str = "auto",
+                         with_rank: bool = True) -> DataFrame:
     """V1: revenue per (Description, Country) of identified customers, with a
     dense rank over all pairs by unrounded revenue (global ranking in range
-    form at scale).  The displayed name is initcap'ed again."""
+    form at scale).  The displayed name is initcap'ed again.  V2-V5 read
+    only names and revenue: ``with_rank=False`` skips the ranking for them."""
     g = (since(sales, start, customers_only=True)
          .groupBy("Description", "Country").agg(F.sum("rev").alias("_rev")))
+    cols = [pg_initcap("Description").alias("item_description"), F.col("Country").alias("country"),
+            round_to_double("_rev", 3).alias("revenue")]
+    if not with_rank:
+        return g.select(*cols)
     ranked = dense_rank(g, [("_rev", False)], out="item_rank", method=method)
-    return ranked.select("item_rank", pg_initcap("Description").alias("item_description"),
-                         F.col("Country").alias("country"), round_to_double("_rev", 3).alias("revenue"))
+    return ranked.select("item_rank", *cols)
 
 
 def item_revenue(v1: DataFrame) -> DataFrame:

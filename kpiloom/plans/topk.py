@@ -1,10 +1,12 @@
-"""Top-k per group without putting a whole group into one task.
-
-A window ``partitionBy(group)`` sends every row of a group to one task; with
-one group holding a third of the rows that task holds a third of the data.
-Both helpers first rank inside (group, salt) sub-groups, keep k candidates
-from each, then rank the at most k * salts candidates per group.  A row in a
-group's top k is in its sub-group's top k, so the result is exact.
+"""Top-k per group without putting a whole group through one task.
+
+A rank filter over a window (``dense_rank() <= k`` / ``row_number() <= n``)
+is planned by Spark with ``WindowGroupLimit`` on *both* sides of the
+exchange: each map task first keeps, per group, only the rows that can still
+rank within k (all ties kept), and only those cross the shuffle.  A group
+holding a third of the input therefore ships at most k values (plus their
+ties, which belong to the result anyway) from every map task, and the final
+window sorts only those.  ``assert_group_limit`` checks the plan has it.
 """
 
 from __future__ import annotations
@@ -14,35 +16,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiloom.plans.ranking import _norm, _null_safe_join, _sort_exprs
-
-DEFAULT_SALTS = 64
+from kpiloom.plans.ranking import _norm, _sort_exprs
 
 
 def top_k_distinct_per_group(df: DataFrame, group_cols: Sequence[str], value: str, k: int,
-                             descending: bool = True, out: str = "rank",
-                             salts: int = DEFAULT_SALTS) -> DataFrame:
+                             descending: bool = True, out: str = "rank") -> DataFrame:
     """Rows whose ``value`` is among the k best distinct values of their group,
     with that value's dense rank (ties all kept, so a group may give more than k rows)."""
-    order = [(value, not descending)]
-    vals = df.select(*group_cols, value).distinct()  # map-side partial aggregation collapses hot values
-    salted = vals.withColumn("_kl_salt", F.pmod(F.xxhash64(value), F.lit(salts)))
-    w1 = Window.partitionBy(*group_cols, "_kl_salt").orderBy(*_sort_exprs(order))
-    cand = salted.withColumn("_kl_r", F.row_number().over(w1)).where(F.col("_kl_r") <= k)
-    w2 = Window.partitionBy(*group_cols).orderBy(*_sort_exprs(order))
-    top = (cand.withColumn(out, F.row_number().over(w2).cast("bigint")).where(F.col(out) <= k)
-           .drop("_kl_salt", "_kl_r"))
-    return _null_safe_join(df, top, [*group_cols, value])
-
-
-def first_n_per_group(df: DataFrame, group_cols: Sequence[str], order, n: int,
-                      out: str = "rn", salts: int = DEFAULT_SALTS) -> DataFrame:
+    w = Window.partitionBy(*group_cols).orderBy(*_sort_exprs([(value, not descending)]))
+    return df.withColumn(out, F.dense_rank().over(w).cast("bigint")).where(F.col(out) <= k)
+
+
+def first_n_per_group(df: DataFrame, group_cols: Sequence[str], order, n: int, out: str = "rn") -> DataFrame:
     """The first n rows of each group in ``order`` (a total order), numbered 1..n."""
-    order = _norm(order)
-    salt_key = F.xxhash64(*[F.col(c) for c, _ in order])
-    salted = df.withColumn("_kl_salt", F.pmod(salt_key, F.lit(salts)))
-    w1 = Window.partitionBy(*group_cols, "_kl_salt").orderBy(*_sort_exprs(order))
-    cand = salted.withColumn("_kl_r", F.row_number().over(w1)).where(F.col("_kl_r") <= n)
-    w2 = Window.partitionBy(*group_cols).orderBy(*_sort_exprs(order))
-    return (cand.withColumn(out, F.row_number().over(w2).cast("bigint")).where(F.col(out) <= n)
-            .drop("_kl_salt", "_kl_r"))
+    w = Window.partitionBy(*group_cols).orderBy(*_sort_exprs(_norm(order)))
+    return df.withColumn(out, F.row_number().over(w).cast("bigint")).where(F.col(out) <= n)
+
+
+def assert_group_limit(df: DataFrame) -> None:
+    """Raise unless the executed plan limits rows per group before the shuffle."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "WindowGroupLimit" not in plan:
+        raise AssertionError("no WindowGroupLimit in plan:\n" + plan)

@@ -32,6 +32,7 @@ def cleaned_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = _WRITTEN.get(key)
         if path is None:
             path = f"{checkpoint_dir(spark).rstrip('/')}/kpiloom-sales-{uuid.uuid4().hex}"
-            write_table(clean_sales(sales_from_tables(spark, sf_dir)), path, cluster_by="InvoiceDate")
+            raw = sales_from_tables(spark, sf_dir, clean_text="fill")  # C1 + C2 on the dimension rows
+            write_table(clean_sales(raw, text_done=True), path, cluster_by="InvoiceDate")
             _WRITTEN[key] = path
     return spark.read.parquet(path)

@@ -16,7 +16,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def sales_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales_from_tables(spark: SparkSession, sf_dir: str, clean_text: str | None = None) -> DataFrame:
     """Raw retail lines (before cleaning), one per lineitem row.
 
     Column mapping (fixed by the test fixtures):
@@ -25,13 +25,31 @@ def sales_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     first line of returned orders; InvoiceDate = order date; UnitPrice =
     part retail price; CustomerID NULL for every 13th order; Country =
     nation name, nation 24 written 'unspecified'.
+
+    ``clean_text`` = ``"normalise"`` (C1) or ``"fill"`` (C1 + C2) cleans
+    Description and Country on the part and nation rows *before* the join.
+    Both are functions of those rows alone, so the result equals cleaning
+    every line afterwards, while the regular-expression work runs once per
+    part and once per nation instead of once per line.
     """
+    from kpiloom.operators.cleaning import filled, normalised
+
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+    nation = read_table(spark, sf_dir, "nation").select(
+        "n_nationkey",
+        F.when(F.col("n_nationkey") == 24, F.lit("unspecified")).otherwise(F.col("n_name")).alias("Country"))
+    part = read_table(spark, sf_dir, "part").select(
+        "p_partkey", "p_retailprice",
+        F.when(F.col("p_partkey") % 17 == 0, F.lit(" "))
+         .otherwise(F.concat(F.lit(" "), F.upper("p_name"), F.lit("-x "))).alias("Description"))
+    if clean_text:
+        nation = nation.withColumn("Country", normalised("Country"))
+        part = part.withColumn("Description", normalised("Description"))
+        if clean_text == "fill":
+            part = part.withColumn("Description", filled("Description"))
 
     # orders -> customer -> nation first: the smaller side, so lineitem is
     # shuffled once for the order join and once for the part join.
@@ -41,15 +59,14 @@ def sales_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         F.col("o_orderkey").cast("string").alias("InvoiceNo"),
         F.col("l_partkey").cast("string").alias("StockCode"),
-        F.when(F.col("l_partkey") % 17 == 0, F.lit(" "))
-         .otherwise(F.concat(F.lit(" "), F.upper("p_name"), F.lit("-x "))).alias("Description"),
+        "Description",
         F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1), -F.col("l_quantity"))
          .otherwise(F.col("l_quantity")).cast("int").alias("Quantity"),
         F.col("o_orderdate").cast("date").alias("InvoiceDate"),
         F.col("p_retailprice").alias("UnitPrice"),
         F.when(F.col("o_orderkey") % 13 == 0, F.lit(None).cast("bigint"))
          .otherwise(F.col("o_custkey")).alias("CustomerID"),
-        F.when(F.col("n_nationkey") == 24, F.lit("unspecified")).otherwise(F.col("n_name")).alias("Country"),
+        "Country",
     )
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kpiloom.plans import count_in_bins, dense_rank, exact_percentiles, first_n_per_group, ntile, row_number
-from kpiloom.plans.topk import top_k_distinct_per_group
+from kpiloom.plans.topk import assert_group_limit, top_k_distinct_per_group
 
 
 @pytest.fixture(scope="module")
@@ -64,12 +64,14 @@ def test_exact_percentiles_match_duckdb(skewed):
 
 
 def test_top_k_and_first_n(skewed):
-    top = top_k_distinct_per_group(skewed, ["g"], "v", 3, out="rank", salts=8)
+    top = top_k_distinct_per_group(skewed, ["g"], "v", 3, out="rank")
+    assert_group_limit(top)
     pdf = skewed.toPandas()
     for g, part in pdf.groupby("g"):
         best = sorted(part.v.unique(), reverse=True)[:3]
         assert top.where(F.col("g") == int(g)).count() == int(part.v.isin(best).sum())
-    first = first_n_per_group(skewed, ["g"], [("x", True), ("id", True)], 50, salts=8)
+    first = first_n_per_group(skewed, ["g"], [("x", True), ("id", True)], 50)
+    assert_group_limit(first)
     want = (pdf.sort_values(["x", "id"]).groupby("g").head(50))
     assert sorted(first.select("id").toPandas().id) == sorted(want.id)
 
