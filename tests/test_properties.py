@@ -50,3 +50,20 @@ def test_all_ties_ntile_uses_customer_order(spark):
     comb = spark.createDataFrame(rows, "customer_id long, counts_freq long, monetary double, date_diff long")
     sc = {r.customer_id: r.rfm_freq for r in rfm.rfm_scores(comb).collect()}
     assert [sc[i] for i in range(1, 8)] == [1, 1, 2, 2, 3, 4, 5]
+
+
+def test_registry_rankings_same_in_range_form(spark):
+    """Force the scale form of every global ranking and compare with the window form."""
+    import __spark_entry__ as E
+    from kpiloom.plans.ranking import MAX_SINGLE_PARTITION_ROWS_CONF
+
+    names = ["V1_item_country_revenue", "R4_rfm_scores", "R6_rfm_three_tier", "B4_revenue_distribution",
+             "X8_weekly_time"]
+    q = E.queries()
+    window = {n: _rows(q[n](spark, SF_SMALL)) for n in names}
+    spark.conf.set(MAX_SINGLE_PARTITION_ROWS_CONF, "0")
+    try:
+        for n in names:
+            assert _rows(q[n](spark, SF_SMALL)) == window[n], n
+    finally:
+        spark.conf.unset(MAX_SINGLE_PARTITION_ROWS_CONF)
