@@ -74,7 +74,7 @@ def resolve_method(df: DataFrame, method: str) -> tuple[DataFrame, str]:
 
 
 def _range_numbering(df: DataFrame, order: Order, partition_by: Sequence[str],
-                     out: str, total: str | None) -> DataFrame:
+                     out: str, total: str | None, total_of: str | None = None) -> DataFrame:
     spark = df.sparkSession
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c).asc_nulls_last() for c in partition_by] + _sort_exprs(order)
@@ -85,13 +85,14 @@ def _range_numbering(df: DataFrame, order: Order, partition_by: Sequence[str],
     ranged = (ranged.withColumn("_kl_pid", F.shiftright("_kl_mid", 33))
               .withColumn("_kl_local", F.col("_kl_mid").bitwiseAND(F.lit(_LOCAL_MASK))))
     stats = ranged.groupBy("_kl_pid", *partition_by).agg(
-        F.count(F.lit(1)).alias("_kl_cnt"), F.min("_kl_local").alias("_kl_first"))
+        F.count(F.lit(1)).alias("_kl_cnt"), F.min("_kl_local").alias("_kl_first"),
+        F.count(F.col(total_of) if total_of else F.lit(1)).alias("_kl_cnt_total"))
     w = Window.partitionBy(*partition_by).orderBy("_kl_pid")
     stats = stats.withColumn(
         "_kl_before",
         F.coalesce(F.sum("_kl_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     if total:
-        stats = stats.withColumn(total, F.sum("_kl_cnt").over(Window.partitionBy(*partition_by)))
+        stats = stats.withColumn(total, F.sum("_kl_cnt_total").over(Window.partitionBy(*partition_by)))
     if not partition_by:
         # at most spark.sql.shuffle.partitions rows: a proven broadcast bound
         stats = F.broadcast(stats)
@@ -102,17 +103,19 @@ def _range_numbering(df: DataFrame, order: Order, partition_by: Sequence[str],
 
 
 def row_number(df: DataFrame, order, partition_by: Sequence[str] = (), out: str = "rn",
-               method: str = "auto", total: str | None = None) -> DataFrame:
+               method: str = "auto", total: str | None = None, total_of: str | None = None) -> DataFrame:
     """1-based row number in ``order`` (which should be a total order: include
-    a unique tie-breaker), optionally per group; ``total`` adds the group size."""
+    a unique tie-breaker), optionally per group; ``total`` adds the group size
+    (counting only non-NULL ``total_of`` values when given)."""
     order = _norm(order)
     df, m = resolve_method(df, method)
     if m == "range":
-        return _range_numbering(df, order, list(partition_by), out, total)
+        return _range_numbering(df, order, list(partition_by), out, total, total_of)
     w = Window.partitionBy(*partition_by).orderBy(*_sort_exprs(order))
     res = df.withColumn(out, F.row_number().over(w).cast("bigint"))
     if total:
-        res = res.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(*partition_by)))
+        counted = F.col(total_of) if total_of else F.lit(1)
+        res = res.withColumn(total, F.count(counted).over(Window.partitionBy(*partition_by)))
     return res
 
 
@@ -161,12 +164,14 @@ def exact_percentiles(df: DataFrame, value: str, probs: dict[str, float],
     size, so one aggregation (partial on the map side, one row per group
     and task) picks the two values around each position.  Decimal inputs
     interpolate in decimal; others in double as lo + (hi - lo) * frac.
-    NULL values are ignored.  ``extra_aggs`` (aliased aggregates over the
-    same non-NULL values, e.g. min/max) are computed in the same pass.
+    NULL values sort last and are not counted, so they never interpolate;
+    a group of only NULLs gives NULL.  ``extra_aggs`` (aliased aggregates
+    over the group's rows, NULLs included, e.g. min/max/mean) are computed
+    in the same pass.
     """
-    src = df.select(*partition_by, value).where(F.col(value).isNotNull())
+    src = df.select(*partition_by, value)
     numbered = row_number(src, [(value, True)], partition_by, out="_kl_pos",
-                          method=method, total="_kl_n")
+                          method=method, total="_kl_n", total_of=value)
     pos, v = F.col("_kl_pos"), F.col(value)
     aggs, finals = [], []
     for i, (name, p) in enumerate(probs.items()):
