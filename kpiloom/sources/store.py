@@ -1,11 +1,14 @@
-"""The cleaned retail table, written once per application.
+"""The cleaned retail table, written once.
 
 The reference loads its CSV into a table once and cleans it in place; every
 report then reads that table.  Here the star-schema join plus cleaning runs
-once, is written as Parquet under the shared checkpoint folder (clustered by
-InvoiceDate, so date filters skip row groups), and every analysis reads it.
-That cuts the join's lineage: a lost executor re-reads files instead of
-re-running the join.
+once, is written as Parquet (sorted within each task by InvoiceDate, so date
+filters skip row groups), and every analysis reads it.  That also cuts the
+join's lineage: a lost executor re-reads files instead of re-running the join.
+
+Without ``table_path`` the table goes under the shared checkpoint folder,
+once per application.  With it, an existing table there is reused as is, and
+a missing one is built and written there (for scheduled jobs).
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ import os
 import threading
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from kpiloom.operators.cleaning import clean_sales
@@ -25,14 +29,25 @@ _LOCK = threading.Lock()
 _WRITTEN: dict[tuple[str, str], str] = {}
 
 
-def cleaned_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C1-C3 applied to the retail view of ``sf_dir``, materialized once."""
+def build_cleaned_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1-C3 applied to the retail view (text cleaned on the dimension rows)."""
+    raw = sales_from_tables(spark, sf_dir, clean_text="fill")
+    return clean_sales(raw, text_done=True)
+
+
+def cleaned_sales(spark: SparkSession, sf_dir: str, table_path: str | None = None) -> DataFrame:
+    """The cleaned retail table of ``sf_dir``, materialized once."""
+    if table_path:
+        try:
+            return spark.read.parquet(table_path)
+        except AnalysisException:
+            write_table(build_cleaned_sales(spark, sf_dir), table_path, cluster_by="InvoiceDate")
+            return spark.read.parquet(table_path)
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     with _LOCK:
         path = _WRITTEN.get(key)
         if path is None:
             path = f"{checkpoint_dir(spark).rstrip('/')}/kpiloom-sales-{uuid.uuid4().hex}"
-            raw = sales_from_tables(spark, sf_dir, clean_text="fill")  # C1 + C2 on the dimension rows
-            write_table(clean_sales(raw, text_done=True), path, cluster_by="InvoiceDate")
+            write_table(build_cleaned_sales(spark, sf_dir), path, cluster_by="InvoiceDate")
             _WRITTEN[key] = path
     return spark.read.parquet(path)

@@ -56,3 +56,12 @@ def test_adapters_and_sample(spark):
 def test_parse_date_passthrough(spark):
     df = spark.createDataFrame([(dt.date(2011, 1, 1),)], "InvoiceDate date")
     assert parse_date(df).first()[0] == dt.date(2011, 1, 1)
+
+
+def test_cleaned_sales_stable_path(spark, tmp_path):
+    from kpiloom.sources.store import cleaned_sales
+    target = str(tmp_path / "sales")
+    first = cleaned_sales(spark, SF_SMALL, table_path=target)
+    again = cleaned_sales(spark, SF_SMALL, table_path=target)  # reused, not rebuilt
+    assert first.count() == again.count() == sales_from_tables(spark, SF_SMALL).count()
+    assert "rev" in first.columns
