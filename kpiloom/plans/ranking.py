@@ -28,6 +28,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kpiloom.functions.numeric import int_div
 from kpiloom.session import reliable_checkpoint
 
 MAX_SINGLE_PARTITION_ROWS_CONF = "spark.kpiloom.rank.maxSinglePartitionRows"
@@ -129,11 +130,11 @@ def ntile(df: DataFrame, tiles: int, order, partition_by: Sequence[str] = (), ou
         return df.withColumn(out, F.ntile(tiles).over(w).cast("bigint"))
     numbered = _range_numbering(df, order, list(partition_by), "_kl_rn", "_kl_n")
     n, r = F.col("_kl_n"), F.col("_kl_rn")
-    q = F.floor(n / tiles).cast("bigint")   # rows per small bucket
-    rem = n - q * tiles                       # buckets with one extra row
+    q = int_div(n, F.lit(tiles))   # rows per small bucket
+    rem = n - q * tiles            # buckets with one extra row
     big = rem * (q + 1)
-    tile = F.when(r <= big, F.floor((r - 1) / (q + 1)) + 1).otherwise(
-        rem + F.floor((r - big - 1) / F.greatest(q, F.lit(1))) + 1)
+    tile = F.when(r <= big, int_div(r - 1, q + 1) + 1).otherwise(
+        rem + int_div(r - big - 1, F.greatest(q, F.lit(1))) + 1)
     return numbered.withColumn(out, tile.cast("bigint")).drop("_kl_rn", "_kl_n")
 
 
