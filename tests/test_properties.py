@@ -67,3 +67,21 @@ def test_registry_rankings_same_in_range_form(spark):
             assert _rows(q[n](spark, SF_SMALL)) == window[n], n
     finally:
         spark.conf.unset(MAX_SINGLE_PARTITION_ROWS_CONF)
+
+
+def test_reference_date_subquery_runs_once(spark):
+    """R2's reference date appears three times in the age expression; AQE
+    must execute the scalar subquery once (same job count as one use)."""
+    s = cleaned_sales(spark, SF_SMALL)
+    base = rfm.rfm_base(s, "1995-01-01")
+    st = spark.sparkContext.statusTracker()
+
+    def jobs(df):
+        spark.sparkContext.setJobGroup("kl-subq", "count jobs")
+        before = set(st.getJobIdsForGroup("kl-subq"))
+        df.write.format("noop").mode("overwrite").save()
+        spark.sparkContext.setJobGroup("", "")
+        return len(set(st.getJobIdsForGroup("kl-subq")) - before)
+
+    once = base.select("customer_id", (rfm.reference_date(s) - F.col("most_recent_date")).alias("d"))
+    assert jobs(rfm.rfm_recency(base, sales=s)) == jobs(once)
