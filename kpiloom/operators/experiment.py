@@ -121,15 +121,17 @@ def sample_size(visits: DataFrame, metric: str = "clicked_share", lift: float =
               F.sum(F.when(F.col("condition") == treatment, 1).otherwise(0)).cast("double").alias("_t"),
               F.count(F.lit(1)).cast("double").alias("_all"))
     za, zb = F.lit(normal_quantile(1 - alpha / 2)), F.lit(normal_quantile(power))
-    p1 = F.col("_y") / F.col("_n")
-    b = F.col("_t") / F.col("_all")
+    p1 = F.try_divide(F.col("_y"), F.col("_n"))
+    b = F.try_divide(F.col("_t"), F.col("_all"))
     s = s.select(*segments, p1.alias("p1"), (p1 + F.lit(lift)).alias("p2"), b.alias("share"))
     p1, p2, b = F.col("p1"), F.col("p2"), F.col("share")
     pbar = (F.lit(1.0) - b) * p1 + b * p2
     root = za * F.sqrt(pbar * (F.lit(1.0) - pbar) / b) + zb * F.sqrt(
         p1 * (F.lit(1.0) - p1) + p2 * (F.lit(1.0) - p2) * (F.lit(1.0) - b) / b)
     n = root * root / ((p1 - p2) * (p1 - p2) * (F.lit(1.0) - b))
-    return s.select(*segments, "p1", "p2", "share", F.ceil(n).cast("bigint").alias("n"))
+    # a design needs both variants and rates inside (0, 1); otherwise no size
+    ok = (b > 0) & (b < 1) & (p1 >= 0) & (p2 <= 1) & (p2 >= 0) & (p1 != p2)
+    return s.select(*segments, "p1", "p2", "share", F.when(ok, F.ceil(n).cast("bigint")).alias("n"))
 
 
 def sample_size_formula(p1: float, p2: float, share: float, alpha: float = 0.05, power: float = 0.8) -> int:
@@ -222,8 +224,10 @@ def welch_test(visits: DataFrame, levels: Sequence[str] = LEVELS, with_p: bool =
     se2a = F.col("_v0") / F.col("_n0")
     se2b = F.col("_v1") / F.col("_n1")
     se = F.sqrt(se2a + se2b)
-    stat = (F.col("_m0") - F.col("_m1")) / se
-    dfree = (se2a + se2b) * (se2a + se2b) / (se2a * se2a / (F.col("_n0") - 1) + se2b * se2b / (F.col("_n1") - 1))
+    # NULL (not an error) without two observations per variant or with no spread
+    stat = F.when(se > 0, (F.col("_m0") - F.col("_m1")) / se)
+    dfree = F.when(se > 0, (se2a + se2b) * (se2a + se2b)
+                   / (se2a * se2a / (F.col("_n0") - 1) + se2b * se2b / (F.col("_n1") - 1)))
     a, b = levels
     out = s.select(stat.alias("statistic"), dfree.alias("df"), (F.col("_m0") - F.col("_m1")).alias("_diff"),
                    se.alias("_se"), F.col("_m0").alias(f"mean_{a}"), F.col("_m1").alias(f"mean_{b}"))

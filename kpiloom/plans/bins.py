@@ -21,6 +21,8 @@ def count_in_bins(values: DataFrame, value: str, lo: int, hi: int, step: int,
     """One row per bin (lower_class, upper_class, count), empty bins 0; both
     ends inclusive, so a value on an edge counts in both bins; values outside
     [lo, hi] or NULL count nowhere."""
+    if step <= 0:
+        raise ValueError("step must be positive")
     n_bins = (hi - lo) // step
     if n_bins <= 0 or n_bins > MAX_BINS:
         raise ValueError(f"bin count {n_bins} outside 1..{MAX_BINS}")

@@ -47,11 +47,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder; a cluster session without it is an error, because a folder on
     one machine does not survive the loss of that machine.
     """
-    sc = spark.sparkContext
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the context and its checkpoint folder
+        if not conf:
+            raise RuntimeError("set spark.checkpoint.dir on the Spark Connect server") from None
+        return conf
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    conf = conf or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...)")

@@ -43,7 +43,7 @@ def cleaned_sales(spark: SparkSession, sf_dir: str, table_path: str | None = Non
         except AnalysisException:
             write_table(build_cleaned_sales(spark, sf_dir), table_path, cluster_by="InvoiceDate")
             return spark.read.parquet(table_path)
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (spark.conf.get("spark.app.id", "") or str(id(spark)), os.path.abspath(sf_dir))
     with _LOCK:
         path = _WRITTEN.get(key)
         if path is None:

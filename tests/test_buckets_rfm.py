@@ -76,3 +76,9 @@ def test_recency_and_scores(spark):
     assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, comb.collect()))
     t3 = {r.customer_id: r.recency_segment for r in rfm.rfm_three_tier(base).collect()}
     assert t3 == {1: "Long_standing_customer", 3: "Relatively_recent_customer", 2: "Recent_customer"}
+
+
+def test_revenue_distribution_approx(spark):
+    s = _per_customer(spark, [1.0, 2.0, 4.0, 10.005, 7.0])
+    r = buckets.revenue_distribution(s, "2011-01-01", approx=True).first()
+    assert r.median_revenue == 4.0 and r.min_revenue == 1.0 and r.max_revenue == 10.01

@@ -86,3 +86,22 @@ def test_sequential_looks(spark):
     assert [(r.look, r.n_tips, r.n_tools) for r in got] == [(1, 10, 10), (2, 20, 20), (3, 30, 30)]
     assert [r.y_tools for r in got] == [10, 20, 20]
     assert [r.stop for r in got].count(True) == 1 and got[0].stop == got[0].crossed
+
+
+def test_sample_size_by_segment(spark):
+    rows = [(dt.date(2018, 1, 1 + ((i // 2) % 2) * 7), "tips" if i % 2 else "tools", 1.0, 0, 0,
+             1 if i % 10 == 0 else 0) for i in range(400)]
+    v = spark.createDataFrame(rows, V_DDL).withColumn("visit_week", F.weekofyear("visit_date"))
+    got = X.sample_size(v, "clicked_share", 0.05, segments=["visit_week"]).collect()
+    assert len(got) == 2 and all(r.n > 0 and r.share == 0.5 for r in got)
+    # one variant only: no design, NULL size instead of a division error
+    one = X.sample_size(v.where(F.col("condition") == "tips"), "clicked_share", 0.05).first()
+    assert one.share == 0.0 and one.n is None
+
+
+def test_welch_degenerate(spark):
+    rows = [(dt.date(2018, 1, 1), c, 5.0, 0, 0, 0) for c in ("tips", "tips", "tools", "tools")]
+    w = X.welch_test(spark.createDataFrame(rows, V_DDL)).first()
+    assert w.statistic is None and w.p_value is None and w.mean_tips == 5.0
+    one = X.welch_test(spark.createDataFrame(rows[:3], V_DDL)).first()
+    assert one.statistic is None
