@@ -70,3 +70,33 @@ def reliable_checkpoint(df):
     """Cut lineage with a reliable (shared-folder) checkpoint, never a local one."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def input_bytes(paths) -> int:
+    """Total size of local input files (for sizing; cluster jobs pass their own number)."""
+    total = 0
+    for p in paths:
+        if os.path.isdir(p):
+            for root, _, files in os.walk(p):
+                total += sum(os.path.getsize(os.path.join(root, f)) for f in files)
+        elif os.path.exists(p):
+            total += os.path.getsize(p)
+    return total
+
+
+def sizing(total_input_bytes: int, cores: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Shuffle and scan settings sized to the input.
+
+    About ``partition_bytes`` of input per shuffle partition (AQE then
+    coalesces small ones and splits skewed ones), never fewer than two per
+    core; scan splits of at most ``partition_bytes`` but small enough that
+    every core gets work.  At 100 TB and 128 MB this gives about 800,000
+    initial shuffle partitions, capped at 100,000 (AQE coalesces by size).
+    """
+    n = max(2 * cores, min(100_000, -(-total_input_bytes // partition_bytes)))
+    split = max(16 << 20, min(partition_bytes, total_input_bytes // max(1, 2 * cores)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+    }
