@@ -85,3 +85,15 @@ def test_reference_date_subquery_runs_once(spark):
 
     once = base.select("customer_id", (rfm.reference_date(s) - F.col("most_recent_date")).alias("d"))
     assert jobs(rfm.rfm_recency(base, sales=s)) == jobs(once)
+
+
+def test_sql_views_match_operators(spark):
+    from kpiloom.sources import register_views
+    register_views(spark, SF_SMALL)
+    sql = spark.sql("""
+        SELECT date_trunc('week', `InvoiceDate`)::date AS delivr_week,
+               CAST(round(sum(rev), 3) AS double) AS revenue
+        FROM ecommerce_data WHERE `InvoiceDate` >= date'1995-01-01' GROUP BY 1""")
+    op = revenue.weekly_revenue(cleaned_sales(spark, SF_SMALL), "1995-01-01")
+    assert _rows(sql) == _rows(op)
+    assert spark.sql("SELECT count(*) FROM ab_visits").first()[0] > 0
