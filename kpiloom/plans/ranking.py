@@ -15,6 +15,10 @@ aggregated rows and fatal for a billion customers.  The ``range`` method here:
 4. counts rows per (partition, group): at most partitions + groups rows,
    turns them into offsets, and adds each row's offset.
 
+The number of range partitions follows the counted rows (one per
+``spark.kpiloom.rank.rowsPerPartition``, default two million), capped by
+``spark.sql.shuffle.partitions``.
+
 ``auto`` checkpoints the input, counts it, and uses a plain window when the
 count is at most ``spark.kpiloom.rank.maxSinglePartitionRows`` (default one
 million): a proven bound on what the single task holds.
@@ -23,6 +27,7 @@ million): a proven bound on what the single task holds.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
@@ -33,6 +38,8 @@ from kpiloom.session import reliable_checkpoint
 
 MAX_SINGLE_PARTITION_ROWS_CONF = "spark.kpiloom.rank.maxSinglePartitionRows"
 DEFAULT_MAX_SINGLE_PARTITION_ROWS = 1_000_000
+ROWS_PER_RANGE_PARTITION_CONF = "spark.kpiloom.rank.rowsPerPartition"
+DEFAULT_ROWS_PER_RANGE_PARTITION = 2_000_000
 _LOCAL_MASK = (1 << 33) - 1
 
 Order = Sequence[tuple[str, bool]]  # (column, ascending)
@@ -62,22 +69,43 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how=
     return left.join(r, cond, how).drop(*renamed.values())
 
 
-def resolve_method(df: DataFrame, method: str) -> tuple[DataFrame, str]:
+@dataclass(frozen=True)
+class RankMethod:
+    """A resolved ranking method; ``rows`` is the counted input size, if known."""
+    name: str  # "window" or "range"
+    rows: int | None = None
+
+
+def resolve_method(df: DataFrame, method: str | RankMethod) -> tuple[DataFrame, RankMethod]:
     """Pick ``window`` or ``range``; ``auto`` checkpoints and counts the input."""
-    if method in ("window", "range"):
+    if isinstance(method, RankMethod):
         return df, method
+    if method in ("window", "range"):
+        return df, RankMethod(method)
     if method != "auto":
         raise ValueError(f"unknown ranking method {method!r}")
     base = reliable_checkpoint(df)
     limit = int(df.sparkSession.conf.get(MAX_SINGLE_PARTITION_ROWS_CONF,
                                          str(DEFAULT_MAX_SINGLE_PARTITION_ROWS)))
-    return base, ("window" if base.count() <= limit else "range")
+    n = base.count()
+    return base, RankMethod("window" if n <= limit else "range", n)
+
+
+def _range_partitions(df: DataFrame, rows: int | None) -> int:
+    """One range partition per ``spark.kpiloom.rank.rowsPerPartition`` rows when
+    the row count is known, never more than ``spark.sql.shuffle.partitions``."""
+    conf = df.sparkSession.conf
+    most = int(conf.get("spark.sql.shuffle.partitions"))
+    if rows is None:
+        return most
+    per = int(conf.get(ROWS_PER_RANGE_PARTITION_CONF, str(DEFAULT_ROWS_PER_RANGE_PARTITION)))
+    return max(1, min(most, -(-rows // max(1, per))))
 
 
 def _range_numbering(df: DataFrame, order: Order, partition_by: Sequence[str],
-                     out: str, total: str | None, total_of: str | None = None) -> DataFrame:
-    spark = df.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+                     out: str, total: str | None, total_of: str | None = None,
+                     rows: int | None = None) -> DataFrame:
+    n_parts = _range_partitions(df, rows)
     keys = [F.col(c).asc_nulls_last() for c in partition_by] + _sort_exprs(order)
     cols = df.columns
     ranged = (df.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys)
@@ -104,14 +132,14 @@ def _range_numbering(df: DataFrame, order: Order, partition_by: Sequence[str],
 
 
 def row_number(df: DataFrame, order, partition_by: Sequence[str] = (), out: str = "rn",
-               method: str = "auto", total: str | None = None, total_of: str | None = None) -> DataFrame:
+               method: str | RankMethod = "auto", total: str | None = None, total_of: str | None = None) -> DataFrame:
     """1-based row number in ``order`` (which should be a total order: include
     a unique tie-breaker), optionally per group; ``total`` adds the group size
     (counting only non-NULL ``total_of`` values when given)."""
     order = _norm(order)
     df, m = resolve_method(df, method)
-    if m == "range":
-        return _range_numbering(df, order, list(partition_by), out, total, total_of)
+    if m.name == "range":
+        return _range_numbering(df, order, list(partition_by), out, total, total_of, m.rows)
     w = Window.partitionBy(*partition_by).orderBy(*_sort_exprs(order))
     res = df.withColumn(out, F.row_number().over(w).cast("bigint"))
     if total:
@@ -121,14 +149,14 @@ def row_number(df: DataFrame, order, partition_by: Sequence[str] = (), out: str
 
 
 def ntile(df: DataFrame, tiles: int, order, partition_by: Sequence[str] = (), out: str = "ntile",
-          method: str = "auto") -> DataFrame:
+          method: str | RankMethod = "auto") -> DataFrame:
     """SQL ntile(tiles): the first N % tiles buckets get one extra row."""
     order = _norm(order)
     df, m = resolve_method(df, method)
-    if m == "window":
+    if m.name == "window":
         w = Window.partitionBy(*partition_by).orderBy(*_sort_exprs(order))
         return df.withColumn(out, F.ntile(tiles).over(w).cast("bigint"))
-    numbered = _range_numbering(df, order, list(partition_by), "_kl_rn", "_kl_n")
+    numbered = _range_numbering(df, order, list(partition_by), "_kl_rn", "_kl_n", rows=m.rows)
     n, r = F.col("_kl_n"), F.col("_kl_rn")
     q = int_div(n, F.lit(tiles))   # rows per small bucket
     rem = n - q * tiles            # buckets with one extra row
@@ -139,17 +167,17 @@ def ntile(df: DataFrame, tiles: int, order, partition_by: Sequence[str] = (), ou
 
 
 def dense_rank(df: DataFrame, order, partition_by: Sequence[str] = (), out: str = "dense_rank",
-               method: str = "auto") -> DataFrame:
+               method: str | RankMethod = "auto") -> DataFrame:
     """SQL dense_rank.  Range form: number the distinct values (one row per
     value, so no hot key), then join the numbers back on the value."""
     order = _norm(order)
     df, m = resolve_method(df, method)
-    if m == "window":
+    if m.name == "window":
         w = Window.partitionBy(*partition_by).orderBy(*_sort_exprs(order))
         return df.withColumn(out, F.dense_rank().over(w).cast("bigint"))
     value_cols = [c for c, _ in order]
     vals = df.select(*partition_by, *value_cols).distinct()
-    numbered = _range_numbering(vals, order, list(partition_by), out, None)
+    numbered = _range_numbering(vals, order, list(partition_by), out, None, rows=m.rows)
     return _null_safe_join(df, numbered, [*partition_by, *value_cols])
 
 

@@ -55,18 +55,20 @@ def test_all_ties_ntile_uses_customer_order(spark):
 def test_registry_rankings_same_in_range_form(spark):
     """Force the scale form of every global ranking and compare with the window form."""
     import __spark_entry__ as E
-    from kpiloom.plans.ranking import MAX_SINGLE_PARTITION_ROWS_CONF
+    from kpiloom.plans.ranking import MAX_SINGLE_PARTITION_ROWS_CONF, ROWS_PER_RANGE_PARTITION_CONF
 
     names = ["V1_item_country_revenue", "R4_rfm_scores", "R6_rfm_three_tier", "B4_revenue_distribution",
              "X8_weekly_time"]
     q = E.queries()
     window = {n: _rows(q[n](spark, SF_SMALL)) for n in names}
     spark.conf.set(MAX_SINGLE_PARTITION_ROWS_CONF, "0")
+    spark.conf.set(ROWS_PER_RANGE_PARTITION_CONF, "97")  # many small range partitions
     try:
         for n in names:
             assert _rows(q[n](spark, SF_SMALL)) == window[n], n
     finally:
         spark.conf.unset(MAX_SINGLE_PARTITION_ROWS_CONF)
+        spark.conf.unset(ROWS_PER_RANGE_PARTITION_CONF)
 
 
 def test_reference_date_subquery_runs_once(spark):
