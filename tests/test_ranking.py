@@ -82,3 +82,18 @@ def test_bins_counts(spark):
     assert got == [(0, 10, 3), (10, 20, 3)]
     with pytest.raises(ValueError):
         count_in_bins(vals, "v", 0, 10, 20)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 4, 5, 6, 11, 23])
+def test_ntile_small_sizes(spark, n):
+    df = spark.range(n).select(F.col("id"), (F.col("id") % 3).alias("v"))
+    order = [("v", False), ("id", True)]
+    spark.conf.set("spark.kpiloom.rank.rowsPerPartition", "2")
+    try:
+        w = ntile(df, 5, order, out="t", method="window")
+        r = ntile(df, 5, order, out="t", method="auto") if n else w
+        from kpiloom.plans.ranking import RankMethod
+        r2 = ntile(df, 5, order, out="t", method=RankMethod("range", n))
+        assert _same(w, r, ["id", "t"]) and _same(w, r2, ["id", "t"])
+    finally:
+        spark.conf.unset("spark.kpiloom.rank.rowsPerPartition")
