@@ -23,19 +23,28 @@ def avg_revenue_per_customer(sales: DataFrame, start=None) -> DataFrame:
         exact_round_div(F.sum("revenue"), F.count("revenue"), 2).alias("avg_revenue_per_customer"))
 
 
+def _per_customer_then(sales: DataFrame, start, key) -> DataFrame:
+    """sum(rev) and count(distinct CustomerID) per ``key`` as two plain
+    aggregations: per (key, customer) first, then per key.  Exact (customers
+    are not NULL here) and, unlike a distinct aggregate next to a sum, needs
+    no Expand that doubles every row before the shuffle."""
+    pairs = (since(sales, start, customers_only=True)
+             .groupBy(key.alias("_k"), "CustomerID").agg(F.sum("rev").alias("_cust_rev")))
+    return pairs.groupBy("_k").agg(F.sum("_cust_rev").alias("_rev"), F.count("CustomerID").alias("_users"))
+
+
 def avg_revenue_per_customer_by_month(sales: DataFrame, start=None) -> DataFrame:
     """K2: month revenue / distinct customers that month (ratio of totals)."""
-    m = (since(sales, start, customers_only=True).groupBy(month_start("InvoiceDate").alias("_m"))
-         .agg(F.sum("rev").alias("_rev"), F.countDistinct("CustomerID").alias("_users")))
+    m = _per_customer_then(sales, start, month_start("InvoiceDate")).withColumnRenamed("_k", "_m")
     return m.orderBy("_m").select(
         month_year_label("_m").alias("month"),
         exact_round_div("_rev", F.greatest(F.col("_users"), F.lit(1)), 2).alias("avg_revenue_customer"))
 
 
 def _by_country(sales: DataFrame, start) -> DataFrame:
-    return (since(sales, start, customers_only=True).where(~F.col("Country").like(UNSPECIFIED))
-            .groupBy(F.col("Country").alias("country"))
-            .agg(F.round(F.sum("rev"), 2).alias("_rev"), F.countDistinct("CustomerID").alias("customers")))
+    c = _per_customer_then(sales.where(~F.col("Country").like(UNSPECIFIED)), start, F.col("Country"))
+    return c.select(F.col("_k").alias("country"), F.round("_rev", 2).alias("_rev"),
+                    F.col("_users").alias("customers"))
 
 
 def country_customers(sales: DataFrame, start=None) -> DataFrame:
