@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.functions.dates import week_of_year_7day
+from kpiloom.schema import CLICK_COLUMNS
 from kpiloom.functions.stats import normal_p_udf, normal_quantile, t_p_udf, t_quantile_udf
 from kpiloom.plans.ranking import exact_percentiles
 from kpiloom.plans.topk import first_n_per_group
@@ -23,7 +24,7 @@ from kpiloom.plans.topk import first_n_per_group
 # The experiment's two variants (baseline first, as R orders
 # factor levels alphabetically) and the metric names.
 LEVELS = ("tips", "tools")
-LIKE_SHARE = ("clicked_like", "clicked_share")
+LIKE_SHARE = tuple(CLICK_COLUMNS[CLICK_COLUMNS.index("clicked_like"):])  # the like..share column range
 TIME = "time_spent_homepage_sec"
 
 
