@@ -9,12 +9,18 @@ fraction (modified Lentz method); the quantile inverts the CDF by bisection.
 from __future__ import annotations
 
 import math
+import sys
 from statistics import NormalDist
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Ship this module's functions to the Python workers by value, so the UDFs
+# run even where the package is not installed on the executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _STD = NormalDist()
 
 
