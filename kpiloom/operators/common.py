@@ -14,10 +14,22 @@ def _d(start) -> dt.date:
     return start if isinstance(start, dt.date) else dt.date.fromisoformat(str(start))
 
 
+YEAR_PARTITION = "InvoiceYear"  # storage partition column of the cleaned table
+
+
+def _from(sales: DataFrame, first: dt.date) -> DataFrame:
+    out = sales.where(F.col("InvoiceDate") >= F.lit(first))
+    if YEAR_PARTITION in sales.columns:
+        # implied by the date test; stated so the scan prunes year folders
+        out = out.where(F.col(YEAR_PARTITION) >= first.year)
+    return out
+
+
 def since(sales: DataFrame, start, customers_only: bool = False) -> DataFrame:
     """``InvoiceDate >= start`` [and ``CustomerID is not null``]; a plain
-    comparison with a literal, so it reaches the Parquet scan."""
-    out = sales if start is None else sales.where(F.col("InvoiceDate") >= F.lit(_d(start)))
+    comparison with a literal, so it reaches the Parquet scan (and prunes
+    year folders of the cleaned table)."""
+    out = sales if start is None else _from(sales, _d(start))
     return out.where(F.col("CustomerID").isNotNull()) if customers_only else out
 
 
@@ -26,4 +38,4 @@ def since_year_of(sales: DataFrame, start) -> DataFrame:
     comparison (exactly equivalent)."""
     if start is None:
         return sales
-    return sales.where(F.col("InvoiceDate") >= F.lit(year_start_on_or_after(_d(start))))
+    return _from(sales, year_start_on_or_after(_d(start)))

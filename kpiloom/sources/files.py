@@ -27,14 +27,19 @@ def load_visits(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, *, cluster_by: str | None = None,
-                mode: str = "overwrite") -> DataFrame:
+                partition_by: str | None = None, mode: str = "overwrite") -> DataFrame:
     """S1 write side: store as Parquet and return the stored table.
 
     ``cluster_by`` sorts each task's rows on that column before writing, so
     every Parquet row group covers a narrow range and later filters on the
     column skip row groups by their min/max statistics.  The sort is local
     (no shuffle, spills to disk), so it costs no extra pass over the input.
+    ``partition_by`` writes one folder per value (the sort puts that column
+    first, so each task writes its folders one after another and the rows
+    stay in ``cluster_by`` order inside them).
     """
-    out = df.sortWithinPartitions(cluster_by) if cluster_by else df
-    out.write.mode(mode).parquet(path)
+    keys = [c for c in (partition_by, cluster_by) if c]
+    out = df.sortWithinPartitions(*keys) if keys else df
+    w = out.write.mode(mode)
+    (w.partitionBy(partition_by) if partition_by else w).parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -2,8 +2,9 @@
 
 The reference loads its CSV into a table once and cleans it in place; every
 report then reads that table.  Here the star-schema join plus cleaning runs
-once, is written as Parquet (sorted within each task by InvoiceDate, so date
-filters skip row groups), and every analysis reads it.  That also cuts the
+once, is written as Parquet partitioned by invoice year (so a date filter
+skips whole folders) and sorted within each task by InvoiceDate (so it also
+skips row groups), and every analysis reads it.  That also cuts the
 join's lineage: a lost executor re-reads files instead of re-running the join.
 
 Without ``table_path`` the table goes under the shared checkpoint folder,
@@ -19,6 +20,7 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kpiloom.operators.cleaning import clean_sales
 from kpiloom.session import checkpoint_dir
@@ -29,10 +31,18 @@ _LOCK = threading.Lock()
 _WRITTEN: dict[tuple[str, str], str] = {}
 
 
+PARTITION_COLUMN = "InvoiceYear"
+
+
 def build_cleaned_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C1-C3 applied to the retail view (text cleaned on the dimension rows)."""
+    """C1-C3 applied to the retail view (text cleaned on the dimension rows),
+    plus the storage partition column ``InvoiceYear``."""
     raw = sales_from_tables(spark, sf_dir, clean_text="fill")
-    return clean_sales(raw, text_done=True)
+    return clean_sales(raw, text_done=True).withColumn(PARTITION_COLUMN, F.year("InvoiceDate"))
+
+
+def _write(df: DataFrame, path: str) -> None:
+    write_table(df, path, cluster_by="InvoiceDate", partition_by=PARTITION_COLUMN)
 
 
 def cleaned_sales(spark: SparkSession, sf_dir: str, table_path: str | None = None) -> DataFrame:
@@ -41,13 +51,13 @@ def cleaned_sales(spark: SparkSession, sf_dir: str, table_path: str | None = Non
         try:
             return spark.read.parquet(table_path)
         except AnalysisException:
-            write_table(build_cleaned_sales(spark, sf_dir), table_path, cluster_by="InvoiceDate")
+            _write(build_cleaned_sales(spark, sf_dir), table_path)
             return spark.read.parquet(table_path)
     key = (spark.conf.get("spark.app.id", "") or str(id(spark)), os.path.abspath(sf_dir))
     with _LOCK:
         path = _WRITTEN.get(key)
         if path is None:
             path = f"{checkpoint_dir(spark).rstrip('/')}/kpiloom-sales-{uuid.uuid4().hex}"
-            write_table(build_cleaned_sales(spark, sf_dir), path, cluster_by="InvoiceDate")
+            _write(build_cleaned_sales(spark, sf_dir), path)
             _WRITTEN[key] = path
     return spark.read.parquet(path)
