@@ -153,7 +153,8 @@ def sequential_looks(visits: DataFrame, metric: str = "clicked_like", n_per_grou
     arrival order; z is the pooled two-proportion statistic (treatment minus
     baseline); ``crossed`` when z >= boundary (one-sided, default the Pocock
     bound for k = 3, alpha 0.05), ``stop`` at the first crossing.  Only the
-    first n visits per variant are ranked, via a salted two-step top-n.
+    first n visits per variant reach the final ranking: the row-number filter
+    is planned with a partial group limit before the shuffle.
     """
     points = [n_per_group * i / k for i in range(1, k + 1)]
     n_max = int(math.floor(points[-1]))

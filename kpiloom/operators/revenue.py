@@ -146,8 +146,9 @@ def monthly_growth(sales: DataFrame, start=None) -> DataFrame:
 
 def top_items_per_month(sales: DataFrame, start=None, n: int = 5) -> DataFrame:
     """Per month, the items whose rounded revenue has dense rank <= n
-    (ties can give more than n rows).  Salted two-step top-k: no month is
-    ranked inside a single task."""
+    (ties can give more than n rows).  A rank filter, which Spark plans with
+    a partial group limit before the shuffle: each task ships at most the n
+    best values of a month (plus ties), so no month's items meet in one task."""
     g = (since(sales, start, customers_only=True)
          .groupBy(F.col("Description").alias("description"), month_start("InvoiceDate").alias("delivr_month"),
                   month_year_label("InvoiceDate").alias("months"))
