@@ -105,3 +105,15 @@ def test_welch_degenerate(spark):
     assert w.statistic is None and w.p_value is None and w.mean_tips == 5.0
     one = X.welch_test(spark.createDataFrame(rows[:3], V_DDL)).first()
     assert one.statistic is None
+
+
+def test_weekly_time_approx_close_to_exact(spark):
+    v = visits_from_events(spark, SF_CHECK)
+    exact = {(r.week, r.condition): r for r in X.weekly_time(v).collect()}
+    approx = {(r.week, r.condition): r for r in X.weekly_time(v, approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    for k, e in exact.items():
+        a = approx[k]
+        assert (a.time_min, a.time_max) == (e.time_min, e.time_max)
+        assert a.time_spent == pytest.approx(e.time_spent, rel=1e-12)
+        assert abs(a.time_median - e.time_median) <= 1.0
