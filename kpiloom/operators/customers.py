@@ -34,14 +34,14 @@ def new_customers_cumulative(sales: DataFrame, start=None) -> DataFrame:
         F.sum("regs").over(Window.orderBy("_m")).cast("bigint").alias("customer_no_cumulative"))
 
 
-def _mau(sales: DataFrame, start) -> DataFrame:
+def _monthly_active(sales: DataFrame, start) -> DataFrame:
     return (since(sales, start).groupBy(month_start("InvoiceDate").alias("_m"))
             .agg(F.countDistinct("CustomerID").alias("current_customer_count")))
 
 
 def active_customers(sales: DataFrame, start=None) -> DataFrame:
     """Distinct customers per month and the previous month row's count (0 first)."""
-    m = _mau(sales, start)
+    m = _monthly_active(sales, start)
     prev = F.coalesce(F.lag("current_customer_count").over(Window.orderBy("_m")), F.lit(0))
     return m.orderBy("_m").select(month_name("_m").alias("month"), "current_customer_count",
                                   prev.cast("bigint").alias("previous_customer_count"))
@@ -49,7 +49,7 @@ def active_customers(sales: DataFrame, start=None) -> DataFrame:
 
 def active_customer_growth(sales: DataFrame, start=None) -> DataFrame:
     """U4: (current - previous) / previous, previous defaulting to 1; NULL when 0."""
-    m = _mau(sales, start)
+    m = _monthly_active(sales, start)
     prev = F.coalesce(F.lag("current_customer_count").over(Window.orderBy("_m")), F.lit(1))
     m = m.withColumn("_prev", prev)
     rate = F.when(F.col("_prev") != 0, (F.col("current_customer_count") - F.col("_prev")).cast("double")
