@@ -82,3 +82,10 @@ def test_revenue_distribution_approx(spark):
     s = _per_customer(spark, [1.0, 2.0, 4.0, 10.005, 7.0])
     r = buckets.revenue_distribution(s, "2011-01-01", approx=True).first()
     assert r.median_revenue == 4.0 and r.min_revenue == 1.0 and r.max_revenue == 10.01
+
+
+def test_orders_distribution_approx(spark):
+    o = make_sales(spark, [line(inv, "A", 1, "2011-02-01", 1.0, c)
+                           for c, n in [(1, 1), (2, 2), (3, 4), (4, 12), (5, 4)] for inv in range(c * 100, c * 100 + n)])
+    d = buckets.orders_distribution(o, "2011-01-01", approx=True).first()
+    assert (d.min_count, d.median_count, d.seventyfive_percentile_count, d.max_count) == (1.0, 4.0, 4.0, 12.0)
