@@ -16,20 +16,33 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kpiloom.plans import ranking
 from kpiloom.plans.ranking import _norm, _sort_exprs
 
+GROUP_LIMIT_THRESHOLD_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
+def _group_limit_applies(df: DataFrame, k: int) -> bool:
+    return k <= int(df.sparkSession.conf.get(GROUP_LIMIT_THRESHOLD_CONF, "1000"))
+
 
 def top_k_distinct_per_group(df: DataFrame, group_cols: Sequence[str], value: str, k: int,
                              descending: bool = True, out: str = "rank") -> DataFrame:
     """Rows whose ``value`` is among the k best distinct values of their group,
     with that value's dense rank (ties all kept, so a group may give more than k rows)."""
-    w = Window.partitionBy(*group_cols).orderBy(*_sort_exprs([(value, not descending)]))
+    order = [(value, not descending)]
+    if not _group_limit_applies(df, k):
+        return ranking.dense_rank(df, order, group_cols, out=out).where(F.col(out) <= k)
+    w = Window.partitionBy(*group_cols).orderBy(*_sort_exprs(order))
     return df.withColumn(out, F.dense_rank().over(w).cast("bigint")).where(F.col(out) <= k)
 
 
 def first_n_per_group(df: DataFrame, group_cols: Sequence[str], order, n: int, out: str = "rn") -> DataFrame:
     """The first n rows of each group in ``order`` (a total order), numbered 1..n."""
-    w = Window.partitionBy(*group_cols).orderBy(*_sort_exprs(_norm(order)))
+    order = _norm(order)
+    if not _group_limit_applies(df, n):
+        return ranking.row_number(df, order, group_cols, out=out).where(F.col(out) <= n)
+    w = Window.partitionBy(*group_cols).orderBy(*_sort_exprs(order))
     return df.withColumn(out, F.row_number().over(w).cast("bigint")).where(F.col(out) <= n)
 
 

@@ -97,3 +97,23 @@ def test_ntile_small_sizes(spark, n):
         assert _same(w, r, ["id", "t"]) and _same(w, r2, ["id", "t"])
     finally:
         spark.conf.unset("spark.kpiloom.rank.rowsPerPartition")
+
+
+def test_top_k_above_group_limit_threshold(spark, skewed):
+    """k beyond Spark's group-limit threshold: same rows via the ranking plans."""
+    from kpiloom.plans.topk import GROUP_LIMIT_THRESHOLD_CONF
+    small_top = top_k_distinct_per_group(skewed, ["g"], "v", 3, out="rank")
+    small_first = first_n_per_group(skewed, ["g"], [("x", True), ("id", True)], 50)
+    want_top, want_first = _rows_of(small_top), _rows_of(small_first)
+    spark.conf.set(GROUP_LIMIT_THRESHOLD_CONF, "2")
+    spark.conf.set("spark.kpiloom.rank.maxSinglePartitionRows", "0")
+    try:
+        assert _rows_of(top_k_distinct_per_group(skewed, ["g"], "v", 3, out="rank")) == want_top
+        assert _rows_of(first_n_per_group(skewed, ["g"], [("x", True), ("id", True)], 50)) == want_first
+    finally:
+        spark.conf.unset(GROUP_LIMIT_THRESHOLD_CONF)
+        spark.conf.unset("spark.kpiloom.rank.maxSinglePartitionRows")
+
+
+def _rows_of(df):
+    return sorted(map(tuple, df.select(*sorted(df.columns)).collect()), key=repr)
