@@ -2,6 +2,7 @@
 
     python -m kpiloom list
     python -m kpiloom run --sf-dir DIR --out OUT [--format parquet|csv] [NAME ...]
+    python -m kpiloom report --sf-dir DIR --out OUT [--format parquet|csv]
 
 Each result is written to OUT/NAME (Parquet by default, CSV with a header
 otherwise), the form a dashboard or a notebook reads.  Without names, every
@@ -27,18 +28,32 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--format", choices=["parquet", "csv"], default="parquet")
     run.add_argument("--master", default=None, help="Spark master; default from spark-submit")
     run.add_argument("names", nargs="*")
+    rep = sub.add_parser("report", help="the whole retail report, shared work done once")
+    rep.add_argument("--sf-dir", required=True)
+    rep.add_argument("--out", required=True)
+    rep.add_argument("--format", choices=["parquet", "csv"], default="parquet")
+    rep.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
     qs = queries()
     if args.cmd == "list":
         print("\n".join(qs))
         return 0
-    unknown = [n for n in args.names if n not in qs]
+    unknown = [n for n in getattr(args, "names", []) if n not in qs]
     if unknown:
         ap.error(f"unknown analyses: {', '.join(unknown)}")
     spark = get_spark(args.master)
-    for name in args.names or list(qs):
-        w = qs[name](spark, args.sf_dir).write.mode("overwrite")
+    if args.cmd == "report":
+        from kpiloom import registry as R
+        from kpiloom.plans.report import retail_report
+        from kpiloom.sources.store import cleaned_sales
+        frames = retail_report(cleaned_sales(spark, args.sf_dir), R.START,
+                               quarters=[f"Q{i} {R.QUARTER_YEAR}" for i in range(1, 5)],
+                               bins=R.REV_BINS, revenue_cuts=R.REV_CUTS)
+    else:
+        frames = {name: qs[name](spark, args.sf_dir) for name in (args.names or list(qs))}
+    for name, df in frames.items():
+        w = df.write.mode("overwrite")
         out = f"{args.out.rstrip('/')}/{name}"
         (w.option("header", True).csv(out) if args.format == "csv" else w.parquet(out))
         print(f"{name} -> {out}", file=sys.stderr)

@@ -28,34 +28,48 @@ def customer_orders(sales: DataFrame, start=None) -> DataFrame:
             .agg(F.countDistinct("InvoiceNo").alias("orders_count")))
 
 
-def orders_histogram(sales: DataFrame, start=None) -> DataFrame:
+def _cr(sales: DataFrame, start, per_customer: DataFrame | None) -> DataFrame:
+    # a precomputed per-customer table (see plans.report.customer_summary) or the aggregate
+    if per_customer is not None:
+        return per_customer.select("customer_id", "revenue")
+    return customer_revenues(sales, start)
+
+
+def _co(sales: DataFrame, start, per_customer: DataFrame | None) -> DataFrame:
+    if per_customer is not None:
+        return per_customer.select("customer_id", "orders_count")
+    return customer_orders(sales, start)
+
+
+def orders_histogram(sales: DataFrame, start=None, *, per_customer: DataFrame | None = None) -> DataFrame:
     """B1: how many customers placed each number of orders."""
-    return (customer_orders(sales, start).groupBy(F.col("orders_count").alias("number_of_orders"))
+    return (_co(sales, start, per_customer).groupBy(F.col("orders_count").alias("number_of_orders"))
             .agg(F.count("customer_id").alias("customer_number")).orderBy("number_of_orders"))
 
 
-def revenue_classes(sales: DataFrame, start=None, width: int = 1000) -> DataFrame:
+def revenue_classes(sales: DataFrame, start=None, width: int = 1000, *,
+                    per_customer: DataFrame | None = None) -> DataFrame:
     """B2: customers per revenue truncated toward zero to a multiple of ``width``."""
-    return (customer_revenues(sales, start)
+    return (_cr(sales, start, per_customer)
             .groupBy(trunc_toward_zero("revenue", width).alias("revenue_category"))
             .agg(F.count("customer_id").alias("customers")).orderBy("revenue_category"))
 
 
 def revenue_intervals(sales: DataFrame, start=None, lo: int = REVENUE_BINS[0], hi: int = REVENUE_BINS[1],
-                      step: int = REVENUE_BINS[2]) -> DataFrame:
+                      step: int = REVENUE_BINS[2], *, per_customer: DataFrame | None = None) -> DataFrame:
     """Customers per closed revenue interval; empty intervals show 0."""
-    return count_in_bins(customer_revenues(sales, start), "revenue", lo, hi, step,
+    return count_in_bins(_cr(sales, start, per_customer), "revenue", lo, hi, step,
                          "customer_number").orderBy("lower_class")
 
 
 def revenue_distribution(sales: DataFrame, start=None, approx: bool = False,
-                         method: str = "auto") -> DataFrame:
+                         method: str = "auto", *, per_customer: DataFrame | None = None) -> DataFrame:
     """Min, median (percentile_cont), mean, max of customer revenue, 2 places.
 
     Exact by default (order statistics, no single-reducer value map);
     ``approx=True`` uses percentile_approx, which returns a sample value.
     """
-    cr = customer_revenues(sales, start)
+    cr = _cr(sales, start, per_customer)
     r = F.col("revenue")
     others = [F.min(r).alias("_min"), exact_round_div(F.sum(r), F.count(r), 2).alias("avg_revenue"),
               F.max(r).alias("_max")]
@@ -69,18 +83,19 @@ def revenue_distribution(sales: DataFrame, start=None, approx: bool = False,
 
 
 def revenue_groups(sales: DataFrame, start=None, cuts: Sequence[float] = REVENUE_CUTS,
-                   labels: Sequence[str] = REVENUE_GROUPS) -> DataFrame:
+                   labels: Sequence[str] = REVENUE_GROUPS, *, per_customer: DataFrame | None = None) -> DataFrame:
     """Low / mid / high revenue customers.  Values between the cut-offs
     (e.g. 672.05) match no branch and form the NULL group, as written."""
     c = [F.lit(Decimal(str(x))) for x in cuts]
     r = F.col("revenue")
     grp = (F.when(r <= c[0], labels[0]).when((r >= c[1]) & (r <= c[2]), labels[1])
            .when(r >= c[3], labels[2]))
-    return (customer_revenues(sales, start).groupBy(grp.alias("revenue_group"))
+    return (_cr(sales, start, per_customer).groupBy(grp.alias("revenue_group"))
             .agg(F.count("customer_id").alias("customers")).orderBy(F.desc("customers")))
 
 
-def orders_distribution(sales: DataFrame, start=None, approx: bool = False) -> DataFrame:
+def orders_distribution(sales: DataFrame, start=None, approx: bool = False, *,
+                        per_customer: DataFrame | None = None) -> DataFrame:
     """Min, median, 75th percentile, mean, max of orders per customer.
 
     Exact ``percentile`` is safe here: it keeps one entry per distinct order
@@ -93,7 +108,7 @@ def orders_distribution(sales: DataFrame, start=None, approx: bool = False) -> D
         med, p75 = F.percentile_approx(o, 0.5, 10_000), F.percentile_approx(o, 0.75, 10_000)
     else:
         med, p75 = F.percentile(o, 0.5), F.percentile(o, 0.75)
-    return customer_orders(sales, start).agg(
+    return _co(sales, start, per_customer).agg(
         F.round(F.min(o), 2).cast("double").alias("min_count"),
         F.round(med, 2).cast("double").alias("median_count"),
         F.round(p75, 2).cast("double").alias("seventyfive_percentile_count"),
@@ -102,9 +117,9 @@ def orders_distribution(sales: DataFrame, start=None, approx: bool = False) -> D
 
 
 def order_groups(sales: DataFrame, start=None, cuts: Sequence[int] = ORDER_CUTS,
-                 labels: Sequence[str] = ORDER_GROUPS) -> DataFrame:
+                 labels: Sequence[str] = ORDER_GROUPS, *, per_customer: DataFrame | None = None) -> DataFrame:
     """Low / mid / high order-count customers."""
     o = F.col("orders_count")
     grp = F.when(o <= cuts[0], labels[0]).when((o > cuts[0]) & (o <= cuts[1]), labels[1]).otherwise(labels[2])
-    return (customer_orders(sales, start).groupBy(grp.alias("order_number_group"))
+    return (_co(sales, start, per_customer).groupBy(grp.alias("order_number_group"))
             .agg(F.count("customer_id").alias("customers")).orderBy(F.desc("customers")))

@@ -17,9 +17,10 @@ def customer_revenues(sales: DataFrame, start=None) -> DataFrame:
             .agg(F.sum("rev").alias("revenue")))
 
 
-def avg_revenue_per_customer(sales: DataFrame, start=None) -> DataFrame:
+def avg_revenue_per_customer(sales: DataFrame, start=None, *, per_customer: DataFrame | None = None) -> DataFrame:
     """K1: mean revenue per customer, to 2 places."""
-    return customer_revenues(sales, start).agg(
+    cr = customer_revenues(sales, start) if per_customer is None else per_customer
+    return cr.agg(
         exact_round_div(F.sum("revenue"), F.count("revenue"), 2).alias("avg_revenue_per_customer"))
 
 

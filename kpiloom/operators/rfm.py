@@ -32,10 +32,14 @@ FREQUENCY_LABELS = ("Purchases_rarely", "Purchases_infrequently", "Purchases_fre
 MONETARY_LABELS = ("Low_value_purchases", "Average_value_purchases", "High_value_purchases")
 
 
-def rfm_base(sales: DataFrame, start=None) -> DataFrame:
+def rfm_base(sales: DataFrame, start=None, *, per_customer: DataFrame | None = None) -> DataFrame:
     """Per identified customer: last purchase date, distinct purchase
     *days*, and revenue.  Lines collapse to (customer, day) first, so the
-    distinct count needs no Expand and the second shuffle carries day totals."""
+    distinct count needs no Expand and the second shuffle carries day totals.
+    ``per_customer`` (see plans.report.customer_summary) skips the aggregation."""
+    if per_customer is not None:
+        return per_customer.select("customer_id", "most_recent_date", "counts_freq",
+                                   F.col("revenue").cast("double").alias("monetary"))
     daily = (since(sales, start, customers_only=True)
              .groupBy("CustomerID", "InvoiceDate").agg(F.sum("rev").alias("_day_rev")))
     return daily.groupBy(F.col("CustomerID").alias("customer_id")).agg(

@@ -11,3 +11,10 @@ def test_cli_list_and_run(spark, tmp_path, capsys):
                  "V11_monthly_growth", "X9_welch_test_p"]) == 0
     assert spark.read.option("header", True).csv(str(out / "V11_monthly_growth")).count() > 0
     assert spark.read.option("header", True).csv(str(out / "X9_welch_test_p")).count() == 1
+
+
+def test_cli_report(spark, tmp_path):
+    out = tmp_path / "rep"
+    assert main(["report", "--sf-dir", SF_SMALL, "--out", str(out)]) == 0
+    assert spark.read.parquet(str(out / "R5_rfm_segments")).count() > 0
+    assert spark.read.parquet(str(out / "B3_revenue_intervals")).count() == 7
