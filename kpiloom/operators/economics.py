@@ -34,9 +34,14 @@ def _per_customer_then(sales: DataFrame, start, key) -> DataFrame:
     return pairs.groupBy("_k").agg(F.sum("_cust_rev").alias("_rev"), F.count("CustomerID").alias("_users"))
 
 
-def avg_revenue_per_customer_by_month(sales: DataFrame, start=None) -> DataFrame:
+def avg_revenue_per_customer_by_month(sales: DataFrame, start=None, *,
+                                      pairs: DataFrame | None = None) -> DataFrame:
     """K2: month revenue / distinct customers that month (ratio of totals)."""
-    m = _per_customer_then(sales, start, month_start("InvoiceDate")).withColumnRenamed("_k", "_m")
+    if pairs is not None:
+        m = (pairs.where(F.col("CustomerID").isNotNull()).groupBy(F.col("month").alias("_m"))
+             .agg(F.sum("revenue").alias("_rev"), F.count("CustomerID").alias("_users")))
+    else:
+        m = _per_customer_then(sales, start, month_start("InvoiceDate")).withColumnRenamed("_k", "_m")
     return m.orderBy("_m").select(
         month_year_label("_m").alias("month"),
         exact_round_div("_rev", F.greatest(F.col("_users"), F.lit(1)), 2).alias("avg_revenue_customer"))

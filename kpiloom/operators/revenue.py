@@ -79,21 +79,24 @@ def weekly_revenue(sales: DataFrame, start=None) -> DataFrame:
             .agg(round_to_double(F.sum("rev"), 3).alias("revenue")).orderBy("delivr_week"))
 
 
-def _monthly(sales: DataFrame, start, customers_only=False) -> DataFrame:
+def _monthly(sales: DataFrame, start, customers_only=False, pairs: DataFrame | None = None) -> DataFrame:
+    if pairs is not None:  # (month, CustomerID, revenue) from plans.report.month_customer_pairs
+        src = pairs.where(F.col("CustomerID").isNotNull()) if customers_only else pairs
+        return src.groupBy(F.col("month").alias("_m")).agg(F.round(F.sum("revenue"), 3).alias("_rev"))
     return (since(sales, start, customers_only).groupBy(month_start("InvoiceDate").alias("_m"))
             .agg(F.round(F.sum("rev"), 3).alias("_rev")))
 
 
-def avg_monthly_revenue(sales: DataFrame, start=None) -> DataFrame:
+def avg_monthly_revenue(sales: DataFrame, start=None, *, pairs: DataFrame | None = None) -> DataFrame:
     """V7: mean over the months present of the month's rounded revenue, to 2 places."""
-    m = _monthly(sales, start)
+    m = _monthly(sales, start, pairs=pairs)
     return m.agg(exact_round_div(F.sum(F.coalesce("_rev", F.lit(0))), F.count(F.lit(1)), 2)
                  .alias("avg_monthly_revenue"))
 
 
-def monthly_revenue(sales: DataFrame, start=None) -> DataFrame:
+def monthly_revenue(sales: DataFrame, start=None, *, pairs: DataFrame | None = None) -> DataFrame:
     """V8: revenue per month with the unpadded month name, in calendar order."""
-    m = _monthly(sales, start)
+    m = _monthly(sales, start, pairs=pairs)
     return m.orderBy("_m").select(month_name("_m").alias("months"),
                                   F.col("_rev").cast("double").alias("revenue"))
 
@@ -130,13 +133,13 @@ def quarterly_revenue_by_country(sales: DataFrame, start=None, quarters: Sequenc
     return inner.select("country", *[c.cast("double").alias(f"quarter_{i + 1}") for i, c in enumerate(cells)])
 
 
-def monthly_growth(sales: DataFrame, start=None) -> DataFrame:
+def monthly_growth(sales: DataFrame, start=None, *, pairs: DataFrame | None = None) -> DataFrame:
     """Month revenue and (revenue - prev) / prev with prev = greatest(lag, 1).
 
     greatest() skips NULL, so the first month divides by 1.  The window runs
     over one row per month (already aggregated), so its single partition is small.
     """
-    m = _monthly(sales, start)
+    m = _monthly(sales, start, pairs=pairs)
     prev = F.greatest(F.lag("_rev").over(Window.orderBy("_m")), F.lit(1))
     return (m.withColumn("_prev", prev).orderBy("_m")
             .select(F.col("_m").alias("months"), F.col("_rev").cast("double").alias("revenue"),

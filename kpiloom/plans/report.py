@@ -1,11 +1,13 @@
 """The whole retail report as one job, with shared work done once.
 
 Run one by one, the fourteen per-customer analyses (K1, B1-B7, R1-R6) each
-aggregate the fact table by customer again.  ``retail_report`` builds a
-single per-customer summary in one pass (revenue, distinct invoices, last
-purchase date, distinct purchase days), writes it as a reliable checkpoint,
-and derives all fourteen from it.  V2-V5 reuse V1.  The other analyses read
-the table as usual.  Results equal the registered queries one for one.
+aggregate the fact table by customer again, and nine monthly ones (V7, V8,
+V11, U1-U5, K2) each aggregate it by month.  ``retail_report`` builds one
+per-customer summary (revenue, distinct invoices, last purchase date,
+distinct purchase days) and one table of (month, customer) pairs with their
+revenue, writes both as reliable checkpoints, and derives those 23 analyses
+from them.  V2-V5 reuse V1.  The rest read the table as usual.  Results
+equal the registered queries one for one.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.operators import buckets, customers, economics, profile, revenue, rfm
+from kpiloom.functions.dates import month_start
 from kpiloom.operators.common import since
 from kpiloom.session import reliable_checkpoint
 
@@ -33,6 +36,14 @@ def customer_summary(sales: DataFrame, start=None) -> DataFrame:
         F.countDistinct("InvoiceDate").alias("counts_freq"))
 
 
+def month_customer_pairs(sales: DataFrame, start=None) -> DataFrame:
+    """One row per (month, CustomerID) with activity since ``start``, NULL
+    customer included, with the pair's revenue.  Monthly revenue, active and
+    new customers, retention and revenue per customer all derive from it."""
+    return (since(sales, start).groupBy(month_start("InvoiceDate").alias("month"), "CustomerID")
+            .agg(F.sum("rev").alias("revenue")))
+
+
 def retail_report(sales: DataFrame, start=None, *, quarters: Sequence[str] | None = None,
                   bins: Sequence[int] = buckets.REVENUE_BINS, revenue_cuts: Sequence[float] = buckets.REVENUE_CUTS,
                   order_cuts: Sequence[int] = buckets.ORDER_CUTS, class_width: int = 1000,
@@ -40,6 +51,7 @@ def retail_report(sales: DataFrame, start=None, *, quarters: Sequence[str] | Non
     """Every retail analysis (F2-F4, V1-V12, U1-U5, K1-K4, B1-B7, R1-R6) by registry name."""
     summary = reliable_checkpoint(customer_summary(sales, start))
     pc = {"per_customer": summary}
+    mp = {"pairs": reliable_checkpoint(month_customer_pairs(sales, start))}
     v1 = revenue.item_country_revenue(sales, start)
     base = rfm.rfm_base(sales, start, **pc)
     comb = rfm.rfm_combined(base, sales=sales)
@@ -54,20 +66,20 @@ def retail_report(sales: DataFrame, start=None, *, quarters: Sequence[str] | Non
         "V4_country_revenue": revenue.country_revenue(v1),
         "V5_top_countries": revenue.top_countries(v1, top_countries),
         "V6_weekly_revenue": revenue.weekly_revenue(sales, start),
-        "V7_avg_monthly_revenue": revenue.avg_monthly_revenue(sales, start),
-        "V8_monthly_revenue": revenue.monthly_revenue(sales, start),
+        "V7_avg_monthly_revenue": revenue.avg_monthly_revenue(sales, start, **mp),
+        "V8_monthly_revenue": revenue.monthly_revenue(sales, start, **mp),
         "V9_quarterly_revenue": revenue.quarterly_revenue(sales, start),
         "V10_quarterly_by_country": revenue.quarterly_revenue_by_country(sales, start, quarters),
         "V10_quarterly_by_country_dense": revenue.quarterly_revenue_by_country(sales, start, quarters, dense=True),
-        "V11_monthly_growth": revenue.monthly_growth(sales, start),
+        "V11_monthly_growth": revenue.monthly_growth(sales, start, **mp),
         "V12_top_items_per_month": revenue.top_items_per_month(sales, start, top_per_month),
-        "U1_new_customers": customers.new_customers(sales, start),
-        "U2_new_customers_cumulative": customers.new_customers_cumulative(sales, start),
-        "U3_active_customers": customers.active_customers(sales, start),
-        "U4_active_customer_growth": customers.active_customer_growth(sales, start),
-        "U5_retention": customers.retention(sales, start),
+        "U1_new_customers": customers.new_customers(sales, start, **mp),
+        "U2_new_customers_cumulative": customers.new_customers_cumulative(sales, start, **mp),
+        "U3_active_customers": customers.active_customers(sales, start, **mp),
+        "U4_active_customer_growth": customers.active_customer_growth(sales, start, **mp),
+        "U5_retention": customers.retention(sales, start, **mp),
         "K1_avg_revenue_per_customer": economics.avg_revenue_per_customer(sales, start, **pc),
-        "K2_avg_revenue_per_customer_by_month": economics.avg_revenue_per_customer_by_month(sales, start),
+        "K2_avg_revenue_per_customer_by_month": economics.avg_revenue_per_customer_by_month(sales, start, **mp),
         "K3_country_customers": economics.country_customers(sales, start),
         "K4_avg_revenue_per_customer_by_country": economics.avg_revenue_per_customer_by_country(sales, start),
         "B1_orders_histogram": buckets.orders_histogram(sales, start, **pc),
