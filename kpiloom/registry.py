@@ -19,12 +19,22 @@ from kpiloom.operators import (buckets, cleaning, customers, economics, experime
 from kpiloom.sources.store import cleaned_sales
 from kpiloom.sources.tables import sales_from_tables, visits_from_events
 
-START = dt.date(1995, 1, 1)
+# The reference's experiment design.  Current and target
+# share conversion, treatment share, number of looks, one-sided Pocock bound
+# for 3 looks at alpha 0.05, the lift of the follow-up (+5 points), and the
+# revenue class width.
+DESIGN_P1, DESIGN_P2, DESIGN_SHARE = 0.032, 0.082, 0.5
+LOOKS, POCOCK_BOUND = 3, 1.992
+LIFT = 0.05
+CLASS_WIDTH = 1000
+
+# Parameters for this data (see README: registered parameters).
+START = dt.date(1995, 1, 1)       # first order date: the year filter keeps every row
 QUARTER_YEAR = 2000
 REV_BINS = (0, 2_100_000, 300_000)
 REV_CUTS = (580_000, 580_000.1, 1_000_000, 1_000_000.1)
-TEXT_DATE_FORMAT = "M/d/yyyy H:mm"  # the reference CSV's InvoiceDate text, e.g. 12/1/2010 8:26
-SEQ_N_PER_GROUP = experiment.sample_size_formula(0.032, 0.082, 0.5) / 2  # the reference's design, 336.5
+TEXT_DATE_FORMAT = "M/d/yyyy H:mm"  # InvoiceDate text as in the retail CSV, e.g. 12/1/2010 8:26
+SEQ_N_PER_GROUP = experiment.sample_size_formula(DESIGN_P1, DESIGN_P2, DESIGN_SHARE) / 2  # 336.5
 DIGITS = 9      # rounding of means and model outputs (floating results)
 TEST_DIGITS = 6  # rounding of t statistics and degrees of freedom
 
@@ -110,7 +120,7 @@ QUERIES: dict[str, Query] = {
         _sales(s, d), START),
     # buckets
     "B1_orders_histogram": lambda s, d: buckets.orders_histogram(_sales(s, d), START),
-    "B2_revenue_classes": lambda s, d: buckets.revenue_classes(_sales(s, d), START, 1000),
+    "B2_revenue_classes": lambda s, d: buckets.revenue_classes(_sales(s, d), START, CLASS_WIDTH),
     "B3_revenue_intervals": lambda s, d: buckets.revenue_intervals(_sales(s, d), START, *REV_BINS),
     "B4_revenue_distribution": lambda s, d: buckets.revenue_distribution(_sales(s, d), START),
     "B5_revenue_groups": lambda s, d: buckets.revenue_groups(_sales(s, d), START, REV_CUTS),
@@ -130,9 +140,9 @@ QUERIES: dict[str, Query] = {
     "X4_logit_test": lambda s, d: experiment.logit_test(_visits(s, d), "clicked_like", with_p=False,
                                                         digits=DIGITS),
     "X4_logit_test_p": lambda s, d: experiment.logit_test(_visits(s, d), "clicked_like", with_p=True),
-    "X5_sample_size": lambda s, d: experiment.sample_size(_visits(s, d), "clicked_share", 0.05),
+    "X5_sample_size": lambda s, d: experiment.sample_size(_visits(s, d), "clicked_share", LIFT),
     "X6_sequential_looks": lambda s, d: experiment.sequential_looks(
-        _visits(s, d), "clicked_like", SEQ_N_PER_GROUP, 3, 1.992, digits=DIGITS),
+        _visits(s, d), "clicked_like", SEQ_N_PER_GROUP, LOOKS, POCOCK_BOUND, digits=DIGITS),
     "X7_mean_time": lambda s, d: experiment.mean_time(_visits(s, d), True, digits=DIGITS),
     "X8_weekly_time": lambda s, d: experiment.weekly_time(_visits(s, d), digits=DIGITS),
     "X9_welch_test": lambda s, d: experiment.welch_test(_visits(s, d), with_p=False, digits=TEST_DIGITS),
