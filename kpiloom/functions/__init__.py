@@ -1,5 +1,9 @@
-"""Column-expression helpers: all built from pyspark.sql.functions, so they
-stay inside whole-stage code generation."""
+"""Column-expression helpers, all built from pyspark.sql.functions (JVM-side).
+
+All but ``pg_initcap`` are code-generated.  Its higher-order ``transform`` is
+evaluated interpreted, which is why the ingest applies it to the part and
+nation rows rather than to every line.  ``stats`` holds the only Python: three
+pandas UDFs for already-aggregated rows."""
 
 from kpiloom.functions.text import pg_initcap  # noqa: F401
 from kpiloom.functions.dates import (  # noqa: F401
