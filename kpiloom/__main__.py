@@ -55,7 +55,7 @@ def main(argv: list[str] | None = None) -> int:
     for name, df in frames.items():
         w = df.write.mode("overwrite")
         out = f"{args.out.rstrip('/')}/{name}"
-        (w.option("header", True).csv(out) if args.format == "csv" else w.parquet(out))
+        (w.options(header=True, quote='"', escape='"').csv(out) if args.format == "csv" else w.parquet(out))
         print(f"{name} -> {out}", file=sys.stderr)
     return 0
 

@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from kpiloom.schema import SALES_CSV, TEXT_COLUMNS, VISITS_CSV
 
 
+# RFC 4180 quoting, as R's read.csv writes and reads it: a quote inside a
+# quoted field is doubled.  Records stay one per line (no multiLine), so a
+# large file is split across tasks.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+
+
 def load_sales(spark: SparkSession, path: str) -> DataFrame:
     """S1 read side: retail CSV with a header, fixed schema.
 
@@ -15,15 +21,14 @@ def load_sales(spark: SparkSession, path: str) -> DataFrame:
     tests ``Description = ''``); Spark reads empty fields as NULL, so text
     columns are filled back.  Numeric blanks (CustomerID) stay NULL.
     """
-    df = spark.read.schema(SALES_CSV).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    df = spark.read.schema(SALES_CSV).options(**CSV_OPTIONS).csv(path)
     return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c in TEXT_COLUMNS else F.col(c)
                        for c in df.columns])
 
 
 def load_visits(spark: SparkSession, path: str) -> DataFrame:
     """Experiment CSV with a header; visit_date typed as date."""
-    return (spark.read.schema(VISITS_CSV).option("header", True)
-            .option("dateFormat", "yyyy-MM-dd").csv(path))
+    return spark.read.schema(VISITS_CSV).options(**CSV_OPTIONS).option("dateFormat", "yyyy-MM-dd").csv(path)
 
 
 def write_table(df: DataFrame, path: str, *, cluster_by: str | None = None,

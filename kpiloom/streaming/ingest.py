@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from kpiloom.operators.cleaning import clean_sales
 from kpiloom.schema import SALES_CSV, TEXT_COLUMNS, VISITS_CSV
 from kpiloom.session import checkpoint_dir
+from kpiloom.sources.files import CSV_OPTIONS
 
 
 def _checkpoint(spark: SparkSession, name: str, location: str | None) -> str:
@@ -25,7 +26,7 @@ def stream_sales_ingest(spark: SparkSession, source_dir: str, table_dir: str, *,
     otherwise the query keeps running.  The stream is stateless, so its
     checkpoint holds only the file log and offsets.
     """
-    reader = spark.readStream.schema(SALES_CSV).option("header", True)
+    reader = spark.readStream.schema(SALES_CSV).options(**CSV_OPTIONS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(source_dir)
@@ -41,7 +42,8 @@ def stream_sales_ingest(spark: SparkSession, source_dir: str, table_dir: str, *,
 def stream_visits_ingest(spark: SparkSession, source_dir: str, table_dir: str, *,
                          checkpoint_location: str | None = None, available_now: bool = True) -> StreamingQuery:
     """Append every new experiment CSV in ``source_dir`` to a Parquet table."""
-    raw = spark.readStream.schema(VISITS_CSV).option("header", True).option("dateFormat", "yyyy-MM-dd").csv(source_dir)
+    raw = (spark.readStream.schema(VISITS_CSV).options(**CSV_OPTIONS).option("dateFormat", "yyyy-MM-dd")
+           .csv(source_dir))
     writer = (raw.writeStream.format("parquet").outputMode("append").option("path", table_dir)
               .option("checkpointLocation", _checkpoint(spark, "visits", checkpoint_location)))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
