@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kpiloom.schema import SALES_CSV, TEXT_COLUMNS, VISITS_CSV
 
@@ -14,6 +15,20 @@ from kpiloom.schema import SALES_CSV, TEXT_COLUMNS, VISITS_CSV
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
+# CustomerID is read as text: exports write it as 17850 or 17850.0, and a
+# long parser would turn the second form into NULL without a word.
+SALES_READ = T.StructType([T.StructField(f.name, T.StringType()) if f.name == "CustomerID" else f
+                           for f in SALES_CSV.fields])
+
+
+def typed_sales(df: DataFrame) -> DataFrame:
+    """Raw CSV columns to the fixed retail schema: text blanks become '',
+    CustomerID becomes a bigint (NULL when blank or not a number)."""
+    cid = F.col("CustomerID").try_cast("double").cast("bigint").alias("CustomerID")
+    return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c in TEXT_COLUMNS
+                       else cid if c == "CustomerID" else F.col(c) for c in df.columns])
+
+
 def load_sales(spark: SparkSession, path: str) -> DataFrame:
     """S1 read side: retail CSV with a header, fixed schema.
 
@@ -21,9 +36,7 @@ def load_sales(spark: SparkSession, path: str) -> DataFrame:
     tests ``Description = ''``); Spark reads empty fields as NULL, so text
     columns are filled back.  Numeric blanks (CustomerID) stay NULL.
     """
-    df = spark.read.schema(SALES_CSV).options(**CSV_OPTIONS).csv(path)
-    return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c in TEXT_COLUMNS else F.col(c)
-                       for c in df.columns])
+    return typed_sales(spark.read.schema(SALES_READ).options(**CSV_OPTIONS).csv(path))
 
 
 def load_visits(spark: SparkSession, path: str) -> DataFrame:

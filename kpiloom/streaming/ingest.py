@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kpiloom.operators.cleaning import clean_sales
-from kpiloom.schema import SALES_CSV, TEXT_COLUMNS, VISITS_CSV
+from kpiloom.schema import VISITS_CSV
 from kpiloom.session import checkpoint_dir
-from kpiloom.sources.files import CSV_OPTIONS
+from kpiloom.sources.files import CSV_OPTIONS, SALES_READ, typed_sales
 
 
 def _checkpoint(spark: SparkSession, name: str, location: str | None) -> str:
@@ -26,12 +25,10 @@ def stream_sales_ingest(spark: SparkSession, source_dir: str, table_dir: str, *,
     otherwise the query keeps running.  The stream is stateless, so its
     checkpoint holds only the file log and offsets.
     """
-    reader = spark.readStream.schema(SALES_CSV).options(**CSV_OPTIONS)
+    reader = spark.readStream.schema(SALES_READ).options(**CSV_OPTIONS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.csv(source_dir)
-    raw = raw.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c in TEXT_COLUMNS else F.col(c)
-                       for c in raw.columns])
+    raw = typed_sales(reader.csv(source_dir))
     writer = (clean_sales(raw, date_format).writeStream.format("parquet").outputMode("append")
               .option("path", table_dir)
               .option("checkpointLocation", _checkpoint(spark, "sales", checkpoint_location)))

@@ -72,8 +72,10 @@ def test_load_sales_quoted_fields(spark, tmp_path):
     csv.write_text(
         "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
         '536370,22728,"ALARM CLOCK, PINK",24,12/1/2010 8:45,3.75,12583,France\n'
-        '536371,22729,"6"" DOILY",2,12/1/2010 9:00,1.25,,EIRE\n')
+        '536371,22729,"6"" DOILY",2,12/1/2010 9:00,1.25,,EIRE\n'
+        '536372,22730,MUG,1,12/1/2010 9:01,1.0,17850.0,EIRE\n')
     got = {r.InvoiceNo: r for r in clean_sales(load_sales(spark, str(csv)), "M/d/yyyy H:mm").collect()}
     assert got["536370"].Description == "Alarm Clock, Pink" and got["536370"].Quantity == 24
     assert got["536371"].Description == '6" Doily' and got["536371"].CustomerID is None
     assert got["536371"].Country == "Eire"
+    assert got["536372"].CustomerID == 17850
