@@ -52,12 +52,16 @@ def write_table(df: DataFrame, path: str, *, cluster_by: str | None = None,
     every Parquet row group covers a narrow range and later filters on the
     column skip row groups by their min/max statistics.  The sort is local
     (no shuffle, spills to disk), so it costs no extra pass over the input.
-    ``partition_by`` writes one folder per value (the sort puts that column
-    first, so each task writes its folders one after another and the rows
-    stay in ``cluster_by`` order inside them).
+    ``partition_by`` writes one folder per value.  A ``rebalance`` hint on
+    that column first lets AQE cut the rows into advisory-size tasks that each
+    hold one value (a value with a third of the rows is split, not given to
+    one task), so the table gets files of a useful size rather than one
+    small file per value from every upstream task.  The sort then puts that
+    column first, and the rows stay in ``cluster_by`` order inside it.
     """
     keys = [c for c in (partition_by, cluster_by) if c]
-    out = df.sortWithinPartitions(*keys) if keys else df
+    out = df.hint("rebalance", partition_by) if partition_by else df
+    out = out.sortWithinPartitions(*keys) if keys else out
     w = out.write.mode(mode)
     (w.partitionBy(partition_by) if partition_by else w).parquet(path)
     return df.sparkSession.read.parquet(path)
