@@ -1,14 +1,16 @@
 """The whole retail report as one job, with shared work done once.
 
-Run one by one, the fourteen per-customer analyses (K1, B1-B7, R1-R6) each
-aggregate the fact table by customer again, and nine monthly ones (V7, V8,
-V11, U1-U5, K2) each aggregate it by month.  ``retail_report`` builds one
-per-customer summary (revenue, distinct invoices, last purchase date,
-distinct purchase days) and one table of (month, customer) pairs with their
-revenue, writes both as reliable checkpoints, and derives those 23 analyses
-from them.  The time-based revenue analyses (V6-V11) run on revenue per
-(day, country), a table bounded by the calendar and the country list.
-V2-V5 reuse V1.  The rest read the table as usual.  Results equal the
+Run one by one, the analyses scan and aggregate the fact table again and
+again.  ``retail_report`` builds three shared tables once, each written as
+a reliable checkpoint:
+
+- a per-customer summary (revenue, distinct invoices, last purchase date,
+  distinct purchase days) for the 14 per-customer analyses K1, B1-B7, R1-R6;
+- (month, customer) pairs with their revenue for U1-U5 and K2;
+- revenue per (day, country), bounded by the calendar and the country list
+  at any scale, for the 7 time-based revenue entries V6-V11.
+
+V2-V5 reuse V1; the rest read the table as usual.  Results equal the
 registered queries one for one.
 """
 
@@ -19,8 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.operators import buckets, customers, economics, profile, revenue, rfm
 from kpiloom.functions.dates import month_start
+from kpiloom.operators import buckets, customers, economics, profile, revenue, rfm
 from kpiloom.operators.common import since
 from kpiloom.session import reliable_checkpoint
 
