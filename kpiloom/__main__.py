@@ -27,12 +27,15 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     run.add_argument("--format", choices=["parquet", "csv"], default="parquet")
     run.add_argument("--master", default=None, help="Spark master; default from spark-submit")
+    run.add_argument("--table-path", default=None,
+                     help="stable folder for the cleaned table: reused when present, written when missing")
     run.add_argument("names", nargs="*")
     rep = sub.add_parser("report", help="the whole retail report, shared work done once")
     rep.add_argument("--sf-dir", required=True)
     rep.add_argument("--out", required=True)
     rep.add_argument("--format", choices=["parquet", "csv"], default="parquet")
     rep.add_argument("--master", default=None)
+    rep.add_argument("--table-path", default=None)
     args = ap.parse_args(argv)
 
     qs = queries()
@@ -47,10 +50,13 @@ def main(argv: list[str] | None = None) -> int:
         from kpiloom import registry as R
         from kpiloom.plans.report import retail_report
         from kpiloom.sources.store import cleaned_sales
-        frames = retail_report(cleaned_sales(spark, args.sf_dir), R.START,
+        frames = retail_report(cleaned_sales(spark, args.sf_dir, args.table_path), R.START,
                                quarters=[f"Q{i} {R.QUARTER_YEAR}" for i in range(1, 5)],
                                bins=R.REV_BINS, revenue_cuts=R.REV_CUTS)
     else:
+        if args.table_path:  # the analyses read the stable table instead of building one
+            from kpiloom.sources.store import pin_cleaned_sales
+            pin_cleaned_sales(spark, args.sf_dir, args.table_path)
         frames = {name: qs[name](spark, args.sf_dir) for name in (args.names or list(qs))}
     for name, df in frames.items():
         w = df.write.mode("overwrite")

@@ -45,6 +45,19 @@ def _write(df: DataFrame, path: str) -> None:
     write_table(df, path, cluster_by="InvoiceDate", partition_by=PARTITION_COLUMN)
 
 
+def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    return (spark.conf.get("spark.app.id", "") or str(id(spark)), os.path.abspath(sf_dir))
+
+
+def pin_cleaned_sales(spark: SparkSession, sf_dir: str, table_path: str) -> DataFrame:
+    """Build (or reuse) the cleaned table at ``table_path`` and make every
+    later ``cleaned_sales(spark, sf_dir)`` in this application read it."""
+    df = cleaned_sales(spark, sf_dir, table_path)
+    with _LOCK:
+        _WRITTEN[_key(spark, sf_dir)] = table_path
+    return df
+
+
 def cleaned_sales(spark: SparkSession, sf_dir: str, table_path: str | None = None) -> DataFrame:
     """The cleaned retail table of ``sf_dir``, materialized once."""
     if table_path:
@@ -53,7 +66,7 @@ def cleaned_sales(spark: SparkSession, sf_dir: str, table_path: str | None = Non
         except AnalysisException:
             _write(build_cleaned_sales(spark, sf_dir), table_path)
             return spark.read.parquet(table_path)
-    key = (spark.conf.get("spark.app.id", "") or str(id(spark)), os.path.abspath(sf_dir))
+    key = _key(spark, sf_dir)
     with _LOCK:
         path = _WRITTEN.get(key)
         if path is None:

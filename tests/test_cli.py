@@ -18,3 +18,11 @@ def test_cli_report(spark, tmp_path):
     assert main(["report", "--sf-dir", SF_SMALL, "--out", str(out)]) == 0
     assert spark.read.parquet(str(out / "R5_rfm_segments")).count() > 0
     assert spark.read.parquet(str(out / "B3_revenue_intervals")).count() == 7
+
+
+def test_cli_table_path_reused(spark, tmp_path):
+    table = tmp_path / "sales"
+    for _ in range(2):  # second run reads the stable table
+        assert main(["run", "--sf-dir", SF_SMALL, "--out", str(tmp_path / "o"), "--table-path", str(table),
+                     "V8_monthly_revenue"]) == 0
+    assert (table / "_SUCCESS").exists()
