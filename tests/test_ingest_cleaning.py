@@ -79,3 +79,16 @@ def test_load_sales_quoted_fields(spark, tmp_path):
     assert got["536371"].Description == '6" Doily' and got["536371"].CustomerID is None
     assert got["536371"].Country == "Eire"
     assert got["536372"].CustomerID == 17850
+
+
+def test_dictionary_normalisation_equals_per_line(spark):
+    raw = sales_from_tables(spark, SF_SMALL)
+    per_line = sorted(map(tuple, clean_sales(raw).collect()), key=repr)
+    dictionary = clean_sales(raw, dictionary=True)
+    assert dictionary.columns == clean_sales(raw).columns
+    assert sorted(map(tuple, dictionary.collect()), key=repr) == per_line
+    # above the bound the same result comes from the per-line path
+    from kpiloom.operators.cleaning import fill_empty, normalise_text
+    capped = fill_empty(normalise_text(raw, dictionary=True, max_values=3))
+    assert sorted(map(tuple, capped.collect()), key=repr) == sorted(
+        map(tuple, fill_empty(normalise_text(raw)).collect()), key=repr)
