@@ -60,3 +60,34 @@ def test_exact_round_div_and_trunc(spark, pairs):
     want = [float((n / Decimal(d)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)) for n, d in pairs]
     assert [r[0] for r in got] == want
     assert [r[1] for r in got] == [int(n / 1000) * 1000 for n, _ in pairs]
+
+
+ROWS = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.integers(0, 2)), min_size=0, max_size=60)
+
+
+@settings(max_examples=8, deadline=None)
+@given(ROWS, st.integers(1, 7))
+def test_range_form_equals_window(spark, rows, tiles):
+    from kpiloom.plans.ranking import RankMethod, dense_rank, exact_percentiles, ntile, row_number
+    df = spark.createDataFrame([(i, v, g) for i, (v, g) in enumerate(rows)], "id long, v long, g long")
+    spark.conf.set("spark.kpiloom.rank.rowsPerPartition", "7")
+    try:
+        rng = RankMethod("range", max(1, len(rows)))
+
+        def same(a, b, cols):
+            return sorted(map(tuple, a.select(*cols).collect()), key=repr) == \
+                sorted(map(tuple, b.select(*cols).collect()), key=repr)
+
+        order = [("v", False), ("id", True)]
+        assert same(ntile(df, tiles, order, out="t", method="window"),
+                    ntile(df, tiles, order, out="t", method=rng), ["id", "t"])
+        assert same(dense_rank(df, [("v", True)], ["g"], out="r", method="window"),
+                    dense_rank(df, [("v", True)], ["g"], out="r", method=rng), ["id", "r"])
+        assert same(row_number(df, order, ["g"], out="r", method="window", total="n"),
+                    row_number(df, order, ["g"], out="r", method=rng, total="n"), ["id", "r", "n"])
+        probs = {"q0": 0.0, "q1": 0.3, "q2": 0.5, "q3": 1.0}
+        a = exact_percentiles(df, "v", probs, ["g"], method="window")
+        b = exact_percentiles(df, "v", probs, ["g"], method=rng)
+        assert same(a, b, ["g", *probs])
+    finally:
+        spark.conf.unset("spark.kpiloom.rank.rowsPerPartition")
