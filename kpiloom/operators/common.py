@@ -11,6 +11,8 @@ from kpiloom.functions.dates import year_start_on_or_after
 
 
 def _d(start) -> dt.date:
+    if isinstance(start, dt.datetime):  # a timestamp literal would not compare as a date
+        return start.date()
     return start if isinstance(start, dt.date) else dt.date.fromisoformat(str(start))
 
 
