@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -19,6 +20,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of repeated 50-byte strings removed from every document."""
+    from kpiloom.llm.suffix_dedup import suffix_dedup
+    out = suffix_dedup(documents(spark, sf_dir))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
     """Tokens of every document under the vocabulary file (``model_path``)."""
     from kpiloom.llm.token_counts import token_counts
@@ -30,6 +40,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, model_path: str | None =
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op10_token_counts": op10_token_counts,
 }
 
