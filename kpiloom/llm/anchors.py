@@ -18,12 +18,11 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from kpiloom.llm.arrays import U64, column_bytes, group_edges, mix, slices
-from kpiloom.llm.tables import by_bucket, join_blocks, list_array, pack, partitions
+from kpiloom.llm.tables import bucket_of, by_bucket, by_document, document_blocks, join_blocks, pack, partitions
 
-FLUSH = 1_500_000          # anchors settled together inside a map task
+FLUSH = 1_000_000          # anchors settled together inside a map task
 SEVERAL = -2**63           # document mark of a gram known to stand in several
 
 
@@ -52,11 +51,6 @@ def inside_task(grams: np.ndarray, ids: np.ndarray, positions: np.ndarray, n: in
         yield b, pack(*rows.get(b, none), *there.get(b, none[1:]))
 
 
-def bucket_of(h: np.ndarray, n: int) -> np.ndarray:
-    """Even buckets 0..n-1 from the upper half of a hash."""
-    return ((h >> U64(32)) * U64(n) >> U64(32)).astype(np.int64)
-
-
 def repeated_anchors(docs: DataFrame, find: Callable) -> DataFrame:
     """(id, positions): the anchors whose gram stands in at least two documents.
 
@@ -101,13 +95,10 @@ def repeated_anchors(docs: DataFrame, find: Callable) -> DataFrame:
             ids[1], pos[1] = i[keep], pos[1][order][keep]
         else:
             ids[1], pos[1] = ids[1][:0], pos[1][:0]
-        owner, lists = list_array(np.concatenate(ids), np.concatenate(pos).astype(np.int64))
-        if len(owner):
-            yield pa.RecordBatch.from_arrays([pa.array(owner), lists], names=["id", "positions"])
+        yield document_blocks(n, np.concatenate(ids), np.concatenate(pos))
 
     dealt = docs.select("id", "text").mapInArrow(deal, "bucket int, block binary").repartitionById(n, "bucket")
-    met = dealt.mapInArrow(meet, "id long, positions array<long>")
-    return met.groupBy("id").agg(F.flatten(F.collect_list("positions")).alias("positions"))
+    return by_document(dealt.mapInArrow(meet, "bucket int, block binary"), n, "positions")
 
 
 def chosen(first_in_doc: np.ndarray, doc: np.ndarray, positions: pa.ListArray) -> np.ndarray:

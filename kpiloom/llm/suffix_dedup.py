@@ -33,19 +33,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.anchors import bucket_of, chosen, repeated_anchors
-from kpiloom.llm.arrays import (BYTE_CODE, SLICE_BYTES, U64, column_bytes, group_edges, merge_spans, minimizers,
-                                mix, slices, span_hashes)
-from kpiloom.llm.tables import by_bucket, join_blocks, keyed, pack, partitions, stored
+from kpiloom.llm.arrays import BYTE_CODE, SLICE_BYTES, U64, column_bytes, group_edges, minimizers, mix
+from kpiloom.llm.repeats import repeated_spans, row_spans, window_starts
+from kpiloom.llm.tables import keyed, original_id
 
 LENGTH = 50
-GRAM = 16                  # leading bytes that choose the anchor and the bucket
-BLOCK_BYTES = 8 << 20      # block text settled together inside a map task
-SAMPLE_ONE_IN = 16         # repeated anchors sampled for the splitters (balance only)
+GRAM = 16                  # leading bytes that choose the anchor
 
 
 def words_at(data: np.ndarray, order: str = ">") -> np.ndarray:
@@ -54,221 +50,72 @@ def words_at(data: np.ndarray, order: str = ">") -> np.ndarray:
     return np.ndarray((len(data),), f"{order}u8", padded.data, 0, (1,))
 
 
-def byte_anchors(data: np.ndarray, offsets: np.ndarray, length: int):
-    """(gram hash, document, anchor, first window, last window) of a slice; positions in the slice."""
-    n = len(data)
-    outside = np.zeros(n + 1, np.int32)
-    np.add.at(outside, np.maximum(offsets[:-1], offsets[1:] - length + 1), 1)
-    np.add.at(outside, offsets[1:], -1)
-    starts_ok = np.cumsum(outside[:-1]) == 0
-    parts = []
-    for c in range(0, n, SLICE_BYTES):
-        sub = data[c:c + SLICE_BYTES + length - 1]
-        w = words_at(sub, "<").astype(U64)
-        h = w[:max(len(w) - 8, 0)] * U64(0x9FB21C651E98DF25) ^ w[8:] * U64(0xC2B2AE3D27D4EB4F)
-        h ^= h >> U64(29)
-        h *= U64(0x94D049BB133111EB)
-        anchor, first, last = minimizers((h >> U64(32)).astype(np.uint32), starts_ok[c:], length - GRAM + 1, length)
-        parts.append((mix(h[anchor]), anchor + c, first + c, last + c))
-    if not parts:
-        return [np.zeros(0, U64)] + [np.zeros(0, np.int64)] * 4
-    h, anchor, first, last = (np.concatenate(x) for x in zip(*parts))
-    doc = np.searchsorted(offsets, first, side="right") - 1
-    return h, doc, anchor, first, last
-
-
-def smallest_holder(body: np.ndarray, at: np.ndarray, ids: np.ndarray, length: int) -> np.ndarray:
-    """For each suffix (at) of ``body``: the smallest id among the suffixes equal to it
-    over ``length`` bytes.  Multikey quicksort, all open ranges a step at a time."""
-    word, best = words_at(body), ids.copy()
-    live, part = np.arange(len(at)), np.zeros(len(at), np.int64)
-    for depth in [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])]:
-        symbol = word[at[live] + depth].astype(U64)
-        order = np.lexsort((symbol, part[live])) if depth else np.argsort(symbol, kind="stable")
-        live = live[order]
-        edges = group_edges(part[live], symbol[order])
-        low, high = np.minimum.reduceat(ids[live], edges), np.maximum.reduceat(ids[live], edges)
-        size = np.diff(np.append(edges, len(live)))
-        keep = np.repeat(low != high, size)     # a range of one document repeats nothing
-        part[live] = np.repeat(np.arange(len(edges)), size)
-        low = np.repeat(low, size)[keep]
-        live = live[keep]
-        if not len(live):
-            return best
-    best[live] = low
-    return best
-
-
-def settle(body: np.ndarray, start: np.ndarray, anchor: np.ndarray, windows: np.ndarray, ids: np.ndarray,
-           length: int):
-    """Compare blocks of text around anchors.
-
-    Block b holds ``windows[b]`` windows from ``start[b]`` on in ``body``.
-    Returns (block, from, to) byte spans, relative to their block, covered by
-    windows that a smaller id holds too; and per block whether some window is
-    still without a smaller holder.
-    """
-    n = len(start)
-    if not n:
-        z = np.zeros(0, np.int64)
-        return z, z, z, np.zeros(0, bool)
-    key = span_hashes(BYTE_CODE[body], start, start + windows + length - 1)
-    key ^= mix(anchor.astype(U64) << U64(32) | windows.astype(U64))
-    order = np.lexsort((ids, key))
-    edges = group_edges(key[order])
-    group = np.empty(n, np.int64)
-    group[order] = np.repeat(np.arange(len(edges)), np.diff(np.append(edges, n)))
-    stand = order[edges]                        # one block for all equal ones, of the smallest id
-    least = ids[stand]
-    later = ids > least[group]                  # an equal block stands in a smaller document
-    # blocks around the same gram are compared window by window where they differ
-    word = words_at(body)
-    a = start[stand] + anchor[stand]
-    gram = mix(word[a].astype(U64)) ^ word[a + 8].astype(U64) * U64(0xC2B2AE3D27D4EB4F)
-    o = np.argsort(gram, kind="stable")
-    e = group_edges(gram[o])
-    mixed = np.minimum.reduceat(least[o], e) != np.maximum.reduceat(least[o], e)
-    some = o[np.repeat(mixed, np.diff(np.append(e, len(o))))]
-    nw = windows[stand[some]]
-    of = np.repeat(np.arange(len(some)), nw)
-    off = np.arange(len(of)) - np.repeat(np.cumsum(nw) - nw, nw)
-    mine = least[some][of]
-    held = smallest_holder(body, start[stand[some]][of] + off, mine, length) < mine if len(of) else np.zeros(0, bool)
-    # runs of held windows of each compared block
-    run = np.flatnonzero(held & np.r_[True, ~held[:-1] | (of[1:] != of[:-1])]) if len(of) else of
-    stop = np.flatnonzero(held & np.r_[~held[1:] | (of[1:] != of[:-1]), True]) if len(of) else of
-    span_group, span_from, span_to = some[of[run]], off[run], off[stop] + length
-    open_ = np.ones(len(stand), bool)
-    open_[some] = np.bincount(of[~held], minlength=len(some)) > 0
-    # to every block: whole, or the runs of its group
-    first_of = np.flatnonzero(~later)
-    by_group = first_of[np.argsort(group[first_of], kind="stable")]
-    lo = np.searchsorted(group[by_group], span_group, side="left")
-    hi = np.searchsorted(group[by_group], span_group, side="right")
-    rep = np.repeat(np.arange(len(span_group)), hi - lo)
-    member = by_group[np.repeat(lo, hi - lo) + np.arange(len(rep)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo)]
-    whole = np.flatnonzero(later)
-    return (np.concatenate([whole, member]), np.concatenate([np.zeros(len(whole), np.int64), span_from[rep]]),
-            np.concatenate([windows[whole] + length - 1, span_to[rep]]), ~later & open_[group])
-
-
-def gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pieces of ``data`` one after another, and where each begins."""
-    begin = np.cumsum(size) - size
-    return data[np.arange(int(size.sum())) + np.repeat(start - begin, size)], begin
-
-
-def document_spans(ids: np.ndarray, variant: np.ndarray, start: np.ndarray, end: np.ndarray):
-    """Spans of each document merged: columns (id, variant, start, end)."""
-    order = np.lexsort((start, variant, ids))
-    i, v, s, e = ids[order], variant[order], start[order], end[order]
-    edges = group_edges(i, v)
-    if not len(edges):
-        return i, v, s, e
-    # shift documents apart so that one merge serves all
-    doc = np.repeat(np.arange(len(edges)), np.diff(np.append(edges, len(i))))
-    step = int(e.max()) + 2
-    s, e = merge_spans(s + doc * step, e + doc * step)
-    doc = s // step
-    return i[edges][doc], v[edges][doc], s - doc * step, e - doc * step
-
-
-def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
-    """(id, spans): flat triples (variant, start, end) of the bytes to remove."""
-    spark = docs.sparkSession
-    n = partitions(spark)
-
-    def find(data, offsets):
-        h, doc, anchor, _, _ = byte_anchors(data, offsets, length)
-        return h, doc, anchor - offsets[doc]
-
-    found = stored(repeated_anchors(docs, find))
-
-    def blocks(batches):
-        """Blocks of text around the listed anchors of each slice of documents."""
-        for batch in batches:
-            ids, variant = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            data, offsets = column_bytes(batch.column(1))
-            for i, j in slices(offsets):
-                text, off = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
-                _, doc, anchor, first, last = byte_anchors(text, off, length)
-                keep = chosen(anchor - off[doc], doc, batch.column(3).slice(i, j - i))
-                doc, anchor, first, last = doc[keep], anchor[keep], first[keep], last[keep]
-                if len(doc):
-                    body, begin = gather(text, first, last - first + length)
-                    yield (body, begin, anchor - first, last - first + 1, ids[i:j][doc], variant[i:j][doc],
-                           first - off[doc])
-
-    def together(parts):
-        """Several parts as one (block starts shifted)."""
-        shift = np.cumsum([0, *(len(p[0]) for p in parts)])
-        cols = [np.concatenate(x) for x in zip(*parts)]
-        cols[1] = np.concatenate([p[1] + s for p, s in zip(parts, shift)])
-        return cols
-
-    def sample(batches):
-        for body, begin, anchor, *_ in blocks(batches):
-            lead = words_at(body)[begin + anchor].astype(U64)
-            lead = lead[mix(lead) % U64(SAMPLE_ONE_IN) == 0]
-            yield pa.RecordBatch.from_arrays([pa.array((lead >> U64(1)).astype(np.int64))], names=["lead"])
-
-    joined = docs.select("id", "text", "variant").join(found, "id").select("id", "text", "variant", "positions")
-    cuts = splitters(docs.join(found, "id").where(F.xxhash64("id", "variant") % SAMPLE_ONE_IN == 0)
-                     .select("id", "text", "variant", "positions").mapInArrow(sample, "lead long"), n)
-
-    def deal(batches):
-        held, have = [], 0
-        for part in blocks(batches):
-            held.append(part)
-            have += len(part[0])
-            if have >= BLOCK_BYTES:
-                yield flush(together(held))
-                held, have = [], 0
-        if held:
-            yield flush(together(held))
-
-    def flush(cols):
-        body, begin, anchor, windows, ids, variant, first = cols
-        block, s, e, still = settle(body, begin, anchor, windows, ids, length)
-        done = document_spans(ids[block], variant[block], first[block] + s, first[block] + e)
-        there = dict(by_bucket(bucket_of(mix(done[0].astype(U64)), n), *done))
-        o = np.flatnonzero(still)
-        lead = words_at(body)[begin[o] + anchor[o]].astype(U64) >> U64(1)
-        rows = dict(by_bucket(np.searchsorted(cuts, lead.astype(np.int64), side="right"), o))
-        out = []
-        for b in sorted({*rows, *there}):
-            mine = rows[b][0] if b in rows else o[:0]
-            text, _ = gather(body, begin[mine], windows[mine] + length - 1)
-            out.append((b, pack(text, anchor[mine].astype(np.uint8), windows[mine].astype(np.uint8), ids[mine],
-                                variant[mine], first[mine], *there.get(b, [x[:0] for x in done]))))
-        return pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()),
-                                           pa.array([x for _, x in out], pa.binary())], names=["bucket", "block"])
-
-    def meet(batches):
-        packed = [b.column(1)[k].as_py() for b in batches for k in range(b.num_rows)]
-        if not packed:
-            return
-        text, anchor, windows, ids, variant, first, *done = join_blocks(packed)
-        windows = windows.astype(np.int64)
-        size = windows + length - 1
-        block, s, e, _ = settle(text, np.cumsum(size) - size, anchor.astype(np.int64), windows, ids, length)
-        new = ids[block], variant[block], first[block] + s, first[block] + e
-        ids, variant, s, e = document_spans(*(np.concatenate(x) for x in zip(done, new)))
-        edges = group_edges(ids)
-        if len(edges):
-            flat = np.stack([variant, s, e], axis=1).reshape(-1)
-            lists = pa.ListArray.from_arrays(pa.array(np.append(edges, len(ids)).astype(np.int32) * 3), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[edges]), lists], names=["id", "spans"])
-
-    dealt = joined.mapInArrow(deal, "bucket int, block binary").repartitionById(n, "bucket")
-    met = dealt.mapInArrow(meet, "id long, spans array<long>")
-    return met.groupBy("id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-
-
-def splitters(leads: DataFrame, n: int) -> np.ndarray:
-    """n - 1 sampled quantiles of the suffixes' leading bytes (n numbers on the driver)."""
-    got = leads.agg(F.percentile_approx("lead", [i / n for i in range(1, n)], 20 * n)).first()[0] if n > 1 else None
-    return np.unique(np.array(got or [], np.int64))
+class Bytes:
+    """Text as bytes; suffixes sorted by multikey quicksort in range-partitioned buckets."""
+
+    def __init__(self, length: int):
+        self.length = length
+
+    def anchors(self, data, offsets):
+        starts_ok = window_starts(offsets, self.length)
+        parts = []
+        for c in range(0, len(data), SLICE_BYTES):
+            sub = data[c:c + SLICE_BYTES + self.length - 1]
+            w = words_at(sub, "<").astype(U64)
+            h = w[:max(len(w) - 8, 0)] * U64(0x9FB21C651E98DF25) ^ w[8:] * U64(0xC2B2AE3D27D4EB4F)
+            h ^= h >> U64(29)
+            h *= U64(0x94D049BB133111EB)
+            anchor, first, last = minimizers((h >> U64(32)).astype(np.uint32), starts_ok[c:],
+                                             self.length - GRAM + 1, self.length)
+            parts.append((mix(h[anchor]), anchor + c, first + c, last + c))
+        none = np.zeros(0, np.int64)
+        h, anchor, first, last = (np.concatenate(x) for x in zip(*parts)) if parts else (none.astype(U64), *[none] * 3)
+        return data, offsets, h, np.searchsorted(offsets, first, side="right") - 1, anchor, first, last
+
+    @staticmethod
+    def codes(body):
+        return BYTE_CODE[body]
+
+    @staticmethod
+    def gram(body, at):
+        word = words_at(body)
+        return mix(word[at].astype(U64)) ^ word[at + 8].astype(U64) * U64(0xC2B2AE3D27D4EB4F)
+
+    def smallest_holder(self, body: np.ndarray, at: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """For each suffix (at) of ``body``: the smallest id among the suffixes equal to it over
+        ``length`` bytes.  Multikey quicksort, all open ranges a step at a time."""
+        word, best = words_at(body), ids.copy()
+        live, part = np.arange(len(at)), np.zeros(len(at), np.int64)
+        for depth in [*range(0, self.length - 7, 8), *([self.length - 8] if self.length % 8 else [])]:
+            symbol = word[at[live] + depth].astype(U64)
+            order = np.lexsort((symbol, part[live])) if depth else np.argsort(symbol, kind="stable")
+            live = live[order]
+            edges = group_edges(part[live], symbol[order])
+            low, high = np.minimum.reduceat(ids[live], edges), np.maximum.reduceat(ids[live], edges)
+            size = np.diff(np.append(edges, len(live)))
+            keep = np.repeat(low != high, size)     # a range of one document repeats nothing
+            part[live] = np.repeat(np.arange(len(edges)), size)
+            low = np.repeat(low, size)[keep]
+            live = live[keep]
+            if not len(live):
+                return best
+        best[live] = low
+        return best
+
+    @staticmethod
+    def leads(body, at):
+        return (words_at(body)[at].astype(U64) >> U64(1)).astype(np.int64)[:, None]
+
+    @staticmethod
+    def plan(leads: DataFrame, n: int) -> np.ndarray:
+        """n - 1 splitters: sampled quantiles of the leading bytes (n numbers on the driver)."""
+        if n < 2:
+            return np.zeros(0, np.int64)
+        cuts = F.percentile_approx(F.col("lead")[0], [i / n for i in range(1, n)], 20 * n)
+        return np.unique(np.array(leads.agg(cuts).first()[0] or [], np.int64))
+
+    def deal(self, plan, body, at, n):
+        return np.searchsorted(plan, self.leads(body, at)[:, 0], side="right")
 
 
 def suffix_dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
@@ -276,24 +123,16 @@ def suffix_dedup(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     if not 24 <= length <= 128:
         raise ValueError("length must be 24 to 128 bytes")
     docs = keyed(df, id_col, text_col)
-    spans = repeated_spans(docs.select("id", "text", "variant"), length)
-    both = docs.select("id", "text", "variant", "original").join(spans, "id", "left") \
-        .select("original", "text", "variant", "spans")
+    spans = repeated_spans(docs, Bytes(length))
+    both = docs.join(spans, "id", "left").select(original_id(df, id_col), "text", "variant", "spans")
 
     def cut(batches):
         for batch in batches:
             data, offsets = column_bytes(batch.column(1))
-            raw, variant = data.tobytes(), batch.column(2).to_numpy()
-            flat = batch.column(3).flatten().to_numpy().reshape(-1, 3)
-            lists = batch.column(3)
-            at = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0)
-                                                .to_numpy() // 3)])
+            raw = data.tobytes()
             kept, count, starts, ends = [], [], [], []
-            for k in range(batch.num_rows):
+            for k, (s, e) in enumerate(row_spans(batch, 2, 3)):
                 a, b = offsets[k], offsets[k + 1]
-                mine = flat[at[k]:at[k + 1]]
-                mine = mine[mine[:, 0] == variant[k]]
-                s, e = merge_spans(mine[:, 1], mine[:, 2])
                 count.append(len(s))
                 starts.append(s)
                 ends.append(e)

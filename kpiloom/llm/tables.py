@@ -7,9 +7,10 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kpiloom.llm.arrays import mix
 from kpiloom.session import checkpoint_dir
 
 LAST = 2**63 - 1           # stands for a null id: after every other
@@ -36,11 +37,17 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text, variant, original id): the id as a never-null long key, and a
-    hash of the text that tells rows apart which share an id."""
+    """(id, text, variant): the id as a never-null long key (null, like ``LAST``
+    itself, orders after all others and returns as null), and a hash of the
+    text that tells rows apart which share an id."""
     text = F.coalesce(df[text_col].cast("string"), F.lit(""))
     return df.select(F.coalesce(df[id_col].cast("long"), F.lit(LAST)).alias("id"), text.alias("text"),
-                     F.xxhash64(text).alias("variant"), df[id_col].alias("original"))
+                     F.xxhash64(text).alias("variant"))
+
+
+def original_id(df: DataFrame, id_col: str) -> Column:
+    """The column ``id`` of ``keyed`` in its first form."""
+    return F.nullif("id", F.lit(LAST)).cast(df.schema[id_col].dataType).alias(id_col)
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -85,10 +92,31 @@ def by_bucket(bucket: np.ndarray, *arrays: np.ndarray):
         yield int(b[i]), [a[order[i:j]] for a in arrays]
 
 
-def list_array(owner: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """Values grouped by owner: the distinct owners and a list of values for each."""
-    order = np.argsort(owner, kind="stable")
-    o = owner[order]
-    cut = np.flatnonzero(np.r_[True, o[1:] != o[:-1]]) if len(o) else np.zeros(0, np.int64)
-    offsets = np.append(cut, len(o)).astype(np.int32)
-    return o[cut], pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[order]))
+def bucket_of(h: np.ndarray, n: int) -> np.ndarray:
+    """Even buckets 0..n-1 from the upper half of a hash."""
+    return ((h >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+
+
+def document_blocks(n: int, ids: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+    """(bucket, block) rows that deal facts about documents to buckets by id."""
+    out = [(b, pack(*x)) for b, x in by_bucket(bucket_of(mix(ids.astype(np.uint64)), n), ids, *columns)]
+    return pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()),
+                                       pa.array([x for _, x in out], pa.binary())], names=["bucket", "block"])
+
+
+def by_document(blocks: DataFrame, n: int, name: str) -> DataFrame:
+    """(id, name): the facts of ``document_blocks`` rows, one flat list per document."""
+    def lists(batches):
+        packed = [b.column(1)[k].as_py() for b in batches for k in range(b.num_rows)]
+        if not packed:
+            return
+        ids, *columns = join_blocks(packed)
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        cut = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else np.zeros(0, np.int64)
+        flat = np.stack([c[order].astype(np.int64) for c in columns], axis=1).reshape(-1)
+        offsets = np.append(cut, len(ids)).astype(np.int32) * len(columns)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[cut]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
+                                         names=["id", name])
+
+    return blocks.repartitionById(n, "bucket").mapInArrow(lists, f"id long, {name} array<long>")

@@ -7,6 +7,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from kpiloom.llm import repeats as R
 from kpiloom.llm import suffix_dedup as S
 from kpiloom.llm.queries import QUERIES
 from tests.llm.conftest import make_docs, repeated_texts
@@ -68,12 +69,13 @@ def test_blocks_settle_like_brute_force(texts, rnd):
     raw = [t.encode() for t in texts]
     data = np.frombuffer(b"".join(raw), np.uint8)
     off = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
-    _, doc, anchor, first, last = S.byte_anchors(data, off, length)
+    kind = S.Bytes(length)
+    _, _, _, doc, anchor, first, last = kind.anchors(data, off)
     assert int((last - first + 1).sum()) == sum(max(0, len(x) - length + 1) for x in raw)
     if not len(doc):
         return
-    body, begin = S.gather(data, first, last - first + length)
-    block, s, e, _ = S.settle(body, begin, anchor - first, last - first + 1, doc, length)
+    body, begin = R.gather(data, first, last - first + length)
+    block, s, e, _ = R.settle(kind, body, begin, anchor - first, last - first + 1, doc)
     gone = np.zeros(len(data), bool)
     for b, x, y in zip(block, first[block] + s, first[block] + e):
         gone[x:y] = True
