@@ -29,6 +29,36 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of repeated 50-word windows removed from every document."""
+    from kpiloom.llm.substring_dedup import substring_dedup
+    out = substring_dedup(documents(spark, sf_dir))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return out.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of every document; learns from the folds 0 and 2 of 3."""
+    from kpiloom.llm.quality import quality_scores
+    return quality_scores(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of every document; learns from the folds 1 to 4 of 5."""
+    from kpiloom.llm.toxicity import toxicity_scores
+    return toxicity_scores(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingle sets are at least 80 % similar."""
+    from kpiloom.llm.lsh_forest import near_duplicates
+    return near_duplicates(documents(spark, sf_dir), shingle=4, percent=80)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
     """Tokens of every document under the vocabulary file (``model_path``)."""
     from kpiloom.llm.token_counts import token_counts
@@ -41,6 +71,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, model_path: str | None =
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_toxicity": op7_toxicity,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_token_counts": op10_token_counts,
 }
 
