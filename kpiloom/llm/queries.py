@@ -29,6 +29,12 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that a mix of the sources with weights 1, 2, 3 takes."""
+    from kpiloom.llm.pareto_mix import pareto_mix
+    return pareto_mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of repeated 50-word windows removed from every document."""
     from kpiloom.llm.substring_dedup import substring_dedup
@@ -59,6 +65,14 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), shingle=4, percent=80)
 
 
+def op9_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards of near equal bytes."""
+    from kpiloom.llm.kd_shards import kd_shards
+    return kd_shards(documents(spark, sf_dir), shards=8) \
+        .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
     """Tokens of every document under the vocabulary file (``model_path``)."""
     from kpiloom.llm.token_counts import token_counts
@@ -71,10 +85,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, model_path: str | None =
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
+    "op3_pareto_mix": op3_pareto_mix,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_toxicity": op7_toxicity,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_kd_tree_shards": op9_kd_tree_shards,
     "op10_token_counts": op10_token_counts,
 }
 
