@@ -35,6 +35,12 @@ def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pareto_mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the best window of each pair."""
+    from kpiloom.llm.simhash_leaks import leaks
+    return leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of repeated 50-word windows removed from every document."""
     from kpiloom.llm.substring_dedup import substring_dedup
@@ -86,6 +92,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, model_path: str | None =
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op3_pareto_mix": op3_pareto_mix,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_toxicity": op7_toxicity,
