@@ -39,11 +39,12 @@ from pyspark.sql import functions as F
 
 from kpiloom.llm.arrays import BASE, LOWER_CODE, U64, column_bytes, group_edges, mix, slices, word_hashes
 from kpiloom.llm.components import components
-from kpiloom.llm.tables import LAST, bucket_of, by_bucket, join_blocks, keyed, original_id, pack, partitions, stored
+from kpiloom.llm.tables import (LAST, bucket_of, by_bucket, join_blocks, key_columns, keyed, original_id, pack,
+                                partitions, stored)
 
 ORDERS, DEPTH = 32, 4
 VALUES = ORDERS * DEPTH
-WIDTH = 8                  # neighbours proposed on an order; regions of up to 9 documents are compared in full
+WIDTHS = ((9, 8), (32, 4), (None, 1))  # (documents of a region, neighbours proposed on the order): small ones in full
 BEST = 2                   # candidates of each document confirmed before the rest
 HOT = 64                   # documents of a region that a map task sends on
 FLUSH = 40_000             # documents dealt together inside a map task
@@ -55,7 +56,7 @@ def shingle_sets(words: np.ndarray, before: np.ndarray, k: int) -> tuple[np.ndar
     if not len(words):
         return np.zeros(0, U64), np.zeros(n, np.int64)
     h = words.copy()
-    for j in range(1, k):
+    for j in range(1, min(k, len(h))):
         h[:len(h) - j] = mix(h[:len(h) - j] * U64(BASE) ^ words[j:])
     parts = []
     for i in range(n):
@@ -100,12 +101,14 @@ def sketch_columns(sets: np.ndarray, ends: np.ndarray):
 
 def neighbours(key: np.ndarray, deep: np.ndarray, ids: np.ndarray, size: np.ndarray,
                percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs (x, y) of each region (equal ``key``): up to WIDTH neighbours before it on the
-    sorted order and the region's smallest id, if the sizes allow the similarity."""
+    """Candidate pairs (x, y) of each region (equal ``key``): the neighbours before x on the sorted
+    order, as many as WIDTHS gives the region, and its smallest id, if the sizes allow the similarity."""
     order = np.lexsort((ids, deep, key))
     k, i, s = key[order], ids[order], size[order]
     edges = group_edges(k)
-    region = np.repeat(np.arange(len(edges)), np.diff(np.append(edges, len(k))))
+    count = np.diff(np.append(edges, len(k)))
+    region = np.repeat(np.arange(len(edges)), count)
+    width = np.select([count <= most for most, _ in WIDTHS[:-1]], [w for _, w in WIDTHS[:-1]], WIDTHS[-1][1])[region]
     x, y = [], []
 
     def offer(a, b):
@@ -114,8 +117,8 @@ def neighbours(key: np.ndarray, deep: np.ndarray, ids: np.ndarray, size: np.ndar
         y.append(i[b[ok]])
 
     every = np.arange(len(k))
-    for d in range(1, min(WIDTH, len(k) - 1) + 1):
-        a = every[d:][region[d:] == region[:-d]]
+    for d in range(1, min(max(w for _, w in WIDTHS), len(k) - 1) + 1):
+        a = every[d:][(region[d:] == region[:-d]) & (width[d:] >= d)]
         offer(a, a - d)
     if len(k):
         by_id = np.lexsort((i, region))
@@ -193,8 +196,8 @@ def propose(base: DataFrame, percent: int) -> DataFrame:
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): the pairs whose full sets are similar enough."""
-    one = pairs.join(sets.select(F.col("id").alias("x"), F.col("shingles").alias("left")), "x")
-    both = one.join(sets.select(F.col("id").alias("y"), F.col("shingles").alias("right")), "y") \
+    one = pairs.join(sets.select(F.col("id").alias("x"), F.col("shingles").alias("left")).hint("merge"), "x")
+    both = one.join(sets.select(F.col("id").alias("y"), F.col("shingles").alias("right")).hint("merge"), "y") \
         .select("x", "y", "left", "right")
 
     def check(batches):
@@ -215,7 +218,26 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                     percent: int = 80) -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row."""
+    out = row_components(keyed(df, id_col, text_col), shingle, percent)
+    kept = F.coalesce(F.col("id") == F.col("component"), F.lit(True))
+    return out.select(original_id(df, id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
+                      kept.alias("kept"))
+
+
+def without_near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
+                            percent: int = 80) -> DataFrame:
+    """One row of each component, all columns unchanged: the smallest id (of rows that share it, one)."""
     docs = keyed(df, id_col, text_col)
+    rows = row_components(docs, shingle, percent)
+    stay = rows.groupBy(F.coalesce("component", "variant").alias("group"), F.col("component").isNull().alias("unnamed")) \
+        .agg(F.min(F.struct("id", "variant")).alias("first")).select("first.id", "first.variant")
+    marked = df.withColumns({f"_{c}": x for c, x in key_columns(df, id_col, text_col).items()})
+    return marked.join(stay, (marked["_id"] == stay["id"]) & (marked["_variant"] == stay["variant"]), "left_semi") \
+        .dropDuplicates(["_id", "_variant"]).drop("_id", "_variant")
+
+
+def row_components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(id, variant, n, component) of every row of ``keyed`` documents; null component for a null id."""
 
     def sketch(batches):
         for batch in batches:
@@ -225,13 +247,13 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                 words, before, _, _ = word_hashes(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], LOWER_CODE)
                 size, one, two, keys, deep = sketch_columns(*shingle_sets(words, before, shingle))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(i, j - i), pa.array(size), pa.array(one), pa.array(two),
+                    [ids.slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(size), pa.array(one), pa.array(two),
                      pa.array([x.tobytes() for x in keys], pa.binary()),
                      pa.array([x.tobytes() for x in deep], pa.binary())],
-                    names=["id", "n", "one", "two", "keys", "deep"])
+                    names=["id", "variant", "n", "one", "two", "keys", "deep"])
 
-    base = stored(docs.select("id", "text").mapInArrow(
-        sketch, "id long, n long, one long, two long, keys binary, deep binary"))
+    base = stored(docs.select("id", "text", "variant").mapInArrow(
+        sketch, "id long, variant long, n long, one long, two long, keys binary, deep binary"))
     real = base.where((F.col("n") > 0) & (F.col("id") < LAST))
     classes = stored(real.groupBy("one", "two", "n").agg(F.min(F.struct("id", "keys", "deep")).alias("least")))
     candidates = stored(propose(classes.select("least.id", "n", "least.keys", "least.deep"), percent))
@@ -250,7 +272,7 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                      pa.array([sets[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())],
                     names=["id", "shingles"])
 
-    sets = stored(docs.select("id", "text").join(needed, "id").mapInArrow(hashed, "id long, shingles binary")
+    sets = stored(docs.select("id", "text").join(needed.hint("merge"), "id").mapInArrow(hashed, "id long, shingles binary")
                   .where(F.length("shingles") > 0))
 
     top = F.slice(F.sort_array(F.collect_list(F.struct("hits", F.negative("y").alias("z"))), asc=False), 1, BEST)
@@ -263,10 +285,8 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         .where(F.coalesce("x_in", "x") != F.coalesce("y_in", "y")).select("x", "y").join(best, ["x", "y"], "left_anti")
     found = components(links.unionByName(confirm(rest, sets, percent)))
 
-    least = base.select("id", "n", "one", "two") \
+    least = base.select("id", "variant", "n", "one", "two") \
         .join(classes.select("one", "two", "n", F.col("least.id").alias("least")), ["one", "two", "n"], "left")
-    out = least.join(found.select(F.col("node").alias("least"), "component"), "least", "left") \
-        .select(original_id(df, id_col).alias("_id"), F.col("n").alias("n_shingles"),
-                F.when(F.col("id") < LAST, F.coalesce("component", "least", "id")).alias("component_id"))
-    return out.select(F.col("_id").alias(id_col), "n_shingles", "component_id",
-                      F.coalesce(F.col("_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    return least.join(found.select(F.col("node").alias("least"), "component"), "least", "left") \
+        .select("id", "variant", "n",
+                F.when(F.col("id") < LAST, F.coalesce("component", "least", "id")).alias("component"))

@@ -21,7 +21,7 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, records_per_file: int = 0) -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
 
     Cuts the lineage: a lost executor re-reads files.  The folder is removed
@@ -29,20 +29,26 @@ def stored(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/kpiloom-llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", records_per_file).parquet(path)
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text, variant): the id as a never-null long key (null, like ``LAST``
-    itself, orders after all others and returns as null), and a hash of the
-    text that tells rows apart which share an id."""
+def key_columns(df: DataFrame, id_col: str, text_col: str) -> dict[str, Column]:
+    """``id``: the id as a never-null long (null, like ``LAST`` itself, orders after
+    all others and returns as null); ``variant``: a hash of the text, which tells
+    rows apart that share an id."""
     text = F.coalesce(df[text_col].cast("string"), F.lit(""))
-    return df.select(F.coalesce(df[id_col].cast("long"), F.lit(LAST)).alias("id"), text.alias("text"),
-                     F.xxhash64(text).alias("variant"))
+    return {"id": F.coalesce(df[id_col].cast("long"), F.lit(LAST)), "variant": F.xxhash64(text)}
+
+
+def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, variant) of every row, see ``key_columns``; null text is the empty text."""
+    key = key_columns(df, id_col, text_col)
+    return df.select(key["id"].alias("id"), F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"),
+                     key["variant"].alias("variant"))
 
 
 def original_id(df: DataFrame, id_col: str) -> Column:
