@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.llm.arrays import SPACE, column_bytes
@@ -30,15 +30,14 @@ from kpiloom.llm.tables import stored
 
 RANK_BITS, STEP = 48, 12
 MOST = 3                   # times a document may be taken
+BROADCAST_SOURCES = 100_000            # sources (about 100 bytes each) up to which their table is broadcast
 
 
 def word_counts(df: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     """(id, source, src, size, h): words and draw hash of every row; src sorts by code point, null last."""
-    source = df[source_col].cast("string")
-    text = F.coalesce(df[text_col].cast("string"), F.lit(""))
-    thin = df.select(df[id_col].alias("id"), df[source_col].alias("source"),
-                     F.when(source.isNull(), "1").otherwise(F.concat(F.lit("0"), source)).alias("src"),
-                     F.xxhash64(text, df[id_col]).alias("h"), text.alias("text"))
+    keys = row_keys(df, id_col, text_col, source_col)
+    thin = df.select(df[id_col].alias("id"), df[source_col].alias("source"), keys["src"].alias("src"),
+                     keys["h"].alias("h"), df[text_col].cast("string").alias("text"))
 
     def run(batches):
         for batch in batches:
@@ -75,21 +74,33 @@ def targets(rows: DataFrame, weights: tuple[float, ...], most: float) -> DataFra
         .select("src", "source_size", F.least("cap", F.col("level") * F.col("w")).alias("target"))
 
 
-def pareto_mix(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-               weights: tuple[float, ...] = (1, 2, 3), most: int = MOST, seed: int = 0) -> DataFrame:
-    """(id, source, size, source_size, target, taken) of every row."""
-    rows = stored(word_counts(df, id_col, text_col, source_col))
-    shares = stored(targets(rows, weights, most))
+def row_keys(df: DataFrame, id_col: str, text_col: str, source_col: str) -> dict[str, Column]:
+    """``src``: the source, sorting by code point with null last; ``h``: the draw hash of the row."""
+    source, text = df[source_col].cast("string"), F.coalesce(df[text_col].cast("string"), F.lit(""))
+    return {"src": F.when(source.isNull(), "1").otherwise(F.concat(F.lit("0"), source)),
+            "h": F.xxhash64(text, df[id_col])}
+
+
+def ranks(seed: int) -> Column:
+    """Order of u/(1-u) over p/(1-p), as a number of RANK_BITS bits."""
+    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "h"), 12) + 0.5) / 2.0 ** 52
+    ahead = u * (1 - F.col("p"))
+    return F.floor(ahead / (ahead + F.col("p") * (1 - u)) * 2.0 ** RANK_BITS).cast("long")
+
+
+def source_cuts(rows: DataFrame, weights: tuple[float, ...], most: float, seed: int) -> DataFrame:
+    """(src, source_size, target, whole, p, prefix, cut): what each source takes.
+
+    A row of the source is taken ``whole`` times, and once more if its rank is
+    in a class below ``prefix`` or up to ``cut`` (rank, h).
+    """
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     near = F.abs(each - F.round(each)) < 1e-9
-    shares = shares.withColumn("whole", F.when(near, F.round(each)).otherwise(F.floor(each)).cast("long")) \
-        .withColumn("p", F.when(near, 0.0).otherwise(each - F.floor(each))) \
-        .withColumn("left", F.col("target") - F.col("whole") * F.col("source_size"))
-    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "h"), 12) + 0.5) / 2.0 ** 52
-    # order of u/(1-u) over p/(1-p), as a number between 0 and 1
-    rank = u * (1 - F.col("p")) / (u * (1 - F.col("p")) + F.col("p") * (1 - u))
-    ranked = rows.join(shares, "src").withColumn("rank", F.floor(rank * 2.0 ** RANK_BITS).cast("long"))
-    part = ranked.where("p > 0")
+    shares = stored(targets(rows, weights, most)
+                    .withColumn("whole", F.when(near, F.round(each)).otherwise(F.floor(each)).cast("long"))
+                    .withColumn("p", F.when(near, 0.0).otherwise(each - F.floor(each)))
+                    .withColumn("left", F.col("target") - F.col("whole") * F.col("source_size")))
+    part = rows.join(shares.where("p > 0").select("src", "p"), "src").withColumn("rank", ranks(seed))
     state = shares.where("p > 0").select("src", F.lit(0).cast("long").alias("prefix"), F.col("left").alias("want"))
     for shift in (RANK_BITS - STEP, RANK_BITS - 2 * STEP):
         now = part.join(state, "src").where(F.shiftright("rank", shift + STEP) == F.col("prefix"))
@@ -100,15 +111,37 @@ def pareto_mix(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         state = stored(run.groupBy("src").agg(F.coalesce(hit, last).alias("x"))
                        .select("src", F.col("x.class").alias("prefix"), (F.col("x.want") - F.col("x.upto") + F.col("x.w"))
                                .alias("want")))
-    shift = RANK_BITS - 2 * STEP
-    final = part.join(state, "src").where(F.shiftright("rank", shift) == F.col("prefix"))
+    final = part.join(state, "src").where(F.shiftright("rank", RANK_BITS - 2 * STEP) == F.col("prefix"))
     order = Window.partitionBy("src").orderBy("rank", "h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     taken = final.withColumn("upto", F.sum("size").over(order)) \
         .where(F.col("upto") - F.col("size") / 2 <= F.col("want")) \
         .groupBy("src").agg(F.max(F.struct("rank", "h")).alias("cut"))
-    ends = state.join(taken, "src", "left").select("src", "prefix", "cut")
-    chosen = (F.shiftright("rank", shift) < F.col("prefix")) | (F.struct("rank", "h") <= F.col("cut"))
-    return ranked.join(ends, "src", "left") \
-        .select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
-                (F.col("size") * (F.col("whole") + F.when((F.col("p") > 0) & chosen, 1).otherwise(0))).alias("taken"),
-                (F.col("whole") + F.when((F.col("p") > 0) & chosen, 1).otherwise(0)).alias("copies"), "h")
+    return stored(shares.drop("left").join(state.drop("want"), "src", "left").join(taken, "src", "left"))
+
+
+def with_copies(rows: DataFrame, cuts: DataFrame, seed: int) -> DataFrame:
+    """Rows (with src, h) with their source's columns and ``copies``."""
+    # a row per source: broadcast only while they are few, else left to the planner
+    small = cuts.count() <= BROADCAST_SOURCES
+    joined = rows.join(F.broadcast(cuts) if small else cuts, "src").withColumn("rank", ranks(seed))
+    chosen = (F.shiftright("rank", RANK_BITS - 2 * STEP) < F.col("prefix")) | (F.struct("rank", "h") <= F.col("cut"))
+    return joined.withColumn("copies", F.col("whole") + F.when((F.col("p") > 0) & chosen, 1).otherwise(0))
+
+
+def pareto_mix(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+               weights: tuple[float, ...] = (1, 2, 3), most: int = MOST, seed: int = 0) -> DataFrame:
+    """(id, source, size, source_size, target, taken, copies) of every row."""
+    rows = stored(word_counts(df, id_col, text_col, source_col))
+    out = with_copies(rows, source_cuts(rows, weights, most, seed), seed)
+    return out.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
+                      (F.col("size") * F.col("copies")).alias("taken"), "copies")
+
+
+def mixed_documents(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                    weights: tuple[float, ...] = (1, 2, 3), most: int = MOST, seed: int = 0) -> DataFrame:
+    """The mix itself: each row of ``df`` as often as the mix takes it, all columns unchanged."""
+    rows = stored(word_counts(df, id_col, text_col, source_col))
+    keys = row_keys(df, id_col, text_col, source_col)
+    own = df.select(F.struct(*df.columns).alias("row"), *[c.alias(k) for k, c in keys.items()])
+    out = with_copies(own, source_cuts(rows, weights, most, seed), seed).where("copies > 0")
+    return out.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")

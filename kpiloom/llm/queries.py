@@ -29,6 +29,12 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every document whose id is divisible by 20."""
+    from kpiloom.llm.bm25_search import top_k
+    return top_k(documents(spark, sf_dir)).select("query_id", "rank", "doc_id", "score")
+
+
 def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that a mix of the sources with weights 1, 2, 3 takes."""
     from kpiloom.llm.pareto_mix import pareto_mix
@@ -91,6 +97,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, model_path: str | None =
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
+    "op2_bm25_search": op2_bm25_search,
     "op3_pareto_mix": op3_pareto_mix,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_substring_dedup": op5_substring_dedup,

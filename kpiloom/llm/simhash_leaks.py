@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.tables import keyed, original_id, stored
+from kpiloom.llm.tables import key_columns, keyed, original_id, stored
 
 SHINGLE, LEAST = 5, 0.8
 BLOCKS, BLOCK_BITS, NEAR = 8, 8, 2
@@ -100,6 +100,27 @@ def items_table(items: DataFrame, id_col: str, text_col: str, k: int) -> DataFra
 def leaks(df: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
           item_id: str = "item_id", item_text: str = "text", shingle: int = SHINGLE, least: float = LEAST) -> DataFrame:
     """(id, item id, start, n_words, hamming, similarity): the best window of every leaking pair."""
+    found = leaking_windows(keyed(df, id_col, text_col), items, item_id, item_text, shingle, least)
+    best = found.groupBy("id", "item").agg(F.max(F.struct(
+        "similarity", F.negative("start").alias("before"), F.size("codes").alias("m"), "k", "hamming")).alias("x"))
+    return best.select(original_id(df, id_col), F.col("item").alias(item_id),
+                       F.negative("x.before").cast("int").alias("start"), (F.col("x.m") + F.col("x.k") - 1).alias("n_words"),
+                       F.col("x.hamming").alias("hamming"), F.col("x.similarity").alias("similarity"))
+
+
+def without_leaks(df: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                  item_id: str = "item_id", item_text: str = "text", shingle: int = SHINGLE,
+                  least: float = LEAST) -> DataFrame:
+    """The rows of ``df`` that hold no benchmark item, all columns unchanged."""
+    bad = leaking_windows(keyed(df, id_col, text_col), items, item_id, item_text, shingle, least) \
+        .select("id", "variant").distinct()
+    key = key_columns(df, id_col, text_col)
+    return df.join(bad, (key["id"] == bad["id"]) & (key["variant"] == bad["variant"]), "left_anti")
+
+
+def leaking_windows(docs: DataFrame, items: DataFrame, item_id: str, item_text: str, shingle: int,
+                    least: float) -> DataFrame:
+    """(id, variant, item, start, k, codes, hamming, similarity) of the windows that reach the threshold."""
     bench = stored(items_table(items, item_id, item_text, shingle))
     sizes = [r.k for r in bench.select("k").distinct().collect()]          # at most ``shingle`` numbers
     places = stored(bench.select("item", "n", "k", F.size("codes").alias("weight"),
@@ -107,7 +128,6 @@ def leaks(df: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col:
     small = places.count() <= BROADCAST_ROWS
     hint = F.broadcast if small else (lambda x: x)
 
-    docs = keyed(df, id_col, text_col)
     key = ["id", "variant"]
 
     def coded(rows: DataFrame) -> DataFrame:
@@ -155,12 +175,6 @@ def leaks(df: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col:
                        ["k", "n", "b", "value"]) \
         .where((first == F.col("b")) & (distance <= RADIUS))
     both = shared_weight(F.col("codes"), F.col("item_codes"))
-    checked = pairs.withColumn("both", both).withColumn(
+    return pairs.withColumn("both", both).withColumn("hamming", distance).withColumn(
         "similarity", F.col("both") / (F.size("codes") + F.size("item_codes") - F.col("both"))) \
         .where(F.col("similarity") >= least)
-    best = checked.groupBy("id", "item").agg(F.max(F.struct(
-        "similarity", F.negative("start").alias("before"), F.size("codes").alias("m"), "k",
-        distance.alias("hamming"))).alias("x"))
-    return best.select(original_id(df, id_col), F.col("item").alias(item_id),
-                       F.negative("x.before").cast("int").alias("start"), (F.col("x.m") + F.col("x.k") - 1).alias("n_words"),
-                       F.col("x.hamming").alias("hamming"), F.col("x.similarity").alias("similarity"))

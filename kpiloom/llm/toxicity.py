@@ -199,20 +199,25 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
     return Lexicon(np.array([r.pattern for r in best], np.int64).view(U64), np.array([r.kind for r in best]), strength)
 
 
-def hit_rows(rows: DataFrame, lexicon: Lexicon, id_col: str, kind: str, finish, schema: str) -> DataFrame:
-    def run(batches):
-        for batch in batches:
-            data, offsets = column_bytes(batch.column(1))
-            for i, j in slices(offsets):
-                h, before = pattern_hashes(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                yield finish(batch.slice(i, j - i), lexicon.hits(h, before))
-
-    return rows.mapInArrow(run, schema)
+class Model:
+    """A fitted lexicon and the weights of the linear classifier (None: nothing to learn from)."""
+
+    def __init__(self, lexicon: Lexicon, weights: np.ndarray | None):
+        self.lexicon, self.weights = lexicon, weights
+
+    def scores(self, column: pa.Array) -> np.ndarray:
+        """Probability of toxic of every text of an Arrow column."""
+        data, offsets = column_bytes(column)
+        out = np.zeros(len(column))
+        for i, j in slices(offsets) if self.weights is not None else ():
+            hits = self.lexicon.hits(*pattern_hashes(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]))
+            out[i:j] = 1 / (1 + np.exp(-np.clip(inputs(hits) @ self.weights, -500, 500)))
+        return out
 
 
-def toxicity_scores(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                    label_col: str = "toxic", parts: int = 5, held: int = 0, sample: int = SAMPLE) -> DataFrame:
-    """(id, held_out, score, predicted) of every row; learns from labels whose fold is not ``held``."""
+def fit(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+        parts: int = 5, held: int = 0, sample: int = SAMPLE) -> Model:
+    """Learn from at most ``sample`` labelled rows whose fold is not ``held``."""
     docs = df.select(df[id_col], df[text_col].cast("string").alias("text"))
     chosen = stored(labels.where(F.col(label_col).isNotNull() & (fold(F.col(id_col), parts) != held))
                     .groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("label"))
@@ -221,24 +226,49 @@ def toxicity_scores(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
     known = stored(docs.join(F.broadcast(chosen), docs[id_col] == chosen["_id"])
                    .select(F.col("label").cast("long").alias("label"), "text"))
     lexicon = learn_lexicon(known)
+    if not len(lexicon.hashes):
+        return Model(lexicon, None)
+
+    def count(batches):
+        for batch in batches:
+            data, offsets = column_bytes(batch.column(0))
+            for i, j in slices(offsets):
+                h = lexicon.hits(*pattern_hashes(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]))
+                cuts = pa.array(np.arange(len(h) + 1, dtype=np.int32) * h.shape[1])
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(cuts, pa.array(h.reshape(-1)))],
+                                                 names=["hits"])
 
-    def to_hits(batch, hits):
-        cuts = pa.array(np.arange(len(hits) + 1, dtype=np.int32) * hits.shape[1])
-        return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(cuts, pa.array(hits.reshape(-1)))], names=["hits"])
+    rows = known.select("text").mapInArrow(count, "hits array<double>").limit(sample).collect()
+    hits = np.array([r.hits for r in rows])
+    return Model(lexicon, logistic(inputs(hits), label_model(votes(hits))))
 
-    weights = None
-    if len(lexicon.hashes):
-        got = hit_rows(known.limit(sample), lexicon, id_col, "long", to_hits, "hits array<double>").collect()
-        hits = np.array([r.hits for r in got])
-        weights = logistic(inputs(hits), label_model(votes(hits)))
 
-    def to_scores(batch, hits):
-        s = 1 / (1 + np.exp(-np.clip(inputs(hits) @ weights, -500, 500))) if weights is not None else np.zeros(len(hits))
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(s),
-                                           pa.array((s >= 0.5).astype(np.int32))],
-                                          names=[id_col, "held_out", "score", "predicted"])
+def toxicity_scores(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                    label_col: str = "toxic", parts: int = 5, held: int = 0, sample: int = SAMPLE) -> DataFrame:
+    """(id, held_out, score, predicted) of every row; learns from labels whose fold is not ``held``."""
+    model = fit(df, labels, id_col=id_col, text_col=text_col, label_col=label_col, parts=parts, held=held,
+                sample=sample)
+
+    def run(batches):
+        for batch in batches:
+            s = model.scores(batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(s),
+                                              pa.array((s >= 0.5).astype(np.int32))],
+                                             names=[id_col, "held_out", "score", "predicted"])
 
-    out = F.coalesce(fold(F.col(id_col), parts) == held, F.lit(False))
+    out = F.coalesce(fold(F.col(id_col), parts) == held, F.lit(False)).alias("held_out")
     kind = df.schema[id_col].dataType.simpleString()
-    return hit_rows(docs.select(id_col, "text", out.alias("held_out")), lexicon, id_col, kind, to_scores,
-                    f"{id_col} {kind}, held_out boolean, score double, predicted int")
+    return df.select(df[id_col], df[text_col].cast("string").alias("text"), out) \
+        .mapInArrow(run, f"{id_col} {kind}, held_out boolean, score double, predicted int")
+
+
+def without_toxic(df: DataFrame, labels: DataFrame, *, text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``df`` that are not predicted toxic, all columns unchanged."""
+    model = fit(df, labels, text_col=text_col, **options)
+    at = df.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(model.scores(batch.column(at)) < 0.5))
+
+    return df.mapInArrow(run, df.schema)
