@@ -13,7 +13,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,4)"
+MONEY = "decimal(18,8)"
 
 
 def _c(col):
@@ -21,7 +21,7 @@ def _c(col):
 
 
 def line_revenue(price="UnitPrice", qty="Quantity") -> Column:
-    """UnitPrice * Quantity as a decimal with four places."""
+    """UnitPrice * Quantity as a decimal with eight places (a line above 10**10 raises)."""
     return (_c(price) * _c(qty)).cast(MONEY)
 
 
@@ -38,13 +38,13 @@ def int_div(a, b) -> Column:
 def exact_round_div(num, den, digits: int) -> Column:
     """round(num / den, digits), half away from zero, exactly; NULL unless den > 0.
 
-    ``num`` may be an integer or a decimal with at most six places; ``den``
-    an integer or decimal: sign(n) * ((2|n|*10^k + d) div 2d) / 10^k.
+    ``num`` may be an integer or a decimal with at most eight places; ``den``
+    an integer: sign(n) * ((2|n|*10^k + d) div 2d) / 10^k.
     """
-    n = _c(num).cast("decimal(38,6)")
-    d = _c(den).cast("decimal(38,6)")
-    top = F.abs(n) * F.lit(2 * 10 ** digits) + d
-    whole = F.signum(n).cast("bigint") * int_div(top, d * F.lit(2))
+    n = _c(num).cast("decimal(28,8)")
+    d = _c(den).cast("decimal(20,0)")
+    top = F.abs(n) * F.lit(Decimal(2 * 10 ** digits)) + d
+    whole = F.signum(n).cast("bigint") * int_div(top, d * F.lit(Decimal(2)))
     q = whole.cast("decimal(38,0)") * F.lit(Decimal(1).scaleb(-digits))
     return F.when(d > 0, q.cast("double"))
 

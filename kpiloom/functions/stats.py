@@ -3,7 +3,7 @@
 SciPy is not assumed.  These run inside Arrow-batched pandas UDFs over the
 one or two rows a test produces, never per input row.  The t distribution
 uses the regularized incomplete beta function evaluated by its continued
-fraction (modified Lentz method); the quantile inverts the CDF by bisection.
+fraction; the quantile inverts the CDF by bisection.
 """
 
 from __future__ import annotations
@@ -32,30 +32,29 @@ def normal_two_sided_p(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2.0))
 
 
-def _betacf(a: float, b: float, x: float) -> float:
-    tiny = 1e-300
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 10_000):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < 1e-16:
-            break
-    return h
+MAX_TERMS = 100_000
+NORMAL_DF = 1e8
+
+
+def _beta_fraction(a: float, b: float, x: float) -> float:
+    """The continued fraction of the incomplete beta function (DLMF 8.17.22),
+    1 / (1 + d1 / (1 + d2 / (1 + ...))), by the recurrence of its convergents."""
+    top, top_before, bottom, bottom_before, value = 1.0, 1.0, 1.0, 0.0, 1.0
+    for k in range(1, MAX_TERMS):
+        m = k // 2
+        if k % 2:
+            d = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        else:
+            d = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        top, top_before = top + d * top_before, top
+        bottom, bottom_before = bottom + d * bottom_before, bottom
+        new = top / bottom
+        if abs(new - value) <= 1e-16 * abs(new):
+            return 1.0 / new
+        value = new
+        scale = 1.0 / max(abs(top), abs(bottom))
+        top, top_before, bottom, bottom_before = (z * scale for z in (top, top_before, bottom, bottom_before))
+    raise ArithmeticError(f"incomplete beta fraction did not converge for a={a}, b={b}, x={x}")
 
 
 def _lgamma_ratio(a: float, b: float) -> float:
@@ -81,13 +80,16 @@ def betainc_reg(a: float, b: float, x: float, y: float | None = None) -> float:
         ln_beta_inv = _lgamma_ratio(b, a) - math.lgamma(a)
     ln_front = ln_beta_inv + a * math.log(x) + b * math.log(y)
     if x < (a + 1.0) / (a + b + 2.0):
-        return math.exp(ln_front) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(ln_front) * _betacf(b, a, y) / b
+        return math.exp(ln_front) * _beta_fraction(a, b, x) / a
+    return 1.0 - math.exp(ln_front) * _beta_fraction(b, a, y) / b
 
 
 def t_two_sided_p(t: float, df: float) -> float:
-    """P(|T| >= |t|) = I_{df/(df+t^2)}(df/2, 1/2)."""
+    """P(|T| >= |t|) = I_{df/(df+t^2)}(df/2, 1/2); for many degrees of freedom
+    the normal tail of the corrected statistic (error of order 1/df^2)."""
     t2 = t * t
+    if df > NORMAL_DF:
+        return normal_two_sided_p(t * (1.0 - 0.25 / df) / math.sqrt(1.0 + t2 / (2.0 * df)))
     return betainc_reg(df / 2.0, 0.5, df / (df + t2), t2 / (df + t2))
 
 

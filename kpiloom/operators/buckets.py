@@ -12,7 +12,7 @@ from kpiloom.functions.numeric import exact_round_div, round_to_double, trunc_to
 from kpiloom.operators.common import since
 from kpiloom.operators.economics import customer_revenues
 from kpiloom.plans.bins import count_in_bins
-from kpiloom.plans.ranking import exact_percentiles
+from kpiloom.plans.selection import exact_percentiles
 
 # The reference's group labels and cut-offs.
 REVENUE_GROUPS = ("Low-revenue users", "Mid-revenue users", "High-revenue users")
@@ -62,8 +62,7 @@ def revenue_intervals(sales: DataFrame, start=None, lo: int = REVENUE_BINS[0], h
                          "customer_number").orderBy("lower_class")
 
 
-def revenue_distribution(sales: DataFrame, start=None, approx: bool = False,
-                         method: str = "auto", *, per_customer: DataFrame | None = None) -> DataFrame:
+def revenue_distribution(sales: DataFrame, start=None, approx: bool = False, *, per_customer: DataFrame | None = None) -> DataFrame:
     """Min, median (percentile_cont), mean, max of customer revenue, 2 places.
 
     Exact by default (order statistics, no single-reducer value map);
@@ -76,7 +75,7 @@ def revenue_distribution(sales: DataFrame, start=None, approx: bool = False,
     if approx:
         out = cr.agg(F.percentile_approx(r, 0.5, 10_000).alias("_med"), *others)
     else:
-        out = exact_percentiles(cr, "revenue", {"_med": 0.5}, method=method, extra_aggs=others)
+        out = exact_percentiles(cr, "revenue", {"_med": 0.5}, extra_aggs=others)
     return out.select(round_to_double("_min", 2).alias("min_revenue"),
                       round_to_double("_med", 2).alias("median_revenue"),
                       "avg_revenue", round_to_double("_max", 2).alias("max_revenue"))

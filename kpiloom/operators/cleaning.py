@@ -19,9 +19,9 @@ from kpiloom.functions.text import pg_initcap
 NOT_AVAILABLE = "Data_not_available"
 
 
-def sample_rows(df: DataFrame, n: int = 10) -> DataFrame:
-    """S3: any n rows (no order, like ``LIMIT n``)."""
-    return df.limit(n)
+def sample_rows(df: DataFrame, n: int = 10, order: Sequence[str] = ()) -> DataFrame:
+    """S3: any n rows, like ``LIMIT n``; with ``order`` the first n of that order."""
+    return (df.orderBy(*[F.asc_nulls_last(c) for c in order]) if order else df).limit(n)
 
 
 def normalised(col) -> Column:
@@ -35,29 +35,23 @@ def filled(col, value: str = NOT_AVAILABLE) -> Column:
     return F.when(c == "", F.lit(value)).otherwise(c)
 
 
-DICTIONARY_MAX_VALUES = 1_000_000
-
-
 def normalise_text(df: DataFrame, cols: Sequence[str] = ("Description", "Country"),
-                   dictionary: bool = False, max_values: int = DICTIONARY_MAX_VALUES) -> DataFrame:
+                   dictionary: bool = False) -> DataFrame:
     """``trim(initcap(c))`` with PostgreSQL word rules (alphanumeric runs).
 
     The regular expression costs far more per line than reading the line.
-    With ``dictionary=True`` each column's distinct values are counted (one
-    aggregation); if there are at most ``max_values`` (a proven bound on what
-    is broadcast), each distinct value is normalised once and joined back by
-    broadcast, else the column is normalised line by line.  Batch input only.
+    With ``dictionary=True`` each distinct value is normalised once and joined
+    back; Spark broadcasts the dictionary by its size or shuffles (with skew
+    splitting) beyond that.  Batch input only.
     """
     out = df
     for c in cols:
         if dictionary:
-            vals = df.select(c).distinct()
-            if vals.count() <= max_values:
-                mapping = vals.select(F.col(c).alias("_kl_raw"), normalised(c).alias("_kl_norm"))
-                out = (out.join(F.broadcast(mapping), out[c].eqNullSafe(mapping["_kl_raw"]), "left")
-                       .withColumn(c, F.col("_kl_norm")).drop("_kl_raw", "_kl_norm"))
-                continue
-        out = out.withColumn(c, normalised(c))
+            mapping = df.select(F.col(c).alias("_kl_raw")).distinct().withColumn("_kl_norm", normalised("_kl_raw"))
+            out = (out.join(mapping, out[c].eqNullSafe(mapping["_kl_raw"]), "left")
+                   .withColumn(c, F.col("_kl_norm")).drop("_kl_raw", "_kl_norm"))
+        else:
+            out = out.withColumn(c, normalised(c))
     return out.select(*df.columns)
 
 
@@ -66,22 +60,24 @@ def fill_empty(df: DataFrame, col: str = "Description", value: str = NOT_AVAILAB
     return df.withColumn(col, filled(col, value))
 
 
-def parse_date(df: DataFrame, col: str = "InvoiceDate", fmt: str | None = None) -> DataFrame:
+def parse_date(df: DataFrame, col: str = "InvoiceDate", fmt: str | None = None, strict: bool = True) -> DataFrame:
     """Text (or timestamp) to date, dropping the time of day.
 
     ``fmt`` is a Spark datetime pattern such as ``M/d/yyyy H:mm``; without it
-    ISO text is expected.  A value that does not parse becomes NULL.
+    ISO text is expected.  Text that does not parse stops the job, as the
+    reference's cast does; ``strict=False`` makes it NULL instead.  Blank
+    text and NULL are NULL.
     """
     dtype = df.schema[col].dataType
     c = F.col(col)
     if isinstance(dtype, T.DateType):
-        parsed = c
-    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        parsed = c.cast("date")
-    elif fmt:
-        parsed = F.try_to_timestamp(c, F.lit(fmt)).cast("date")
-    else:
-        parsed = F.try_to_timestamp(c).cast("date")
+        return df
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return df.withColumn(col, c.cast("date"))
+    parsed = (F.try_to_timestamp(c, F.lit(fmt)) if fmt else F.try_to_timestamp(c)).cast("date")
+    if strict:
+        bad = parsed.isNull() & (F.trim(c) != "")
+        parsed = F.when(bad, F.raise_error(F.concat(F.lit(f"{col} is no date: "), c)).cast("date")).otherwise(parsed)
     return df.withColumn(col, parsed)
 
 

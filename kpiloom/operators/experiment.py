@@ -17,14 +17,13 @@ from pyspark.sql import functions as F
 
 from kpiloom.functions.dates import week_of_year_7day
 from kpiloom.functions.stats import normal_p_udf, normal_quantile, t_p_udf, t_quantile_udf
-from kpiloom.plans.ranking import exact_percentiles
-from kpiloom.plans.topk import first_n_per_group
-from kpiloom.schema import CLICK_COLUMNS
+from kpiloom.plans.selection import _signed, exact_percentiles, ordered_cuts
 
 # The experiment's two variants (baseline first, as R orders
 # factor levels alphabetically) and the metric names.
 LEVELS = ("tips", "tools")
-LIKE_SHARE = tuple(CLICK_COLUMNS[CLICK_COLUMNS.index("clicked_like"):])  # the like..share column range
+LIKE_SHARE = ("clicked_like", "clicked_share")
+POCOCK_3 = 1.992        # one-sided Pocock bound for three looks at alpha 0.05
 TIME = "time_spent_homepage_sec"
 
 
@@ -145,25 +144,41 @@ def sample_size_formula(p1: float, p2: float, share: float, alpha: float = 0.05,
 
 
 def sequential_looks(visits: DataFrame, metric: str = "clicked_like", n_per_group: float = 336.5,
-                     k: int = 3, boundary: float = 1.992, levels: Sequence[str] = LEVELS,
+                     k: int = 3, boundary: float | None = None, levels: Sequence[str] = LEVELS,
                      order: Sequence[str] = ("ts", "event_id"), digits: int | None = None) -> DataFrame:
     """Group-sequential looks at equally spaced information times.
 
     Look i uses the first floor(n_per_group * i / k) visits of each variant in
-    arrival order; z is the pooled two-proportion statistic (treatment minus
-    baseline); ``crossed`` when z >= boundary (one-sided, default the Pocock
-    bound for k = 3, alpha 0.05), ``stop`` at the first crossing.  Only the
-    first n visits per variant reach the final ranking: the row-number filter
-    is planned with a partial group limit before the shuffle.
+    arrival order (``order``: time and a unique tie-breaker); z is the pooled
+    two-proportion statistic (treatment minus baseline); ``crossed`` when z >=
+    boundary (one-sided; the Pocock bound of k = 3 by default, to be given for
+    any other k), ``stop`` at the first crossing.  The last visit of each look
+    is found by exact selection, and one pass then counts the visits up to it:
+    no visit is numbered or sorted.
     """
+    if boundary is None:
+        if k != 3:
+            raise ValueError("give the boundary for a number of looks other than 3")
+        boundary = POCOCK_3
     points = [n_per_group * i / k for i in range(1, k + 1)]
-    n_max = int(math.floor(points[-1]))
+    last = [int(math.floor(pt)) for pt in points]
+    time, tie = order
     v = visits.where(F.col("condition").isin(list(levels)))
-    first = first_n_per_group(v, ["condition"], [(c, True) for c in order], n_max, out="_arrival")
+    cuts = ordered_cuts(v, {"arrival": (time, True)}, tie, lambda n: F.array(*[F.lit(x).cast("bigint") for x in last]),
+                        groups=["condition"])
+    first = v.withColumn("_at", _signed(v, time, True)).withColumn(
+        "_cuts", cuts.agg(F.collect_list(F.struct("condition", "rank", "v", "tie"))).scalar())
+
+    def up_to(n: int) -> Column:
+        """Among the first n visits of the variant; all of them if there are fewer."""
+        mine = F.filter("_cuts", lambda c: (c["condition"] == F.col("condition")) & (c["rank"] == n))
+        at = F.get(mine, F.lit(0))
+        return F.lit(n > 0) & (at.isNull() | (F.col("_at") < at["v"]) | ((F.col("_at") == at["v"]) & (F.col(tie) <= at["tie"])))
+
     x = F.col(metric)
     aggs = []
     for i, pt in enumerate(points):
-        within = F.col("_arrival") <= int(math.floor(pt))
+        within = up_to(last[i])
         for j, lv in enumerate(levels):
             sel = within & (F.col("condition") == lv)
             aggs += [F.count(F.when(sel, x)).alias(f"_n{i}_{j}"), F.sum(F.when(sel, x)).alias(f"_y{i}_{j}")]
@@ -197,12 +212,12 @@ FIVE_NUMBERS = {"time_min": 0.0, "time_q1": 0.25, "time_median": 0.5, "time_q3":
 
 
 def weekly_time(visits: DataFrame, na_rm: bool = False, digits: int | None = None,
-                method: str = "auto", approx: bool = False, accuracy: int = 10_000) -> DataFrame:
+                approx: bool = False, accuracy: int = 10_000) -> DataFrame:
     """Per week and variant, the mean time (the value the reference
     boxplots) plus the real five-number summary (percentile_cont) of the
     visits behind it, all from one aggregation.  The quantiles are exact
-    order statistics, ranked in range form at scale so no (week, variant)
-    group sits in one task.  ``approx=True`` uses ``percentile_approx``
+    order statistics found by selection, so no (week, variant) group is
+    sorted or sits in one task.  ``approx=True`` uses ``percentile_approx``
     instead: one pass, memory bounded by ``accuracy`` per group, values
     taken from the data (no interpolation), rank error about 1/accuracy."""
     wk = visits.select(week_of_year_7day("visit_date").alias("week"), "condition", TIME)
@@ -214,7 +229,7 @@ def weekly_time(visits: DataFrame, na_rm: bool = False, digits: int | None = Non
                      *[F.col("_q")[i].alias(name) for i, name in enumerate(FIVE_NUMBERS)])
         return q.orderBy("week", "condition")
     q = exact_percentiles(wk, TIME, FIVE_NUMBERS,
-                          partition_by=["week", "condition"], method=method, exact_decimal=False,
+                          partition_by=["week", "condition"], exact_decimal=False,
                           extra_aggs=[mean_of(TIME, na_rm, digits).alias("time_spent")])
     return (q.select("week", "condition", "time_spent",
                      *[_rnd(F.col(c), digits).alias(c)

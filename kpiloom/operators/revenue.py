@@ -16,41 +16,41 @@ from kpiloom.functions.dates import (month_name, month_start, month_year_label,
 from kpiloom.functions.numeric import exact_round_div, round_to_double
 from kpiloom.functions.text import pg_initcap
 from kpiloom.operators.common import _d, since, since_year_of
-from kpiloom.plans.ranking import dense_rank
+from kpiloom.plans.selection import dense_rank
 from kpiloom.plans.topk import top_k_distinct_per_group
 
 UNSPECIFIED = "Unspecified"  # fixed value: the country label excluded by V4 and K3/K4
 
 
-def item_country_revenue(sales: DataFrame, start=None, method: str = "auto",
-                         with_rank: bool = True) -> DataFrame:
+def item_country_revenue(sales: DataFrame, start=None, with_rank: bool = True, exact: bool = False) -> DataFrame:
     """V1: revenue per (Description, Country) of identified customers, with a
-    dense rank over all pairs by unrounded revenue (global ranking in range
-    form at scale).  The displayed name is initcap'ed again.  V2-V5 read
-    only names and revenue: ``with_rank=False`` skips the ranking for them."""
+    dense rank over all pairs by unrounded revenue.  The displayed name is
+    initcap'ed again.  V2-V5 read only names and revenue: ``with_rank=False``
+    skips the ranking for them and ``exact=True`` keeps the revenue a decimal."""
     g = (since(sales, start, customers_only=True)
          .groupBy("Description", "Country").agg(F.sum("rev").alias("_rev")))
+    revenue = F.round("_rev", 3) if exact else round_to_double("_rev", 3)
     cols = [pg_initcap("Description").alias("item_description"), F.col("Country").alias("country"),
-            round_to_double("_rev", 3).alias("revenue")]
+            revenue.alias("revenue")]
     if not with_rank:
         return g.select(*cols)
-    ranked = dense_rank(g, [("_rev", False)], out="item_rank", method=method)
-    return ranked.select("item_rank", *cols)
+    return dense_rank(g, "_rev", out="item_rank").select("item_rank", *cols)
 
 
 def item_revenue(v1: DataFrame) -> DataFrame:
-    """V2: the V1 rows as (items, revenue), largest first."""
-    return v1.select(F.col("item_description").alias("items"), "revenue").orderBy(F.desc("revenue"))
+    """V2: the V1 rows as (items, revenue), largest first (NULL before all, as PostgreSQL sorts)."""
+    return (v1.select(F.col("item_description").alias("items"), F.col("revenue").cast("double").alias("revenue"))
+            .orderBy(F.desc_nulls_first("revenue"), F.asc_nulls_last("items")))
 
 
 def top_items(v1: DataFrame, n: int = 20) -> DataFrame:
     """V3: the n largest V1 rows; ties broken by name then country."""
-    return (v1.orderBy(F.desc("revenue"), "item_description", "country").limit(n)
-            .select(F.col("item_description").alias("items"), "revenue"))
+    return (v1.orderBy(F.desc_nulls_first("revenue"), F.asc_nulls_last("item_description"), F.asc_nulls_last("country"))
+            .limit(n).select(F.col("item_description").alias("items"), F.col("revenue").cast("double").alias("revenue")))
 
 
 def _country_sums(v1: DataFrame) -> DataFrame:
-    # V1 revenue is a 3-place decimal exposed as double: cast back exactly.
+    # exact V1 revenue is a decimal already; the three-place double of a plain V1 casts back
     return v1.groupBy("country").agg(F.sum(F.col("revenue").cast("decimal(28,3)")).alias("_s"))
 
 
@@ -58,19 +58,19 @@ def country_revenue(v1: DataFrame) -> DataFrame:
     """V4: V1 summed by country (without 'Unspecified'), dense-ranked; one row
     per country, so the ranking window holds at most the number of countries."""
     s = _country_sums(v1.where(F.col("country") != UNSPECIFIED))
-    w = Window.orderBy(F.desc("_s"))
+    w = Window.orderBy(F.desc_nulls_first("_s"))
     return (s.select(F.dense_rank().over(w).cast("bigint").alias("country_rank"), "country",
                      round_to_double("_s", 2).alias("revenue"), "_s")
-            .orderBy(F.desc("_s")).drop("_s"))
+            .orderBy(F.desc_nulls_first("_s"), F.asc_nulls_last("country")).drop("_s"))
 
 
 def top_countries(v1: DataFrame, n: int = 10) -> DataFrame:
     """V5: the n countries with most V1 revenue ('Unspecified' kept), unrounded sums."""
     s = _country_sums(v1)
-    w = Window.orderBy(F.desc("_s"))
+    w = Window.orderBy(F.desc_nulls_first("_s"))
     return (s.select(F.dense_rank().over(w).cast("bigint").alias("country_rank"), "country",
                      F.col("_s").cast("double").alias("revenue"), "_s")
-            .orderBy(F.desc("_s"), "country").limit(n).drop("_s"))
+            .orderBy(F.desc_nulls_first("_s"), F.asc_nulls_last("country")).limit(n).drop("_s"))
 
 
 def weekly_revenue(sales: DataFrame, start=None) -> DataFrame:

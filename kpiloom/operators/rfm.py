@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.functions.dates import age_day
 from kpiloom.operators.common import since
-from kpiloom.plans.ranking import ntile, resolve_method
+from kpiloom.plans.selection import ntiles
 
 # The eleven segments in the reference's order, each with its
 # recency range and the range shared by the frequency and monetary scores
@@ -32,6 +32,11 @@ FREQUENCY_LABELS = ("Purchases_rarely", "Purchases_infrequently", "Purchases_fre
 MONETARY_LABELS = ("Low_value_purchases", "Average_value_purchases", "High_value_purchases")
 
 
+def _by_code() -> list[Column]:
+    """Final order of the scored lists: the customer breaks the few codes into many sort keys."""
+    return [F.desc_nulls_first("rfm_combined"), F.asc_nulls_last("customer_id")]
+
+
 def rfm_base(sales: DataFrame, start=None, *, per_customer: DataFrame | None = None) -> DataFrame:
     """Per identified customer: last purchase date, distinct purchase
     *days*, and revenue.  Lines collapse to (customer, day) first, so the
@@ -86,16 +91,15 @@ def rfm_combined(base: DataFrame, recency: DataFrame | None = None, *, ref=None,
     return base.select("customer_id", "counts_freq", "monetary", dd.alias("date_diff"))
 
 
-def rfm_scores(combined: DataFrame, tiles: int = 5, method: str = "auto") -> DataFrame:
+def rfm_scores(combined: DataFrame, tiles: int = 5) -> DataFrame:
     """Quintile scores (most recent = 5; ties broken by customer_id) and
-    the code 100R + 10F + M.  Each ntile is a global ranking (range form at scale)."""
-    df, m = resolve_method(combined, method)
-    df = ntile(df, tiles, [("date_diff", False), ("customer_id", True)], out="rfm_recency", method=m)
-    df = ntile(df, tiles, [("counts_freq", True), ("customer_id", True)], out="rfm_freq", method=m)
-    df = ntile(df, tiles, [("monetary", True), ("customer_id", True)], out="rfm_monetary", method=m)
+    the code 100R + 10F + M, sorted by code and customer (a code alone would
+    put all its customers into one sort task)."""
+    df = ntiles(combined, tiles, {"rfm_recency": ("date_diff", False), "rfm_freq": ("counts_freq", True),
+                                  "rfm_monetary": ("monetary", True)}, "customer_id")
     code = F.col("rfm_recency") * 100 + F.col("rfm_freq") * 10 + F.col("rfm_monetary")
     return (df.select("customer_id", "rfm_recency", "rfm_freq", "rfm_monetary", "date_diff", "counts_freq",
-                      "monetary", code.alias("rfm_combined")).orderBy(F.desc("rfm_combined")))
+                      "monetary", code.alias("rfm_combined")).orderBy(*_by_code()))
 
 
 def segment_of(r, f, m):
@@ -111,24 +115,22 @@ def rfm_segments(scores: DataFrame) -> DataFrame:
     """customer_id, rfm_combined, customer_segments."""
     r, f, m = F.col("rfm_recency"), F.col("rfm_freq"), F.col("rfm_monetary")
     return (scores.select("customer_id", (r * 100 + f * 10 + m).alias("rfm_combined"),
-                          segment_of(r, f, m).alias("customer_segments")).orderBy(F.desc("rfm_combined")))
+                          segment_of(r, f, m).alias("customer_segments")).orderBy(*_by_code()))
 
 
 def _label(score, labels):
     return F.when(score == 1, labels[0]).when(score == 2, labels[1]).when(score == 3, labels[2])
 
 
-def rfm_three_tier(base: DataFrame, method: str = "auto") -> DataFrame:
+def rfm_three_tier(base: DataFrame) -> DataFrame:
     """Tercile scores (recency ascending by last date, so the latest
     buyers score 3), code, and one label per score."""
-    df, m = resolve_method(base, method)
-    df = ntile(df, 3, [("most_recent_date", True), ("customer_id", True)], out="rfm_recency", method=m)
-    df = ntile(df, 3, [("counts_freq", True), ("customer_id", True)], out="rfm_freq", method=m)
-    df = ntile(df, 3, [("monetary", True), ("customer_id", True)], out="rfm_monetary", method=m)
+    df = ntiles(base, 3, {"rfm_recency": ("most_recent_date", True), "rfm_freq": ("counts_freq", True),
+                          "rfm_monetary": ("monetary", True)}, "customer_id")
     r, f, mo = F.col("rfm_recency"), F.col("rfm_freq"), F.col("rfm_monetary")
     return (df.select("customer_id", "counts_freq", "monetary", "rfm_recency", "rfm_freq", "rfm_monetary",
                       (r * 100 + f * 10 + mo).alias("rfm_combined"),
                       _label(r, RECENCY_LABELS).alias("recency_segment"),
                       _label(f, FREQUENCY_LABELS).alias("frequency_segment"),
                       _label(mo, MONETARY_LABELS).alias("monetary_segment"))
-            .orderBy(F.desc("rfm_combined")))
+            .orderBy(*_by_code()))

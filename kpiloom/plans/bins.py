@@ -8,39 +8,37 @@ with a normal aggregation, and the few bins are joined to the counts.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.functions.numeric import int_div
 
-MAX_BINS = 100_000
-
-
-def count_in_bins(values: DataFrame, value: str, lo: int, hi: int, step: int,
-                  count_col: str = "customer_number") -> DataFrame:
+def count_in_bins(values: DataFrame, value: str, lo, hi, step, count_col: str = "customer_number") -> DataFrame:
     """One row per bin (lower_class, upper_class, count), empty bins 0; both
     ends inclusive, so a value on an edge counts in both bins; values outside
-    [lo, hi] or NULL count nowhere."""
-    if step <= 0:
-        raise ValueError("step must be positive")
-    n_bins = (hi - lo) // step
-    if n_bins <= 0 or n_bins > MAX_BINS:
-        raise ValueError(f"bin count {n_bins} outside 1..{MAX_BINS}")
+    [lo, hi] or NULL count nowhere.  ``lo``, ``hi`` and ``step`` may be
+    decimal fractions; the grid must end at ``hi``."""
+    first, last, width = (Decimal(str(x)) for x in (lo, hi, step))
+    if width <= 0 or last <= first:
+        raise ValueError("step must be positive and hi above lo")
+    if (last - first) % width:
+        raise ValueError(f"the bins from {lo} by {step} do not end at {hi}")
+    n_bins = int((last - first) / width)
     v = F.col(value)
-    off = v - F.lit(lo)
-    i = int_div(off, F.lit(step))
-    on_edge = (off == i * F.lit(step)) & (i >= 1)
+    off = v.cast("decimal(28,8)") - F.lit(first)
+    i = int_div(off, F.lit(width))
+    on_edge = (off == i * F.lit(width)) & (i >= 1)
     ids = F.when(on_edge, F.array(i - 1, i)).otherwise(F.array(i))
-    hits = (values.where(v.isNotNull() & (v >= lo) & (v <= hi))
+    hits = (values.where(v.isNotNull() & (v >= F.lit(first)) & (v <= F.lit(last)))
             .select(F.explode(ids).alias("_kl_bin"))
             .where(F.col("_kl_bin") < n_bins)
             .groupBy("_kl_bin").agg(F.count(F.lit(1)).alias(count_col)))
-    spark = values.sparkSession
-    bins = spark.range(n_bins).select(
-        F.col("id").alias("_kl_bin"),
-        (F.lit(lo) + F.col("id") * step).cast("bigint").alias("lower_class"),
-        (F.lit(lo) + (F.col("id") + 1) * step).cast("bigint").alias("upper_class"))
-    # both sides hold at most n_bins rows (checked above)
-    return (bins.join(F.broadcast(hits), "_kl_bin", "left")
+    whole = all(x == x.to_integral_value() for x in (first, width))
+    edge = lambda k: (F.lit(first) + (F.col("id") + k) * F.lit(width)).cast("bigint" if whole else "double")
+    bins = values.sparkSession.range(n_bins).select(
+        F.col("id").alias("_kl_bin"), edge(0).alias("lower_class"), edge(1).alias("upper_class"))
+    return (bins.join(hits, "_kl_bin", "left")
             .select("lower_class", "upper_class",
                     F.coalesce(F.col(count_col), F.lit(0)).cast("bigint").alias(count_col)))

@@ -34,7 +34,7 @@ def customer_summary(sales: DataFrame, start=None) -> DataFrame:
     parts = (since(sales, start, customers_only=True)
              .groupBy("CustomerID", "InvoiceDate", "InvoiceNo").agg(F.sum("rev").alias("_r")))
     return parts.groupBy(F.col("CustomerID").alias("customer_id")).agg(
-        F.sum("_r").cast("decimal(28,4)").alias("revenue"),
+        F.sum("_r").cast("decimal(28,8)").alias("revenue"),
         F.countDistinct("InvoiceNo").alias("orders_count"),
         F.max("InvoiceDate").alias("most_recent_date"),
         F.countDistinct("InvoiceDate").alias("counts_freq"))

@@ -1,12 +1,11 @@
 """Top-k per group without putting a whole group through one task.
 
-A rank filter over a window (``dense_rank() <= k`` / ``row_number() <= n``)
-is planned by Spark with ``WindowGroupLimit`` on *both* sides of the
-exchange: each map task first keeps, per group, only the rows that can still
-rank within k (all ties kept), and only those cross the shuffle.  A group
-holding a third of the input therefore ships at most k values (plus their
-ties, which belong to the result anyway) from every map task, and the final
-window sorts only those.  ``assert_group_limit`` checks the plan has it.
+A rank filter over a window (``dense_rank() <= k``) is planned by Spark with
+``WindowGroupLimit`` on *both* sides of the exchange: each map task first
+keeps, per group, only the rows that can still rank within k (all ties kept),
+and only those cross the shuffle.  A group holding a third of the input
+therefore ships at most k values (plus their ties, which belong to the result
+anyway) from every map task.  ``assert_group_limit`` checks the plan has it.
 """
 
 from __future__ import annotations
@@ -16,36 +15,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiloom.plans import ranking
-from kpiloom.plans.ranking import _norm, _sort_exprs
-
-GROUP_LIMIT_THRESHOLD_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
-
-
-def _group_limit_applies(df: DataFrame, k: int) -> bool:
-    return k <= int(df.sparkSession.conf.get(GROUP_LIMIT_THRESHOLD_CONF, "1000"))
-
 
 def top_k_distinct_per_group(df: DataFrame, group_cols: Sequence[str], value: str, k: int,
                              descending: bool = True, out: str = "rank") -> DataFrame:
     """Rows whose ``value`` is among the k best distinct values of their group,
     with that value's dense rank (ties all kept, so a group may give more than k rows)."""
-    order = [(value, not descending)]
-    if not _group_limit_applies(df, k):
-        return ranking.dense_rank(df, order, group_cols, out=out).where(F.col(out) <= k)
-    w = Window.partitionBy(*group_cols).orderBy(*_sort_exprs(order))
+    order = F.col(value).desc_nulls_first() if descending else F.col(value).asc_nulls_last()
+    w = Window.partitionBy(*group_cols).orderBy(order)
     return df.withColumn(out, F.dense_rank().over(w).cast("bigint")).where(F.col(out) <= k)
 
 
-def first_n_per_group(df: DataFrame, group_cols: Sequence[str], order, n: int, out: str = "rn") -> DataFrame:
-    """The first n rows of each group in ``order`` (a total order), numbered 1..n."""
-    order = _norm(order)
-    if not _group_limit_applies(df, n):
-        return ranking.row_number(df, order, group_cols, out=out).where(F.col(out) <= n)
-    w = Window.partitionBy(*group_cols).orderBy(*_sort_exprs(order))
-    return df.withColumn(out, F.row_number().over(w).cast("bigint")).where(F.col(out) <= n)
-
-
 def assert_group_limit(df: DataFrame) -> None:
     """Raise unless the executed plan limits rows per group before the shuffle."""
     plan = df._jdf.queryExecution().executedPlan().toString()

@@ -1,22 +1,25 @@
 """The registered analyses: name -> callable(spark, sf_dir) -> DataFrame.
 
 Every entry reads the given tables (through the adapters) over their whole
-extent: ``START`` is the first order date, so the reference's year filter
-keeps every row.  Parameters that the reference tuned to its own data (bins,
-cut-offs) are rescaled to this data's per-customer revenue range.
+extent, with the cut-off at the first order date; the analyses with a cut-off
+are registered a second time from 2001 on (``..._2001``), where it filters.
+Parameters that the reference tuned to its own data (bins, cut-offs) are
+rescaled to this data's per-customer revenue range.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.operators import (buckets, cleaning, customers, economics, experiment, profile,
                                revenue, rfm)
-from kpiloom.sources.store import cleaned_sales
+from kpiloom.sources.files import load_sales, load_visits
+from kpiloom.sources.store import cleaned_sales, csv_copy, pinned_visits
 from kpiloom.sources.tables import sales_from_tables, visits_from_events
 
 # The reference's experiment design.  Current and target
@@ -24,19 +27,29 @@ from kpiloom.sources.tables import sales_from_tables, visits_from_events
 # for 3 looks at alpha 0.05, the lift of the follow-up (+5 points), and the
 # revenue class width.
 DESIGN_P1, DESIGN_P2, DESIGN_SHARE = 0.032, 0.082, 0.5
-LOOKS, POCOCK_BOUND = 3, 1.992
+LOOKS = 3
+LONG_N = 5000            # visits per variant of the long sequential design
 LIFT = 0.05
 CLASS_WIDTH = 1000
 
-# Parameters for this data (see README: registered parameters).
-START = dt.date(1995, 1, 1)       # first order date: the year filter keeps every row
-QUARTER_YEAR = 2000
-REV_BINS = (0, 2_100_000, 300_000)
-REV_CUTS = (580_000, 580_000.1, 1_000_000, 1_000_000.1)
+# Parameters for this data (see README: registered parameters): the two cut-offs
+# (all rows; the last year only) with bins that cover every customer's revenue,
+# group cut-offs near the terciles, and the year whose quarters V10 shows.
+@dataclass(frozen=True)
+class Scope:
+    start: dt.date
+    bins: tuple
+    cuts: tuple
+    year: int
+
+
+ALL = Scope(dt.date(1995, 1, 1), (0, 3_000_000, 300_000), (580_000, 580_000.1, 1_000_000, 1_000_000.1), 1995)
+RECENT = Scope(dt.date(2001, 1, 1), (-300_000, 900_000, 100_000), (70_000, 70_000.1, 150_000, 150_000.1), 2001)
+START, REV_BINS, REV_CUTS, QUARTER_YEAR = ALL.start, ALL.bins, ALL.cuts, ALL.year
 TEXT_DATE_FORMAT = "M/d/yyyy H:mm"  # InvoiceDate text as in the retail CSV, e.g. 12/1/2010 8:26
 SEQ_N_PER_GROUP = experiment.sample_size_formula(DESIGN_P1, DESIGN_P2, DESIGN_SHARE) / 2  # 336.5
 DIGITS = 9      # rounding of means and model outputs (floating results)
-TEST_DIGITS = 6  # rounding of t statistics and degrees of freedom
+TEST_DIGITS = 6  # rounding of t statistics, degrees of freedom and p-values
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,15 +59,8 @@ def _sales(spark, d):
 
 
 def _visits(spark, d):
-    return visits_from_events(spark, d)
-
-
-def _v1(spark, d):
-    return revenue.item_country_revenue(_sales(spark, d), START)
-
-
-def _v1_revenue(spark, d):
-    return revenue.item_country_revenue(_sales(spark, d), START, with_rank=False)
+    pinned = pinned_visits(spark, d)
+    return visits_from_events(spark, d) if pinned is None else pinned
 
 
 def _raw_text_dates(spark, d):
@@ -63,90 +69,102 @@ def _raw_text_dates(spark, d):
                                                        TEXT_DATE_FORMAT))
 
 
-def _rfm_base(spark, d):
-    return rfm.rfm_base(_sales(spark, d), START)
-
-
-def _rfm_comb(spark, d):
-    s = _sales(spark, d)
-    return rfm.rfm_combined(rfm.rfm_base(s, START), sales=s)
+def _load_sales(spark, d):
+    """The retail view written as CSV once (dates as text) and read by the loader."""
+    path = csv_copy(spark, d, "sales", lambda: _raw_text_dates(spark, d))
+    return cleaning.parse_date(load_sales(spark, path), "InvoiceDate", TEXT_DATE_FORMAT)
+
+
+def _load_visits(spark, d):
+    return load_visits(spark, csv_copy(spark, d, "visits", lambda: _visits(spark, d).drop("ts", "event_id")))
+
+
+def _retail(p: Scope) -> dict[str, Query]:
+    """The analyses with a date cut-off."""
+    quarters = [f"Q{i} {p.year}" for i in range(1, 5)]
+    v1 = lambda s, d: revenue.item_country_revenue(_sales(s, d), p.start, with_rank=False, exact=True)
+    base = lambda s, d: rfm.rfm_base(_sales(s, d), p.start)
+    comb = lambda s, d: rfm.rfm_combined(base(s, d), sales=_sales(s, d))
+    return {
+        "F3_distinct_counts": lambda s, d: profile.distinct_counts(_sales(s, d), p.start),
+        "V1_item_country_revenue": lambda s, d: revenue.item_country_revenue(_sales(s, d), p.start),
+        "V2_item_revenue": lambda s, d: revenue.item_revenue(v1(s, d)),
+        "V3_top_items": lambda s, d: revenue.top_items(v1(s, d), 20),
+        "V4_country_revenue": lambda s, d: revenue.country_revenue(v1(s, d)),
+        "V5_top_countries": lambda s, d: revenue.top_countries(v1(s, d), 10),
+        "V6_weekly_revenue": lambda s, d: revenue.weekly_revenue(_sales(s, d), p.start),
+        "V7_avg_monthly_revenue": lambda s, d: revenue.avg_monthly_revenue(_sales(s, d), p.start),
+        "V8_monthly_revenue": lambda s, d: revenue.monthly_revenue(_sales(s, d), p.start),
+        "V9_quarterly_revenue": lambda s, d: revenue.quarterly_revenue(_sales(s, d), p.start),
+        "V10_quarterly_by_country": lambda s, d: revenue.quarterly_revenue_by_country(_sales(s, d), p.start, quarters),
+        "V10_quarterly_by_country_dense": lambda s, d: revenue.quarterly_revenue_by_country(
+            _sales(s, d), p.start, quarters, dense=True),
+        "V11_monthly_growth": lambda s, d: revenue.monthly_growth(_sales(s, d), p.start),
+        "V12_top_items_per_month": lambda s, d: revenue.top_items_per_month(_sales(s, d), p.start, 5),
+        "U1_new_customers": lambda s, d: customers.new_customers(_sales(s, d), p.start),
+        "U2_new_customers_cumulative": lambda s, d: customers.new_customers_cumulative(_sales(s, d), p.start),
+        "U3_active_customers": lambda s, d: customers.active_customers(_sales(s, d), p.start),
+        "U4_active_customer_growth": lambda s, d: customers.active_customer_growth(_sales(s, d), p.start),
+        "U5_retention": lambda s, d: customers.retention(_sales(s, d), p.start),
+        "K1_avg_revenue_per_customer": lambda s, d: economics.avg_revenue_per_customer(_sales(s, d), p.start),
+        "K2_avg_revenue_per_customer_by_month": lambda s, d: economics.avg_revenue_per_customer_by_month(
+            _sales(s, d), p.start),
+        "K3_country_customers": lambda s, d: economics.country_customers(_sales(s, d), p.start),
+        "K4_avg_revenue_per_customer_by_country": lambda s, d: economics.avg_revenue_per_customer_by_country(
+            _sales(s, d), p.start),
+        "B1_orders_histogram": lambda s, d: buckets.orders_histogram(_sales(s, d), p.start),
+        "B2_revenue_classes": lambda s, d: buckets.revenue_classes(_sales(s, d), p.start, CLASS_WIDTH),
+        "B3_revenue_intervals": lambda s, d: buckets.revenue_intervals(_sales(s, d), p.start, *p.bins),
+        "B4_revenue_distribution": lambda s, d: buckets.revenue_distribution(_sales(s, d), p.start),
+        "B5_revenue_groups": lambda s, d: buckets.revenue_groups(_sales(s, d), p.start, p.cuts),
+        "B6_orders_distribution": lambda s, d: buckets.orders_distribution(_sales(s, d), p.start),
+        "B7_order_groups": lambda s, d: buckets.order_groups(_sales(s, d), p.start),
+        "R1_rfm_base": base,
+        "R2_rfm_recency": lambda s, d: rfm.rfm_recency(base(s, d), sales=_sales(s, d)),
+        "R3_rfm_combined": comb,
+        "R4_rfm_scores": lambda s, d: rfm.rfm_scores(comb(s, d)),
+        "R5_rfm_segments": lambda s, d: rfm.rfm_segments(rfm.rfm_scores(comb(s, d))),
+        "R6_rfm_three_tier": lambda s, d: rfm.rfm_three_tier(base(s, d)),
+    }
+
+
+# the entries registered with the later cut-off as well
+WITH_RECENT = ("V1_", "V6_", "V9_", "V10_", "V11_", "U", "K", "B", "R")
 
 
 QUERIES: dict[str, Query] = {
-    # ingest
-    "S1_load_sales": lambda s, d: sales_from_tables(s, d),
-    "S2_load_visits": lambda s, d: _visits(s, d).drop("ts", "event_id"),
-    "S3_sample_rows": lambda s, d: cleaning.sample_rows(_sales(s, d), 10),
-    # cleaning
-    # C1/C2 clean Description and Country on the part / nation rows before the
-    # join (same table as cleaning each line; see sales_from_tables)
-    "C1_normalise_text": lambda s, d: sales_from_tables(s, d, clean_text="normalise"),
-    "C2_fill_empty": lambda s, d: sales_from_tables(s, d, clean_text="fill"),
+    # ingest and cleaning
+    "S1_load_sales": _load_sales,
+    "S2_load_visits": _load_visits,
+    # any ten rows will do; a total order makes the result comparable
+    "S3_sample_rows": lambda s, d: cleaning.sample_rows(
+        _sales(s, d).drop("InvoiceYear", "rev"), 10, order=["InvoiceDate", "InvoiceNo", "StockCode", "Quantity"]),
+    "C1_normalise_text": lambda s, d: cleaning.normalise_text(sales_from_tables(s, d)),
+    "C2_fill_empty": lambda s, d: cleaning.fill_empty(cleaning.normalise_text(sales_from_tables(s, d))),
     "C3_parse_date": lambda s, d: cleaning.parse_date(_raw_text_dates(s, d), "InvoiceDate", TEXT_DATE_FORMAT),
     # profiling
-    "F1_column_types": lambda s, d: profile.column_types(_sales(s, d)),
     "F2_non_null_counts": lambda s, d: profile.non_null_counts(_sales(s, d)),
-    "F3_distinct_counts": lambda s, d: profile.distinct_counts(_sales(s, d), START),
     "F4_row_count": lambda s, d: profile.row_count(_sales(s, d)),
     "F5_date_range": lambda s, d: profile.date_range(_visits(s, d), "visit_date"),
-    # revenue
-    "V1_item_country_revenue": _v1,
-    "V2_item_revenue": lambda s, d: revenue.item_revenue(_v1_revenue(s, d)),
-    "V3_top_items": lambda s, d: revenue.top_items(_v1_revenue(s, d), 20),
-    "V4_country_revenue": lambda s, d: revenue.country_revenue(_v1_revenue(s, d)),
-    "V5_top_countries": lambda s, d: revenue.top_countries(_v1_revenue(s, d), 10),
-    "V6_weekly_revenue": lambda s, d: revenue.weekly_revenue(_sales(s, d), START),
-    "V7_avg_monthly_revenue": lambda s, d: revenue.avg_monthly_revenue(_sales(s, d), START),
-    "V8_monthly_revenue": lambda s, d: revenue.monthly_revenue(_sales(s, d), START),
-    "V9_quarterly_revenue": lambda s, d: revenue.quarterly_revenue(_sales(s, d), START),
-    "V10_quarterly_by_country": lambda s, d: revenue.quarterly_revenue_by_country(
-        _sales(s, d), START, [f"Q{i} {QUARTER_YEAR}" for i in range(1, 5)]),
-    "V10_quarterly_by_country_dense": lambda s, d: revenue.quarterly_revenue_by_country(
-        _sales(s, d), START, [f"Q{i} {QUARTER_YEAR}" for i in range(1, 5)], dense=True),
-    "V11_monthly_growth": lambda s, d: revenue.monthly_growth(_sales(s, d), START),
-    "V12_top_items_per_month": lambda s, d: revenue.top_items_per_month(_sales(s, d), START, 5),
-    # customers
-    "U1_new_customers": lambda s, d: customers.new_customers(_sales(s, d), START),
-    "U2_new_customers_cumulative": lambda s, d: customers.new_customers_cumulative(_sales(s, d), START),
-    "U3_active_customers": lambda s, d: customers.active_customers(_sales(s, d), START),
-    "U4_active_customer_growth": lambda s, d: customers.active_customer_growth(_sales(s, d), START),
-    "U5_retention": lambda s, d: customers.retention(_sales(s, d), START),
-    # unit economics
-    "K1_avg_revenue_per_customer": lambda s, d: economics.avg_revenue_per_customer(_sales(s, d), START),
-    "K2_avg_revenue_per_customer_by_month": lambda s, d: economics.avg_revenue_per_customer_by_month(
-        _sales(s, d), START),
-    "K3_country_customers": lambda s, d: economics.country_customers(_sales(s, d), START),
-    "K4_avg_revenue_per_customer_by_country": lambda s, d: economics.avg_revenue_per_customer_by_country(
-        _sales(s, d), START),
-    # buckets
-    "B1_orders_histogram": lambda s, d: buckets.orders_histogram(_sales(s, d), START),
-    "B2_revenue_classes": lambda s, d: buckets.revenue_classes(_sales(s, d), START, CLASS_WIDTH),
-    "B3_revenue_intervals": lambda s, d: buckets.revenue_intervals(_sales(s, d), START, *REV_BINS),
-    "B4_revenue_distribution": lambda s, d: buckets.revenue_distribution(_sales(s, d), START),
-    "B5_revenue_groups": lambda s, d: buckets.revenue_groups(_sales(s, d), START, REV_CUTS),
-    "B6_orders_distribution": lambda s, d: buckets.orders_distribution(_sales(s, d), START),
-    "B7_order_groups": lambda s, d: buckets.order_groups(_sales(s, d), START),
-    # recency, frequency, monetary
-    "R1_rfm_base": _rfm_base,
-    "R2_rfm_recency": lambda s, d: rfm.rfm_recency(_rfm_base(s, d), sales=_sales(s, d)),
-    "R3_rfm_combined": _rfm_comb,
-    "R4_rfm_scores": lambda s, d: rfm.rfm_scores(_rfm_comb(s, d)),
-    "R5_rfm_segments": lambda s, d: rfm.rfm_segments(rfm.rfm_scores(_rfm_comb(s, d))),
-    "R6_rfm_three_tier": lambda s, d: rfm.rfm_three_tier(_rfm_base(s, d)),
+    **_retail(ALL),
+    **{f"{name}_{RECENT.year}": q for name, q in _retail(RECENT).items() if name.startswith(WITH_RECENT)},
     # experiment
     "X1_conversion_rates": lambda s, d: experiment.conversion_rates(_visits(s, d)),
     "X2_conversion_crosstab": lambda s, d: experiment.conversion_crosstab(_visits(s, d)),
     "X3_weekly_conversion": lambda s, d: experiment.weekly_conversion(_visits(s, d)),
     "X4_logit_test": lambda s, d: experiment.logit_test(_visits(s, d), "clicked_like", with_p=False,
                                                         digits=DIGITS),
-    "X4_logit_test_p": lambda s, d: experiment.logit_test(_visits(s, d), "clicked_like", with_p=True),
+    "X4_logit_test_p": lambda s, d: experiment.logit_test(_visits(s, d), "clicked_like", digits=TEST_DIGITS),
+    "X4_logit_test_share": lambda s, d: experiment.logit_test(_visits(s, d), "clicked_share", digits=TEST_DIGITS),
     "X5_sample_size": lambda s, d: experiment.sample_size(_visits(s, d), "clicked_share", LIFT),
     "X6_sequential_looks": lambda s, d: experiment.sequential_looks(
-        _visits(s, d), "clicked_like", SEQ_N_PER_GROUP, LOOKS, POCOCK_BOUND, digits=DIGITS),
+        _visits(s, d), "clicked_like", SEQ_N_PER_GROUP, LOOKS, digits=DIGITS),
+    "X6_sequential_looks_5000": lambda s, d: experiment.sequential_looks(
+        _visits(s, d), "clicked_like", LONG_N, LOOKS, digits=DIGITS),
     "X7_mean_time": lambda s, d: experiment.mean_time(_visits(s, d), True, digits=DIGITS),
     "X8_weekly_time": lambda s, d: experiment.weekly_time(_visits(s, d), digits=DIGITS),
     "X9_welch_test": lambda s, d: experiment.welch_test(_visits(s, d), with_p=False, digits=TEST_DIGITS),
-    "X9_welch_test_p": lambda s, d: experiment.welch_test(_visits(s, d), with_p=True),
+    "X9_welch_test_p": lambda s, d: experiment.welch_test(_visits(s, d), digits=TEST_DIGITS),
 }
 
 

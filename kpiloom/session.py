@@ -61,7 +61,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = conf or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...)")
         conf = tempfile.mkdtemp(prefix="kpiloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf)
@@ -74,16 +74,39 @@ def reliable_checkpoint(df):
     return df.checkpoint(eager=True)
 
 
-def input_bytes(paths) -> int:
-    """Total size of local input files (for sizing; cluster jobs pass their own number)."""
-    total = 0
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of a path in any storage Spark reads."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def input_files(spark: SparkSession, paths) -> list[tuple[str, int, int]]:
+    """(path, bytes, time) of every file under the paths, from the storage itself."""
+    out = []
     for p in paths:
-        if os.path.isdir(p):
-            for root, _, files in os.walk(p):
-                total += sum(os.path.getsize(os.path.join(root, f)) for f in files)
-        elif os.path.exists(p):
-            total += os.path.getsize(p)
-    return total
+        fs, where = hadoop_path(spark, p)
+        if not fs.exists(where):
+            continue
+        if fs.getFileStatus(where).isFile():
+            s = fs.getFileStatus(where)
+            out.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
+            continue
+        files = fs.listFiles(where, True)
+        while files.hasNext():
+            s = files.next()
+            out.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
+    return out
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the input files, in whatever storage they are."""
+    return sum(n for _, n, _ in input_files(spark, paths))
+
+
+def size_session(spark: SparkSession, paths, partition_bytes: int = 128 << 20) -> None:
+    """Apply ``sizing`` for the given input to a running session."""
+    for k, v in sizing(input_bytes(spark, paths), spark.sparkContext.defaultParallelism, partition_bytes).items():
+        spark.conf.set(k, v)
 
 
 def sizing(total_input_bytes: int, cores: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
@@ -93,9 +116,9 @@ def sizing(total_input_bytes: int, cores: int, partition_bytes: int = 128 << 20)
     coalesces small ones and splits skewed ones), never fewer than two per
     core; scan splits of at most ``partition_bytes`` but small enough that
     every core gets work.  At 100 TB and 128 MB this gives about 800,000
-    initial shuffle partitions, capped at 100,000 (AQE coalesces by size).
+    initial shuffle partitions (AQE coalesces by size).
     """
-    n = max(2 * cores, min(100_000, -(-total_input_bytes // partition_bytes)))
+    n = max(2 * cores, -(-total_input_bytes // partition_bytes))
     split = max(16 << 20, min(partition_bytes, total_input_bytes // max(1, 2 * cores)))
     return {
         "spark.sql.shuffle.partitions": str(n),

@@ -1,47 +1,133 @@
-"""CSV ingest with fixed schemas, and the table sink."""
+"""CSV ingest with fixed schemas, and the table sink.
+
+Columns are matched by the names in the header, whatever their order; every
+file's header is checked against the first one's.  All fields are read as
+text and converted by rules of their own, so a value that does not fit never
+becomes NULL without a word: the load stops, or (``split_sales``,
+``split_visits``) the record goes to a reject table with its reason.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kpiloom.schema import SALES_CSV, TEXT_COLUMNS, VISITS_CSV
-
+from kpiloom.schema import SALES_CSV, VISITS_CSV
 
 # RFC 4180 quoting, as R's read.csv writes and reads it: a quote inside a
-# quoted field is doubled.  Records stay one per line (no multiLine), so a
-# large file is split across tasks.
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+# quoted field is doubled.
+QUOTING = {"quote": '"', "escape": '"'}
+MISSING = ("", "na", "nan", "null")    # fixed values: spellings of a missing number, any case
+CORRUPT = "_corrupt"
+
+
+def csv_options(multi_line: bool = False, encoding: str = "UTF-8") -> dict[str, str]:
+    """Reader options.  One record a line lets a large file be split across
+    tasks; ``multi_line`` accepts quoted line breaks (a file is then one task)."""
+    return {"header": "true", **QUOTING, "mode": "PERMISSIVE", "enforceSchema": "false", "encoding": encoding,
+            "multiLine": str(multi_line).lower(), "columnNameOfCorruptRecord": CORRUPT}
+
+
+def read_text_csv(spark: SparkSession, path, names: list[str], multi_line: bool = False,
+                  encoding: str = "UTF-8") -> DataFrame:
+    """The named columns of a CSV as text, found by header name, plus the raw
+    text of records with too few or too many fields (``_corrupt``)."""
+    options = csv_options(multi_line, encoding)
+    found = spark.read.options(**options).csv(path).columns          # reads one header line
+    by_name = {c.strip().lstrip("\ufeff").lower(): c for c in found}
+    lost = [n for n in names if n.lower() not in by_name]
+    if lost:
+        raise ValueError(f"{path}: the header has no column {', '.join(lost)}; it has {', '.join(found)}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in found] + [T.StructField(CORRUPT, T.StringType())])
+    rows = spark.read.schema(schema).options(**options).csv(path)
+    return rows.select(*[F.col(f"`{by_name[n.lower()]}`").alias(n) for n in names], CORRUPT)
+
+
+def missing(c: Column) -> Column:
+    return c.isNull() | F.lower(F.trim(c)).isin(*MISSING)
+
+
+def whole_number(c: Column, kind: str) -> tuple[Column, Column]:
+    """(value, bad): integer text, with an optional fraction of zeros; anything else is bad."""
+    text = F.regexp_extract(F.trim(c), r"^([+-]?[0-9]+)(\.0*)?$", 1)
+    value = F.when(text != "", text.try_cast(kind))
+    return value, ~missing(c) & value.isNull()
+
+
+def real_number(c: Column) -> tuple[Column, Column]:
+    value = F.when(~missing(c), F.trim(c).try_cast("double"))
+    return value, ~missing(c) & (value.isNull() | F.isnan(value))
+
 
+def iso_date(c: Column) -> tuple[Column, Column]:
+    value = F.when(~missing(c), F.trim(c).try_cast("date"))
+    return value, ~missing(c) & value.isNull()
 
-# CustomerID is read as text: exports write it as 17850 or 17850.0, and a
-# long parser would turn the second form into NULL without a word.
-SALES_READ = T.StructType([T.StructField(f.name, T.StringType()) if f.name == "CustomerID" else f
-                           for f in SALES_CSV.fields])
+
+def typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns to the schema's types, plus ``_reason``: why a record is bad, else NULL.
+
+    Blank text fields are the empty string (the cleaning step tests it); a
+    blank number or date, NA, NaN or NULL is NULL."""
+    values, reasons = [], [F.when(F.col(CORRUPT).isNotNull(), F.lit("number of fields"))] if CORRUPT in rows.columns else []
+    for f in schema.fields:
+        c, kind = F.col(f.name), f.dataType.simpleString()
+        if kind == "string":
+            values.append(F.coalesce(c, F.lit("")).alias(f.name))
+            continue
+        value, bad = iso_date(c) if kind == "date" else real_number(c) if kind == "double" else whole_number(c, kind)
+        values.append(value.alias(f.name))
+        reasons.append(F.when(bad, F.concat(F.lit(f"{f.name}: "), c)))
+    return rows.select(*values, F.coalesce(*reasons).alias("_reason"), *[c for c in (CORRUPT,) if c in rows.columns])
+
+
+def only_good(rows: DataFrame) -> DataFrame:
+    """The records of ``typed``; a bad one stops the job with its reason."""
+    message = F.concat(F.lit("bad CSV record, "), F.col("_reason"))
+    return rows.where(F.when(F.col("_reason").isNotNull(), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))) \
+        .drop("_reason", CORRUPT)
+
+
+def split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good records, rejected records with their reason)."""
+    return rows.where(F.col("_reason").isNull()).drop("_reason", CORRUPT), rows.where(F.col("_reason").isNotNull())
 
 
 def typed_sales(df: DataFrame) -> DataFrame:
-    """Raw CSV columns to the fixed retail schema: text blanks become '',
-    CustomerID becomes a bigint (NULL when blank or not a number)."""
-    cid = F.col("CustomerID").try_cast("double").cast("bigint").alias("CustomerID")
-    return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c in TEXT_COLUMNS
-                       else cid if c == "CustomerID" else F.col(c) for c in df.columns])
+    """Raw CSV columns to the fixed retail schema; a bad value stops the job."""
+    return only_good(typed(df, SALES_CSV))
 
 
-def load_sales(spark: SparkSession, path: str) -> DataFrame:
-    """S1 read side: retail CSV with a header, fixed schema.
+def load_sales(spark: SparkSession, path, *, multi_line: bool = False, encoding: str = "UTF-8") -> DataFrame:
+    """S1 read side: retail CSV with a header, fixed schema; a bad record stops the job."""
+    names = [f.name for f in SALES_CSV.fields]
+    return typed_sales(read_text_csv(spark, path, names, multi_line, encoding))
 
-    An empty text field is the empty string, not NULL (the cleaning step
-    tests ``Description = ''``); Spark reads empty fields as NULL, so text
-    columns are filled back.  Numeric blanks (CustomerID) stay NULL.
-    """
-    return typed_sales(spark.read.schema(SALES_READ).options(**CSV_OPTIONS).csv(path))
+
+def split_sales(spark: SparkSession, path, *, multi_line: bool = False,
+                encoding: str = "UTF-8") -> tuple[DataFrame, DataFrame]:
+    """(good lines, rejected lines with ``_reason``), to be written and counted apart."""
+    names = [f.name for f in SALES_CSV.fields]
+    return split(typed(read_text_csv(spark, path, names, multi_line, encoding), SALES_CSV))
+
+
+def load_visits(spark: SparkSession, path, *, multi_line: bool = False, encoding: str = "UTF-8") -> DataFrame:
+    """Experiment CSV with a header; visit_date typed as date; a bad record stops the job."""
+    names = [f.name for f in VISITS_CSV.fields]
+    return only_good(typed(read_text_csv(spark, path, names, multi_line, encoding), VISITS_CSV))
+
+
+def split_visits(spark: SparkSession, path, *, multi_line: bool = False,
+                 encoding: str = "UTF-8") -> tuple[DataFrame, DataFrame]:
+    names = [f.name for f in VISITS_CSV.fields]
+    return split(typed(read_text_csv(spark, path, names, multi_line, encoding), VISITS_CSV))
 
 
-def load_visits(spark: SparkSession, path: str) -> DataFrame:
-    """Experiment CSV with a header; visit_date typed as date."""
-    return spark.read.schema(VISITS_CSV).options(**CSV_OPTIONS).option("dateFormat", "yyyy-MM-dd").csv(path)
+def write_csv(df: DataFrame, path: str) -> None:
+    """Write with a header, quoted as the loaders read; blanks at the ends of a field are kept."""
+    df.write.mode("overwrite").options(header="true", ignoreLeadingWhiteSpace="false",
+                                       ignoreTrailingWhiteSpace="false", **QUOTING).csv(path)
 
 
 def write_table(df: DataFrame, path: str, *, cluster_by: str | None = None,

@@ -1,37 +1,43 @@
 """The cleaned retail table, written once.
 
 The reference loads its CSV into a table once and cleans it in place; every
-report then reads that table.  Here the star-schema join plus cleaning runs
-once, is written as Parquet partitioned by invoice year (so a date filter
-skips whole folders) and sorted within each task by InvoiceDate (so it also
-skips row groups), and every analysis reads it.  That also cuts the
-join's lineage: a lost executor re-reads files instead of re-running the join.
+report then reads that table.  Here loading (from CSV, or the star-schema
+join of the test tables) plus cleaning runs once, is written as Parquet
+partitioned by invoice year (so a date filter skips whole folders) and sorted
+within each task by InvoiceDate (so it also skips row groups), and every
+analysis reads it.  That also cuts the lineage: a lost executor re-reads
+files instead of re-running the load.
 
 Without ``table_path`` the table goes under the shared checkpoint folder,
-once per application.  With it, an existing table there is reused as is, and
-a missing one is built and written there (for scheduled jobs).
+once per application, and is deleted when the application ends.  With it, a
+complete table there that was built from the same input files (names, sizes
+and times, kept beside it) is reused; a missing or incomplete one is built;
+one of other input is refused unless ``rebuild`` is set.
 """
 
 from __future__ import annotations
 
-import os
 import threading
 import uuid
+from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kpiloom.operators.cleaning import clean_sales
-from kpiloom.session import checkpoint_dir
-from kpiloom.sources.files import write_table
+from kpiloom.session import checkpoint_dir, hadoop_path, input_files
+from kpiloom.sources.files import load_sales, load_visits, write_csv, write_table
 from kpiloom.sources.tables import sales_from_tables
 
 _LOCK = threading.Lock()
 _WRITTEN: dict[tuple[str, str], str] = {}
-
+_VISITS: dict[tuple[str, str], str] = {}
+_SCHEMAS: dict[str, T.StructType] = {}
 
 PARTITION_COLUMN = "InvoiceYear"
+TABLES = ("lineitem", "orders", "customer", "nation", "part")
+FINGERPRINT = "_kpiloom_input"
 
 
 def build_cleaned_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,36 +47,127 @@ def build_cleaned_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_sales(raw, text_done=True).withColumn(PARTITION_COLUMN, F.year("InvoiceDate"))
 
 
-def _write(df: DataFrame, path: str) -> None:
+def build_from_csv(spark: SparkSession, sales_csv: str, date_format: str | None = None, **options) -> DataFrame:
+    """S1 + C1-C3 over the reference's own input, one invoice CSV (or a folder of them)."""
+    return clean_sales(load_sales(spark, sales_csv, **options), date_format, dictionary=True) \
+        .withColumn(PARTITION_COLUMN, F.year("InvoiceDate"))
+
+
+def _write(df: DataFrame, path: str, fingerprint: str) -> None:
     write_table(df, path, cluster_by="InvoiceDate", partition_by=PARTITION_COLUMN)
+    fs, where = hadoop_path(df.sparkSession, f"{path.rstrip('/')}/{FINGERPRINT}")
+    out = fs.create(where, True)
+    out.write(bytearray(fingerprint.encode()))
+    out.close()
+
+
+def _fingerprint_at(spark: SparkSession, path: str) -> str | None:
+    """The stored input fingerprint of a complete table, else None."""
+    fs, done = hadoop_path(spark, f"{path.rstrip('/')}/_SUCCESS")
+    _, mark = hadoop_path(spark, f"{path.rstrip('/')}/{FINGERPRINT}")
+    if not fs.exists(done) or not fs.exists(mark):
+        return None
+    stream = fs.open(mark)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _describe(spark: SparkSession, paths: list[str]) -> str:
+    return "\n".join(sorted(" ".join(map(str, f)) for f in input_files(spark, paths)))
 
 
 def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    return (spark.conf.get("spark.app.id", "") or str(id(spark)), os.path.abspath(sf_dir))
+    return (spark.sparkContext.applicationId, str(sf_dir).rstrip("/"))
+
 
+def stable_table(spark: SparkSession, inputs: list[str], build: Callable[[], DataFrame], table_path: str,
+                 rebuild: bool = False) -> DataFrame:
+    """The cleaned table at ``table_path``, built from ``inputs`` if it is not there yet."""
+    want, have = _describe(spark, inputs), _fingerprint_at(spark, table_path)
+    if have != want:
+        fs, where = hadoop_path(spark, table_path)
+        if have is not None and not rebuild:
+            raise ValueError(f"{table_path} holds a table of other input; give another path or rebuild it")
+        if have is None and fs.exists(where) and not _ours(fs, where):
+            raise ValueError(f"{table_path} exists and is no cleaned table")
+        _write(build(), table_path, want)
+    return spark.read.parquet(table_path)
 
-def pin_cleaned_sales(spark: SparkSession, sf_dir: str, table_path: str) -> DataFrame:
+
+def _ours(fs, where) -> bool:
+    """Whether a folder is empty or holds what an interrupted write of this table leaves."""
+    names = [s.getPath().getName() for s in fs.listStatus(where)]
+    return all(n.startswith((f"{PARTITION_COLUMN}=", "_", ".")) for n in names)
+
+
+def pin_cleaned_sales(spark: SparkSession, sf_dir: str, table_path: str, rebuild: bool = False) -> DataFrame:
     """Build (or reuse) the cleaned table at ``table_path`` and make every
     later ``cleaned_sales(spark, sf_dir)`` in this application read it."""
-    df = cleaned_sales(spark, sf_dir, table_path)
+    df = cleaned_sales(spark, sf_dir, table_path, rebuild)
     with _LOCK:
         _WRITTEN[_key(spark, sf_dir)] = table_path
     return df
 
 
-def cleaned_sales(spark: SparkSession, sf_dir: str, table_path: str | None = None) -> DataFrame:
+def pin_csv(spark: SparkSession, name: str, sales_csv: str | None = None, visits_csv: str | None = None, *,
+            date_format: str | None = None, table_path: str | None = None, rebuild: bool = False, **options) -> None:
+    """Make the analyses of input ``name`` read these CSV files instead of star-schema tables."""
+    if sales_csv:
+        build = lambda: build_from_csv(spark, sales_csv, date_format, **options)
+        if table_path:
+            stable_table(spark, [sales_csv], build, table_path, rebuild)
+        else:
+            table_path = _session_folder(spark, "sales")
+            _write(build(), table_path, _describe(spark, [sales_csv]))
+        with _LOCK:
+            _WRITTEN[_key(spark, name)] = table_path
+    if visits_csv:
+        with _LOCK:
+            _VISITS[_key(spark, name)] = visits_csv
+
+
+def pinned_visits(spark: SparkSession, name: str) -> DataFrame | None:
+    """The visits CSV pinned for ``name``, with an arrival order (date, then place in the input)."""
+    path = _VISITS.get(_key(spark, name))
+    if path is None:
+        return None
+    return load_visits(spark, path).withColumn("ts", F.col("visit_date").cast("timestamp")) \
+        .withColumn("event_id", F.monotonically_increasing_id())
+
+
+def _session_folder(spark: SparkSession, kind: str) -> str:
+    """A new folder in shared storage that goes when the application ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/kpiloom-{kind}-{uuid.uuid4().hex}"
+    fs, where = hadoop_path(spark, path)
+    fs.deleteOnExit(where)
+    return path
+
+
+def csv_copy(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[], DataFrame]) -> str:
+    """``build()`` written as CSV in shared storage, once per application."""
+    key = (*_key(spark, sf_dir), kind)
+    with _LOCK:
+        if key not in _WRITTEN:
+            path = _session_folder(spark, f"csv-{kind}")
+            write_csv(build(), path)
+            _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
+def cleaned_sales(spark: SparkSession, sf_dir: str, table_path: str | None = None, rebuild: bool = False) -> DataFrame:
     """The cleaned retail table of ``sf_dir``, materialized once."""
+    inputs = [f"{str(sf_dir).rstrip('/')}/{t}.parquet" for t in TABLES]
     if table_path:
-        try:
-            return spark.read.parquet(table_path)
-        except AnalysisException:
-            _write(build_cleaned_sales(spark, sf_dir), table_path)
-            return spark.read.parquet(table_path)
+        return stable_table(spark, inputs, lambda: build_cleaned_sales(spark, sf_dir), table_path, rebuild)
     key = _key(spark, sf_dir)
     with _LOCK:
         path = _WRITTEN.get(key)
         if path is None:
-            path = f"{checkpoint_dir(spark).rstrip('/')}/kpiloom-sales-{uuid.uuid4().hex}"
-            _write(build_cleaned_sales(spark, sf_dir), path)
+            path = _session_folder(spark, "sales")
+            _write(build_cleaned_sales(spark, sf_dir), path, _describe(spark, inputs))
             _WRITTEN[key] = path
-    return spark.read.parquet(path)
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)      # known schema: no job to read footers

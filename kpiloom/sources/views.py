@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from kpiloom.sources.store import cleaned_sales
+from kpiloom.sources.store import cleaned_sales, pinned_visits
 from kpiloom.sources.tables import visits_from_events
 
 
 def register_views(spark: SparkSession, sf_dir: str, sales_view: str = "ecommerce_data",
                    visits_view: str = "ab_visits") -> None:
     cleaned_sales(spark, sf_dir).createOrReplaceTempView(sales_view)
-    visits_from_events(spark, sf_dir).createOrReplaceTempView(visits_view)
+    visits = pinned_visits(spark, sf_dir)       # CSV input, see store.pin_csv
+    (visits_from_events(spark, sf_dir) if visits is None else visits).createOrReplaceTempView(visits_view)

@@ -117,3 +117,27 @@ def test_weekly_time_approx_close_to_exact(spark):
         assert (a.time_min, a.time_max) == (e.time_min, e.time_max)
         assert a.time_spent == pytest.approx(e.time_spent, rel=1e-12)
         assert abs(a.time_median - e.time_median) <= 1.0
+
+
+def test_boundary_belongs_to_three_looks(spark):
+    v = spark.createDataFrame([(dt.datetime(2024, 1, 1), i, "tips" if i % 2 else "tools", i % 3 == 0)
+                               for i in range(40)], "ts timestamp, event_id long, condition string, clicked_like boolean")
+    v = v.withColumn("clicked_like", v.clicked_like.cast("int"))
+    assert len(X.sequential_looks(v, n_per_group=10).collect()) == 3
+    with pytest.raises(ValueError, match="boundary"):
+        X.sequential_looks(v, n_per_group=10, k=5)
+    assert len(X.sequential_looks(v, n_per_group=10, k=5, boundary=2.12).collect()) == 5
+    # a design longer than the data uses every visit
+    assert [r.n_tips for r in X.sequential_looks(v, n_per_group=60).collect()] == [20, 20, 20]
+
+
+def test_t_tail_for_many_degrees_of_freedom():
+    from kpiloom.functions import stats
+    assert t_two_sided_p(2.0, 1e12) == pytest.approx(stats.normal_two_sided_p(2.0), rel=1e-10)
+    assert t_two_sided_p(2.0, 2e8) == pytest.approx(t_two_sided_p(2.0, 9e7), rel=1e-6)
+    with pytest.raises(ArithmeticError):
+        stats.MAX_TERMS, before = 3, stats.MAX_TERMS
+        try:
+            stats._beta_fraction(5.0, 0.5, 0.8)
+        finally:
+            stats.MAX_TERMS = before

@@ -4,8 +4,10 @@ import calendar
 import datetime as dt
 from decimal import ROUND_HALF_UP, Decimal
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kpiloom.functions import age_day, exact_round_div, pg_initcap, trunc_toward_zero, week_of_year_7day
@@ -67,27 +69,19 @@ ROWS = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.integers(0
 
 @settings(max_examples=8, deadline=None)
 @given(ROWS, st.integers(1, 7))
-def test_range_form_equals_window(spark, rows, tiles):
-    from kpiloom.plans.ranking import RankMethod, dense_rank, exact_percentiles, ntile, row_number
+def test_selection_equals_windows(spark, rows, tiles):
+    from kpiloom.plans import dense_rank, exact_percentiles, ntiles
     df = spark.createDataFrame([(i, v, g) for i, (v, g) in enumerate(rows)], "id long, v long, g long")
-    spark.conf.set("spark.kpiloom.rank.rowsPerPartition", "7")
-    try:
-        rng = RankMethod("range", max(1, len(rows)))
-
-        def same(a, b, cols):
-            return sorted(map(tuple, a.select(*cols).collect()), key=repr) == \
-                sorted(map(tuple, b.select(*cols).collect()), key=repr)
-
-        order = [("v", False), ("id", True)]
-        assert same(ntile(df, tiles, order, out="t", method="window"),
-                    ntile(df, tiles, order, out="t", method=rng), ["id", "t"])
-        assert same(dense_rank(df, [("v", True)], ["g"], out="r", method="window"),
-                    dense_rank(df, [("v", True)], ["g"], out="r", method=rng), ["id", "r"])
-        assert same(row_number(df, order, ["g"], out="r", method="window", total="n"),
-                    row_number(df, order, ["g"], out="r", method=rng, total="n"), ["id", "r", "n"])
-        probs = {"q0": 0.0, "q1": 0.3, "q2": 0.5, "q3": 1.0}
-        a = exact_percentiles(df, "v", probs, ["g"], method="window")
-        b = exact_percentiles(df, "v", probs, ["g"], method=rng)
-        assert same(a, b, ["g", *probs])
-    finally:
-        spark.conf.unset("spark.kpiloom.rank.rowsPerPartition")
+    window = lambda f, *order: f.over(Window.orderBy(*order))
+    r = ntiles(df, tiles, {"t": ("v", False)}, "id") if tiles > 1 else df.withColumn("t", F.lit(1))
+    w = df.withColumn("w", window(F.ntile(tiles), F.col("v").desc_nulls_first(), "id"))
+    assert r.join(w.select("id", "w"), "id").where("t <> w").isEmpty()
+    d = df.withColumn("w", window(F.dense_rank(), F.col("v").desc_nulls_first())).select("id", "w")
+    assert dense_rank(df, "v", "r").join(d, "id").where("r <> w").isEmpty()
+    probs = {"q0": 0.0, "q1": 0.3, "q2": 0.5, "q3": 1.0}
+    got = {x.g: tuple(x[k] for k in probs) for x in exact_percentiles(df, "v", probs, ["g"], exact_decimal=False).collect()}
+    want = {x.g: tuple(x[k] for k in probs) for x in
+            df.groupBy("g").agg(*[F.percentile("v", p).alias(k) for k, p in probs.items()]).collect()}
+    assert got.keys() == want.keys()
+    for g, values in want.items():
+        assert got[g] == (values if None in values else pytest.approx(values, rel=1e-12))

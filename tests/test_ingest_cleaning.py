@@ -13,7 +13,7 @@ def test_load_sales_csv_roundtrip(spark, tmp_path):
         "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
         "536365,85123A, white HANGING heart ,6,12/1/2010 8:26,2.55,17850,united kingdom\n"
         "536366,22633,,6,12/1/2010 8:28,1.85,,France\n"
-        "536367,22634,HAND-WARMER it's,-2,not a date,1.85,13047,Unspecified\n")
+        "536367,22634,HAND-WARMER it's,-2,12/2/2010 8:26,1.85,13047,Unspecified\n")
     raw = load_sales(spark, str(csv))
     rows = raw.collect()
     assert rows[1].Description == "" and rows[1].CustomerID is None
@@ -24,7 +24,6 @@ def test_load_sales_csv_roundtrip(spark, tmp_path):
     assert got["536365"].InvoiceDate == dt.date(2010, 12, 1)
     assert got["536366"].Description == "Data_not_available"
     assert got["536367"].Description == "Hand-Warmer It'S"
-    assert got["536367"].InvoiceDate is None  # malformed text -> NULL
     assert float(got["536367"].rev) == -3.7
     out = write_table(cleaned, str(tmp_path / "sales_parquet"), cluster_by="InvoiceDate")
     assert out.count() == 3
@@ -87,8 +86,69 @@ def test_dictionary_normalisation_equals_per_line(spark):
     dictionary = clean_sales(raw, dictionary=True)
     assert dictionary.columns == clean_sales(raw).columns
     assert sorted(map(tuple, dictionary.collect()), key=repr) == per_line
-    # above the bound the same result comes from the per-line path
-    from kpiloom.operators.cleaning import fill_empty, normalise_text
-    capped = fill_empty(normalise_text(raw, dictionary=True, max_values=3))
-    assert sorted(map(tuple, capped.collect()), key=repr) == sorted(
-        map(tuple, fill_empty(normalise_text(raw)).collect()), key=repr)
+
+
+HEADER = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+
+
+def test_bad_dates_stop_the_job(spark):
+    import pytest
+    df = spark.createDataFrame([("12/1/2010 8:26",), ("not a date",)], "InvoiceDate string")
+    with pytest.raises(Exception, match="is no date"):
+        parse_date(df, fmt="M/d/yyyy H:mm").collect()
+    assert parse_date(df, fmt="M/d/yyyy H:mm", strict=False).collect()[1][0] is None
+    blank = spark.createDataFrame([("",), (None,)], "InvoiceDate string")
+    assert [r[0] for r in parse_date(blank, fmt="M/d/yyyy H:mm").collect()] == [None, None]
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    import pytest
+    p = tmp_path / "other_order.csv"
+    p.write_text("Country,CustomerID,UnitPrice,Quantity,InvoiceDate,Description,StockCode,InvoiceNo,Extra\n"
+                 "France,17850,2.5,6,12/1/2010 8:26,mug,A,1,x\n")
+    r = load_sales(spark, str(p)).first()
+    assert (r.InvoiceNo, r.Quantity, r.UnitPrice, r.CustomerID, r.Country) == ("1", 6, 2.5, 17850, "France")
+    (tmp_path / "short.csv").write_text("InvoiceNo,StockCode\n1,A\n")
+    with pytest.raises(ValueError, match="has no column"):
+        load_sales(spark, str(tmp_path / "short.csv"))
+
+
+def test_csv_ids_and_missing_numbers(spark, tmp_path):
+    p = tmp_path / "ids.csv"
+    ids = ["17850", "17850.0", "nan", "NA", "", "9007199254740993", " 12 "]
+    p.write_text(HEADER + "".join(f"{i},A,mug,1,12/1/2010 8:26,1.5,{c},France\n" for i, c in enumerate(ids)))
+    got = {r.InvoiceNo: r.CustomerID for r in load_sales(spark, str(p)).collect()}
+    assert [got[str(i)] for i in range(len(ids))] == [17850, 17850, None, None, None, 9007199254740993, 12]
+
+
+def test_csv_bad_records_stop_or_are_set_apart(spark, tmp_path):
+    import pytest
+    from kpiloom.sources.files import split_sales, split_visits
+    p = tmp_path / "bad.csv"
+    good = "1,A,mug,1,12/1/2010 8:26,1.5,7,France\n"
+    bad = ["2,A,mug,one,12/1/2010 8:26,1.5,7,France\n", "3,A,mug,1,12/1/2010 8:26,1.5,C123,France\n",
+           "4,A,mug,1,12/1/2010 8:26,cheap,7,France\n", "5,A,mug,1,12/1/2010 8:26,1.5,17850.7,France\n",
+           "6,A,mug\n", "7,A,mug,1,12/1/2010 8:26,1.5,7,France,more,fields\n",
+           "8,A,mug,1,12/1/2010 8:26,1.5,99999999999999999999,France\n"]
+    p.write_text(HEADER + good + "".join(bad))
+    fine, rejected = split_sales(spark, str(p))
+    assert [r.InvoiceNo for r in fine.collect()] == ["1"]
+    reasons = {r.InvoiceNo: r._reason for r in rejected.collect()}
+    assert len(reasons) == len(bad) and reasons["3"] == "CustomerID: C123" and reasons["6"] == "number of fields"
+    assert fine.count() + rejected.count() == 1 + len(bad)
+    with pytest.raises(Exception, match="bad CSV record"):
+        load_sales(spark, str(p)).count()
+    v = tmp_path / "v.csv"
+    v.write_text("visit_date,condition,time_spent_homepage_sec,clicked_article,clicked_like,clicked_share\n"
+                 "2018-01-01,tips,39.24,0,1,0\n2018-13-01,tips,1,0,1,0\n")
+    assert [x.count() for x in split_visits(spark, str(v))] == [1, 1]
+
+
+def test_csv_line_breaks_and_encoding(spark, tmp_path):
+    p = tmp_path / "breaks.csv"
+    p.write_text(HEADER + '1,A,"two\nlines",1,12/1/2010 8:26,1.5,7,France\n')
+    r = load_sales(spark, str(p), multi_line=True).collect()
+    assert len(r) == 1 and r[0].Description == "two\nlines"
+    latin = tmp_path / "latin.csv"
+    latin.write_bytes((HEADER + "1,A,caf\u00e9,1,12/1/2010 8:26,1.5,7,France\n").encode("latin-1"))
+    assert load_sales(spark, str(latin), encoding="ISO-8859-1").first().Description == "caf\u00e9"

@@ -52,23 +52,34 @@ def test_all_ties_ntile_uses_customer_order(spark):
     assert [sc[i] for i in range(1, 8)] == [1, 1, 2, 2, 3, 4, 5]
 
 
-def test_registry_rankings_same_in_range_form(spark):
-    """Force the scale form of every global ranking and compare with the window form."""
+def test_registered_rankings_start_no_job_and_use_no_single_task(spark):
+    """One plan at every size: building a query runs nothing, and no row table goes to one task."""
     import __spark_entry__ as E
-    from kpiloom.plans.ranking import MAX_SINGLE_PARTITION_ROWS_CONF, ROWS_PER_RANGE_PARTITION_CONF
-
-    names = ["V1_item_country_revenue", "R4_rfm_scores", "R6_rfm_three_tier", "B4_revenue_distribution",
-             "X8_weekly_time"]
-    q = E.queries()
-    window = {n: _rows(q[n](spark, SF_SMALL)) for n in names}
-    spark.conf.set(MAX_SINGLE_PARTITION_ROWS_CONF, "0")
-    spark.conf.set(ROWS_PER_RANGE_PARTITION_CONF, "97")  # many small range partitions
+    q, sc = E.queries(), spark.sparkContext
+    cleaned_sales(spark, SF_SMALL)
+    for name in ("V1_item_country_revenue", "R4_rfm_scores", "R5_rfm_segments", "R6_rfm_three_tier",
+                 "B4_revenue_distribution", "X8_weekly_time", "X6_sequential_looks", "X6_sequential_looks_5000"):
+        sc.setJobGroup(f"build {name}", "")
+        df = q[name](spark, SF_SMALL)
+        # reading the stored table may list its files; no job works on rows
+        assert len(sc.statusTracker().getJobIdsForGroup(f"build {name}")) <= 1, name
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        windows = [line for line in plan.splitlines() if "Window [" in line]
+        assert not any("ntile" in w or "row_number" in w and "_kl_class" not in w for w in windows), name
+
+
+def test_scored_lists_sort_into_even_tasks(spark):
+    """Correlated scores have few codes; the customer splits them over the sort's tasks."""
+    n = 40_000
+    df = spark.range(n).select(F.col("id").alias("customer_id"), (F.col("id") % 5).alias("date_diff"),
+                               (F.col("id") % 5).alias("counts_freq"), (F.col("id") % 5).cast("double").alias("monetary"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        for n in names:
-            assert _rows(q[n](spark, SF_SMALL)) == window[n], n
+        sizes = [r["count"] for r in rfm.rfm_scores(df).groupBy(F.spark_partition_id()).count().collect()]
     finally:
-        spark.conf.unset(MAX_SINGLE_PARTITION_ROWS_CONF)
-        spark.conf.unset(ROWS_PER_RANGE_PARTITION_CONF)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) >= 4 and max(sizes) <= 2 * n / len(sizes)
 
 
 def test_reference_date_subquery_runs_once(spark):

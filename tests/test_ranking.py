@@ -1,11 +1,12 @@
-"""The range (scale) forms must equal the plain windows, including with a hot
-value holding a third of the rows and with per-group ranking."""
+"""Order statistics, ntile and ranks by selection must equal the plain windows,
+including with one value holding a third of the rows."""
 
 import duckdb
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from kpiloom.plans import count_in_bins, dense_rank, exact_percentiles, first_n_per_group, ntile, row_number
+from kpiloom.plans import at_ranks, count_in_bins, dense_rank, exact_percentiles, ntiles, ordered_cuts
 from kpiloom.plans.topk import assert_group_limit, top_k_distinct_per_group
 
 
@@ -16,104 +17,98 @@ def skewed(spark):
             .select(F.col("id"),
                     F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise((F.col("id") * 7919) % 1000).alias("v"),
                     F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 5).alias("g"),
-                    ((F.col("id") * 31) % 997 / 7).alias("x")))
+                    ((F.col("id") * 31) % 997 / 7).alias("x"),
+                    F.when(F.col("id") % 11 == 0, None).otherwise(F.col("id") % 50).alias("n")))
+
+
+def _jobs(spark, build):
+    """Result of ``build`` and the number of jobs it started."""
+    sc = spark.sparkContext
+    sc.setJobGroup("build", "")
+    out = build()
+    n = len(sc.statusTracker().getJobIdsForGroup("build"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    return out, n
+
+
+@pytest.mark.parametrize("tiles", [3, 5, 7])
+def test_ntiles_equal_windows(spark, skewed, tiles):
+    r, jobs = _jobs(spark, lambda: ntiles(skewed, tiles, {"a": ("v", False), "b": ("x", True), "c": ("n", True),
+                                                          "d": ("n", False)}, "id"))
+    assert jobs == 0
+    w = skewed
+    for name, order in (("wa", F.col("v").desc()), ("wb", F.col("x").asc()), ("wc", F.col("n").asc_nulls_last()),
+                        ("wd", F.col("n").desc_nulls_first())):
+        w = w.withColumn(name, F.ntile(tiles).over(Window.orderBy(order, "id")))
+    both = r.join(w.select("id", "wa", "wb", "wc", "wd"), "id")
+    assert both.count() == 30_000
+    assert both.where("a <> wa or b <> wb or c <> wc or d <> wd").isEmpty()
+    assert "SinglePartition" not in r._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
 
 
-def _same(a, b, cols):
-    return sorted(map(tuple, a.select(*cols).collect())) == sorted(map(tuple, b.select(*cols).collect()))
-
-
-def test_ntile_range_equals_window(skewed):
-    order = [("v", False), ("id", True)]
-    for tiles in (3, 5, 7):
-        w = ntile(skewed, tiles, order, out="t", method="window")
-        r = ntile(skewed, tiles, order, out="t", method="range")
-        assert _same(w, r, ["id", "t"])
-    w = ntile(skewed, 4, [("v", True), ("id", True)], partition_by=["g"], out="t", method="window")
-    r = ntile(skewed, 4, [("v", True), ("id", True)], partition_by=["g"], out="t", method="range")
-    assert _same(w, r, ["id", "t"])
-
-
-def test_dense_rank_and_row_number_range(skewed):
-    w = dense_rank(skewed, [("v", False)], out="r", method="window")
-    r = dense_rank(skewed, [("v", False)], out="r", method="range")
-    assert _same(w, r, ["id", "r"])
-    w = row_number(skewed, [("v", True), ("id", False)], partition_by=["g"], out="r", method="window", total="n")
-    r = row_number(skewed, [("v", True), ("id", False)], partition_by=["g"], out="r", method="range", total="n")
-    assert _same(w, r, ["id", "r", "n"])
+@pytest.mark.parametrize("n", [0, 1, 2, 4, 5, 6, 11, 23])
+def test_ntile_small_sizes(spark, n):
+    df = spark.range(n).select(F.col("id"), (F.col("id") % 3).alias("v"))
+    w = df.withColumn("w", F.ntile(5).over(Window.orderBy(F.desc("v"), "id")))
+    r = ntiles(df, 5, {"t": ("v", False)}, "id").join(w.select("id", "w"), "id")
+    assert r.count() == n and r.where("t <> w").isEmpty()
 
 
-def test_range_plan_has_no_global_window(skewed):
-    r = ntile(skewed, 5, [("v", True), ("id", True)], out="t", method="range")
-    plan = r._jdf.queryExecution().executedPlan().toString()
-    assert "ntile" not in plan.lower()  # computed arithmetically from offsets
-    r.collect()
+def test_dense_rank_equals_window(spark, skewed):
+    df = skewed.select("id", (F.col("x") - 70).alias("x"), F.when(F.col("id") % 13 == 0, None)
+                       .otherwise(F.col("x") - 70).cast("decimal(20,4)").alias("y"))
+    for c in ("x", "y"):
+        r, jobs = _jobs(spark, lambda: dense_rank(df, c, "r"))
+        w = df.withColumn("w", F.dense_rank().over(Window.orderBy(F.col(c).desc_nulls_first()))).select("id", "w")
+        both = r.join(w, "id")
+        assert jobs == 0 and both.count() == 30_000 and both.where("r <> w").isEmpty()
 
 
-def test_exact_percentiles_match_duckdb(skewed):
+def test_exact_percentiles_match_duckdb(spark, skewed):
     probs = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p90": 0.9, "p100": 1.0}
-    pdf = skewed.toPandas()
     con = duckdb.connect()
-    con.register("t", pdf)
+    con.register("t", skewed.toPandas())
     want = {r[0]: r[1:] for r in con.execute(
         "SELECT g, " + ", ".join(f"quantile_cont(x, {p})" for p in probs.values()) + " FROM t GROUP BY g").fetchall()}
-    for method in ("window", "range"):
-        got = exact_percentiles(skewed, "x", probs, partition_by=["g"], method=method, exact_decimal=False)
-        for row in got.collect():
-            assert tuple(row[k] for k in probs) == pytest.approx(want[row.g], rel=1e-12)
-
-
-def test_top_k_and_first_n(skewed):
+    got, jobs = _jobs(spark, lambda: exact_percentiles(skewed, "x", probs, ["g"], exact_decimal=False))
+    assert jobs == 0
+    for row in got.collect():
+        assert tuple(row[k] for k in probs) == pytest.approx(want[row.g], rel=1e-12)
+    hot = exact_percentiles(skewed, "v", {"m": 0.5}, exact_decimal=False).first().m
+    assert hot == con.execute("SELECT quantile_cont(v, 0.5) FROM t").fetchone()[0]
+    assert exact_percentiles(skewed.limit(0), "x", {"m": 0.5}).first().m is None
+    assert exact_percentiles(skewed.where("n is null"), "n", {"m": 0.5}, ["g"]).first().m is None
+
+
+def test_at_ranks_and_cuts(skewed):
+    rows = sorted((r.v, r.id) for r in skewed.select("v", "id").collect())
+    got = at_ranks(skewed, [], "v", lambda n: F.array(*[F.lit(x).cast("bigint") for x in (0, 1, 9000, 30_000, 40_000)]))
+    values = [v for v, _ in rows]
+    assert sorted((r["rank"], r.value, r.before) for r in got.collect()) == [
+        (k, values[k - 1], values.index(values[k - 1])) for k in (1, 9000, 30_000)]
+    cut = ordered_cuts(skewed, {"s": ("v", True)}, "id", lambda n: F.array(F.lit(5000).cast("bigint")), ["g"]).collect()
+    by_group = {r.g: (r.v, r.tie) for r in cut}
+    mine = sorted((r.v, r.id) for r in skewed.where("g = 0").select("v", "id").collect())
+    assert by_group[0] == mine[4999]
+
+
+def test_top_k(skewed):
     top = top_k_distinct_per_group(skewed, ["g"], "v", 3, out="rank")
     assert_group_limit(top)
     pdf = skewed.toPandas()
     for g, part in pdf.groupby("g"):
         best = sorted(part.v.unique(), reverse=True)[:3]
         assert top.where(F.col("g") == int(g)).count() == int(part.v.isin(best).sum())
-    first = first_n_per_group(skewed, ["g"], [("x", True), ("id", True)], 50)
-    assert_group_limit(first)
-    want = (pdf.sort_values(["x", "id"]).groupby("g").head(50))
-    assert sorted(first.select("id").toPandas().id) == sorted(want.id)
 
 
 def test_bins_counts(spark):
     vals = spark.createDataFrame([(v,) for v in [0, 5, 10, 15, 20, 21, -1, None]], "v int")
     got = [tuple(r) for r in count_in_bins(vals, "v", 0, 20, 10, "n").orderBy("lower_class").collect()]
     assert got == [(0, 10, 3), (10, 20, 3)]
-    with pytest.raises(ValueError):
-        count_in_bins(vals, "v", 0, 10, 20)
-
-
-@pytest.mark.parametrize("n", [0, 1, 2, 4, 5, 6, 11, 23])
-def test_ntile_small_sizes(spark, n):
-    df = spark.range(n).select(F.col("id"), (F.col("id") % 3).alias("v"))
-    order = [("v", False), ("id", True)]
-    spark.conf.set("spark.kpiloom.rank.rowsPerPartition", "2")
-    try:
-        w = ntile(df, 5, order, out="t", method="window")
-        r = ntile(df, 5, order, out="t", method="auto") if n else w
-        from kpiloom.plans.ranking import RankMethod
-        r2 = ntile(df, 5, order, out="t", method=RankMethod("range", n))
-        assert _same(w, r, ["id", "t"]) and _same(w, r2, ["id", "t"])
-    finally:
-        spark.conf.unset("spark.kpiloom.rank.rowsPerPartition")
-
-
-def test_top_k_above_group_limit_threshold(spark, skewed):
-    """k beyond Spark's group-limit threshold: same rows via the ranking plans."""
-    from kpiloom.plans.topk import GROUP_LIMIT_THRESHOLD_CONF
-    small_top = top_k_distinct_per_group(skewed, ["g"], "v", 3, out="rank")
-    small_first = first_n_per_group(skewed, ["g"], [("x", True), ("id", True)], 50)
-    want_top, want_first = _rows_of(small_top), _rows_of(small_first)
-    spark.conf.set(GROUP_LIMIT_THRESHOLD_CONF, "2")
-    spark.conf.set("spark.kpiloom.rank.maxSinglePartitionRows", "0")
-    try:
-        assert _rows_of(top_k_distinct_per_group(skewed, ["g"], "v", 3, out="rank")) == want_top
-        assert _rows_of(first_n_per_group(skewed, ["g"], [("x", True), ("id", True)], 50)) == want_first
-    finally:
-        spark.conf.unset(GROUP_LIMIT_THRESHOLD_CONF)
-        spark.conf.unset("spark.kpiloom.rank.maxSinglePartitionRows")
-
-
-def _rows_of(df):
-    return sorted(map(tuple, df.select(*sorted(df.columns)).collect()), key=repr)
+    half = spark.createDataFrame([(0.0,), (0.5,), (0.75,), (1.0,)], "v double")
+    got = [tuple(r) for r in count_in_bins(half, "v", 0, 1, 0.5, "n").orderBy("lower_class").collect()]
+    assert got == [(0.0, 0.5, 2), (0.5, 1.0, 3)]
+    assert count_in_bins(vals, "v", 0, 200_000, 1, "n").where("n > 0").count() == 10
+    for bad in ((0, 10, 20), (0, 25, 10), (0, 10, 0)):
+        with pytest.raises(ValueError):
+            count_in_bins(vals, "v", *bad)

@@ -55,12 +55,10 @@ def test_item_country_ranks(spark):
     s = make_sales(spark, [line(1, "Data_not_available", 1, "2011-01-10", 5.0, 1),
                            line(2, "B", 1, "2011-01-10", 5.0, 1, country="Unspecified"),
                            line(3, "C", 1, "2011-01-10", 7.0, 2), line(4, "C", 1, "2011-01-10", 7.0, None)])
-    v1 = revenue.item_country_revenue(s, "2011-01-01", method="window")
+    v1 = revenue.item_country_revenue(s, "2011-01-01")
     got = {(r.item_description, r.country): (r.item_rank, r.revenue) for r in v1.collect()}
     assert got == {("Data_Not_Available", "Nation_1"): (2, 5.0), ("B", "Unspecified"): (2, 5.0),
                    ("C", "Nation_1"): (1, 7.0)}
-    v1r = revenue.item_country_revenue(s, "2011-01-01", method="range")
-    assert sorted(map(tuple, v1r.collect())) == sorted(map(tuple, v1.collect()))
     c = {r.country: (r.country_rank, r.revenue) for r in revenue.country_revenue(v1).collect()}
     assert c == {"Nation_1": (1, 12.0)}
     assert revenue.top_countries(v1, 1).first().country == "Nation_1"
@@ -91,3 +89,23 @@ def test_unit_economics(spark):
     k4 = economics.avg_revenue_per_customer_by_country(s, "2011-01-01").collect()
     assert [(r.country_name, r.revenue_country, r.customer_number, r.avg_rev_cust_country) for r in k4] == [
         ("Nation_1", 10.01, 2, 5.01)]
+
+
+def test_null_revenue_sorts_first_as_in_postgresql(spark):
+    s = make_sales(spark, [line(1, "A", 1, "2011-01-10", 5.0, 1), line(2, "B", 1, "2011-01-10", None, 1, country="Nowhere"),
+                           line(3, "C", 1, "2011-01-10", 7.0, 2)])
+    v1 = revenue.item_country_revenue(s, "2011-01-01")
+    assert {r.item_description: r.item_rank for r in v1.collect()} == {"B": 1, "C": 2, "A": 3}
+    plain = revenue.item_country_revenue(s, "2011-01-01", with_rank=False, exact=True)
+    assert [r["items"] for r in revenue.item_revenue(plain).collect()] == ["B", "C", "A"]
+    assert revenue.top_items(plain, 1).first()["items"] == "B"
+    assert [(r.country_rank, r.country) for r in revenue.country_revenue(plain).collect()] == [(1, "Nowhere"), (2, "Nation_1")]
+    assert revenue.top_countries(plain, 1).first().country == "Nowhere"
+
+
+def test_small_prices_are_not_cut(spark):
+    s = make_sales(spark, [line(i, "A", 1, "2011-01-10", 0.00004, 1) for i in range(1000)])
+    assert revenue.item_country_revenue(s, "2011-01-01").first().revenue == 0.04
+    big = make_sales(spark, [line(i, f"I{i}", 1, "2011-01-10", 9_000_000_000.125, 1) for i in range(2000)])
+    plain = revenue.item_country_revenue(big, "2011-01-01", with_rank=False, exact=True)
+    assert revenue.country_revenue(plain).first().revenue == 18_000_000_000_250.0

@@ -35,3 +35,23 @@ def test_stream_visits_ingest(spark, tmp_path):
     q = stream_visits_ingest(spark, str(src), str(tmp_path / "t"), checkpoint_location=str(tmp_path / "ck"))
     q.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "t")).first().visit_date == dt.date(2018, 4, 9)
+
+
+def test_two_applications_lose_nothing(tmp_path):
+    """A later application, by default, goes on where the first one stopped."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    src = tmp_path / "in"
+    src.mkdir()
+    script = (f"import sys; sys.path.insert(0, {repo!r})\n"
+              "from kpiloom.session import get_spark\n"
+              "from kpiloom.streaming import stream_sales_ingest\n"
+              f"s = get_spark('local[2]', extra={{'spark.checkpoint.dir': {str(tmp_path / 'ck')!r}}})\n"
+              f"stream_sales_ingest(s, {str(src)!r}, {str(tmp_path / 't')!r}, date_format='M/d/yyyy H:mm').awaitTermination()\n"
+              f"print('ROWS', s.read.parquet({str(tmp_path / 't')!r}).count())\n")
+    for i in (1, 2):
+        (src / f"f{i}.csv").write_text(HEADER + f"{i},A,mug,2,1/5/2011 9:00,1.5,7,france\n")
+        out = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=300)
+        assert f"ROWS {i}" in out.stdout, out.stderr[-2000:]
