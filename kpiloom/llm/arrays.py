@@ -96,18 +96,16 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-_POWERS: dict[str, np.ndarray] = {}
-
-
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers and inverse powers, kept up to a slice's length (64 MB at most)."""
-    if n > len(_POWERS.get("up", ())):
+    """Powers and inverse powers of BASE, kept in the worker up to a slice's length (64 MB at most)."""
+    kept = worker_cache("powers")
+    if n > len(kept.get("up", ())):
         size = max(n, 1 << 20)
         up, down = powers(size, BASE), powers(size, INVERSE)
         if size > 2 * SLICE_BYTES:
             return up, down
-        _POWERS.update(up=up, down=down)
-    return _POWERS["up"], _POWERS["down"]
+        kept.update(up=up, down=down)
+    return kept["up"], kept["down"]
 
 
 def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.arrays import LOWER_CODE, U64, _powers, column_bytes, mix, slices, word_bounds
+from kpiloom.llm.arrays import BASE, LOWER_CODE, U64, _powers, column_bytes, mix, slices, word_bounds
 from kpiloom.llm.quality import fold
 from kpiloom.llm.tables import stored
 
@@ -172,10 +172,12 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
                 owner = np.repeat(np.arange(j - i), np.diff(before))
                 for k in range(KINDS):
                     real = h[:, k] != 0
-                    pair = np.unique(np.stack([h[real, k], owner[real].astype(U64)], axis=1), axis=0) \
-                        if real.any() else np.zeros((0, 2), U64)
-                    value, where = np.unique(pair[:, 0], return_inverse=True)
-                    toxic = np.bincount(where, weights=label[i:j][pair[:, 1].astype(np.int64)], minlength=len(value))
+                    at = np.flatnonzero(real)
+                    # one occurrence of each (pattern, document)
+                    _, first = np.unique(mix(h[at, k] ^ owner[at].astype(U64) * U64(BASE)), return_index=True)
+                    at = at[first]
+                    value, where = np.unique(h[at, k], return_inverse=True)
+                    toxic = np.bincount(where, weights=label[i:j][owner[at]], minlength=len(value))
                     every = np.bincount(where, minlength=len(value))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(value.view(np.int64)), pa.array(np.full(len(value), k, np.int32)),
