@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.tables import key_columns, keyed, original_id, stored
+from kpiloom.llm.tables import key_columns, keyed, original_id, partitions, stored
 
 SHINGLE, LEAST = 5, 0.8
 BLOCKS, BLOCK_BITS, NEAR = 8, 8, 2
@@ -156,7 +156,9 @@ def leaking_windows(docs: DataFrame, items: DataFrame, item_id: str, item_text:
     windows = coded(texts).join(laid, [*key, "k"]) \
         .select(*key, "k", "codes", F.explode("windows").alias("w")).select(*key, "k", "w.start", "w.n", F.expr(
             "slice(codes, w.start + 1, w.n - k + 1)").alias("codes"))
-    windows = windows.where(F.size("codes") > 0).withColumn("print", simhash(F.col("codes")))
+    # small rows but much work on each: dealt evenly, whatever their bytes
+    windows = windows.where(F.size("codes") > 0).repartition(partitions(docs.sparkSession), *key, "start", "n") \
+        .withColumn("print", simhash(F.col("codes")))
 
     filed = bench.select("item", "n", "k", "print", "codes",
                          F.explode(F.array(*[F.struct(F.lit(b).alias("b"), block(F.col("print"), b).alias("value"))
