@@ -38,7 +38,8 @@ def at_ranks(rows: DataFrame, groups: Sequence[str], value: str, ranks: Callable
     keys = groups or ["_kl_all"]
     src = rows.select(*groups, F.col(value).alias("_kl_v")).where(F.col("_kl_v").isNotNull())
     if not groups:
-        src = src.withColumn("_kl_all", F.lit(0))
+        # one group of all rows: a key the optimizer cannot fold, so the joins stay hash joins
+        src = src.withColumn("_kl_all", F.hash("_kl_v") % 1)
     steps = [i / GRID for i in range(GRID + 1)]
     n = F.col("_kl_n")
     stats = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kl_n"),
@@ -91,12 +92,12 @@ def exact_percentiles(df: DataFrame, value: str, probs: dict[str, float], partit
     found = at_ranks(df, groups, value, both)
     # one row per group: rank -> value
     keys = groups or ["_kl_all"]
-    found = found if groups else found.withColumn("_kl_all", F.lit(0))
+    found = found if groups else found.withColumn("_kl_all", F.hash("n") % 1)
     table = found.groupBy(*keys).agg(F.max("n").alias("_kl_n"), F.map_from_entries(
         F.collect_list(F.struct("rank", "value"))).alias("_kl_at"))
-    base = df if groups else df.withColumn("_kl_all", F.lit(0))
-    extra = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kl_rows"), *extra_aggs) if groups else \
-        df.agg(F.count(F.lit(1)).alias("_kl_rows"), *extra_aggs).withColumn("_kl_all", F.lit(0))
+    rows = F.count(F.lit(1)).alias("_kl_rows")
+    extra = df.groupBy(*keys).agg(rows, *extra_aggs) if groups else \
+        df.agg(rows, *extra_aggs).withColumn("_kl_all", F.hash("_kl_rows") % 1)
     names_extra = [c for c in extra.columns if c not in keys and c != "_kl_rows"]
     right = table.select(*[F.col(k).alias(f"_kl_t{i}") for i, k in enumerate(keys)], "_kl_n", "_kl_at")
     joined = extra.join(right, _same(keys, [f"_kl_t{i}" for i in range(len(keys))]), "left")
