@@ -21,8 +21,11 @@ on full sets, and components are the smallest id reachable.
   the full 64-bit shingle sets and joined to components; then every other
   candidate pair that still lies between two components is confirmed too, so
   no candidate is left out.
+* In a last round documents in a region of several components look at FAR
+  neighbours of *other* components on every order; pairs inside a component
+  are never proposed, so a large group adds nothing for itself.
 
-A region wider than the neighbour lists may in principle hide the only link
+A region of hundreds of documents may in principle still hide the only link
 between two of its components; recall against brute force is tested.
 
 Defined results: null, empty and blank texts have an empty set and no link;
@@ -39,15 +42,17 @@ from pyspark.sql import functions as F
 
 from kpiloom.llm.arrays import BASE, LOWER_CODE, U64, column_bytes, group_edges, mix, slices, word_hashes
 from kpiloom.llm.components import components
-from kpiloom.llm.tables import (LAST, bucket_of, by_bucket, join_blocks, key_columns, keyed, original_id, pack,
+from kpiloom.llm.tables import (LAST, batch_rows, bucket_of, by_bucket, join_blocks, key_columns, keyed, original_id, pack,
                                 partitions, stored)
 
 ORDERS, DEPTH = 32, 4
 VALUES = ORDERS * DEPTH
 WIDTHS = ((9, 8), (32, 4), (None, 1))  # (documents of a region, neighbours proposed on the order): small ones in full
+FAR = 48                   # neighbours in other components looked at on each order in the last round
+PAIRS = 200                # pairs of sets in a batch
 BEST = 2                   # candidates of each document confirmed before the rest
 HOT = 64                   # documents of a region that a map task sends on
-FLUSH = 40_000             # documents dealt together inside a map task
+FLUSH = 10_000             # documents dealt together inside a map task
 
 
 def shingle_sets(words: np.ndarray, before: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,25 +104,31 @@ def sketch_columns(sets: np.ndarray, ends: np.ndarray):
     return size, prints[0].view(np.int64), prints[1].view(np.int64), keys, deep
 
 
-def neighbours(key: np.ndarray, deep: np.ndarray, ids: np.ndarray, size: np.ndarray,
+def neighbours(key: np.ndarray, deep: np.ndarray, ids: np.ndarray, size: np.ndarray, group: np.ndarray | None,
                percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs (x, y) of each region (equal ``key``): the neighbours before x on the sorted
-    order, as many as WIDTHS gives the region, and its smallest id, if the sizes allow the similarity."""
+    """Candidate pairs (x, y) of each region (equal ``key``), if the sizes allow the similarity: the
+    neighbours before x on the sorted order, as many as WIDTHS gives the region, and its smallest id;
+    or, once documents have a ``group``, the FAR neighbours before x that lie in another group."""
     order = np.lexsort((ids, deep, key))
     k, i, s = key[order], ids[order], size[order]
+    g = i if group is None else group[order]
     edges = group_edges(k)
     count = np.diff(np.append(edges, len(k)))
     region = np.repeat(np.arange(len(edges)), count)
-    width = np.select([count <= most for most, _ in WIDTHS[:-1]], [w for _, w in WIDTHS[:-1]], WIDTHS[-1][1])[region]
+    if group is None:
+        width = np.select([count <= most for most, _ in WIDTHS[:-1]], [w for _, w in WIDTHS[:-1]], WIDTHS[-1][1])[region]
+        widest = max(w for _, w in WIDTHS)
+    else:
+        width, widest = np.full(len(k), FAR), FAR
     x, y = [], []
 
     def offer(a, b):
-        ok = (i[a] != i[b]) & (100 * np.minimum(s[a], s[b]) >= percent * np.maximum(s[a], s[b]))
+        ok = (g[a] != g[b]) & (i[a] != i[b]) & (100 * np.minimum(s[a], s[b]) >= percent * np.maximum(s[a], s[b]))
         x.append(i[a[ok]])
         y.append(i[b[ok]])
 
     every = np.arange(len(k))
-    for d in range(1, min(max(w for _, w in WIDTHS), len(k) - 1) + 1):
+    for d in range(1, min(widest, len(k) - 1) + 1):
         a = every[d:][(region[d:] == region[:-d]) & (width[d:] >= d)]
         offer(a, a - d)
     if len(k):
@@ -126,10 +137,32 @@ def neighbours(key: np.ndarray, deep: np.ndarray, ids: np.ndarray, size: np.ndar
     return (np.concatenate(x), np.concatenate(y)) if x else (i, i)
 
 
-def propose(base: DataFrame, percent: int) -> DataFrame:
+def mixed_regions(key: np.ndarray, group: np.ndarray | None) -> np.ndarray:
+    """Rows of the regions that hold two documents, or two groups, or more."""
+    order = np.lexsort((group, key)) if group is not None else np.argsort(key, kind="stable")
+    edges = group_edges(key[order])
+    count = np.diff(np.append(edges, len(order)))
+    many = count > 1
+    if group is not None and len(order):
+        g = group[order]
+        many = g[edges] != g[edges + count - 1]
+    return order[np.repeat(many, count)]
+
+
+def group_sizes(key: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """For each row, how many rows have its key and group."""
+    order = np.lexsort((group, key))
+    edges = group_edges(key[order], group[order])
+    out = np.empty(len(key), np.int64)
+    out[order] = np.repeat(np.diff(np.append(edges, len(key))), np.diff(np.append(edges, len(key))))
+    return out
+
+
+def propose(base: DataFrame, percent: int, grouped: bool = False) -> DataFrame:
     """(x, y, hits): candidate pairs over all orders, x > y, with the regions they meet in.
 
-    ``base`` has (id, n, keys, deep).
+    ``base`` has (id, n, keys, deep) and, if ``grouped``, the documents' components so far:
+    then only pairs of different components are proposed, from much further away.
     """
     n = partitions(base.sparkSession)
 
@@ -143,7 +176,9 @@ def propose(base: DataFrame, percent: int) -> DataFrame:
     def rows(batch):
         keys = np.frombuffer(b"".join(batch.column(2).to_pylist()), U64).reshape(-1, ORDERS)
         deep = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint32).reshape(-1, ORDERS)
-        return [np.repeat(batch.column(c).to_numpy(), ORDERS) for c in (0, 1)] + [keys.reshape(-1), deep.reshape(-1)]
+        group = batch.column(4 if grouped else 0).to_numpy()
+        return [np.repeat(x, ORDERS) for x in (batch.column(0).to_numpy(), batch.column(1).to_numpy(), group)] \
+            + [keys.reshape(-1), deep.reshape(-1)]
 
     def deal(batches):
         held, have = [], 0
@@ -157,21 +192,23 @@ def propose(base: DataFrame, percent: int) -> DataFrame:
             yield flush(held)
 
     def flush(held):
-        ids, size, key, deep = (np.concatenate(c) for c in zip(*held))
-        order = np.argsort(key, kind="stable")
+        ids, size, group, key, deep = (np.concatenate(c) for c in zip(*held))
+        # in a hot region the documents outside its main component come first
+        common = group_sizes(key, group) if grouped else np.zeros(len(key), np.int64)
+        order = np.lexsort((common, key))
         edges = group_edges(key[order])
         count = np.diff(np.append(edges, len(order)))
         rank = np.arange(len(order)) - np.repeat(edges, count)
         hot = np.repeat(count > HOT, count)
         inside = order[hot]
-        x, y = neighbours(key[inside], deep[inside], ids[inside], size[inside], percent)
+        x, y = neighbours(key[inside], deep[inside], ids[inside], size[inside], group[inside] if grouped else None, percent)
         x, y, hits = pairs(x, y)
         on = order[~hot | (rank < HOT)]
         on.sort()                                  # by document: neighbours compress
         sent = dict(by_bucket(bucket_of(key[on], n), key[on].astype(np.uint32), deep[on], ids[on],
-                              size[on].astype(np.int32)))
+                              size[on].astype(np.int32), group[on]))
         done = dict(by_bucket(bucket_of(mix(x.astype(U64)), n), x, y, hits))
-        none = [np.zeros(0, t) for t in (np.uint32, np.uint32, np.int64, np.int32)]
+        none = [np.zeros(0, t) for t in (np.uint32, np.uint32, np.int64, np.int32, np.int64)]
         out = [(b, pack(*sent.get(b, none), *done.get(b, [x[:0], y[:0], hits[:0]]))) for b in sorted({*sent, *done})]
         return pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()),
                                            pa.array([p for _, p in out], pa.binary())], names=["bucket", "block"])
@@ -180,22 +217,21 @@ def propose(base: DataFrame, percent: int) -> DataFrame:
         blocks = [b.column(1)[r].as_py() for b in batches for r in range(b.num_rows)]
         if not blocks:
             return
-        key, deep, ids, size, x, y, hits = join_blocks(blocks)
-        order = np.argsort(key, kind="stable")
-        edges = group_edges(key[order])
-        count = np.diff(np.append(edges, len(order)))
-        several = order[np.repeat(count > 1, count)]
-        a, b, c = pairs(*neighbours(key[several], deep[several], ids[several], size[several].astype(np.int64),
-                                    percent))
+        key, deep, ids, size, group, x, y, hits = join_blocks(blocks)
+        group = group if grouped else None
+        some = mixed_regions(key, group)
+        a, b, c = pairs(*neighbours(key[some], deep[some], ids[some], size[some].astype(np.int64),
+                                    group[some] if grouped else None, percent))
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p)) for p in ((x, a), (y, b), (hits, c))],
                                          names=["x", "y", "hits"])
 
-    dealt = base.select("id", "n", "keys", "deep").mapInArrow(deal, "bucket int, block binary").repartitionById(n, "bucket")
+    columns = ["id", "n", "keys", "deep", *(["component"] if grouped else [])]
+    dealt = base.select(*columns).mapInArrow(deal, "bucket int, block binary").repartitionById(n, "bucket")
     return dealt.mapInArrow(meet, "x long, y long, hits long").groupBy("x", "y").agg(F.sum("hits").alias("hits"))
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): the pairs whose full sets are similar enough."""
+    """(a, b), stored: the pairs whose full sets are similar enough."""
     one = pairs.join(sets.select(F.col("id").alias("x"), F.col("shingles").alias("left")).hint("merge"), "x")
     both = one.join(sets.select(F.col("id").alias("y"), F.col("shingles").alias("right")).hint("merge"), "y") \
         .select("x", "y", "left", "right")
@@ -212,7 +248,8 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).filter(pa.array(ok)), batch.column(1).filter(pa.array(ok))], names=["a", "b"])
 
-    return both.mapInArrow(check, "a long, b long")
+    with batch_rows(pairs.sparkSession, PAIRS):      # two whole sets a row
+        return stored(both.mapInArrow(check, "a long, b long"))
 
 
 def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
@@ -256,8 +293,8 @@ def row_components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         sketch, "id long, variant long, n long, one long, two long, keys binary, deep binary"))
     real = base.where((F.col("n") > 0) & (F.col("id") < LAST))
     classes = stored(real.groupBy("one", "two", "n").agg(F.min(F.struct("id", "keys", "deep")).alias("least")))
-    candidates = stored(propose(classes.select("least.id", "n", "least.keys", "least.deep"), percent))
-    needed = candidates.select(F.explode(F.array("x", "y")).alias("id")).distinct()
+    stand = classes.select("least.id", "n", "least.keys", "least.deep")
+    candidates = stored(propose(stand, percent))
 
     def hashed(batches):
         for batch in batches:
@@ -272,18 +309,28 @@ def row_components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
                      pa.array([sets[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())],
                     names=["id", "shingles"])
 
-    sets = stored(docs.select("id", "text").join(needed.hint("merge"), "id").mapInArrow(hashed, "id long, shingles binary")
-                  .where(F.length("shingles") > 0))
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        """The shingle sets of the documents of some pairs, by the same join at any size."""
+        needed = pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct()
+        return stored(docs.select("id", "text").join(needed.hint("merge"), "id").mapInArrow(hashed, "id long, shingles binary")
+                      .where(F.length("shingles") > 0))
 
+    sets = sets_of(candidates)
     top = F.slice(F.sort_array(F.collect_list(F.struct("hits", F.negative("y").alias("z"))), asc=False), 1, BEST)
     best = stored(candidates.groupBy("x").agg(top.alias("top")).select("x", F.explode("top").alias("t"))
                   .select("x", F.negative("t.z").alias("y")))
-    links = stored(confirm(best, sets, percent))
+    links = confirm(best, sets, percent)
     found = components(links)
     side = {c: found.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in")) for c in ("x", "y")}
     rest = candidates.join(side["x"], "x", "left").join(side["y"], "y", "left") \
         .where(F.coalesce("x_in", "x") != F.coalesce("y_in", "y")).select("x", "y").join(best, ["x", "y"], "left_anti")
-    found = components(links.unionByName(confirm(rest, sets, percent)))
+    links = links.unionByName(confirm(rest, sets, percent))
+    found = components(links)
+    # the last round: whoever is still outside its region's component looks much further around
+    now = stand.join(found.select(F.col("node").alias("id"), "component"), "id", "left") \
+        .withColumn("component", F.coalesce("component", "id"))
+    more = stored(propose(now, percent, grouped=True).join(candidates.select("x", "y"), ["x", "y"], "left_anti"))
+    found = components(links.unionByName(confirm(more, sets_of(more), percent)))
 
     least = base.select("id", "variant", "n", "one", "two") \
         .join(classes.select("one", "two", "n", F.col("least.id").alias("least")), ["one", "two", "n"], "left")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,18 @@ def stored(df: DataFrame, records_per_file: int = 0) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int):
+    """At most so many rows in an Arrow batch of what runs inside (for rows that may be large)."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def key_columns(df: DataFrame, id_col: str, text_col: str) -> dict[str, Column]:
     """``id``: the id as a never-null long (null, like ``LAST`` itself, orders after
     all others and returns as null); ``variant``: a hash of the text, which tells
