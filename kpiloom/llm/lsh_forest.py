@@ -21,9 +21,9 @@ on full sets, and components are the smallest id reachable.
   the full 64-bit shingle sets and joined to components; then every other
   candidate pair that still lies between two components is confirmed too, so
   no candidate is left out.
-* In a last round documents in a region of several components look at FAR
-  neighbours of *other* components on every order; pairs inside a component
-  are never proposed, so a large group adds nothing for itself.
+* In a last round documents that missed another component by at most NEAR
+  percent look at FAR neighbours of other components on every order; pairs
+  inside a component are never proposed, so a large group adds nothing for itself.
 
 A region of hundreds of documents may in principle still hide the only link
 between two of its components; recall against brute force is tested.
@@ -48,7 +48,8 @@ from kpiloom.llm.tables import (LAST, batch_rows, bucket_of, by_bucket, join_blo
 ORDERS, DEPTH = 32, 4
 VALUES = ORDERS * DEPTH
 WIDTHS = ((9, 8), (32, 4), (None, 1))  # (documents of a region, neighbours proposed on the order): small ones in full
-FAR = 48                   # neighbours in other components looked at on each order in the last round
+FAR = 24                   # neighbours in other components looked at on each order in the last round
+NEAR = 10                  # percent by which a pair may miss the threshold to be worth a wider look
 PAIRS = 200                # pairs of sets in a batch
 BEST = 2                   # candidates of each document confirmed before the rest
 HOT = 64                   # documents of a region that a map task sends on
@@ -108,10 +109,13 @@ def neighbours(key: np.ndarray, deep: np.ndarray, ids: np.ndarray, size: np.ndar
                percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Candidate pairs (x, y) of each region (equal ``key``), if the sizes allow the similarity: the
     neighbours before x on the sorted order, as many as WIDTHS gives the region, and its smallest id;
-    or, once documents have a ``group``, the FAR neighbours before x that lie in another group."""
+    or, once documents have a ``group``, the FAR neighbours before x in another group, where x or y
+    is one that looks around (the others have -(group + 1))."""
     order = np.lexsort((ids, deep, key))
     k, i, s = key[order], ids[order], size[order]
     g = i if group is None else group[order]
+    eager = g >= 0                              # a document that does not look around has -(group + 1)
+    g = np.where(eager, g, -g - 1)
     edges = group_edges(k)
     count = np.diff(np.append(edges, len(k)))
     region = np.repeat(np.arange(len(edges)), count)
@@ -123,7 +127,7 @@ def neighbours(key: np.ndarray, deep: np.ndarray, ids: np.ndarray, size: np.ndar
     x, y = [], []
 
     def offer(a, b):
-        ok = (g[a] != g[b]) & (i[a] != i[b]) & (100 * np.minimum(s[a], s[b]) >= percent * np.maximum(s[a], s[b]))
+        ok = (g[a] != g[b]) & (i[a] != i[b]) & (eager[a] | eager[b]) & (100 * np.minimum(s[a], s[b]) >= percent * np.maximum(s[a], s[b]))
         x.append(i[a[ok]])
         y.append(i[b[ok]])
 
@@ -231,25 +235,27 @@ def propose(base: DataFrame, percent: int, grouped: bool = False) -> DataFrame:
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b), stored: the pairs whose full sets are similar enough."""
+    """(a, b, linked), stored: the pairs whose full sets are similar enough, or miss it by up to NEAR percent."""
     one = pairs.join(sets.select(F.col("id").alias("x"), F.col("shingles").alias("left")).hint("merge"), "x")
     both = one.join(sets.select(F.col("id").alias("y"), F.col("shingles").alias("right")).hint("merge"), "y") \
         .select("x", "y", "left", "right")
 
     def check(batches):
         for batch in batches:
-            ok = np.zeros(batch.num_rows, bool)
+            ok, near = np.zeros(batch.num_rows, bool), np.zeros(batch.num_rows, bool)
             for r in range(batch.num_rows):
                 a, b = (np.frombuffer(batch.column(c)[r].as_buffer(), U64) for c in (2, 3))
                 small, large = (a, b) if len(a) < len(b) else (b, a)
                 at = np.searchsorted(large, small)
                 both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
                 ok[r] = 100 * both >= percent * (len(a) + len(b) - both)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).filter(pa.array(ok)), batch.column(1).filter(pa.array(ok))], names=["a", "b"])
+                near[r] = 100 * both >= (percent - NEAR) * (len(a) + len(b) - both)
+            some = pa.array(near)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(some), batch.column(1).filter(some),
+                                              pa.array(ok[near])], names=["a", "b", "linked"])
 
     with batch_rows(pairs.sparkSession, PAIRS):      # two whole sets a row
-        return stored(both.mapInArrow(check, "a long, b long"))
+        return stored(both.mapInArrow(check, "a long, b long, linked boolean"))
 
 
 def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
@@ -273,6 +279,19 @@ def without_near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col:
         .dropDuplicates(["_id", "_variant"]).drop("_id", "_variant")
 
 
+def near_misses(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """(id): of each pair that narrowly missed and lies between two components, the document of the smaller one."""
+    sizes = found.groupBy("component").agg(F.count("*").alias("members"))
+    where = found.join(sizes, "component")
+    side = lambda c: where.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in"),
+                                  F.col("members").alias(f"{c}_of"))
+    both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left") \
+        .select("a", "b", *[F.coalesce(f"{c}_in", c).alias(f"{c}_in") for c in ("a", "b")],
+                *[F.coalesce(f"{c}_of", F.lit(1)).alias(f"{c}_of") for c in ("a", "b")]).where("a_in <> b_in")
+    ids = F.array(F.when(F.col("a_of") <= F.col("b_of"), F.col("a")), F.when(F.col("b_of") <= F.col("a_of"), F.col("b")))
+    return both.select(F.explode(ids).alias("id")).where("id is not null").distinct()
+
+
 def row_components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(id, variant, n, component) of every row of ``keyed`` documents; null component for a null id."""
 
@@ -319,18 +338,22 @@ def row_components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     top = F.slice(F.sort_array(F.collect_list(F.struct("hits", F.negative("y").alias("z"))), asc=False), 1, BEST)
     best = stored(candidates.groupBy("x").agg(top.alias("top")).select("x", F.explode("top").alias("t"))
                   .select("x", F.negative("t.z").alias("y")))
-    links = confirm(best, sets, percent)
-    found = components(links)
+    tried = confirm(best, sets, percent)
+    found = components(tried.where("linked"))
     side = {c: found.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in")) for c in ("x", "y")}
     rest = candidates.join(side["x"], "x", "left").join(side["y"], "y", "left") \
         .where(F.coalesce("x_in", "x") != F.coalesce("y_in", "y")).select("x", "y").join(best, ["x", "y"], "left_anti")
-    links = links.unionByName(confirm(rest, sets, percent))
+    tried = tried.unionByName(confirm(rest, sets, percent))
+    links = tried.where("linked")
     found = components(links)
-    # the last round: whoever is still outside its region's component looks much further around
+    # the last round: documents that narrowly missed another component look much further around
     now = stand.join(found.select(F.col("node").alias("id"), "component"), "id", "left") \
         .withColumn("component", F.coalesce("component", "id"))
+    eager = near_misses(tried.where("not linked"), found)
+    now = now.join(eager.withColumn("eager", F.lit(True)), "id", "left") \
+        .withColumn("component", F.when(F.col("eager"), F.col("component")).otherwise(-F.col("component") - 1))
     more = stored(propose(now, percent, grouped=True).join(candidates.select("x", "y"), ["x", "y"], "left_anti"))
-    found = components(links.unionByName(confirm(more, sets_of(more), percent)))
+    found = components(links.unionByName(confirm(more, sets_of(more), percent).where("linked")))
 
     least = base.select("id", "variant", "n", "one", "two") \
         .join(classes.select("one", "two", "n", F.col("least.id").alias("least")), ["one", "two", "n"], "left")
