@@ -21,12 +21,15 @@ on full sets, and components are the smallest id reachable.
   the full 64-bit shingle sets and joined to components; then every other
   candidate pair that still lies between two components is confirmed too, so
   no candidate is left out.
-* In a last round documents that missed another component by at most NEAR
-  percent look at FAR neighbours of other components on every order; pairs
-  inside a component are never proposed, so a large group adds nothing for itself.
+* The regions are then completed: in every region of more than FULL documents
+  that still holds two components, each pair between components is compared.
+  The region's largest component is cut into chunks of CHUNK documents, the
+  other documents meet every chunk.  The parities of the shingles on 1024 bits
+  bound the difference of two sets from below, so a pair they rule out is no
+  link; the others are confirmed on the full sets like the first candidates.
 
-A region of hundreds of documents may in principle still hide the only link
-between two of its components; recall against brute force is tested.
+So every pair that shares a region is either in one component or compared in
+full; only a pair that shares none of the 32 regions is missed.
 
 Defined results: null, empty and blank texts have an empty set and no link;
 a row with a null id has a null component, is kept and links nothing; rows that
@@ -35,6 +38,8 @@ share an id count as one node; other columns are left out of the result.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -48,8 +53,11 @@ from kpiloom.llm.tables import (LAST, batch_rows, bucket_of, by_bucket, join_blo
 ORDERS, DEPTH = 32, 4
 VALUES = ORDERS * DEPTH
 WIDTHS = ((9, 8), (32, 4), (None, 1))  # (documents of a region, neighbours proposed on the order): small ones in full
-FAR = 24                   # neighbours in other components looked at on each order in the last round
-NEAR = 10                  # percent by which a pair may miss the threshold to be worth a wider look
+FULL = WIDTHS[0][0]        # documents of a region whose pairs are all proposed at once
+CHUNK = 1024               # documents of a large region that are compared in one place
+PARITY = 16                # words of 64 bits that hold the parities of a set
+REPEATED = 100_000         # rows dealt together where the regions are completed
+CELLS = 1 << 20            # words of parities compared at once
 PAIRS = 200                # pairs of sets in a batch
 BEST = 2                   # candidates of each document confirmed before the rest
 HOT = 64                   # documents of a region that a map task sends on
@@ -80,14 +88,19 @@ def shingle_sets(words: np.ndarray, before: np.ndarray, k: int) -> tuple[np.ndar
 
 
 def sketch_columns(sets: np.ndarray, ends: np.ndarray):
-    """Per document: size, two set fingerprints, 32 region keys, 32 x 4 following signature bytes."""
+    """Per document: size, two set fingerprints, 32 region keys, 32 x 4 following signature bytes, 1024 parities."""
     n = len(ends)
     size = np.diff(ends, prepend=0)
     full = np.flatnonzero(size)
     begin = (ends - size)[full]
     prints = np.zeros((2, n), U64)
     sig = np.zeros((VALUES, n), np.uint32)
+    parity = np.zeros((PARITY, n), U64)
     if len(full):
+        at = mix(sets ^ U64(0x2545F4914F6CDD1D))
+        word, bit = at >> U64(6) & U64(PARITY - 1), U64(1) << (at & U64(63))
+        for w in range(PARITY):
+            parity[w, full] = np.bitwise_xor.reduceat(np.where(word == U64(w), bit, U64(0)), begin)
         for row, salt in zip(prints, (U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F))):
             row[full] = np.add.reduceat(mix(sets ^ salt), begin)
         for f, a in enumerate(mix(np.arange(1, VALUES + 1, dtype=U64) * U64(BASE))):
@@ -102,32 +115,24 @@ def sketch_columns(sets: np.ndarray, ends: np.ndarray):
     deep = np.zeros((n, ORDERS), np.uint32)
     for d in range(DEPTH):
         deep = deep << np.uint32(8) | after[:, d].T.astype(np.uint32)
-    return size, prints[0].view(np.int64), prints[1].view(np.int64), keys, deep
+    return size, prints[0].view(np.int64), prints[1].view(np.int64), keys, deep, parity.T
 
 
-def neighbours(key: np.ndarray, deep: np.ndarray, ids: np.ndarray, size: np.ndarray, group: np.ndarray | None,
+def neighbours(key: np.ndarray, deep: np.ndarray, ids: np.ndarray, size: np.ndarray,
                percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Candidate pairs (x, y) of each region (equal ``key``), if the sizes allow the similarity: the
-    neighbours before x on the sorted order, as many as WIDTHS gives the region, and its smallest id;
-    or, once documents have a ``group``, the FAR neighbours before x in another group, where x or y
-    is one that looks around (the others have -(group + 1))."""
+    neighbours before x on the sorted order, as many as WIDTHS gives the region, and its smallest id."""
     order = np.lexsort((ids, deep, key))
     k, i, s = key[order], ids[order], size[order]
-    g = i if group is None else group[order]
-    eager = g >= 0                              # a document that does not look around has -(group + 1)
-    g = np.where(eager, g, -g - 1)
     edges = group_edges(k)
     count = np.diff(np.append(edges, len(k)))
     region = np.repeat(np.arange(len(edges)), count)
-    if group is None:
-        width = np.select([count <= most for most, _ in WIDTHS[:-1]], [w for _, w in WIDTHS[:-1]], WIDTHS[-1][1])[region]
-        widest = max(w for _, w in WIDTHS)
-    else:
-        width, widest = np.full(len(k), FAR), FAR
+    width = np.select([count <= most for most, _ in WIDTHS[:-1]], [w for _, w in WIDTHS[:-1]], WIDTHS[-1][1])[region]
+    widest = max(w for _, w in WIDTHS)
     x, y = [], []
 
     def offer(a, b):
-        ok = (g[a] != g[b]) & (i[a] != i[b]) & (eager[a] | eager[b]) & (100 * np.minimum(s[a], s[b]) >= percent * np.maximum(s[a], s[b]))
+        ok = (i[a] != i[b]) & (100 * np.minimum(s[a], s[b]) >= percent * np.maximum(s[a], s[b]))
         x.append(i[a[ok]])
         y.append(i[b[ok]])
 
@@ -141,32 +146,18 @@ def neighbours(key: np.ndarray, deep: np.ndarray, ids: np.ndarray, size: np.ndar
     return (np.concatenate(x), np.concatenate(y)) if x else (i, i)
 
 
-def mixed_regions(key: np.ndarray, group: np.ndarray | None) -> np.ndarray:
-    """Rows of the regions that hold two documents, or two groups, or more."""
-    order = np.lexsort((group, key)) if group is not None else np.argsort(key, kind="stable")
+def mixed_regions(key: np.ndarray) -> np.ndarray:
+    """Rows of the regions that hold two documents or more."""
+    order = np.argsort(key, kind="stable")
     edges = group_edges(key[order])
     count = np.diff(np.append(edges, len(order)))
-    many = count > 1
-    if group is not None and len(order):
-        g = group[order]
-        many = g[edges] != g[edges + count - 1]
-    return order[np.repeat(many, count)]
-
-
-def group_sizes(key: np.ndarray, group: np.ndarray) -> np.ndarray:
-    """For each row, how many rows have its key and group."""
-    order = np.lexsort((group, key))
-    edges = group_edges(key[order], group[order])
-    out = np.empty(len(key), np.int64)
-    out[order] = np.repeat(np.diff(np.append(edges, len(key))), np.diff(np.append(edges, len(key))))
-    return out
+    return order[np.repeat(count > 1, count)]
 
 
-def propose(base: DataFrame, percent: int, grouped: bool = False) -> DataFrame:
+def propose(base: DataFrame, percent: int) -> DataFrame:
     """(x, y, hits): candidate pairs over all orders, x > y, with the regions they meet in.
 
-    ``base`` has (id, n, keys, deep) and, if ``grouped``, the documents' components so far:
-    then only pairs of different components are proposed, from much further away.
+    ``base`` has (id, n, keys, deep).
     """
     n = partitions(base.sparkSession)
 
@@ -180,8 +171,7 @@ def propose(base: DataFrame, percent: int, grouped: bool = False) -> DataFrame:
     def rows(batch):
         keys = np.frombuffer(b"".join(batch.column(2).to_pylist()), U64).reshape(-1, ORDERS)
         deep = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint32).reshape(-1, ORDERS)
-        group = batch.column(4 if grouped else 0).to_numpy()
-        return [np.repeat(x, ORDERS) for x in (batch.column(0).to_numpy(), batch.column(1).to_numpy(), group)] \
+        return [np.repeat(x, ORDERS) for x in (batch.column(0).to_numpy(), batch.column(1).to_numpy())] \
             + [keys.reshape(-1), deep.reshape(-1)]
 
     def deal(batches):
@@ -196,23 +186,21 @@ def propose(base: DataFrame, percent: int, grouped: bool = False) -> DataFrame:
             yield flush(held)
 
     def flush(held):
-        ids, size, group, key, deep = (np.concatenate(c) for c in zip(*held))
-        # in a hot region the documents outside its main component come first
-        common = group_sizes(key, group) if grouped else np.zeros(len(key), np.int64)
-        order = np.lexsort((common, key))
+        ids, size, key, deep = (np.concatenate(c) for c in zip(*held))
+        order = np.argsort(key, kind="stable")
         edges = group_edges(key[order])
         count = np.diff(np.append(edges, len(order)))
         rank = np.arange(len(order)) - np.repeat(edges, count)
         hot = np.repeat(count > HOT, count)
         inside = order[hot]
-        x, y = neighbours(key[inside], deep[inside], ids[inside], size[inside], group[inside] if grouped else None, percent)
+        x, y = neighbours(key[inside], deep[inside], ids[inside], size[inside], percent)
         x, y, hits = pairs(x, y)
         on = order[~hot | (rank < HOT)]
         on.sort()                                  # by document: neighbours compress
         sent = dict(by_bucket(bucket_of(key[on], n), key[on].astype(np.uint32), deep[on], ids[on],
-                              size[on].astype(np.int32), group[on]))
+                              size[on].astype(np.int32)))
         done = dict(by_bucket(bucket_of(mix(x.astype(U64)), n), x, y, hits))
-        none = [np.zeros(0, t) for t in (np.uint32, np.uint32, np.int64, np.int32, np.int64)]
+        none = [np.zeros(0, t) for t in (np.uint32, np.uint32, np.int64, np.int32)]
         out = [(b, pack(*sent.get(b, none), *done.get(b, [x[:0], y[:0], hits[:0]]))) for b in sorted({*sent, *done})]
         return pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()),
                                            pa.array([p for _, p in out], pa.binary())], names=["bucket", "block"])
@@ -221,41 +209,121 @@ def propose(base: DataFrame, percent: int, grouped: bool = False) -> DataFrame:
         blocks = [b.column(1)[r].as_py() for b in batches for r in range(b.num_rows)]
         if not blocks:
             return
-        key, deep, ids, size, group, x, y, hits = join_blocks(blocks)
-        group = group if grouped else None
-        some = mixed_regions(key, group)
-        a, b, c = pairs(*neighbours(key[some], deep[some], ids[some], size[some].astype(np.int64),
-                                    group[some] if grouped else None, percent))
+        key, deep, ids, size, x, y, hits = join_blocks(blocks)
+        some = mixed_regions(key)
+        a, b, c = pairs(*neighbours(key[some], deep[some], ids[some], size[some].astype(np.int64), percent))
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p)) for p in ((x, a), (y, b), (hits, c))],
                                          names=["x", "y", "hits"])
 
-    columns = ["id", "n", "keys", "deep", *(["component"] if grouped else [])]
-    dealt = base.select(*columns).mapInArrow(deal, "bucket int, block binary").repartitionById(n, "bucket")
+    dealt = base.select("id", "n", "keys", "deep").mapInArrow(deal, "bucket int, block binary").repartitionById(n, "bucket")
     return dealt.mapInArrow(meet, "x long, y long, hits long").groupBy("x", "y").agg(F.sum("hits").alias("hits"))
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked), stored: the pairs whose full sets are similar enough, or miss it by up to NEAR percent."""
+    """(a, b), stored: the pairs whose full sets are similar enough."""
     one = pairs.join(sets.select(F.col("id").alias("x"), F.col("shingles").alias("left")).hint("merge"), "x")
     both = one.join(sets.select(F.col("id").alias("y"), F.col("shingles").alias("right")).hint("merge"), "y") \
         .select("x", "y", "left", "right")
 
     def check(batches):
         for batch in batches:
-            ok, near = np.zeros(batch.num_rows, bool), np.zeros(batch.num_rows, bool)
+            ok = np.zeros(batch.num_rows, bool)
             for r in range(batch.num_rows):
                 a, b = (np.frombuffer(batch.column(c)[r].as_buffer(), U64) for c in (2, 3))
                 small, large = (a, b) if len(a) < len(b) else (b, a)
                 at = np.searchsorted(large, small)
                 both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
                 ok[r] = 100 * both >= percent * (len(a) + len(b) - both)
-                near[r] = 100 * both >= (percent - NEAR) * (len(a) + len(b) - both)
-            some = pa.array(near)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(some), batch.column(1).filter(some),
-                                              pa.array(ok[near])], names=["a", "b", "linked"])
+            some = pa.array(ok)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(some), batch.column(1).filter(some)], names=["a", "b"])
 
     with batch_rows(pairs.sparkSession, PAIRS):      # two whole sets a row
-        return stored(both.mapInArrow(check, "a long, b long, linked boolean"))
+        return stored(both.mapInArrow(check, "a long, b long"))
+
+
+def complete(now: DataFrame, percent: int) -> DataFrame:
+    """(x, y, hits): every pair of two components in a region of more than FULL documents that the
+    parities do not rule out, x > y; of higher ``hits``, the closer their parities are.
+
+    ``now`` has (id, n, keys, parity, component).
+    """
+    n = partitions(now.sparkSession)
+
+    def keys_of(batches):
+        for batch in batches:
+            keys = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys), *(pa.array(np.repeat(batch.column(c).to_numpy(), ORDERS)) for c in (0, 1))],
+                names=["key", "id", "component"])
+
+    member = now.select("id", "component", "keys").mapInArrow(keys_of, "key long, id long, component long")
+    shares = member.groupBy("key", "component").agg(F.count("*").alias("share"))
+    mixed = stored(shares.groupBy("key").agg(F.sum("share").alias("total"), F.count("*").alias("components"),
+                                             F.max(F.struct("share", "component")).alias("main"))
+                   .where((F.col("total") > FULL) & (F.col("components") > 1))
+                   .select("key", "total", F.col("main.component").alias("main")))
+    met = member.select("key", "id").join(mixed, "key").join(now.select("id", "n", "component", "parity"), "id") \
+        .select("key", "total", "main", "id", "n", "component", "parity")
+
+    def deal(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, total, main, ids, size, group = (batch.column(c).to_numpy() for c in range(6))
+            parity = np.frombuffer(b"".join(batch.column(6).to_pylist()), U64).reshape(-1, PARITY)
+            chunks = -(-total // CHUNK)
+            own = (mix(ids.astype(U64)) % chunks.astype(U64)).astype(np.int64)
+            times = np.where(group == main, 1, chunks)
+            before = np.cumsum(times)
+            i = 0
+            while i < len(key):
+                j = max(i + 1, int(np.searchsorted(before, before[i] - times[i] + REPEATED, side="right")))
+                row = np.repeat(np.arange(i, j), times[i:j])
+                chunk = np.arange(len(row)) - np.repeat(before[i:j] - times[i:j] - (before[i] - times[i]), times[i:j])
+                chunk = np.where(group[row] == main[row], own[row], chunk)
+                # 0: of the main component; 1: looks at the others of the chunk; 2: is one of them, too
+                role = np.where(group[row] == main[row], 0, np.where(chunk == own[row], 2, 1)).astype(np.int8)
+                place = mix(key[row].astype(U64) * U64(BASE) ^ chunk.astype(U64))
+                out = [(b, pack(*x)) for b, x in by_bucket(bucket_of(place, n), place, role, ids[row], size[row], group[row],
+                                                           parity[row])]
+                yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()),
+                                                  pa.array([x for _, x in out], pa.binary())], names=["bucket", "block"])
+                i = j
+
+    def compare(batches):
+        blocks = [b.column(1)[r].as_py() for b in batches for r in range(b.num_rows)]
+        if not blocks:
+            return
+        place, role, ids, size, group, parity = join_blocks(blocks)
+        parity = parity.reshape(-1, PARITY)
+        order = np.lexsort((ids, place))
+        edges = group_edges(place[order])
+        x, y, hits = [], [], []
+        for a, b in zip(edges, np.append(edges[1:], len(order))):
+            rows = order[a:b]
+            look, seen = rows[role[rows] > 0], rows[role[rows] != 1]
+            step = max(1, CELLS // (PARITY * max(1, len(seen))))
+            for k in range(0, len(look) if len(seen) else 0, step):
+                p, q = look[k:k + step, None], seen[None]
+                ok = (group[p] != group[q]) & ((role[q] == 0) | (ids[q] < ids[p])) \
+                    & (100 * np.minimum(size[p], size[q]) >= percent * np.maximum(size[p], size[q]))
+                r, c = np.nonzero(ok)
+                p, q = look[k + r], seen[c]
+                apart = np.bitwise_count(parity[p] ^ parity[q]).sum(axis=1, dtype=np.int64)
+                both = size[p] + size[q]
+                ok = (100 + percent) * apart <= (100 - percent) * both
+                p, q = p[ok], q[ok]
+                x.append(np.maximum(ids[p], ids[q]))
+                y.append(np.minimum(ids[p], ids[q]))
+                hits.append(-(1000 * apart[ok] // both[ok]))
+        if x:
+            x, y, hits = (np.concatenate(v) for v in (x, y, hits))
+            order = np.lexsort((y, x))
+            order = order[group_edges(x[order], y[order])]
+            yield pa.RecordBatch.from_arrays([pa.array(v[order]) for v in (x, y, hits)], names=["x", "y", "hits"])
+
+    dealt = met.mapInArrow(deal, "bucket int, block binary").repartitionById(n, "bucket")
+    return dealt.mapInArrow(compare, "x long, y long, hits long").groupBy("x", "y").agg(F.max("hits").alias("hits"))
 
 
 def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
@@ -279,19 +347,6 @@ def without_near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col:
         .dropDuplicates(["_id", "_variant"]).drop("_id", "_variant")
 
 
-def near_misses(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """(id): of each pair that narrowly missed and lies between two components, the document of the smaller one."""
-    sizes = found.groupBy("component").agg(F.count("*").alias("members"))
-    where = found.join(sizes, "component")
-    side = lambda c: where.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in"),
-                                  F.col("members").alias(f"{c}_of"))
-    both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left") \
-        .select("a", "b", *[F.coalesce(f"{c}_in", c).alias(f"{c}_in") for c in ("a", "b")],
-                *[F.coalesce(f"{c}_of", F.lit(1)).alias(f"{c}_of") for c in ("a", "b")]).where("a_in <> b_in")
-    ids = F.array(F.when(F.col("a_of") <= F.col("b_of"), F.col("a")), F.when(F.col("b_of") <= F.col("a_of"), F.col("b")))
-    return both.select(F.explode(ids).alias("id")).where("id is not null").distinct()
-
-
 def row_components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(id, variant, n, component) of every row of ``keyed`` documents; null component for a null id."""
 
@@ -301,19 +356,19 @@ def row_components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
             data, offsets = column_bytes(batch.column(1))
             for i, j in slices(offsets):
                 words, before, _, _ = word_hashes(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], LOWER_CODE)
-                size, one, two, keys, deep = sketch_columns(*shingle_sets(words, before, shingle))
+                size, one, two, keys, deep, parity = sketch_columns(*shingle_sets(words, before, shingle))
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(size), pa.array(one), pa.array(two),
                      pa.array([x.tobytes() for x in keys], pa.binary()),
-                     pa.array([x.tobytes() for x in deep], pa.binary())],
-                    names=["id", "variant", "n", "one", "two", "keys", "deep"])
+                     pa.array([x.tobytes() for x in deep], pa.binary()),
+                     pa.array([x.tobytes() for x in parity], pa.binary())],
+                    names=["id", "variant", "n", "one", "two", "keys", "deep", "parity"])
 
     base = stored(docs.select("id", "text", "variant").mapInArrow(
-        sketch, "id long, variant long, n long, one long, two long, keys binary, deep binary"))
+        sketch, "id long, variant long, n long, one long, two long, keys binary, deep binary, parity binary"))
     real = base.where((F.col("n") > 0) & (F.col("id") < LAST))
-    classes = stored(real.groupBy("one", "two", "n").agg(F.min(F.struct("id", "keys", "deep")).alias("least")))
-    stand = classes.select("least.id", "n", "least.keys", "least.deep")
-    candidates = stored(propose(stand, percent))
+    classes = stored(real.groupBy("one", "two", "n").agg(F.min(F.struct("id", "keys", "deep", "parity")).alias("least")))
+    stand = classes.select("least.id", "n", "least.keys", "least.deep", "least.parity")
 
     def hashed(batches):
         for batch in batches:
@@ -334,26 +389,32 @@ def row_components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         return stored(docs.select("id", "text").join(needed.hint("merge"), "id").mapInArrow(hashed, "id long, shingles binary")
                       .where(F.length("shingles") > 0))
 
-    sets = sets_of(candidates)
-    top = F.slice(F.sort_array(F.collect_list(F.struct("hits", F.negative("y").alias("z"))), asc=False), 1, BEST)
-    best = stored(candidates.groupBy("x").agg(top.alias("top")).select("x", F.explode("top").alias("t"))
-                  .select("x", F.negative("t.z").alias("y")))
-    tried = confirm(best, sets, percent)
-    found = components(tried.where("linked"))
-    side = {c: found.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in")) for c in ("x", "y")}
-    rest = candidates.join(side["x"], "x", "left").join(side["y"], "y", "left") \
-        .where(F.coalesce("x_in", "x") != F.coalesce("y_in", "y")).select("x", "y").join(best, ["x", "y"], "left_anti")
-    tried = tried.unionByName(confirm(rest, sets, percent))
-    links = tried.where("linked")
-    found = components(links)
-    # the last round: documents that narrowly missed another component look much further around
+    def outside(pairs: DataFrame, found: DataFrame) -> DataFrame:
+        """The pairs that lie between two components."""
+        side = {c: found.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in")) for c in ("x", "y")}
+        return pairs.join(side["x"], "x", "left").join(side["y"], "y", "left") \
+            .where(F.coalesce("x_in", "x") != F.coalesce("y_in", "y")).select(*pairs.columns)
+
+    def settle(candidates: DataFrame, links: list[DataFrame]) -> DataFrame:
+        """Components after the candidates: each document's best first, then those still between components.
+        The links found are added to ``links``."""
+        sets = sets_of(candidates)
+        top = F.slice(F.sort_array(F.collect_list(F.struct("hits", F.negative("y").alias("z"))), asc=False), 1, BEST)
+        best = stored(candidates.groupBy("x").agg(top.alias("top")).select("x", F.explode("top").alias("t"))
+                      .select("x", F.negative("t.z").alias("y")))
+        links.append(confirm(best, sets, percent))
+        found = components(reduce(DataFrame.unionByName, links))
+        links.append(confirm(outside(candidates.select("x", "y"), found).join(best, ["x", "y"], "left_anti"), sets, percent))
+        return components(reduce(DataFrame.unionByName, links))
+
+    links = []
+    candidates = stored(propose(stand, percent))
+    found = settle(candidates, links)
     now = stand.join(found.select(F.col("node").alias("id"), "component"), "id", "left") \
         .withColumn("component", F.coalesce("component", "id"))
-    eager = near_misses(tried.where("not linked"), found)
-    now = now.join(eager.withColumn("eager", F.lit(True)), "id", "left") \
-        .withColumn("component", F.when(F.col("eager"), F.col("component")).otherwise(-F.col("component") - 1))
-    more = stored(propose(now, percent, grouped=True).join(candidates.select("x", "y"), ["x", "y"], "left_anti"))
-    found = components(links.unionByName(confirm(more, sets_of(more), percent).where("linked")))
+    more = stored(complete(now, percent).join(candidates.select("x", "y"), ["x", "y"], "left_anti"))
+    if not more.isEmpty():
+        found = settle(more, links)
 
     least = base.select("id", "variant", "n", "one", "two") \
         .join(classes.select("one", "two", "n", F.col("least.id").alias("least")), ["one", "two", "n"], "left")

@@ -1,9 +1,11 @@
 """Operator 8 against all pairs of full shingle sets."""
 
+import itertools
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow.parquet as pq
 
 from kpiloom.llm.components import components
@@ -108,3 +110,51 @@ def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(50)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {**{i: 0 for i in range(51)}, **{100 + i: 100 for i in range(30)}}
+
+
+def wide_family(seed=6, n=2000, planted=150):
+    """Texts of 200 shingles, two of them 0.72 to 0.79 similar; ``planted`` ones are 0.82 similar to one other text."""
+    rnd = random.Random(seed)
+    slots, used, family = range(3, 203, 4), set(), []
+    threes = lambda own: set(itertools.combinations(sorted(own), 3))
+    while len(family) < n:
+        own = rnd.sample(slots, 4)
+        if not used & threes(own):
+            used |= threes(own)
+            family.append(own)
+    for own in rnd.sample(family, planted):
+        again = rnd.choice([[*own[:3], x] for x in slots if x not in own
+                            and used & threes([*own[:3], x]) == threes(own[:3])])
+        used |= threes(again)
+        family.append(again)
+    rnd.shuffle(family)
+    base = [f"w{i}" for i in range(203)]
+    return [(i, " ".join(f"x{i}" if at in own else w for at, w in enumerate(base))) for i, own in enumerate(family)]
+
+
+def components_by_matrix(rows, k=4, percent=80):
+    """Component by document id, from all pairs at once."""
+    sets = [{" ".join(w[i:i + k]) for i in range(len(w) - k + 1)} for w in (t.split() for _, t in rows)]
+    count = Counter(x for s in sets for x in s)
+    column = {x: c for c, x in enumerate(x for x, times in count.items() if times > 1)}
+    held = np.zeros((len(rows), len(column)), np.float32)
+    for r, s in enumerate(sets):
+        held[r, [column[x] for x in s if x in column]] = 1
+    both, size = (held @ held.T).astype(int), np.array([len(s) for s in sets])
+    out = np.array([d for d, _ in rows])
+    a, b = np.nonzero(100 * both >= percent * (size[:, None] + size - both))
+    while True:
+        new = out.copy()
+        np.minimum.at(new, a, out[b])
+        if (new == out).all():
+            return dict(zip((d for d, _ in rows), out.tolist()))
+        out = new
+
+
+def test_isolated_links_of_a_wide_family(spark):
+    """Regions of hundreds of texts just under the threshold hide no link."""
+    rows = wide_family()
+    want = components_by_matrix(rows)
+    assert len(set(want.values())) == 2000 and len(rows) == 2150
+    got = result(near_duplicates(make_docs(spark, rows).repartition(6)))
+    assert {d: c for d, (_, c) in got.items()} == want
