@@ -5,12 +5,12 @@ length.  The similarity is the weighted Jaccard of their ``shingle``-word
 shingles (weight: how often a shingle occurs; items shorter than a shingle are
 one shingle), reported from ``least`` (0.8) on.
 
-1. Only windows that hold enough of one item can reach the threshold: the
-   weight they share with it must be at least ``least`` of the item's.  The
-   documents' shingles are looked up among the items' (a hash join; the item
-   side is broadcast only below BROADCAST_ROWS counted shingles), and from
-   each hit's diagonal, widened by the shift that the threshold leaves room
-   for, the windows are laid.
+1. Only windows that hold enough of one item can reach the threshold: a window
+   of c shingles must share ``least`` / (1 + ``least``) of c and the item's
+   weight together.  The documents' shingles are looked up among the items' (a
+   hash join; the item side is broadcast only below BROADCAST_ROWS counted
+   shingles), and every window that holds so many hit positions is laid,
+   in whatever order the item's parts stand there.
 2. Each window and item gets a 64-bit SimHash of its shingles.  Multi-index
    lookup: eight blocks of eight bits; if two fingerprints differ in at most
    RADIUS = 23 bits, some block differs in at most two, so the items are filed
@@ -140,15 +140,19 @@ def leaking_windows(docs: DataFrame, items: DataFrame, item_id: str, item_text:
     seen = coded(docs.select("id", "variant", "text")) \
         .select(*key, "words", "k", F.posexplode("codes").alias("pos", "code"))
     hits = seen.join(hint(places), ["code", "k"]).select(*key, "words", "item", "n", "k", "weight", "pos", "place", "code")
-    # the shared weight a pair can reach at all, then the diagonals that can carry a window
+    # the weight a window must share with the item, and the windows that hold so many hits
+    weight = F.least("weight", F.col("words") - F.col("k") + 1)
+    need = F.ceil((weight + F.col("weight")) * (least / (1 + least)) - 1e-6).cast("int")
     enough = hits.groupBy(*key, "words", "item", "n", "k", "weight") \
-        .agg(F.collect_set(F.col("pos") - F.col("place")).alias("diagonals"), F.countDistinct("pos").alias("found")) \
-        .where(F.col("found") >= F.ceil(F.col("weight") * least))
-    slack = F.floor(F.col("weight") * (1 - least) / least).cast("int")
+        .agg(F.sort_array(F.collect_set("pos")).alias("at")) \
+        .withColumn("need", F.greatest(need, F.lit(1))).where(F.size("at") >= F.col("need"))
     last = F.greatest(F.col("words") - F.col("n"), F.lit(0))
-    lay = F.array_distinct(F.flatten(F.transform(
-        "diagonals", lambda d: F.transform(F.sequence(d - slack, d + slack),
-                                           lambda s: F.least(F.greatest(s, F.lit(0)), last)))))
+    # hit i is the first of a window from the one that just ends with the need-th hit to the one that starts at hit i
+    first = lambda i: F.greatest(F.get("at", i + F.col("need") - 1) - F.col("weight") + 1,
+                                 F.coalesce(F.get("at", i - 1) + 1, F.lit(0)), F.lit(0))
+    spans = F.transform(F.sequence(F.lit(0), F.size("at") - F.col("need")),
+                        lambda i: F.struct(first(i).alias("a"), F.least(F.get("at", i), last).alias("b")))
+    lay = F.flatten(F.transform(F.filter(spans, lambda x: x["a"] <= x["b"]), lambda x: F.sequence(x["a"], x["b"])))
     laid = stored(enough.select(*key, "k", "n", F.explode(lay).alias("start")).distinct()
                   .groupBy(*key, "k").agg(F.collect_list(F.struct("start", "n")).alias("windows")))
 

@@ -89,6 +89,23 @@ def test_equals_brute_force(spark):
     assert got(S.leaks(make_docs(spark, docs), make_items(spark, items))) == rounded(want)
 
 
+def test_reordered_items(spark):
+    """Parts of an item in another order: halves, thirds and the last words first; alone, at the ends and inside."""
+    rnd = random.Random(11)
+    some = lambda n: [f"v{rnd.randrange(5000)}" for _ in range(n)]
+    items = [(i, " ".join(some(100 + 7 * i))) for i in range(8)]
+    docs = []
+    for i, t in items:
+        w = words(t)
+        n = len(w)
+        for order in (w[n // 2:] + w[:n // 2], w[-20:] + w[:-20], w[2 * n // 3:] + w[n // 3:2 * n // 3] + w[:n // 3]):
+            for before, after in ((0, 0), (300, 300), (0, 90), (90, 0)):
+                docs.append((len(docs), " ".join(some(before) + order + some(after))))
+    want = brute(docs, items)
+    assert len(want) >= 64
+    assert got(S.leaks(make_docs(spark, docs), make_items(spark, items))) == rounded(want)
+
+
 def test_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(S, "BROADCAST_ROWS", 0)
     docs, items = leaky(seed=3)
