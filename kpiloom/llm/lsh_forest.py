@@ -33,7 +33,8 @@ full; only a pair that shares none of the 32 regions is missed.
 
 Defined results: null, empty and blank texts have an empty set and no link;
 a row with a null id has a null component, is kept and links nothing; rows that
-share an id count as one node; other columns are left out of the result.
+share an id count as one node (in the filter form, those that share id and text);
+other columns are left out of the result.
 """
 
 from __future__ import annotations
@@ -337,12 +338,18 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
 def without_near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                             percent: int = 80) -> DataFrame:
-    """One row of each component, all columns unchanged: the smallest id (of rows that share it, one)."""
-    docs = keyed(df, id_col, text_col)
+    """One row of each component, all columns unchanged: the smallest id.  Different texts that share
+    an id are nodes of their own; rows with the same id and text are one."""
+    key = key_columns(df, id_col, text_col)
+    named = key["id"] < LAST
+    # a node for each id and text; the id goes along in the place of the variant
+    node = F.when(named, F.xxhash64(key["id"], key["variant"]).bitwiseAND(F.lit(LAST >> 1))).otherwise(F.lit(LAST))
+    other = F.when(named, key["id"]).otherwise(key["variant"])
+    docs = df.select(node.alias("id"), F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"), other.alias("variant"))
     rows = row_components(docs, shingle, percent)
     stay = rows.groupBy(F.coalesce("component", "variant").alias("group"), F.col("component").isNull().alias("unnamed")) \
-        .agg(F.min(F.struct("id", "variant")).alias("first")).select("first.id", "first.variant")
-    marked = df.withColumns({f"_{c}": x for c, x in key_columns(df, id_col, text_col).items()})
+        .agg(F.min(F.struct("variant", "id")).alias("first")).select("first.id", "first.variant")
+    marked = df.withColumns({"_id": node, "_variant": other})
     return marked.join(stay, (marked["_id"] == stay["id"]) & (marked["_variant"] == stay["variant"]), "left_semi") \
         .dropDuplicates(["_id", "_variant"]).drop("_id", "_variant")
 

@@ -76,3 +76,11 @@ def test_stages_keep_clean_and_odd_rows(spark):
     assert P.decontamination(spark, docs, SF_CHECK).count() == len(rows)
     assert P.toxicity(spark, docs, SF_CHECK).count() == len(rows)
     assert P.mixing(spark, docs.limit(0), SF_CHECK).count() == 0
+
+
+def test_different_texts_under_one_id_stay(spark):
+    rows = [(5, "same row"), (5, "same row"), (5, "other text under the same id"), (7, "other text under the same id"),
+            (3, "same row"), (None, "same row"), (9, None), (9, "")]
+    got = P.near_dedup(spark, make_docs(spark, rows), SF_CHECK).collect()
+    assert sorted((r.doc_id or -1, r.text or "") for r in got) == [
+        (-1, "same row"), (3, "same row"), (5, "other text under the same id"), (9, "")]
