@@ -97,6 +97,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, model_path: str | None =
         return token_counts(documents(spark, sf_dir), f.read())
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and roots of every document, and the proof tried on rows some of which were tampered with."""
+    from kpiloom.llm.merkle_manifest import folded, leaf_hash, merkle_manifest, proof_text
+    docs = documents(spark, sf_dir)
+    changed = leaf_hash(docs["doc_id"], docs["source"], docs["lang"], docs["n_chars"] + 1, docs["text"])
+    hit = F.crc32(docs["doc_id"].cast("string")) % 7 == 0
+    out = merkle_manifest(docs, carried={"tampered": F.when(hit, changed)}) \
+        .withColumn("folded_root", folded(F.coalesce("tampered", "leaf"), F.col("proof")))
+    return out.select("doc_id", "leaf", "subroot", "root", F.sha2(proof_text(F.col("proof")), 256).alias("proof_sha256"),
+                      "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_bm25_search": op2_bm25_search,
@@ -108,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_kd_tree_shards": op9_kd_tree_shards,
     "op10_token_counts": op10_token_counts,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = oracle.ORACLE_SQL
