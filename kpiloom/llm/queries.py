@@ -97,6 +97,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, model_path: str | None =
         return token_counts(documents(spark, sf_dir), f.read())
 
 
+def op12_private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts and digest of the known forms, all spans with those found by context."""
+    from kpiloom.llm.private_spans import KINDS, count_of, personal_spans, written
+    out = personal_spans(documents(spark, sf_dir))
+    return out.select("doc_id", *[count_of(F.col("base"), k).alias(f"n_{k}") for k in KINDS],
+                      F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"),
+                      (F.size("spans") - F.size("base")).cast("long").alias("n_found"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, proof and roots of every document, and the proof tried on rows some of which were tampered with."""
     from kpiloom.llm.merkle_manifest import folded, leaf_hash, merkle_manifest, proof_text
@@ -120,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_kd_tree_shards": op9_kd_tree_shards,
     "op10_token_counts": op10_token_counts,
+    "op12_private_spans": op12_private_spans,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
