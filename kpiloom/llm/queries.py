@@ -97,6 +97,31 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, model_path: str | None =
         return token_counts(documents(spark, sf_dir), f.read())
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with turns dropped, emptied, cut, repeated or given to the user, by a hash of their place."""
+    space = F.lit(" ")
+    place = F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), space), F.coalesce(F.col("turn").cast("string"), space))
+    text = F.coalesce("text", space)
+    kept = conversations.withColumn("harm", F.crc32(place) % 20).where("harm <> 0")
+    return kept.select(
+        "conv_id", "turn", F.when(F.col("harm") == 4, F.lit("user")).otherwise(F.coalesce("role", space)).alias("role"),
+        F.when(F.col("harm") == 1, F.lit("")).when(F.col("harm") == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+        .alias("text"), F.explode(F.array_repeat(F.lit(1), F.when(F.col("harm") == 3, 2).otherwise(1))).alias("copy")).drop("copy")
+
+
+def op11_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and digest of the repaired turns of every conversation, after damage."""
+    from kpiloom.llm.role_repair import COUNTS, digests, repaired
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    report, turns = repaired(damaged(conversations))
+    every = conversations.select("conv_id").distinct()
+    for k, found in enumerate((report, digests(turns))):
+        found = found.withColumnRenamed("conv_id", f"conv_{k}")
+        every = every.join(found, every["conv_id"].eqNullSafe(found[f"conv_{k}"]), "left").drop(f"conv_{k}")
+    return every.select("conv_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in COUNTS], F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op12_private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: counts and digest of the known forms, all spans with those found by context."""
     from kpiloom.llm.private_spans import KINDS, count_of, personal_spans, written
@@ -129,6 +154,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_kd_tree_shards": op9_kd_tree_shards,
     "op10_token_counts": op10_token_counts,
+    "op11_role_repair": op11_role_repair,
     "op12_private_spans": op12_private_spans,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
