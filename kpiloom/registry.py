@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from kpiloom.operators import (buckets, cleaning, customers, economics, experiment, profile,
                                revenue, rfm)
 from kpiloom.sources.files import load_sales, load_visits
+from kpiloom.sources.infer import infer_types, load_csv, text_columns
 from kpiloom.sources.store import cleaned_sales, csv_copy, pinned_visits
 from kpiloom.sources.tables import sales_from_tables, visits_from_events
 
@@ -75,8 +76,25 @@ def _load_sales(spark, d):
     return cleaning.parse_date(load_sales(spark, path), "InvoiceDate", TEXT_DATE_FORMAT)
 
 
+def _visits_csv(spark, d):
+    return csv_copy(spark, d, "visits", lambda: _visits(spark, d).drop("ts", "event_id"))
+
+
 def _load_visits(spark, d):
-    return load_visits(spark, csv_copy(spark, d, "visits", lambda: _visits(spark, d).drop("ts", "event_id")))
+    return load_visits(spark, _visits_csv(spark, d))
+
+
+def _inferred_sales(spark, d):
+    return csv_copy(spark, d, "sales", lambda: _raw_text_dates(spark, d))
+
+
+def _quoted_lines(spark, d):
+    """The retail view with line breaks and quotes inside its descriptions, written as CSV and read in splits."""
+    def broken():
+        name = F.concat("Description", F.lit('\n"'), "StockCode", F.lit('",\nback'))
+        return _raw_text_dates(spark, d).withColumn("Description", name)
+    rows = load_sales(spark, csv_copy(spark, d, "broken", broken), multi_line=True)
+    return cleaning.parse_date(rows, "InvoiceDate", TEXT_DATE_FORMAT)
 
 
 def _retail(p: Scope) -> dict[str, Query]:
@@ -135,7 +153,11 @@ WITH_RECENT = ("V1_", "V6_", "V9_", "V10_", "V11_", "U", "K", "B", "R")
 QUERIES: dict[str, Query] = {
     # ingest and cleaning
     "S1_load_sales": _load_sales,
+    "S1_inferred_types": lambda s, d: infer_types(text_columns(s, _inferred_sales(s, d))),
+    "S1_inferred_load": lambda s, d: load_csv(s, _inferred_sales(s, d), dates=True),
+    "S1_quoted_line_breaks": _quoted_lines,
     "S2_load_visits": _load_visits,
+    "S2_inferred_load": lambda s, d: load_csv(s, _visits_csv(s, d)),
     # any ten rows will do; a total order makes the result comparable
     "S3_sample_rows": lambda s, d: cleaning.sample_rows(
         _sales(s, d).drop("InvoiceYear", "rev"), 10, order=["InvoiceDate", "InvoiceNo", "StockCode", "Quantity"]),

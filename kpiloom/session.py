@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -74,6 +75,19 @@ def reliable_checkpoint(df):
     return df.checkpoint(eager=True)
 
 
+def stored(df):
+    """``df`` written as Parquet in the shared checkpoint folder and read back, until the application ends.
+
+    Cuts the lineage: a lost executor re-reads files.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/kpiloom-step-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    fs, where = hadoop_path(spark, path)
+    fs.deleteOnExit(where)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """(file system, path) of a path in any storage Spark reads."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kpiloom.schema import SALES_CSV, VISITS_CSV
+from kpiloom.sources.records import split_csv
 
 # RFC 4180 quoting, as R's read.csv writes and reads it: a quote inside a
 # quoted field is doubled.
@@ -23,8 +24,8 @@ CORRUPT = "_corrupt"
 
 
 def csv_options(multi_line: bool = False, encoding: str = "UTF-8") -> dict[str, str]:
-    """Reader options.  One record a line lets a large file be split across
-    tasks; ``multi_line`` accepts quoted line breaks (a file is then one task)."""
+    """Reader options.  ``multi_line`` accepts quoted line breaks; Spark's own reader then takes a
+    file in one task, ``records.split_csv`` splits it."""
     return {"header": "true", **QUOTING, "mode": "PERMISSIVE", "enforceSchema": "false", "encoding": encoding,
             "multiLine": str(multi_line).lower(), "columnNameOfCorruptRecord": CORRUPT}
 
@@ -33,17 +34,28 @@ def read_text_csv(spark: SparkSession, path, names: list[str], multi_line: bool
                   encoding: str = "UTF-8") -> DataFrame:
     """The named columns of a CSV as text, found by header name, plus the raw
     text of records with too few or too many fields (``_corrupt``)."""
-    options = csv_options(multi_line, encoding)
-    found = spark.read.options(**options).csv(path).columns          # reads one header line
+    rows = split_file_rows(spark, path, csv_options(multi_line, encoding), multi_line, encoding)
+    found = [c for c in rows.columns if c != CORRUPT]
     by_name = {c.strip().lstrip("\ufeff").lower(): c for c in found}
     lost = [n for n in names if n.lower() not in by_name]
     if lost:
         raise ValueError(f"{path}: the header has no column {', '.join(lost)}; it has {', '.join(found)}")
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in found] + [T.StructField(CORRUPT, T.StringType())])
-    rows = spark.read.schema(schema).options(**options).csv(path)
     return rows.select(*[F.col(f"`{by_name[n.lower()]}`").alias(n) for n in names], CORRUPT)
 
 
+def split_file_rows(spark: SparkSession, path, options: dict[str, str], multi_line: bool, encoding: str) -> DataFrame:
+    """All columns as text plus ``_corrupt``, large files read by several tasks.
+
+    Line breaks inside quotes are resolved over the splits of a file (UTF-8; a
+    file of another encoding with such breaks is one task).
+    """
+    if multi_line and encoding.upper().replace("-", "") == "UTF8":
+        return split_csv(spark, path, QUOTING, CORRUPT)
+    found = spark.read.options(**options).csv(path).columns          # reads one header line
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in found] + [T.StructField(CORRUPT, T.StringType())])
+    return spark.read.schema(schema).options(**options).csv(path)
+
+
 def missing(c: Column) -> Column:
     return c.isNull() | F.lower(F.trim(c)).isin(*MISSING)
 
