@@ -12,6 +12,7 @@ from kpiloom.functions.numeric import exact_round_div, round_to_double, trunc_to
 from kpiloom.operators.common import since
 from kpiloom.operators.economics import customer_revenues
 from kpiloom.plans.bins import count_in_bins
+from kpiloom.plans.intervals import count_in_intervals, interval_join
 from kpiloom.plans.selection import exact_percentiles
 
 # The reference's group labels and cut-offs.
@@ -62,6 +63,20 @@ def revenue_intervals(sales: DataFrame, start=None, lo: int = REVENUE_BINS[0], h
                          "customer_number").orderBy("lower_class")
 
 
+def revenue_intervals_of(sales: DataFrame, intervals: DataFrame, start=None, *, per_customer: DataFrame | None = None) -> DataFrame:
+    """B3 on any intervals (lower_class, upper_class): uneven, overlapping, gapped; NULL is an open end."""
+    return count_in_intervals(_cr(sales, start, per_customer), "revenue", intervals, "lower_class", "upper_class",
+                              "customer_number").orderBy(F.asc_nulls_first("lower_class"), F.asc_nulls_last("upper_class"))
+
+
+def revenue_groups_by_join(sales: DataFrame, groups: DataFrame, start=None, *, per_customer: DataFrame | None = None) -> DataFrame:
+    """B5 with its cut-offs in a table (revenue_group, lower, upper): a left join of customers to intervals.
+
+    Customers in no interval form the NULL group; one in several counts in each."""
+    joined = interval_join(_cr(sales, start, per_customer).select("customer_id", "revenue"), "revenue", groups, "lower", "upper", "left")
+    return joined.groupBy("revenue_group").agg(F.count("customer_id").alias("customers")).orderBy(F.desc("customers"))
+
+
 def revenue_distribution(sales: DataFrame, start=None, approx: bool = False, *, per_customer: DataFrame | None = None) -> DataFrame:
     """Min, median (percentile_cont), mean, max of customer revenue, 2 places.
 

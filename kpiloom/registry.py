@@ -12,15 +12,17 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.operators import (buckets, cleaning, customers, economics, experiment, profile,
                                revenue, rfm)
+from kpiloom.sources import updates
 from kpiloom.sources.files import load_sales, load_visits
 from kpiloom.sources.infer import infer_types, load_csv, text_columns
-from kpiloom.sources.store import cleaned_sales, csv_copy, pinned_visits
+from kpiloom.sources.store import cleaned_sales, csv_copy, pinned_visits, session_folder
 from kpiloom.sources.tables import sales_from_tables, visits_from_events
 
 # The reference's experiment design.  Current and target
@@ -36,6 +38,11 @@ CLASS_WIDTH = 1000
 # Parameters for this data (see README: registered parameters): the two cut-offs
 # (all rows; the last year only) with bins that cover every customer's revenue,
 # group cut-offs near the terciles, and the year whose quarters V10 shows.
+# Uneven intervals of B3: open ends, an overlap, a single point, a gap, an empty one.
+UNEVEN = ((None, 0), (0, 100_000), (100_000, 350_000), (250_000, 650_000.5), (580_000, 580_000), (700_000, 1_200_000),
+          (1_500_000, 1_400_000), (1_300_000, None))
+
+
 @dataclass(frozen=True)
 class Scope:
     start: dt.date
@@ -97,6 +104,44 @@ def _quoted_lines(spark, d):
     return cleaning.parse_date(rows, "InvoiceDate", TEXT_DATE_FORMAT)
 
 
+def _uneven(spark):
+    rows = [tuple(None if x is None else Decimal(str(x)) for x in r) for r in UNEVEN]
+    return spark.createDataFrame(rows, "lower_class decimal(18,4), upper_class decimal(18,4)")
+
+
+def _groups(spark, cuts):
+    c = [Decimal(str(x)) for x in cuts]
+    low, mid, high = buckets.REVENUE_GROUPS
+    return spark.createDataFrame([(low, None, c[0]), (mid, c[1], c[2]), (high, c[3], None)],
+                                 "revenue_group string, lower decimal(18,4), upper decimal(18,4)")
+
+
+def _uneven_intervals(spark, d, start):
+    out = buckets.revenue_intervals_of(_sales(spark, d), _uneven(spark), start)
+    return out.select(F.col("lower_class").cast("double").alias("lower_class"), F.col("upper_class").cast("double").alias("upper_class"),
+                      "customer_number")
+
+
+def _corrected(spark, d, changes, where, raw):
+    """The retail view stored as a table of years, corrected in place."""
+    root = session_folder(spark, "updated")
+    updates.create_table(raw.withColumn("InvoiceYear", F.year("InvoiceDate")), root, "InvoiceYear", "InvoiceDate")
+    for change, condition in zip(changes, where):
+        updates.update_table(spark, root, change, condition)
+    return updates.read_version(spark, root).drop("InvoiceYear")
+
+
+def _normalised_in_place(spark, d):
+    cols = ("Description", "Country")
+    return _corrected(spark, d, [{c: cleaning.normalised(c)} for c in cols],
+                      [~F.col(c).eqNullSafe(cleaning.normalised(c)) for c in cols], sales_from_tables(spark, d))
+
+
+def _filled_in_place(spark, d):
+    return _corrected(spark, d, [{"Description": F.lit(cleaning.NOT_AVAILABLE)}], [F.col("Description") == ""],
+                      sales_from_tables(spark, d, clean_text="normalise"))
+
+
 def _retail(p: Scope) -> dict[str, Query]:
     """The analyses with a date cut-off."""
     quarters = [f"Q{i} {p.year}" for i in range(1, 5)]
@@ -133,8 +178,10 @@ def _retail(p: Scope) -> dict[str, Query]:
         "B1_orders_histogram": lambda s, d: buckets.orders_histogram(_sales(s, d), p.start),
         "B2_revenue_classes": lambda s, d: buckets.revenue_classes(_sales(s, d), p.start, CLASS_WIDTH),
         "B3_revenue_intervals": lambda s, d: buckets.revenue_intervals(_sales(s, d), p.start, *p.bins),
+        "B3_uneven_intervals": lambda s, d: _uneven_intervals(s, d, p.start),
         "B4_revenue_distribution": lambda s, d: buckets.revenue_distribution(_sales(s, d), p.start),
         "B5_revenue_groups": lambda s, d: buckets.revenue_groups(_sales(s, d), p.start, p.cuts),
+        "B5_revenue_groups_join": lambda s, d: buckets.revenue_groups_by_join(_sales(s, d), _groups(s, p.cuts), p.start),
         "B6_orders_distribution": lambda s, d: buckets.orders_distribution(_sales(s, d), p.start),
         "B7_order_groups": lambda s, d: buckets.order_groups(_sales(s, d), p.start),
         "R1_rfm_base": base,
@@ -163,6 +210,8 @@ QUERIES: dict[str, Query] = {
         _sales(s, d).drop("InvoiceYear", "rev"), 10, order=["InvoiceDate", "InvoiceNo", "StockCode", "Quantity"]),
     "C1_normalise_text": lambda s, d: cleaning.normalise_text(sales_from_tables(s, d)),
     "C2_fill_empty": lambda s, d: cleaning.fill_empty(cleaning.normalise_text(sales_from_tables(s, d))),
+    "C1_update_in_place": _normalised_in_place,
+    "C2_update_in_place": _filled_in_place,
     "C3_parse_date": lambda s, d: cleaning.parse_date(_raw_text_dates(s, d), "InvoiceDate", TEXT_DATE_FORMAT),
     # profiling
     "F2_non_null_counts": lambda s, d: profile.non_null_counts(_sales(s, d)),

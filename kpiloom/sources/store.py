@@ -119,7 +119,7 @@ def pin_csv(spark: SparkSession, name: str, sales_csv: str | None = None, visits
         if table_path:
             stable_table(spark, [sales_csv], build, table_path, rebuild)
         else:
-            table_path = _session_folder(spark, "sales")
+            table_path = session_folder(spark, "sales")
             _write(build(), table_path, _describe(spark, [sales_csv]))
         with _LOCK:
             _WRITTEN[_key(spark, name)] = table_path
@@ -137,7 +137,7 @@ def pinned_visits(spark: SparkSession, name: str) -> DataFrame | None:
         .withColumn("event_id", F.monotonically_increasing_id())
 
 
-def _session_folder(spark: SparkSession, kind: str) -> str:
+def session_folder(spark: SparkSession, kind: str) -> str:
     """A new folder in shared storage that goes when the application ends."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/kpiloom-{kind}-{uuid.uuid4().hex}"
     fs, where = hadoop_path(spark, path)
@@ -150,7 +150,7 @@ def csv_copy(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[], Da
     key = (*_key(spark, sf_dir), kind)
     with _LOCK:
         if key not in _WRITTEN:
-            path = _session_folder(spark, f"csv-{kind}")
+            path = session_folder(spark, f"csv-{kind}")
             write_csv(build(), path)
             _WRITTEN[key] = path
     return _WRITTEN[key]
@@ -165,7 +165,7 @@ def cleaned_sales(spark: SparkSession, sf_dir: str, table_path: str | None = Non
     with _LOCK:
         path = _WRITTEN.get(key)
         if path is None:
-            path = _session_folder(spark, "sales")
+            path = session_folder(spark, "sales")
             _write(build_cleaned_sales(spark, sf_dir), path, _describe(spark, inputs))
             _WRITTEN[key] = path
         if path not in _SCHEMAS:
