@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.llm.arrays import BASE, LOWER_CODE, U64, column_bytes, group_edges, mix, slices, word_hashes
 from kpiloom.llm.components import components
-from kpiloom.llm.tables import (LAST, batch_rows, bucket_of, by_bucket, join_blocks, key_columns, keyed, original_id, pack,
+from kpiloom.llm.tables import (LAST, batch_rows, bucket_of, by_bucket, join_blocks, free_names, key_columns, keyed, original_id, pack,
                                 partitions, stored)
 
 ORDERS, DEPTH = 32, 4
@@ -349,9 +349,10 @@ def without_near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col:
     rows = row_components(docs, shingle, percent)
     stay = rows.groupBy(F.coalesce("component", "variant").alias("group"), F.col("component").isNull().alias("unnamed")) \
         .agg(F.min(F.struct("variant", "id")).alias("first")).select("first.id", "first.variant")
-    marked = df.withColumns({"_id": node, "_variant": other})
-    return marked.join(stay, (marked["_id"] == stay["id"]) & (marked["_variant"] == stay["variant"]), "left_semi") \
-        .dropDuplicates(["_id", "_variant"]).drop("_id", "_variant")
+    one, two = free_names(df, "node", "other")
+    marked = df.withColumns({one: node, two: other})
+    return marked.join(stay, (marked[one] == stay["id"]) & (marked[two] == stay["variant"]), "left_semi") \
+        .dropDuplicates([one, two]).drop(one, two)
 
 
 def row_components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:

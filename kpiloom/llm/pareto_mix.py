@@ -13,8 +13,8 @@ of 4,096 rank classes a source, and only the rows of the last class (one in
 16.7 million) are ordered.  u is a hash of the seed, id and text, so reruns agree.
 
 Defined results: null text has size 0; a null source is a source of its own,
-last; a null id draws by its text; rows repeated with id and text are taken
-alike; a source without words has target 0; other columns are left out; an
+last; a null id draws by its text; rows repeated with id and text are numbered and
+draw one by one; texts are counted whole; a source without words has target 0; other columns are left out; an
 empty table gives no rows.
 """
 
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.llm.arrays import SPACE, column_bytes
-from kpiloom.llm.tables import stored
+from kpiloom.llm.tables import numbered_copies, stored
 
 RANK_BITS, STEP = 48, 12
 MOST = 3                   # times a document may be taken
@@ -81,6 +81,26 @@ def row_keys(df: DataFrame, id_col: str, text_col: str, source_col: str) -> dict
             "h": F.xxhash64(text, df[id_col])}
 
 
+def drawn(rows: DataFrame, repeats: DataFrame) -> DataFrame:
+    """``rows`` (with src, h) where the copies of a repeated row draw by hashes of their own."""
+    if repeats.isEmpty():              # nothing to number
+        return rows
+    marked = rows.join(repeats.select("src", "h", F.lit(True).alias("repeated")), ["src", "h"], "left")
+    copies = numbered_copies(marked.where("repeated").drop("repeated"), ["src", "h"])
+    own = F.when(F.col("copy") > 0, F.xxhash64("h", "copy")).otherwise(F.col("h"))
+    return marked.where("repeated IS NULL").drop("repeated") \
+        .unionByName(copies.withColumn("h", own).drop("copy").select(*rows.columns))
+
+
+def _own_draws(rows: DataFrame) -> DataFrame:
+    repeats = repeated(rows)
+    return rows if repeats.isEmpty() else stored(drawn(rows, repeats))
+
+
+def repeated(rows: DataFrame) -> DataFrame:
+    return stored(rows.groupBy("src", "h").count().where("count > 1").select("src", "h"))
+
+
 def ranks(seed: int) -> Column:
     """Order of u/(1-u) over p/(1-p), as a number of RANK_BITS bits."""
     u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "h"), 12) + 0.5) / 2.0 ** 52
@@ -132,6 +152,7 @@ def pareto_mix(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                weights: tuple[float, ...] = (1, 2, 3), most: int = MOST, seed: int = 0) -> DataFrame:
     """(id, source, size, source_size, target, taken, copies) of every row."""
     rows = stored(word_counts(df, id_col, text_col, source_col))
+    rows = _own_draws(rows)
     out = with_copies(rows, source_cuts(rows, weights, most, seed), seed)
     return out.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
                       (F.col("size") * F.col("copies")).alias("taken"), "copies")
@@ -142,6 +163,8 @@ def mixed_documents(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     """The mix itself: each row of ``df`` as often as the mix takes it, all columns unchanged."""
     rows = stored(word_counts(df, id_col, text_col, source_col))
     keys = row_keys(df, id_col, text_col, source_col)
+    repeats = repeated(rows)
+    rows = rows if repeats.isEmpty() else stored(drawn(rows, repeats))
     own = df.select(F.struct(*df.columns).alias("row"), *[c.alias(k) for k, c in keys.items()])
-    out = with_copies(own, source_cuts(rows, weights, most, seed), seed).where("copies > 0")
+    out = with_copies(drawn(own, repeats), source_cuts(rows, weights, most, seed), seed).where("copies > 0")
     return out.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")

@@ -8,7 +8,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kpiloom.llm.arrays import mix
@@ -49,6 +49,29 @@ def batch_rows(spark: SparkSession, rows: int):
         spark.conf.set(name, before)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, made longer until no column of ``df`` has them (Spark ignores case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def numbered_copies(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with ``copy``, 0.. within equal keys; a key held by many rows is numbered by partition, in no one task."""
+    kept = stored(rows.withColumn("at", F.monotonically_increasing_id())).withColumn("part", F.shiftright("at", 33))
+    here = kept.groupBy(*keys, "part").agg(F.count(F.lit(1)).alias("c"))
+    order = Window.partitionBy(*keys).orderBy("part")
+    before = here.select(*keys, "part", (F.sum("c").over(order) - F.col("c")).alias("before"))
+    own = F.row_number().over(Window.partitionBy(*keys, "part").orderBy("at")) - 1
+    return kept.withColumn("own", own).join(before, [*keys, "part"]).withColumn("copy", F.col("own") + F.col("before")) \
+        .drop("at", "part", "own", "before")
+
+
 def key_columns(df: DataFrame, id_col: str, text_col: str) -> dict[str, Column]:
     """``id``: the id as a never-null long (null, like ``LAST`` itself, orders after
     all others and returns as null); ``variant``: a hash of the text, which tells

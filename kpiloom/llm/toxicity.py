@@ -48,10 +48,11 @@ def pattern_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
     """(hashes, words before each document): a row per word; first the word's hash, then those of its
     beginnings (0 where the word is shorter)."""
     starts, ends, before = word_bounds(data, offsets)
-    starts, ends = starts.copy(), ends.copy()
-    for _ in range(8):                     # strip punctuation, up to eight signs a side
-        starts += EDGE[data[starts]] & (starts < ends - 1)
-        ends -= EDGE[data[ends - 1]] & (starts < ends - 1)
+    inner = np.flatnonzero(~EDGE[data])    # strip the whole run of signs on either side; a word of signs keeps its last
+    after = np.append(inner, len(data))[np.searchsorted(inner, starts)]
+    starts = np.minimum(after, ends - 1)
+    last = np.append(inner, -1)[np.searchsorted(inner, ends) - 1]
+    ends = np.maximum(last, starts) + 1
     out = np.zeros((len(starts), KINDS), U64)
     if len(starts):
         i = 0

@@ -79,3 +79,13 @@ def test_discriminant_matches_closed_form():
         z = x - mu
         return -0.5 * np.einsum("ni,ij,nj->n", z, np.linalg.inv(c), z) - 0.5 * np.log(np.linalg.det(c))
     assert np.allclose(s, 1 / (1 + np.exp(log_density(0) - log_density(1))), atol=1e-6)
+
+
+@pytest.mark.parametrize("signs", ["!", "*" * 9, "#" * 500, "(\"'"])
+def test_signs_around_a_word_change_nothing(signs):
+    def first(text):
+        raw = text.encode()
+        return T.pattern_hashes(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0][0]
+    assert (first(f"{signs}Word{signs} x") == first("word")).all()
+    assert (first(f"{signs}a-b{signs}") == first("a-b")).all()
+    assert T.pattern_hashes(np.frombuffer(signs.encode(), np.uint8), np.array([0, len(signs)]))[0].shape[0] == 1

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from kpiloom.llm.kd_shards import kd_shards
-from kpiloom.llm.pareto_mix import pareto_mix
+from kpiloom.llm.pareto_mix import mixed_documents, pareto_mix
 from kpiloom.llm.queries import QUERIES
 from tests.conftest import SF_CHECK
 from tests.llm.conftest import make_docs
@@ -67,6 +67,22 @@ def test_mix_hot_source_nulls_and_caps(spark):
     assert pareto_mix(make_docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_mix_cuts_inside_a_repeated_row(spark, seed):
+    docs = [(1, "a b c d e", "s")] * 300 + [(i, "w x y z", "s") for i in range(2, 702)] + [(i, "q " * 40, "t") for i in range(800, 960)]
+    df = make_docs(spark, [(d, t, "en", s) for d, t, s in docs]).repartition(6)
+    rows = pareto_mix(df, weights=(1, 3), seed=seed).collect()
+    assert len(rows) == len(docs)
+    for s, longest in (("s", 5), ("t", 40)):
+        mine = [r for r in rows if r.source == s]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= longest / 2 + 1
+    mix = Counter(r.doc_id for r in mixed_documents(df, weights=(1, 3), seed=seed).collect())
+    taken = Counter()
+    for r in rows:
+        taken[r.doc_id] += r.copies
+    assert mix == +taken
+
+
 def test_mix_ranks_by_odds(spark):
     """Inclusion comes near its probability over many seeds."""
     docs = make_docs(spark, [(i, "w w", "en", "a" if i < 300 else "b") for i in range(400)])
