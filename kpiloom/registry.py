@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from kpiloom.operators import (buckets, cleaning, customers, economics, experiment, profile,
                                revenue, rfm)
+from kpiloom.operators.logit import logit_model
 from kpiloom.sources import updates
 from kpiloom.sources.files import load_sales, load_visits
 from kpiloom.sources.infer import infer_types, load_csv, text_columns
@@ -208,8 +209,8 @@ QUERIES: dict[str, Query] = {
     # any ten rows will do; a total order makes the result comparable
     "S3_sample_rows": lambda s, d: cleaning.sample_rows(
         _sales(s, d).drop("InvoiceYear", "rev"), 10, order=["InvoiceDate", "InvoiceNo", "StockCode", "Quantity"]),
-    "C1_normalise_text": lambda s, d: cleaning.normalise_text(sales_from_tables(s, d)),
-    "C2_fill_empty": lambda s, d: cleaning.fill_empty(cleaning.normalise_text(sales_from_tables(s, d))),
+    "C1_normalise_text": lambda s, d: cleaning.normalise_text(sales_from_tables(s, d), dictionary=True),
+    "C2_fill_empty": lambda s, d: cleaning.fill_empty(cleaning.normalise_text(sales_from_tables(s, d), dictionary=True)),
     "C1_update_in_place": _normalised_in_place,
     "C2_update_in_place": _filled_in_place,
     "C3_parse_date": lambda s, d: cleaning.parse_date(_raw_text_dates(s, d), "InvoiceDate", TEXT_DATE_FORMAT),
@@ -227,6 +228,11 @@ QUERIES: dict[str, Query] = {
                                                         digits=DIGITS),
     "X4_logit_test_p": lambda s, d: experiment.logit_test(_visits(s, d), "clicked_like", digits=TEST_DIGITS),
     "X4_logit_test_share": lambda s, d: experiment.logit_test(_visits(s, d), "clicked_share", digits=TEST_DIGITS),
+    "X4_logit_levels": lambda s, d: logit_model(_visits(s, d).withColumn(
+        "third", F.floor((F.dayofmonth("visit_date") - 1) / 10)), "clicked_like", ["third"], with_p=False, digits=TEST_DIGITS),
+    "X4_logit_factors": lambda s, d: logit_model(
+        _visits(s, d).withColumn("late", F.when(F.dayofmonth("visit_date") > 10, "yes").otherwise("no")), "clicked_like",
+        ["condition", "late"], with_p=False, digits=TEST_DIGITS),
     "X5_sample_size": lambda s, d: experiment.sample_size(_visits(s, d), "clicked_share", LIFT),
     "X6_sequential_looks": lambda s, d: experiment.sequential_looks(
         _visits(s, d), "clicked_like", SEQ_N_PER_GROUP, LOOKS, digits=DIGITS),
