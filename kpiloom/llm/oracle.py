@@ -6,6 +6,8 @@ out of memory on whole tables, and the other queries rest on seeded hashes,
 fitted models or a tokenizer; ``tests/llm`` checks those against plain Python.
 """
 
+from kpiloom.llm.oracle_more import MANIFEST, REPAIR
+
 WORD = r"'[^\x20\x09-\x0D]+'"
 
 WINDOWS = f"""WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {WORD}) AS ws FROM documents),
@@ -37,4 +39,6 @@ FROM docs d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reach r ON r.doc_id =
 ORACLE_SQL = {
     "op5_substring_dedup": WINDOWS,
     "op8_minhash_near_dedup": NEAR,
+    "op11_role_repair": REPAIR,
+    "op13_merkle_manifest": MANIFEST,
 }
