@@ -83,15 +83,48 @@ def test_mix_cuts_inside_a_repeated_row(spark, seed):
     assert mix == +taken
 
 
-def test_mix_ranks_by_odds(spark):
-    """Inclusion comes near its probability over many seeds."""
+def rate_of(sizes, left, power):
+    """The rate by bisection: words expected under min(1, rate * size ** power) equal ``left``."""
+    low, high = 0.0, 2.0
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if sum(s * min(1, mid * s ** power) for s in sizes) < left else (low, mid)
+    return low
+
+
+@pytest.mark.parametrize("power", [0, 0.5, 1])
+def test_mix_inclusion_by_size(spark, power):
+    """Documents of a size are taken about as often as their probability says; the certain ones always."""
+    lengths = [0] * 50 + [1, 4, 9, 16] * 900 + [400] * 2
+    docs = [(i, "w " * n, "en", "a") for i, n in enumerate(lengths)] + [(10_000 + i, "q " * 50, "en", "b") for i in range(500)]
+    rows = pareto_mix(make_docs(spark, docs), weights=(1, 2), power=power).collect()
+    a = [r for r in rows if r.source == "a"]
+    left = a[0].target
+    assert 0 < left < a[0].source_size
+    rate = rate_of([n for n in lengths if n], left, power)
+    assert abs(sum(r.taken for r in a) - left) <= 200
+    for n in (1, 4, 9, 16):
+        share = sum(r.copies for r in a if r.size == n) / 900
+        assert abs(share - min(1, rate * n ** power)) < 0.06, (n, share, rate * n ** power)
+    if power and rate * 400 ** power >= 1:
+        assert all(r.copies == 1 for r in a if r.size == 400)
+    if power:
+        assert all(r.copies == 0 for r in a if r.size == 0)
+
+
+def test_mix_takes_whole_source_once_and_certain_documents(spark):
+    docs = [(1, "w " * 1000, "en", "a")] + [(i, "w", "en", "a") for i in range(2, 102)] + [(i, "q " * 9, "en", "b") for i in range(200, 400)]
+    for seed in range(3):
+        rows = pareto_mix(make_docs(spark, docs), weights=(1, 1), power=1, seed=seed).collect()
+        a = [r for r in rows if r.source == "a"]
+        assert abs(sum(r.taken for r in a) - a[0].target) <= 500
+
+
+def test_mix_draws_differ_by_seed_and_not_by_run(spark):
     docs = make_docs(spark, [(i, "w w", "en", "a" if i < 300 else "b") for i in range(400)])
-    hits = Counter()
-    for seed in range(8):
-        for r in pareto_mix(docs, weights=(1, 1), seed=seed).collect():
-            hits[r.doc_id] += r.taken // 2
-    a = [hits[i] / 8 for i in range(300)]
-    assert abs(sum(a) / 300 - 200 / 300) < 0.01 and len(set(a)) > 3
+    got = [{r.doc_id: r.taken // 2 for r in pareto_mix(docs, weights=(1, 1), seed=s).collect()} for s in (0, 0, 1)]
+    assert got[0] == got[1] != got[2]
+    assert abs(sum(got[0][i] for i in range(300)) - 200) <= 1
 
 
 def check_shards(rows, docs, n):
