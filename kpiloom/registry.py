@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from kpiloom.operators import (buckets, cleaning, customers, economics, experiment, profile,
                                revenue, rfm)
 from kpiloom.operators.logit import logit_model
-from kpiloom.sources import updates
+from kpiloom.sources import profiled, updates
 from kpiloom.sources.files import load_sales, load_visits
 from kpiloom.sources.infer import infer_types, load_csv, text_columns
-from kpiloom.sources.store import cleaned_sales, csv_copy, pinned_visits, session_folder
+from kpiloom.sources.store import cleaned_path, cleaned_sales, csv_copy, pinned_visits, session_folder, visits_path
 from kpiloom.sources.tables import sales_from_tables, visits_from_events
 
 # The reference's experiment design.  Current and target
@@ -218,6 +218,9 @@ QUERIES: dict[str, Query] = {
     "F2_non_null_counts": lambda s, d: profile.non_null_counts(_sales(s, d)),
     "F4_row_count": lambda s, d: profile.row_count(_sales(s, d)),
     "F5_date_range": lambda s, d: profile.date_range(_visits(s, d), "visit_date"),
+    "F2_from_write": lambda s, d: profiled.non_null_counts(s, cleaned_path(s, d)),
+    "F4_from_write": lambda s, d: profiled.row_count(s, cleaned_path(s, d)),
+    "F5_from_write": lambda s, d: profiled.date_range(s, visits_path(s, d, lambda: _visits(s, d))),
     **_retail(ALL),
     **{f"{name}_{RECENT.year}": q for name, q in _retail(RECENT).items() if name.startswith(WITH_RECENT)},
     # experiment

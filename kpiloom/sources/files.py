@@ -9,7 +9,9 @@ becomes NULL without a word: the load stops, or (``split_sales``,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -143,7 +145,8 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_table(df: DataFrame, path: str, *, cluster_by: str | None = None,
-                partition_by: str | None = None, mode: str = "overwrite") -> DataFrame:
+                partition_by: str | None = None, mode: str = "overwrite",
+                observe: tuple[Observation, Sequence[Column]] | None = None) -> DataFrame:
     """S1 write side: store as Parquet and return the stored table.
 
     ``cluster_by`` sorts each task's rows on that column before writing, so
@@ -156,9 +159,11 @@ def write_table(df: DataFrame, path: str, *, cluster_by: str | None = None,
     one task), so the table gets files of a useful size rather than one
     small file per value from every upstream task.  The sort then puts that
     column first, and the rows stay in ``cluster_by`` order inside it.
+    ``observe`` gives metrics to take of the rows in the tasks that write them.
     """
     keys = [c for c in (partition_by, cluster_by) if c]
     out = df.hint("rebalance", partition_by) if partition_by else df
+    out = out.observe(observe[0], *observe[1]) if observe else out
     out = out.sortWithinPartitions(*keys) if keys else out
     w = out.write.mode(mode)
     (w.partitionBy(partition_by) if partition_by else w).parquet(path)

@@ -27,7 +27,8 @@ from pyspark.sql import types as T
 
 from kpiloom.operators.cleaning import clean_sales
 from kpiloom.session import checkpoint_dir, hadoop_path, input_files
-from kpiloom.sources.files import load_sales, load_visits, write_csv, write_table
+from kpiloom.sources.files import load_sales, load_visits, write_csv
+from kpiloom.sources.profiled import write_profiled
 from kpiloom.sources.tables import sales_from_tables
 
 _LOCK = threading.Lock()
@@ -54,7 +55,7 @@ def build_from_csv(spark: SparkSession, sales_csv: str, date_format: str | None
 
 
 def _write(df: DataFrame, path: str, fingerprint: str) -> None:
-    write_table(df, path, cluster_by="InvoiceDate", partition_by=PARTITION_COLUMN)
+    write_profiled(df, path, cluster_by="InvoiceDate", partition_by=PARTITION_COLUMN)
     fs, where = hadoop_path(df.sparkSession, f"{path.rstrip('/')}/{FINGERPRINT}")
     out = fs.create(where, True)
     out.write(bytearray(fingerprint.encode()))
@@ -156,6 +157,23 @@ def csv_copy(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[], Da
     return _WRITTEN[key]
 
 
+def cleaned_path(spark: SparkSession, sf_dir: str) -> str:
+    """Where the cleaned table of ``sf_dir`` is stored."""
+    cleaned_sales(spark, sf_dir)
+    return _WRITTEN[_key(spark, sf_dir)]
+
+
+def visits_path(spark: SparkSession, sf_dir: str, build: Callable[[], DataFrame]) -> str:
+    """The visits stored with their figures, sorted by date in each task; once per application."""
+    key = (*_key(spark, sf_dir), "visits-table")
+    with _LOCK:
+        if key not in _WRITTEN:
+            path = session_folder(spark, "visits")
+            write_profiled(build(), path, cluster_by="visit_date")
+            _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
 def cleaned_sales(spark: SparkSession, sf_dir: str, table_path: str | None = None, rebuild: bool = False) -> DataFrame:
     """The cleaned retail table of ``sf_dir``, materialized once."""
     inputs = [f"{str(sf_dir).rstrip('/')}/{t}.parquet" for t in TABLES]

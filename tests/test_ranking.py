@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from kpiloom.plans import selection
 from kpiloom.plans import at_ranks, count_in_bins, dense_rank, exact_percentiles, ntiles, ordered_cuts
 from kpiloom.plans.topk import assert_group_limit, top_k_distinct_per_group
 
@@ -64,6 +65,28 @@ def test_dense_rank_equals_window(spark, skewed):
         assert jobs == 0 and both.count() == 30_000 and both.where("r <> w").isEmpty()
 
 
+def test_dense_rank_of_a_narrow_range_has_even_classes(spark):
+    """All values within a millionth of each other, and a lone far one: no class passes twice the mean."""
+    df = spark.range(40_000).select("id", (F.lit(1e6) + ((F.col("id") * 7919) % 20_011) / 1e5).alias("v")) \
+        .unionByName(spark.range(1).select(F.lit(-1).alias("id"), F.lit(9e300).alias("v")))
+    per_class = selection._classed(df.select(F.col("v").alias("_kl_v")).distinct()).groupBy("_kl_class").count()
+    n, total, largest = per_class.agg(F.count("*"), F.sum("count"), F.max("count")).first()
+    assert n > 900 and total == 20_012 and largest <= 2 * total / n
+    r = dense_rank(df, "v", "r")
+    w = df.withColumn("w", F.dense_rank().over(Window.orderBy(F.col("v").desc_nulls_first()))).select("id", "w")
+    assert r.join(w, "id").where("r = w").count() == 40_001
+
+
+def test_dense_rank_of_few_null_and_nan_values(spark):
+    rows = [(i, v) for i, v in enumerate([None, None, float("nan"), float("inf"), 3.0, 3.0, 0.0, -1.0, float("-inf")])]
+    df = spark.createDataFrame(rows, "id int, v double")
+    got = {r.id: r.dense_rank for r in dense_rank(df, "v").collect()}
+    assert got == {0: 1, 1: 1, 2: 2, 3: 3, 4: 4, 5: 4, 6: 5, 7: 6, 8: 7}
+    assert dense_rank(df.limit(0), "v").count() == 0
+    nothing = dense_rank(df.where("v IS NULL"), "v").collect()
+    assert [r.dense_rank for r in nothing] == [1, 1]
+
+
 def test_exact_percentiles_match_duckdb(spark, skewed):
     probs = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p90": 0.9, "p100": 1.0}
     con = duckdb.connect()
