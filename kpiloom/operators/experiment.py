@@ -154,7 +154,8 @@ def sequential_looks(visits: DataFrame, metric: str = "clicked_like", n_per_grou
     boundary (one-sided; the Pocock bound of k = 3 by default, to be given for
     any other k), ``stop`` at the first crossing.  The last visit of each look
     is found by exact selection, and one pass then counts the visits up to it:
-    no visit is numbered or sorted.
+    no visit is numbered or sorted.  That pass takes the time of the last look
+    as a filter known at run time, so the scan skips the row groups after it.
     """
     if boundary is None:
         if k != 3:
@@ -166,7 +167,7 @@ def sequential_looks(visits: DataFrame, metric: str = "clicked_like", n_per_grou
     v = visits.where(F.col("condition").isin(list(levels)))
     cuts = ordered_cuts(v, {"arrival": (time, True)}, tie, lambda n: F.array(*[F.lit(x).cast("bigint") for x in last]),
                         groups=["condition"])
-    first = v.withColumn("_at", _signed(v, time, True)).withColumn(
+    first = _arrived(v, time, cuts, last[-1], levels).withColumn("_at", _signed(v, time, True)).withColumn(
         "_cuts", cuts.agg(F.collect_list(F.struct("condition", "rank", "v", "tie"))).scalar())
 
     def up_to(n: int) -> Column:
@@ -202,6 +203,19 @@ def sequential_looks(visits: DataFrame, metric: str = "clicked_like", n_per_grou
             .orderBy("look"))
 
 
+def _arrived(visits: DataFrame, time: str, cuts: DataFrame, last: int, levels: Sequence[str]) -> DataFrame:
+    """The visits up to the later of the variants' ``last`` visits, by a scalar subquery that reaches the
+    scan; all of them if a variant has fewer (or its last one has no time)."""
+    kind = visits.schema[time].dataType.simpleString()
+    if kind not in ("timestamp", "date"):
+        return visits
+    back = F.timestamp_micros if kind == "timestamp" else F.date_from_unix_date
+    at = F.when((F.col("rank") == last) & (F.col("v") < float("inf")), F.col("v"))
+    until = F.when(F.count(at) == len(set(levels)), back(F.max(at).cast("bigint" if kind == "timestamp" else "int")))
+    bound = cuts.agg(F.coalesce(until, F.lit("9999-12-31").cast(kind)).alias("until")).scalar()
+    return visits.where((F.col(time) <= bound) | F.col(time).isNull())
+
+
 def mean_time(visits: DataFrame, na_rm: bool = True, digits: int | None = None) -> DataFrame:
     """Mean time on the homepage per variant, largest first."""
     return (visits.groupBy("condition").agg(mean_of(TIME, na_rm, digits).alias("time_spent"))

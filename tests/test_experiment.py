@@ -141,3 +141,51 @@ def test_t_tail_for_many_degrees_of_freedom():
             stats._beta_fraction(5.0, 0.5, 0.8)
         finally:
             stats.MAX_TERMS = before
+
+
+def _rows_scanned(df):
+    """Rows that the scans of the main plan gave (subqueries aside), after it ran."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            if name == "FileSourceScanExec":
+                found.append(node.metrics().apply("numOutputRows").value())
+            children = node.children()
+            todo += [children.apply(i) for i in range(children.size())]
+    return sum(found)
+
+
+def test_sequential_looks_skip_what_came_later(spark, tmp_path):
+    """The counting pass reads the row groups up to the last look; all rows count where a variant has too few."""
+    path = str(tmp_path / "visits")
+    n = 40_000
+    made = spark.range(n, numPartitions=1).select(
+        F.when(F.col("id") % 2 == 0, "tips").otherwise("tools").alias("condition"), (F.col("id") % 3 == 0).cast("int").alias("clicked_like"),
+        F.timestamp_seconds(F.floor(F.col("id") / 5)).alias("ts"), F.col("id").alias("event_id"))
+    made.write.option("maxRecordsPerFile", 1000).parquet(path)
+    visits = spark.read.parquet(path)
+    read = {}
+    for each in (300, 6000, 15_000, 30_000):
+        looks = X.sequential_looks(visits, n_per_group=each, k=3)
+        rows = looks.collect()
+        read[each] = _rows_scanned(looks)
+        for r, wanted in zip(rows, (each // 3, 2 * each // 3, each)):
+            m = min(wanted, n // 2)
+            assert (r.n_tips, r.n_tools) == (m, m)
+            assert (r.y_tips, r.y_tools) == (sum(i % 3 == 0 for i in range(0, 2 * m, 2)), sum(i % 3 == 0 for i in range(1, 2 * m, 2)))
+    assert read[300] <= 1000 and read[6000] <= 13_000 and read[15_000] <= 31_000 and read[30_000] == n
+
+
+def test_sequential_looks_with_visits_without_time(spark, tmp_path):
+    rows = [("tips" if i % 2 else "tools", i % 2, None if i >= 30 else dt.datetime(2020, 1, 1, 0, i), i) for i in range(40)]
+    path = str(tmp_path / "visits")
+    spark.createDataFrame(rows, "condition string, clicked_like int, ts timestamp, event_id long").write.parquet(path)
+    visits = spark.read.parquet(path)
+    assert [r.n_tips for r in X.sequential_looks(visits, n_per_group=18).collect()] == [6, 12, 18]     # untimed visits come last
+    assert [r.n_tips for r in X.sequential_looks(visits, n_per_group=60).collect()] == [20, 20, 20]
