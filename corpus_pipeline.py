@@ -37,8 +37,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of the sources (3): each document as often as the mix takes it."""
-    return mixed_documents(docs)
+    """The mix of the sources (3): each document as often as the mix takes it.
+
+    Documents of a source have the same chance: chances that grow with the size
+    gather the few very long texts, which the shards (9) cannot part evenly."""
+    return mixed_documents(docs, power=0)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
