@@ -23,8 +23,9 @@ on full sets, and components are the smallest id reachable.
   no candidate is left out.
 * The regions are then completed: in every region of more than FULL documents
   that still holds two components, each pair between components is compared.
-  The region's largest component is cut into chunks of CHUNK documents, the
-  other documents meet every chunk.  The parities of the shingles on 1024 bits
+  The documents outside the region's largest component look, all documents are
+  seen; both sides are cut into chunks of CHUNK documents, and each pair of chunks
+  meets in a place of its own, so no place grows with the region.  The parities of the shingles on 1024 bits
   bound the difference of two sets from below, so a pair they rule out is no
   link; the others are confirmed on the full sets like the first candidates.
 
@@ -58,6 +59,7 @@ FULL = WIDTHS[0][0]        # documents of a region whose pairs are all proposed
 CHUNK = 1024               # documents of a large region that are compared in one place
 PARITY = 16                # words of 64 bits that hold the parities of a set
 REPEATED = 100_000         # rows dealt together where the regions are completed
+BUCKET_ROWS = 200_000      # rows of the places that a task compares at once
 CELLS = 1 << 20            # words of parities compared at once
 PAIRS = 200                # pairs of sets in a batch
 BEST = 2                   # candidates of each document confirmed before the rest
@@ -242,6 +244,36 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         return stored(both.mapInArrow(check, "a long, b long"))
 
 
+def tiles(key: np.ndarray, total: np.ndarray, others: np.ndarray, main: np.ndarray, ids: np.ndarray, group: np.ndarray):
+    """Batches of (row, place, role): the places where the documents of a region meet.
+
+    ``total`` documents of a region are seen, ``others`` of them, those outside its component ``main``, look.
+    A document looks in its chunk of the lookers with every chunk of the seen, and is seen the other way round.
+    Roles: 0 is seen, of the main component; 1 looks; 2 looks and is seen; 3 is seen.
+    """
+    looks, seen = -(-others // CHUNK), -(-total // CHUNK)
+    h = mix(ids.astype(U64))
+    own = (h % seen.astype(U64)).astype(np.int64)
+    turn = (mix(h) % looks.astype(U64)).astype(np.int64)
+    outer = group != main
+    times = np.where(outer, looks + seen - 1, looks)
+    before = np.cumsum(times)
+    i = 0
+    while i < len(key):
+        j = max(i + 1, int(np.searchsorted(before, before[i] - times[i] + REPEATED, side="right")))
+        row = np.repeat(np.arange(i, j), times[i:j])
+        nth = np.arange(len(row)) - np.repeat(before[i:j] - times[i:j] - (before[i] - times[i]), times[i:j])
+        # an outer document first looks at each chunk, then is seen by the chunks of lookers but its own
+        looking = outer[row] & (nth < seen[row])
+        by = np.where(outer[row], nth - seen[row], nth)
+        by = np.where(outer[row] & (by >= turn[row]), by + 1, by)
+        by = np.where(looking, turn[row], by)
+        at = np.where(looking, nth, own[row])
+        role = np.where(~outer[row], 0, np.where(~looking, 3, np.where(at == own[row], 2, 1))).astype(np.int8)
+        yield row, mix(mix(key[row].astype(U64) * U64(BASE) ^ by.astype(U64)) * U64(BASE) ^ at.astype(U64)), role
+        i = j
+
+
 def complete(now: DataFrame, percent: int) -> DataFrame:
     """(x, y, hits): every pair of two components in a region of more than FULL documents that the
     parities do not rule out, x > y; of higher ``hits``, the closer their parities are.
@@ -262,39 +294,27 @@ def complete(now: DataFrame, percent: int) -> DataFrame:
     mixed = stored(shares.groupBy("key").agg(F.sum("share").alias("total"), F.count("*").alias("components"),
                                              F.max(F.struct("share", "component")).alias("main"))
                    .where((F.col("total") > FULL) & (F.col("components") > 1))
-                   .select("key", "total", F.col("main.component").alias("main")))
+                   .select("key", "total", (F.col("total") - F.col("main.share")).alias("others"),
+                           F.col("main.component").alias("main")))
+    looks, seen = (F.ceil(F.col(c) / CHUNK) for c in ("others", "total"))
+    dealt_rows = mixed.agg(F.sum(F.col("total") * looks + F.col("others") * (seen - 1)).alias("rows")).first()["rows"] or 0
+    buckets = max(n, -(-int(dealt_rows) // BUCKET_ROWS))
     met = member.select("key", "id").join(mixed, "key").join(now.select("id", "n", "component", "parity"), "id") \
-        .select("key", "total", "main", "id", "n", "component", "parity")
+        .select("key", "total", "others", "main", "id", "n", "component", "parity")
 
     def deal(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, total, main, ids, size, group = (batch.column(c).to_numpy() for c in range(6))
-            parity = np.frombuffer(b"".join(batch.column(6).to_pylist()), U64).reshape(-1, PARITY)
-            chunks = -(-total // CHUNK)
-            own = (mix(ids.astype(U64)) % chunks.astype(U64)).astype(np.int64)
-            times = np.where(group == main, 1, chunks)
-            before = np.cumsum(times)
-            i = 0
-            while i < len(key):
-                j = max(i + 1, int(np.searchsorted(before, before[i] - times[i] + REPEATED, side="right")))
-                row = np.repeat(np.arange(i, j), times[i:j])
-                chunk = np.arange(len(row)) - np.repeat(before[i:j] - times[i:j] - (before[i] - times[i]), times[i:j])
-                chunk = np.where(group[row] == main[row], own[row], chunk)
-                # 0: of the main component; 1: looks at the others of the chunk; 2: is one of them, too
-                role = np.where(group[row] == main[row], 0, np.where(chunk == own[row], 2, 1)).astype(np.int8)
-                place = mix(key[row].astype(U64) * U64(BASE) ^ chunk.astype(U64))
-                out = [(b, pack(*x)) for b, x in by_bucket(bucket_of(place, n), place, role, ids[row], size[row], group[row],
-                                                           parity[row])]
+            key, total, others, main, ids, size, group = (batch.column(c).to_numpy() for c in range(7))
+            parity = np.frombuffer(b"".join(batch.column(7).to_pylist()), U64).reshape(-1, PARITY)
+            for row, place, role in tiles(key, total, others, main, ids, group):
+                out = [(b, pack(*x)) for b, x in by_bucket(bucket_of(place, buckets), place, role, ids[row], size[row],
+                                                           group[row], parity[row])]
                 yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()),
                                                   pa.array([x for _, x in out], pa.binary())], names=["bucket", "block"])
-                i = j
 
-    def compare(batches):
-        blocks = [b.column(1)[r].as_py() for b in batches for r in range(b.num_rows)]
-        if not blocks:
-            return
+    def met_in(blocks):
         place, role, ids, size, group, parity = join_blocks(blocks)
         parity = parity.reshape(-1, PARITY)
         order = np.lexsort((ids, place))
@@ -302,7 +322,7 @@ def complete(now: DataFrame, percent: int) -> DataFrame:
         x, y, hits = [], [], []
         for a, b in zip(edges, np.append(edges[1:], len(order))):
             rows = order[a:b]
-            look, seen = rows[role[rows] > 0], rows[role[rows] != 1]
+            look, seen = rows[(role[rows] == 1) | (role[rows] == 2)], rows[role[rows] != 1]
             step = max(1, CELLS // (PARITY * max(1, len(seen))))
             for k in range(0, len(look) if len(seen) else 0, step):
                 p, q = look[k:k + step, None], seen[None]
@@ -323,7 +343,19 @@ def complete(now: DataFrame, percent: int) -> DataFrame:
             order = order[group_edges(x[order], y[order])]
             yield pa.RecordBatch.from_arrays([pa.array(v[order]) for v in (x, y, hits)], names=["x", "y", "hits"])
 
-    dealt = met.mapInArrow(deal, "bucket int, block binary").repartitionById(n, "bucket")
+    def compare(batches):
+        held, now_in = [], None
+        for batch in batches:                        # the blocks of a bucket follow one another
+            for r, bucket in enumerate(batch.column(0).to_pylist()):
+                if held and bucket != now_in:
+                    yield from met_in(held)
+                    held = []
+                held.append(batch.column(1)[r].as_py())
+                now_in = bucket
+        if held:
+            yield from met_in(held)
+
+    dealt = met.mapInArrow(deal, "bucket int, block binary").repartitionById(n, "bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(compare, "x long, y long, hits long").groupBy("x", "y").agg(F.max("hits").alias("hits"))
 
 

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow.parquet as pq
 
+from kpiloom.llm import lsh_forest
 from kpiloom.llm.components import components
 from kpiloom.llm.lsh_forest import near_duplicates
 from kpiloom.llm.queries import QUERIES
@@ -158,3 +159,32 @@ def test_isolated_links_of_a_wide_family(spark):
     assert len(set(want.values())) == 2000 and len(rows) == 2150
     got = result(near_duplicates(make_docs(spark, rows).repartition(6)))
     assert {d: c for d, (_, c) in got.items()} == want
+
+
+def test_places_of_a_large_region_are_bounded():
+    """20,000 documents in 2,000 components: each pair to compare meets in one place, and no place grows."""
+    rnd = np.random.default_rng(5)
+    n = 20_000
+    ids, group = rnd.permutation(n) * 7, np.concatenate([np.zeros(n // 4), rnd.integers(1, 2000, n - n // 4)]).astype(np.int64)
+    others = int((group != 0).sum())
+    fill = lambda v: np.full(n, v, np.int64)
+    row, place, role = (np.concatenate(c) for c in zip(*lsh_forest.tiles(fill(99), fill(n), fill(others), fill(0), ids, group)))
+    _, at, size = np.unique(place, return_inverse=True, return_counts=True)
+    looks, seen = -(-others // lsh_forest.CHUNK), -(-n // lsh_forest.CHUNK)
+    assert size.max() < 2.4 * lsh_forest.CHUNK and len(size) == looks * seen
+    assert len(row) == (n - others) * looks + others * (looks + seen - 1)
+    some = rnd.choice(np.flatnonzero(group != 0), 40, replace=False)
+    look_role = (role == 1) | (role == 2)
+    for u in some:                                   # a looker meets every document once
+        mine = np.isin(at, at[look_role & (row == u)]) & (role != 1)
+        assert np.array_equal(np.sort(row[mine]), np.arange(n))
+
+
+def test_tiled_region_hides_no_link(spark, monkeypatch):
+    """The looking side in several chunks, places in several buckets of a task: the same components."""
+    monkeypatch.setattr(lsh_forest, "CHUNK", 64)
+    monkeypatch.setattr(lsh_forest, "BUCKET_ROWS", 2000)
+    rows = wide_family(seed=9, n=500, planted=60)
+    want = components_by_matrix(rows)
+    got = result(near_duplicates(make_docs(spark, rows).repartition(6)))
+    assert {d: c for d, (_, c) in got.items()} == want
