@@ -35,11 +35,12 @@ from pyspark.sql import functions as F
 from kpiloom.llm.arrays import (BASE, U64, column_bytes, group_edges, minimizers, mix, slices, word_bounds,
                                 word_hashes)
 from kpiloom.llm.repeats import SAMPLE_ONE_IN, repeated_spans, row_spans, window_starts
-from kpiloom.llm.tables import bucket_of, keyed, original_id
+from kpiloom.llm.tables import bucket_of, keyed, original_id, stored
 
 LENGTH = 50
 GRAM = 8                   # leading words that choose the anchor: the longest prefix
-GROUP_SUFFIXES = 20_000    # anchors a prefix may hold before it is cut further
+GROUP_SUFFIXES = 20_000    # anchors a prefix may hold before it is cut further, in a small table
+SHARES = 8                 # in a large one: this part of the mean bucket
 
 
 def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -112,10 +113,12 @@ class Words:
 
     @staticmethod
     def plan(leads: DataFrame, n: int) -> list[np.ndarray]:
-        """The heavy prefixes of each length: at most sample / limit of them a length."""
-        limit = max(2, GROUP_SUFFIXES // SAMPLE_ONE_IN ** 2)
-        heavy = leads.select(F.posexplode("lead").alias("k", "prefix")).groupBy("k", "prefix").count() \
-            .where(F.col("count") > limit).collect()
+        """The heavy prefixes of each length: those with more than a SHARES-th part of a bucket's
+        mean sample, so that there are fewer than SHARES * n of them a length whatever the data."""
+        counts = stored(leads.select(F.posexplode("lead").alias("k", "prefix")).groupBy("k", "prefix").count())
+        total = counts.where("k = 0").agg(F.sum("count").alias("rows")).first()["rows"] or 0
+        limit = max(2, GROUP_SUFFIXES // SAMPLE_ONE_IN ** 2, total // (SHARES * n))
+        heavy = counts.where(F.col("count") > limit).collect()
         return [np.unique(np.array([r.prefix for r in heavy if r.k == k], np.int64)) for k in range(GRAM)]
 
     def deal(self, plan, body, at, n):

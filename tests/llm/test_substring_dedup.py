@@ -58,3 +58,14 @@ def test_heavy_prefixes_are_cut_further():
     assert len(set(light)) <= 7 and (cut != light).any()
     same = leads[:, 1][:, None] == leads[:, 1][None, :]
     assert ((cut[:, None] == cut[None, :]) | ~same).all()
+
+
+def test_list_of_heavy_prefixes_is_bounded_by_the_buckets(spark):
+    """A hundred times the rows: the list stays below SHARES a bucket and length."""
+    n = 3
+    leads = spark.range(200_000).selectExpr("transform(sequence(0, 7), k -> if(id % 3 = 0, 1, id % 500) div (8 - k)) AS lead")
+    plan = S.Words.plan(leads, n)
+    assert len(plan) == S.GRAM and 0 < sum(map(len, plan)) < S.SHARES * n * S.GRAM
+    assert all(len(p) < S.SHARES * n for p in plan)
+    small = S.Words.plan(leads.limit(2000), n)
+    assert all(len(p) < S.SHARES * n for p in small)
