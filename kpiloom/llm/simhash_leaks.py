@@ -39,7 +39,9 @@ SHINGLE, LEAST = 5, 0.8
 BLOCKS, BLOCK_BITS, NEAR = 8, 8, 2
 RADIUS = BLOCKS * (NEAR + 1) - 1
 BROADCAST_ROWS = 2_000_000     # item shingles (24 bytes each) up to which the item side is broadcast
-LANES = 1 | 1 << 22 | 1 << 44
+# counters side by side in one number: (where they stand, the bit above each, the first bits they count)
+NARROW = (1 | 1 << 22 | 1 << 44, 18, range(22))
+WIDE = (1 | 1 << 31, 30, (*range(31), 62, 63))     # a text of 2 GB has fewer than 2**30 words
 
 
 def word_codes(text: Column) -> Column:
@@ -55,24 +57,25 @@ def shingle_codes(words: Column, k: int) -> Column:
                       F.array().cast("array<long>"))
 
 
-def lane_sums(codes: Column, j: int) -> Column:
-    """How often bits j, j + 22 and j + 44 are set, as three counters in one number."""
-    return F.aggregate(codes, F.lit(0).cast("long"),
-                       lambda a, x: a + F.shiftrightunsigned(x, j).bitwiseAND(F.lit(LANES)))
-
-
-def simhash(codes: Column) -> Column:
-    """64-bit SimHash of an array of fewer than 2**18 hashes: bit b is set if most of them have it."""
+def majority(codes: Column, counters: tuple) -> Column:
+    """64-bit number of the bits that more than half of the hashes have, by the given counters."""
+    lanes, top, shifts = counters
     half = F.shiftright(F.size(codes), 1).cast("long")
+    # a counter above half reaches its top bit once 2**top - 1 - half is added
+    lift = (F.lit((1 << top) - 1).cast("long") - half) * F.lit(lanes)
     out = F.lit(0).cast("long")
-    for j in range(22):
-        # a counter above half reaches its bit 18 once 2**18 - 1 - half is added
-        top = (lane_sums(codes, j) + (F.lit((1 << 18) - 1).cast("long") - half) * F.lit(LANES)) \
-            .bitwiseAND(F.lit(LANES << 18))
-        out = out.bitwiseOR(F.shiftleft(F.shiftrightunsigned(top, 18), j))
+    for j in shifts:
+        sums = F.aggregate(codes, F.lit(0).cast("long"),
+                           lambda a, x: a + F.shiftrightunsigned(x, j).bitwiseAND(F.lit(lanes)))  # noqa: B023
+        out = out.bitwiseOR(F.shiftleft(F.shiftrightunsigned((sums + lift).bitwiseAND(F.lit(lanes << top)), top), j))
     return out
 
 
+def simhash(codes: Column) -> Column:
+    """64-bit SimHash of an array of hashes: bit b is set if most of them have it."""
+    return F.when(F.size(codes) < 1 << NARROW[1], majority(codes, NARROW)).otherwise(majority(codes, WIDE))
+
+
 def block(code: Column, b: int) -> Column:
     return F.shiftrightunsigned(code, BLOCK_BITS * b).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int")
 

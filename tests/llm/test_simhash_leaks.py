@@ -136,3 +136,13 @@ def test_simhash_counts_bits(spark, n):
     want = sum((sum(c >> b & 1 for c in codes) * 2 > n) << b for b in range(64))
     df = spark.createDataFrame([(codes,)], "codes array<long>")
     assert df.select(S.simhash(F.col("codes"))).first()[0] % 2**64 == want
+
+
+def test_counters_of_very_long_items(spark):
+    """Both widths of counters agree; beyond 2**18 hashes the fingerprint is still the majority of each bit."""
+    some = spark.range(40).select(F.transform(F.sequence(F.lit(0), F.col("id")), lambda i: F.xxhash64(i, "id")).alias("c"))
+    assert some.where(S.majority(F.col("c"), S.NARROW) != S.majority(F.col("c"), S.WIDE)).count() == 0
+    n = (1 << 18) + 5
+    long = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.when(
+        i <= n * 3 // 4, F.lit(-6148914691236517206)).otherwise(F.xxhash64(i))).alias("c"))
+    assert long.select(S.simhash(F.col("c"))).first()[0] == -6148914691236517206
