@@ -145,7 +145,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_table(df: DataFrame, path: str, *, cluster_by: str | None = None,
-                partition_by: str | None = None, mode: str = "overwrite",
+                partition_by: str | None = None, rebalance: bool = True, mode: str = "overwrite",
                 observe: tuple[Observation, Sequence[Column]] | None = None) -> DataFrame:
     """S1 write side: store as Parquet and return the stored table.
 
@@ -159,10 +159,13 @@ def write_table(df: DataFrame, path: str, *, cluster_by: str | None = None,
     one task), so the table gets files of a useful size rather than one
     small file per value from every upstream task.  The sort then puts that
     column first, and the rows stay in ``cluster_by`` order inside it.
+    ``rebalance=False`` leaves that shuffle of whole rows out, for rows that come
+    from a large join: its tasks have the advisory size already, and each
+    writes one file per value.
     ``observe`` gives metrics to take of the rows in the tasks that write them.
     """
     keys = [c for c in (partition_by, cluster_by) if c]
-    out = df.hint("rebalance", partition_by) if partition_by else df
+    out = df.hint("rebalance", partition_by) if partition_by and rebalance else df
     out = out.observe(observe[0], *observe[1]) if observe else out
     out = out.sortWithinPartitions(*keys) if keys else out
     w = out.write.mode(mode)

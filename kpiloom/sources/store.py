@@ -54,8 +54,8 @@ def build_from_csv(spark: SparkSession, sales_csv: str, date_format: str | None
         .withColumn(PARTITION_COLUMN, F.year("InvoiceDate"))
 
 
-def _write(df: DataFrame, path: str, fingerprint: str) -> None:
-    write_profiled(df, path, cluster_by="InvoiceDate", partition_by=PARTITION_COLUMN)
+def _write(df: DataFrame, path: str, fingerprint: str, rebalance: bool) -> None:
+    write_profiled(df, path, cluster_by="InvoiceDate", partition_by=PARTITION_COLUMN, rebalance=rebalance)
     fs, where = hadoop_path(df.sparkSession, f"{path.rstrip('/')}/{FINGERPRINT}")
     out = fs.create(where, True)
     out.write(bytearray(fingerprint.encode()))
@@ -84,8 +84,9 @@ def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 
 def stable_table(spark: SparkSession, inputs: list[str], build: Callable[[], DataFrame], table_path: str,
-                 rebuild: bool = False) -> DataFrame:
-    """The cleaned table at ``table_path``, built from ``inputs`` if it is not there yet."""
+                 rebuild: bool = False, rebalance: bool = True) -> DataFrame:
+    """The cleaned table at ``table_path``, built from ``inputs`` if it is not there yet
+    (``rebalance``: see ``write_table``; the join of the star schema needs none)."""
     want, have = _describe(spark, inputs), _fingerprint_at(spark, table_path)
     if have != want:
         fs, where = hadoop_path(spark, table_path)
@@ -93,7 +94,7 @@ def stable_table(spark: SparkSession, inputs: list[str], build: Callable[[], Dat
             raise ValueError(f"{table_path} holds a table of other input; give another path or rebuild it")
         if have is None and fs.exists(where) and not _ours(fs, where):
             raise ValueError(f"{table_path} exists and is no cleaned table")
-        _write(build(), table_path, want)
+        _write(build(), table_path, want, rebalance)
     return spark.read.parquet(table_path)
 
 
@@ -121,7 +122,7 @@ def pin_csv(spark: SparkSession, name: str, sales_csv: str | None = None, visits
             stable_table(spark, [sales_csv], build, table_path, rebuild)
         else:
             table_path = session_folder(spark, "sales")
-            _write(build(), table_path, _describe(spark, [sales_csv]))
+            _write(build(), table_path, _describe(spark, [sales_csv]), rebalance=True)
         with _LOCK:
             _WRITTEN[_key(spark, name)] = table_path
     if visits_csv:
@@ -178,13 +179,13 @@ def cleaned_sales(spark: SparkSession, sf_dir: str, table_path: str | None = Non
     """The cleaned retail table of ``sf_dir``, materialized once."""
     inputs = [f"{str(sf_dir).rstrip('/')}/{t}.parquet" for t in TABLES]
     if table_path:
-        return stable_table(spark, inputs, lambda: build_cleaned_sales(spark, sf_dir), table_path, rebuild)
+        return stable_table(spark, inputs, lambda: build_cleaned_sales(spark, sf_dir), table_path, rebuild, rebalance=False)
     key = _key(spark, sf_dir)
     with _LOCK:
         path = _WRITTEN.get(key)
         if path is None:
             path = session_folder(spark, "sales")
-            _write(build_cleaned_sales(spark, sf_dir), path, _describe(spark, inputs))
+            _write(build_cleaned_sales(spark, sf_dir), path, _describe(spark, inputs), rebalance=False)
             _WRITTEN[key] = path
         if path not in _SCHEMAS:
             _SCHEMAS[path] = spark.read.parquet(path).schema

@@ -34,9 +34,14 @@ def sales_from_tables(spark: SparkSession, sf_dir: str, clean_text: str | None =
     """
     from kpiloom.operators.cleaning import filled, normalised
 
+    # what a line needs is computed before the joins, so that each shuffle carries a few numbers a line;
+    # texts (names, and the keys as text) come last
+    back = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1)
     li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag")
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+        "l_orderkey", "l_partkey",
+        F.when(back, -F.col("l_quantity")).otherwise(F.col("l_quantity")).alias("quantity"))
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("InvoiceDate"))
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select(
         "n_nationkey",
@@ -51,18 +56,15 @@ def sales_from_tables(spark: SparkSession, sf_dir: str, clean_text: str | None =
         if clean_text == "fill":
             part = part.withColumn("Description", filled("Description"))
 
-    # orders -> customer -> nation first: the smaller side, so lineitem is
-    # shuffled once for the order join and once for the part join.
-    oc = (orders.join(cust, orders.o_custkey == cust.c_custkey)
-          .join(nation, cust.c_nationkey == nation.n_nationkey))
-    j = li.join(oc, li.l_orderkey == oc.o_orderkey).join(part, li.l_partkey == part.p_partkey)
+    # orders -> customer first: the smaller side, so lineitem is shuffled once for
+    # the order join and once for the part join; the country is a number until the last join.
+    oc = orders.join(cust, orders.o_custkey == cust.c_custkey).drop("c_custkey")
+    j = li.join(oc, li.l_orderkey == oc.o_orderkey).drop("l_orderkey") \
+        .join(part, li.l_partkey == part.p_partkey).join(nation, oc.c_nationkey == nation.n_nationkey)
     return j.select(
         F.col("o_orderkey").cast("string").alias("InvoiceNo"),
         F.col("l_partkey").cast("string").alias("StockCode"),
-        "Description",
-        F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1), -F.col("l_quantity"))
-         .otherwise(F.col("l_quantity")).cast("int").alias("Quantity"),
-        F.col("o_orderdate").cast("date").alias("InvoiceDate"),
+        "Description", F.col("quantity").cast("int").alias("Quantity"), "InvoiceDate",
         F.col("p_retailprice").alias("UnitPrice"),
         F.when(F.col("o_orderkey") % 13 == 0, F.lit(None).cast("bigint"))
          .otherwise(F.col("o_custkey")).alias("CustomerID"),
