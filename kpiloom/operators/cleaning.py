@@ -29,6 +29,13 @@ def normalised(col) -> Column:
     return F.trim(pg_initcap(col))
 
 
+def unnormalised(col) -> Column:
+    """Whether C1 would change a value: for plain ASCII two scans of the text, without building the new one."""
+    c = F.col(col) if isinstance(col, str) else col
+    wrong = c.rlike(r"^ | \z|(?<![A-Za-z0-9])[a-z]|(?<=[A-Za-z0-9])[A-Z]")
+    return F.when(c.rlike(r"^[\x20-\x7E]*\z"), wrong).otherwise(~c.eqNullSafe(normalised(c)))
+
+
 def filled(col, value: str = NOT_AVAILABLE) -> Column:
     """C2 on one value: '' becomes ``value``; NULL stays NULL."""
     c = F.col(col) if isinstance(col, str) else col

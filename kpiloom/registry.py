@@ -126,7 +126,8 @@ def _uneven_intervals(spark, d, start):
 def _corrected(spark, d, changes, where, raw):
     """The retail view stored as a table of years, corrected in place."""
     root = session_folder(spark, "updated")
-    updates.create_table(raw.withColumn("InvoiceYear", F.year("InvoiceDate")), root, "InvoiceYear", "InvoiceDate")
+    updates.create_table(raw.withColumn("InvoiceYear", F.year("InvoiceDate")), root, "InvoiceYear", "InvoiceDate",
+                         rebalance=False)
     for change, condition in zip(changes, where):
         updates.update_table(spark, root, change, condition)
     return updates.read_version(spark, root).drop("InvoiceYear")
@@ -135,7 +136,7 @@ def _corrected(spark, d, changes, where, raw):
 def _normalised_in_place(spark, d):
     cols = ("Description", "Country")
     return _corrected(spark, d, [{c: cleaning.normalised(c)} for c in cols],
-                      [~F.col(c).eqNullSafe(cleaning.normalised(c)) for c in cols], sales_from_tables(spark, d))
+                      [cleaning.unnormalised(c) for c in cols], sales_from_tables(spark, d))
 
 
 def _filled_in_place(spark, d):

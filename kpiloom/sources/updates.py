@@ -67,20 +67,20 @@ def _commit(spark: SparkSession, root: str, number: int, manifest: dict) -> None
 
 
 def _store(rows: DataFrame, root: str, partition_by: str, sort_by: str | None) -> dict[str, str]:
-    """Write rows into a new data folder; (partition folder name -> folder)."""
+    """Write rows into a new data folder, by the tasks that have them; (partition folder name -> folder)."""
     spark, new = rows.sparkSession, f"{FOLDER}={uuid.uuid4().hex}"
-    out = rows.hint("rebalance", partition_by)
-    out = out.sortWithinPartitions(partition_by, sort_by) if sort_by else out
+    out = rows.sortWithinPartitions(partition_by, sort_by) if sort_by else rows
     out.write.partitionBy(partition_by).parquet(f"{root}/{DATA}/{new}")
     return {f: f"{new}/{f}" for f in _files(spark, f"{root}/{DATA}/{new}") if f.startswith(f"{partition_by}=")}
 
 
-def create_table(rows: DataFrame, root: str, partition_by: str, sort_by: str | None = None) -> None:
-    """Store ``rows`` as version 1 of a new table."""
+def create_table(rows: DataFrame, root: str, partition_by: str, sort_by: str | None = None, rebalance: bool = True) -> None:
+    """Store ``rows`` as version 1 of a new table; ``rebalance=False`` for rows that come from a large join
+    (see ``files.write_table``)."""
     spark, root = rows.sparkSession, root.rstrip("/")
     if version(spark, root):
         raise ValueError(f"{root} holds a table")
-    folders = _store(rows, root, partition_by, sort_by)
+    folders = _store(rows.hint("rebalance", partition_by) if rebalance else rows, root, partition_by, sort_by)
     _commit(spark, root, 1, {"partition_by": partition_by, "sort_by": sort_by, "schema": rows.schema.json(), "folders": folders})
 
 
@@ -122,6 +122,7 @@ def update_table(spark: SparkSession, root: str, changes: dict[str, Column], whe
     rows = table.where(mine).select(*[
         F.when(hit, changes[f.name].cast(f.dataType)).otherwise(F.col(f"`{f.name}`")).alias(f.name) if f.name in changes
         else F.col(f"`{f.name}`") for f in table.schema.fields])
+    # no shuffle: a scan task holds whole files (or splits) of few partitions and writes a file for each
     new = _store(rows, root, key, held["sort_by"])
     _commit(spark, root, number + 1, {**held, "folders": {**held["folders"], **new}})
     return len(new)
