@@ -22,10 +22,13 @@ from kpiloom.sources.files import CORRUPT, csv_options, split_file_rows
 
 NA = "NA"
 LOGICAL_TRUE, LOGICAL_FALSE = ("T", "TRUE", "true"), ("F", "FALSE", "false")
-# date forms (Spark pattern, shape), the first that fits every value wins
-DATE_FORMS = (("yyyy-MM-dd", r"^\d{4}-\d\d-\d\d$"), ("M/d/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$"), ("d/M/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$"),
-              ("yyyy-MM-dd HH:mm:ss", r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"),
-              ("M/d/yyyy H:mm", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d\d$"), ("d/M/yyyy H:mm", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d\d$"))
+# date forms (Spark pattern, shape), the first that fits every value wins; a shape leaves out months, days and
+# times that do not exist, so that the dear parser sees few values it refuses
+_M, _D, _H = r"(?:0?[1-9]|1[0-2])", r"(?:0?[1-9]|[12]\d|3[01])", r"(?:[01]?\d|2[0-3]):[0-5]\d"
+_ISO = r"\d{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])"
+DATE_FORMS = (("yyyy-MM-dd", rf"^{_ISO}$"), ("M/d/yyyy", rf"^{_M}/{_D}/\d{{4}}$"), ("d/M/yyyy", rf"^{_D}/{_M}/\d{{4}}$"),
+              ("yyyy-MM-dd HH:mm:ss", rf"^{_ISO} (?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d$"),
+              ("M/d/yyyy H:mm", rf"^{_M}/{_D}/\d{{4}} {_H}$"), ("d/M/yyyy H:mm", rf"^{_D}/{_M}/\d{{4}} {_H}$"))
 KINDS = ("logical", "integer", "whole", "real", *[f for f, _ in DATE_FORMS], "text")
 WHOLE = r"^\s*[+-]?\d+\s*$"
 REAL = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$|^\s*(?:NaN|[+-]?Inf)\s*$"
@@ -50,7 +53,10 @@ def kinds_of(value: Column) -> Column:
     some_date = F.when(value.rlike(r"^\d{1,4}[-/]"), dates).otherwise(0)
     logical = F.when(value.isin(*LOGICAL_TRUE, *LOGICAL_FALSE), _bit("logical")).otherwise(0)
     known = F.lit(_bit("text")).bitwiseOR(F.when(value.rlike(r"^\s*[\d+.\-NI]"), numeric.bitwiseOR(some_date)).otherwise(logical))
-    return F.when(value.isNull() | (value == NA) | (F.trim(value) == ""), F.lit(every)).otherwise(known)
+    # short plain numbers, the commonest values, take one test
+    plain = _bit("integer") | _bit("whole") | _bit("real") | _bit("text")
+    return F.when(value.rlike(r"^[0-9]{1,9}\z"), plain) \
+        .when(value.isNull() | (value == NA) | (F.trim(value) == ""), F.lit(every)).otherwise(known)
 
 
 def infer_types(text: DataFrame, wide: bool = False, dates: bool = False) -> DataFrame:
@@ -59,16 +65,16 @@ def infer_types(text: DataFrame, wide: bool = False, dates: bool = False) -> Dat
     ``n_missing`` counts what the typed column holds as NULL.
     """
     names = [c for c in text.columns if c != CORRUPT]
-    c = lambda n: F.col(f"`{n}`")
-    aggs = []
-    for i, n in enumerate(names):
-        absent = c(n).isNull() | (c(n) == NA)
-        aggs += [F.bit_and(kinds_of(c(n))).alias(f"k{i}"), F.count(F.when(absent, 1)).alias(f"a{i}"),
-                 F.count(F.when(~absent & (F.trim(c(n)) == ""), 1)).alias(f"b{i}")]
-    folded = text.agg(*aggs, F.count(F.lit(1)).alias("rows"))
-    each = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(n).alias("name"), F.col(f"k{i}").alias("kinds"),
-                              F.col(f"a{i}").alias("absent"), F.col(f"b{i}").alias("blank")) for i, n in enumerate(names)])
-    one = folded.select("rows", F.explode(each).alias("c")).select("rows", "c.*")
+    # a row per value: one expression for all columns, small enough to be compiled
+    each = F.array(*[F.struct(F.lit(i).alias("position"), F.col(f"`{n}`").alias("v")) for i, n in enumerate(names)])
+    v = F.col("x.v")
+    absent = v.isNull() | (v == NA)
+    folded = text.select(F.explode(each).alias("x")).groupBy(F.col("x.position").alias("position")).agg(
+        F.bit_and(kinds_of(v)).alias("kinds"), F.count(F.when(absent, 1)).alias("absent"),
+        F.count(F.when(~absent & (F.trim(v) == ""), 1)).alias("blank"), F.count(F.lit(1)).alias("rows"))
+    columns = text.sparkSession.range(len(names)).select(
+        F.col("id").cast("int").alias("position"), F.element_at(F.array(*[F.lit(n) for n in names]), F.col("id").cast("int") + 1).alias("name"))
+    one = columns.join(folded, "position", "left").na.fill(0, ["absent", "blank", "rows"])     # no rows: no value of any column
     has = lambda kind: F.col("kinds").bitwiseAND(F.lit(_bit(kind))) != 0
     form = F.coalesce(*[F.when(has(f), F.lit(f)) for f, _ in DATE_FORMS])
     valued = F.col("rows") > F.col("absent") + F.col("blank")
