@@ -64,14 +64,19 @@ def missing(c: Column) -> Column:
 
 def whole_number(c: Column, kind: str) -> tuple[Column, Column]:
     """(value, bad): integer text, with an optional fraction of zeros; anything else is bad."""
-    text = F.regexp_extract(F.trim(c), r"^([+-]?[0-9]+)(\.0*)?$", 1)
-    value = F.when(text != "", text.try_cast(kind))
-    return value, ~missing(c) & value.isNull()
+    text = F.trim(c)
+    # nearly every value: so few digits that it fits, tested once instead of taken apart
+    plain = text.rlike(rf"^[+-]?[0-9]{{1,{18 if kind == 'bigint' else 9}}}\z") if kind in ("int", "bigint") else F.lit(False)
+    digits = F.regexp_extract(text, r"^([+-]?[0-9]+)(\.0*)?$", 1)
+    value = F.when(plain, text.try_cast(kind)).otherwise(F.when(digits != "", digits.try_cast(kind)))
+    return value, ~(plain | missing(c) | value.isNotNull())
 
 
 def real_number(c: Column) -> tuple[Column, Column]:
-    value = F.when(~missing(c), F.trim(c).try_cast("double"))
-    return value, ~missing(c) & (value.isNull() | F.isnan(value))
+    text = F.trim(c)
+    plain = text.rlike(r"^[+-]?[0-9]{1,15}(\.[0-9]{1,15})?\z")
+    value = F.when(plain | ~missing(c), text.try_cast("double"))
+    return value, ~(plain | missing(c) | (value.isNotNull() & ~F.isnan(value)))
 
 
 def iso_date(c: Column) -> tuple[Column, Column]:
