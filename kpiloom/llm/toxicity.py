@@ -36,6 +36,7 @@ from kpiloom.llm.quality import fold
 from kpiloom.llm.tables import stored
 
 SAMPLE = 40_000            # labelled rows used for fitting (documented bound)
+PIECE = 2 << 20            # bytes of text a task has in work at once: about 60 MB of hashes and cells
 PATTERNS = 4_000           # lexicon size at most
 LENGTHS = (3, 4, 5, 6, 7, 8)          # bytes of word beginnings
 KINDS = len(LENGTHS) + 1
@@ -212,7 +213,7 @@ class Model:
         """Probability of toxic of every text of an Arrow column."""
         data, offsets = column_bytes(column)
         out = np.zeros(len(column))
-        for i, j in slices(offsets) if self.weights is not None else ():
+        for i, j in slices(offsets, PIECE) if self.weights is not None else ():
             hits = self.lexicon.hits(*pattern_hashes(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]))
             out[i:j] = 1 / (1 + np.exp(-np.clip(inputs(hits) @ self.weights, -500, 500)))
         return out
@@ -235,7 +236,7 @@ def fit(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: s
     def count(batches):
         for batch in batches:
             data, offsets = column_bytes(batch.column(0))
-            for i, j in slices(offsets):
+            for i, j in slices(offsets, PIECE):
                 h = lexicon.hits(*pattern_hashes(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]))
                 cuts = pa.array(np.arange(len(h) + 1, dtype=np.int32) * h.shape[1])
                 yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(cuts, pa.array(h.reshape(-1)))],

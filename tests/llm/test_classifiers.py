@@ -89,3 +89,21 @@ def test_signs_around_a_word_change_nothing(signs):
     assert (first(f"{signs}Word{signs} x") == first("word")).all()
     assert (first(f"{signs}a-b{signs}") == first("a-b")).all()
     assert T.pattern_hashes(np.frombuffer(signs.encode(), np.uint8), np.array([0, len(signs)]))[0].shape[0] == 1
+
+
+def test_toxicity_scores_a_batch_in_pieces(monkeypatch):
+    """The pipeline's toxicity stage: a large Arrow batch never has all its hashes in memory at once."""
+    import numpy as np
+    import pyarrow as pa
+    from kpiloom.llm import toxicity as t
+    texts = pa.array([f"bad word {k} " * 2000 for k in range(300)], pa.large_string())
+    hashes = np.unique(t.pattern_hashes(*t.column_bytes(texts[:2]))[0])
+    hashes = hashes[hashes != 0]
+    lexicon = t.Lexicon(hashes, np.arange(len(hashes)) % t.KINDS, np.arange(len(hashes)) % t.STRONG)
+    model = t.Model(lexicon, np.linspace(-.1, .1, t.inputs(np.zeros((1, t.KINDS * t.STRONG + 1))).shape[1]))
+    sizes, real = [], t.pattern_hashes
+    monkeypatch.setattr(t, "pattern_hashes", lambda data, offsets: (sizes.append(len(data)), real(data, offsets))[1])
+    got = model.scores(texts)
+    assert max(sizes) <= t.PIECE < sum(sizes)
+    monkeypatch.setattr(t, "PIECE", 1 << 30)
+    assert np.allclose(got, model.scores(texts), rtol=0, atol=1e-12)
