@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.llm.tables import stored
+from kpiloom.llm.tables import released, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -30,5 +30,23 @@ def components(links: DataFrame) -> DataFrame:
         new = stored(near.join(jump, "to", "left")
                      .select("node", "old", F.least("to", F.coalesce("next", "to")).alias("component")))
         labels = new.select("node", "component")
+        released(links.sparkSession)
         if new.where("old <> component").isEmpty():
             return labels
+
+
+def joined(found: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``components`` of the links behind ``found`` (None: none) and of more links.  The rounds run on the
+    components that the new links join, each as its smallest node; without such links there is no round."""
+    if found is None:
+        return components(links)
+    side = {c: found.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in")) for c in ("a", "b")}
+    between = stored(links.join(side["a"], "a", "left").join(side["b"], "b", "left")
+                     .select(F.coalesce("a_in", "a").alias("a"), F.coalesce("b_in", "b").alias("b"))
+                     .where("a <> b").distinct())
+    if between.isEmpty():
+        return found
+    to = components(between)
+    moved = found.join(to.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left") \
+        .select("node", F.coalesce("to", "component").alias("component"))
+    return stored(moved.unionByName(to.join(found, "node", "left_anti")))

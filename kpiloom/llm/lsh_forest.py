@@ -40,15 +40,13 @@ other columns are left out of the result.
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiloom.llm.arrays import BASE, LOWER_CODE, U64, column_bytes, group_edges, mix, slices, word_hashes
-from kpiloom.llm.components import components
+from kpiloom.llm.components import joined
 from kpiloom.llm.tables import (LAST, batch_rows, bucket_of, by_bucket, join_blocks, free_names, key_columns, keyed, original_id, pack,
                                 partitions, stored)
 
@@ -435,26 +433,23 @@ def row_components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         return pairs.join(side["x"], "x", "left").join(side["y"], "y", "left") \
             .where(F.coalesce("x_in", "x") != F.coalesce("y_in", "y")).select(*pairs.columns)
 
-    def settle(candidates: DataFrame, links: list[DataFrame]) -> DataFrame:
-        """Components after the candidates: each document's best first, then those still between components.
-        The links found are added to ``links``."""
+    def settle(candidates: DataFrame, found: DataFrame | None) -> DataFrame:
+        """Components ``found`` after the candidates: each document's best first, then those still between components."""
         sets = sets_of(candidates)
         top = F.slice(F.sort_array(F.collect_list(F.struct("hits", F.negative("y").alias("z"))), asc=False), 1, BEST)
         best = stored(candidates.groupBy("x").agg(top.alias("top")).select("x", F.explode("top").alias("t"))
                       .select("x", F.negative("t.z").alias("y")))
-        links.append(confirm(best, sets, percent))
-        found = components(reduce(DataFrame.unionByName, links))
-        links.append(confirm(outside(candidates.select("x", "y"), found).join(best, ["x", "y"], "left_anti"), sets, percent))
-        return components(reduce(DataFrame.unionByName, links))
+        found = joined(found, confirm(best, sets, percent))
+        return joined(found, confirm(outside(candidates.select("x", "y"), found).join(best, ["x", "y"], "left_anti"), sets,
+                                     percent))
 
-    links = []
     candidates = stored(propose(stand, percent))
-    found = settle(candidates, links)
+    found = settle(candidates, None)
     now = stand.join(found.select(F.col("node").alias("id"), "component"), "id", "left") \
         .withColumn("component", F.coalesce("component", "id"))
     more = stored(complete(now, percent).join(candidates.select("x", "y"), ["x", "y"], "left_anti"))
     if not more.isEmpty():
-        found = settle(more, links)
+        found = settle(more, found)
 
     least = base.select("id", "variant", "n", "one", "two") \
         .join(classes.select("one", "two", "n", F.col("least.id").alias("least")), ["one", "two", "n"], "left")

@@ -9,7 +9,8 @@ import numpy as np
 import pyarrow.parquet as pq
 
 from kpiloom.llm import lsh_forest
-from kpiloom.llm.components import components
+from kpiloom.llm import components as C
+from kpiloom.llm.components import components, joined
 from kpiloom.llm.lsh_forest import near_duplicates
 from kpiloom.llm.queries import QUERIES
 from tests.conftest import SF_CHECK
@@ -113,6 +114,22 @@ def test_components_of_chains_and_stars(spark):
     assert got == {**{i: 0 for i in range(51)}, **{100 + i: 100 for i in range(30)}}
 
 
+def test_more_links_run_on_components_only(spark, monkeypatch):
+    """New links join whole components; the driver's garbage goes every round, and no round runs without a new link."""
+    calls, freed = [], []
+    monkeypatch.setattr(C, "components", lambda links, run=C.components: calls.append(links.count()) or run(links))
+    monkeypatch.setattr(C, "released", lambda spark, run=C.released: freed.append(1) or run(spark))
+    links = lambda *rows: spark.createDataFrame(rows, "a long, b long")
+    first = [(10, 11), (11, 12), (12, 13), (20, 21), (21, 22), (40, 41)]
+    found = joined(None, links(*first))
+    assert joined(found, links()) is found and joined(found, links((13, 10), (20, 22))) is found
+    assert calls == [6] and freed
+    more = [(13, 22), (12, 21), (5, 22), (7, 8), (41, 30)]
+    got = sorted(tuple(r) for r in joined(found, links(*more)).collect())
+    assert got == sorted(tuple(r) for r in components(links(*first, *more)).collect())
+    assert calls == [6, 4]                           # (13, 22) and (12, 21) join the same two components
+
+
 def wide_family(seed=6, n=2000, planted=150):
     """Texts of 200 shingles, two of them 0.72 to 0.79 similar; ``planted`` ones are 0.82 similar to one other text."""
     rnd = random.Random(seed)
