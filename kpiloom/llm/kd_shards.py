@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiloom.llm.tables import partitions, stored
+from kpiloom.llm.tables import partitions, released, stored
 
 COORDINATE, HASH, PIECE = 20, 28, 12       # bits of the sortable number
 STEP = 12                                  # bits of one descent step
@@ -63,6 +63,7 @@ def kd_shards(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     while shards_of:
         cuts = level_cuts(units, shards_of, len(dims))
         units = stored(apply_cuts(units, cuts))
+        released(units.sparkSession)
         shards_of = {child: k for node, k in shards_of.items() if k > 1
                      for child, k in ((2 * node + 1, (k + 1) // 2), (2 * node + 2, k // 2))}
         leaf.update({node: None for node, k in shards_of.items() if k == 1})
